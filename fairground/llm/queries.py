@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairground.llm import packing, sharding, tokens
+from fairground.llm import decontamination, ngram_join, packing, pii, sharding, tokens
 
 #: Name of the tokenizer file of the registered queries and the id that ends a document.
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
+#: The key of the registered query; a user passes a secret of their own.
+PII_KEY = b"registered query"
 
 
 def tokenizer_path() -> str:
@@ -34,6 +36,21 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=16)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_files, op5_packing, op7_hilbert_shards)}
+def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each leak: a document and the test item it holds."""
+    return decontamination.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), seed=5, threshold=0.5)
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = ngram_join.similar_documents(spark, table(spark, sf_dir, "documents"), k=3, percent=90)
+    return members.select("doc_id", "n_shingles", "component_id")
+
+
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.replace_personal_data(spark, table(spark, sf_dir, "documents"), PII_KEY)
+    return found.select("doc_id", "text", "pii_kinds")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_files, op5_packing, op7_hilbert_shards, op8_string_tiling, op9_ngram_join, op10_surrogates)}
 
 ORACLE_SQL: dict[str, str] = {}
