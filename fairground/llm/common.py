@@ -68,6 +68,7 @@ def slices(batches, max_bytes: int = 8 << 20):
         step = max(1, int(n * max_bytes / max(batch.nbytes, 1)))
         for at in range(0, n, step):
             yield batch.slice(at, step)
+        pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

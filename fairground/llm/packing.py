@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fairground.llm.common import Scratch, concat, slices, text_column
-from fairground.llm.tokens import Encoder, with_end
+from fairground.llm.tokens import encoder, with_end
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -77,9 +77,8 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, max_len: int) ->
     """Each document's ids with the end id, cut every ``max_len`` ids."""
 
     def cut(batches):
-        encoder = Encoder(tokenizer)
         for batch in slices(batches):
-            ids, cuts = with_end(*encoder.encode(concat(batch.column("text"))), end_id)
+            ids, cuts = with_end(*encoder(tokenizer).encode(concat(batch.column("text"))), end_id)
             n = np.diff(cuts)
             pieces = -(-n // max_len)
             doc = np.repeat(np.arange(len(n)), pieces)

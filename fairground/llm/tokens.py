@@ -6,6 +6,7 @@ indexes on the ascending document id let a reader fetch a few documents' tokens,
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 import zlib
@@ -30,33 +31,74 @@ FILE_OPTIONS = {
 }
 
 
+#: A run of letters that the normaliser leaves as it is and the splitter keeps whole, and punctuation after it. The
+#: apostrophe is left out as it starts contractions.
+RUN = r"^(?P<letters>[a-zß-öø-ÿ]+)(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
+
+
+def gather(flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` named by ``codes``, in turn, and the bounds between them."""
+    starts = np.cumsum(lengths) - lengths
+    own = lengths[codes]
+    ends = np.cumsum(own)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.repeat(starts[codes] - (ends - own), own)
+    at += np.arange(total)
+    return flat[at], np.concatenate([[0], ends])
+
+
 class Encoder:
     """Encodes texts of an Arrow column, each distinct stretch between ASCII white space once.
 
     The tokenizer's normaliser and splitter never join across white space, so a text's ids are the ids of its
-    stretches in turn. Texts that hold one of the tokenizer's own added tokens are encoded whole.
-    ``cache_words`` bounds what a Python worker remembers between batches.
+    stretches in turn; a run of letters and the punctuation after it are split as well, so their ids are taken apart.
+    Runs of letters go to the tokenizer many at a time without its normaliser and splitter, which leave them alone;
+    the mark of a word's last piece tells them apart again. All other stretches, and texts that hold one of the
+    tokenizer's own added tokens, are encoded as they are.
     """
 
-    def __init__(self, path: str, cache_words: int = 200_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tok = Tokenizer.from_file(path)
+        self.tok, self.runs = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.runs.normalizer = None
+        self.runs.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.cache: dict[str, list[int]] = {}
-        self.cache_words = cache_words
-
-    def _stretches(self, stretches: list[str]) -> list[list[int]]:
-        out = [self.cache.get(s) for s in stretches]
-        missing = [i for i, ids in enumerate(out) if ids is None]
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            for i, e in zip(some, self.tok.encode_batch_fast([stretches[i] for i in some], add_special_tokens=False)):
-                out[i] = e.ids
-                if len(self.cache) < self.cache_words and len(stretches[i]) <= 64:
-                    self.cache[stretches[i]] = e.ids
-        return out
+        vocabulary = self.tok.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+
+    def _letters(self, words: list[str], many: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs of letters and the number of each."""
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        joined = [" ".join(words[i : i + many]) for i in range(0, len(words), many)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.runs.encode_batch_fast(joined, add_special_tokens=False)])
+        return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+
+    def _whole(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self.tok.encode_batch_fast(stretches, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(lengths.sum())), lengths
+
+    def _stretches(self, stretches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct stretches and the number of each."""
+        parts = pc.extract_regex(stretches, RUN)
+        simple = pc.is_valid(parts)
+        runs = pc.struct_field(parts, "letters").filter(simple).dictionary_encode()
+        rest = pa.concat_arrays([pc.struct_field(parts, "tail").filter(simple), stretches.filter(pc.invert(simple))]).dictionary_encode()
+        (a, a_len), (b, b_len) = self._letters(runs.dictionary.to_pylist()), self._whole(rest.dictionary.to_pylist())
+        # Each stretch is a run of letters and a tail, or nothing and a stretch that was encoded whole.
+        lengths = np.concatenate([a_len, b_len, [0]])
+        simple = simple.to_numpy(zero_copy_only=False).astype(bool)
+        pair = np.full((len(stretches), 2), len(lengths) - 1)
+        pair[simple, 0] = runs.indices.to_numpy()
+        others = len(a_len) + rest.indices.to_numpy()
+        n = int(simple.sum())
+        pair[simple, 1], pair[~simple, 1] = others[:n], others[n:]
+        flat, cuts = gather(np.concatenate([a, b]), lengths, pair.ravel())
+        return flat, np.diff(cuts[::2])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids as one uint32 array, and each text's bounds in it."""
@@ -72,14 +114,8 @@ class Encoder:
         seen = coded.dictionary
         seen = pc.if_else(pc.string_is_ascii(seen), pc.ascii_lower(seen), seen).dictionary_encode()
         codes = seen.indices.to_numpy()[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
-        lists_of = self._stretches(seen.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, lists_of), np.int64, len(lists_of))
-        flat = np.fromiter(itertools.chain.from_iterable(lists_of), np.uint32, int(lengths.sum()))
-        starts = np.cumsum(lengths) - lengths
-        per_word = lengths[codes]
-        ends = np.cumsum(per_word)
-        ids = flat[np.repeat(starts[codes] - (ends - per_word), per_word) + np.arange(int(per_word.sum()))]
-        cuts = np.concatenate([[0], ends])[bounds - bounds[0]]
+        ids, ends = gather(*self._stretches(seen.dictionary), codes)
+        cuts = ends[bounds - bounds[0]]
         if not whole.any():
             return ids, cuts
         parts = [self.tok.encode(texts[i].as_py(), add_special_tokens=False).ids if whole[i] else ids[cuts[i] : cuts[i + 1]] for i in range(len(texts))]
@@ -87,6 +123,12 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One encoder a Python worker, kept from task to task."""
+    return Encoder(path)
+
+
 def with_end(ids: np.ndarray, cuts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids with ``end_id`` after each text."""
     return np.insert(ids, cuts[1:], end_id).astype(np.uint32), cuts + np.arange(len(cuts))
@@ -101,9 +143,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     """
 
     def encode(batches):
-        encoder = Encoder(tokenizer)
         for batch in slices(batches):
-            ids, cuts = with_end(*encoder.encode(concat(batch.column("text"))), end_id)
+            ids, cuts = with_end(*encoder(tokenizer).encode(concat(batch.column("text"))), end_id)
             tokens = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(cuts).astype(np.int32)), tokens], ["doc_id", "n_tokens", "tokens"])
 
