@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairground.llm import decontamination, ngram_join, packing, pii, sharding, tokens
+from fairground.llm import decontamination, ngram_join, packing, pii, quality, sharding, tokens
 
 #: Name of the tokenizer file of the registered queries and the id that ends a document.
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
@@ -28,6 +28,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
 
+def op4_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path(), END_ID, max_len=2048)
 
@@ -51,6 +55,6 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "pii_kinds")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_files, op5_packing, op7_hilbert_shards, op8_string_tiling, op9_ngram_join, op10_surrogates)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_files, op4_co_training, op5_packing, op7_hilbert_shards, op8_string_tiling, op9_ngram_join, op10_surrogates)}
 
 ORACLE_SQL: dict[str, str] = {}
