@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fairground.llm import decontamination, ngram_join, packing, pii, quality, sharding, tokens
+from fairground.llm import ann, decontamination, langid, ngram_join, packing, pii, quality, sharding, tokens
 
 #: Name of the tokenizer file of the registered queries and the id that ends a document.
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
@@ -24,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op2_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    found = langid.identify(spark, docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
 
@@ -55,6 +67,6 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "pii_kinds")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_files, op4_co_training, op5_packing, op7_hilbert_shards, op8_string_tiling, op9_ngram_join, op10_surrogates)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_learned_partitions, op2_cross_parsing, op3_token_files, op4_co_training, op5_packing, op7_hilbert_shards, op8_string_tiling, op9_ngram_join, op10_surrogates)}
 
 ORACLE_SQL: dict[str, str] = {}
