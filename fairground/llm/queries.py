@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairground.llm import ann, decontamination, langid, ngram_join, packing, pii, quality, sharding, tokens
+from fairground.llm import ann, chat, decontamination, langid, ngram_join, packing, pii, quality, sharding, tokens
 
 #: Name of the tokenizer file of the registered queries and the id that ends a document.
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
@@ -48,6 +48,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path(), END_ID, max_len=2048)
 
 
+def op6_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_transcripts(spark, table(spark, sf_dir, "conversations"))
+
+
 def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=16)
 
@@ -67,6 +71,6 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "pii_kinds")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_learned_partitions, op2_cross_parsing, op3_token_files, op4_co_training, op5_packing, op7_hilbert_shards, op8_string_tiling, op9_ngram_join, op10_surrogates)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_learned_partitions, op2_cross_parsing, op3_token_files, op4_co_training, op5_packing, op6_transcripts, op7_hilbert_shards, op8_string_tiling, op9_ngram_join, op10_surrogates)}
 
 ORACLE_SQL: dict[str, str] = {}
