@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairground.llm.common import concat, mix, slices, split_words, text_column
+from fairground.llm.common import Scratch, concat, mix, slices, split_words, text_column
 
 SOURCES, LANGS = 32, 8
 _NUMBERS = 9
@@ -31,12 +31,12 @@ class Settings:
     of the id over the whole corpus; scoring takes every document.
     """
 
-    labelled: int = 5000
-    unlabelled: int = 2500
+    labelled: int = 10_000
+    unlabelled: int = 3000
     rounds: int = 3
     per_round: int = 300
     sure: float = 0.97
-    lexicon: int = 1024
+    lexicon: int = 768
     least_documents: int = 5
     threshold: float = 0.5
 
@@ -156,41 +156,54 @@ class Model:
         return tuple(1 / (1 + np.exp(-np.clip(s, -30, 30))) for s in (a, b, both))
 
 
-def gather_examples(docs: DataFrame, labels: DataFrame, settings: Settings) -> pd.DataFrame:
-    """The bounded training set: ``good`` (null if unlabelled), ``metadata`` and the distinct ``tokens`` of each text."""
+def sample_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """The bounded training set: labelled rows with ``good`` and unlabelled rows without."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
     marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0))).alias("good"))
-    part = lambda limit, of: F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * min(1, limit / max(of, 1)))
+    part = lambda limit, of, *salt: F.pmod(F.xxhash64("doc_id", *salt), F.lit(1_000_003)) < int(1_000_003 * min(1, limit / max(of, 1)))
     marks = marks.where(part(settings.labelled, marks.count()))
     picked = rows.join(F.broadcast(marks), "doc_id")
-    others = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_003)) < int(1_000_003 * min(1, settings.unlabelled / max(docs.count(), 1)))).join(F.broadcast(marks), "doc_id", "left_anti").withColumn("good", F.lit(None).cast("int"))
+    others = rows.where(part(settings.unlabelled, docs.count(), F.lit(1))).join(F.broadcast(marks), "doc_id", "left_anti").withColumn("good", F.lit(None).cast("int"))
+    return picked.unionByName(others)
+
+
+def choose_lexicon(sample: DataFrame, settings: Settings) -> np.ndarray:
+    """The tokens that tell good from bad best among the labelled rows, by chi-squared; sorted."""
+
+    def tokens(batches):
+        for batch in slices(batches):
+            lists = Views(batch).token_lists()
+            good = np.repeat(batch.column("good").to_numpy(zero_copy_only=False), [len(x) for x in lists])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists).view(np.int64)), pa.array(good.astype(np.int32))], ["token", "good"])
+
+    known = sample.where("good is not null")
+    totals = known.groupBy("good").count().toPandas().set_index("good")["count"]
+    goods, total = float(totals.get(1, 0)), float(totals.sum())
+    counts = known.mapInArrow(tokens, "token long, good int").groupBy("token").agg(F.sum("good").alias("with_good"), F.count("*").alias("seen")).where(F.col("seen") >= settings.least_documents).toPandas()
+    seen, with_good = counts["seen"].to_numpy(float), counts["with_good"].to_numpy(float)
+    expected = seen * goods / max(total, 1)
+    chi = (with_good - expected) ** 2 / np.maximum(expected * (1 - goods / max(total, 1)) * (1 - seen / max(total, 1)), 1e-9)
+    counts["chi"] = np.where(chi < 10, 0, chi)
+    best = counts[counts["chi"] > 0].sort_values(["chi", "token"], ascending=[False, True])[: settings.lexicon]
+    return np.sort(best["token"].to_numpy(np.int64).view(np.uint64))
+
+
+def gather_examples(sample: DataFrame, lexicon: np.ndarray) -> pd.DataFrame:
+    """``doc_id, good`` (null if unlabelled), ``metadata`` and the ``places`` in the lexicon of each row of the sample."""
 
     def describe(batches):
         for batch in slices(batches):
             views = Views(batch)
-            lists = views.token_lists()
-            cuts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(lists).view(np.int64)))
+            doc, place = views.lexicon_hits(lexicon)
+            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
+            places = pa.ListArray.from_arrays(pa.array(cuts), pa.array(place.astype(np.int32)))
             metadata = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * views.metadata.shape[1]), pa.array(views.metadata.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), metadata, tokens], ["doc_id", "good", "metadata", "tokens"])
-
-    return picked.unionByName(others).mapInArrow(describe, "doc_id long, good int, metadata array<double>, tokens array<long>").toPandas().sort_values("doc_id", ignore_index=True)
-
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), metadata, places], ["doc_id", "good", "metadata", "places"])
 
-def choose_lexicon(doc: np.ndarray, token: np.ndarray, inside: np.ndarray, good: np.ndarray, settings: Settings) -> np.ndarray:
-    """The tokens that tell good from bad best among the documents ``inside``, by chi-squared; token numbers, sorted."""
-    use = inside[doc]
-    n = int(token.max()) + 1 if len(token) else 0
-    with_good, with_bad = (np.bincount(token[use], (good[doc[use]] == k).astype(float), minlength=n) for k in (1, 0))
-    seen, goods, total = with_good + with_bad, float((good[inside] == 1).sum()), float(inside.sum())
-    expected = seen * goods / max(total, 1)
-    chi = (with_good - expected) ** 2 / np.maximum(expected * (1 - goods / max(total, 1)) * (1 - seen / max(total, 1)), 1e-9)
-    chi[(seen < settings.least_documents) | (chi < 10)] = 0
-    best = np.argsort(-chi, kind="stable")[: settings.lexicon]
-    return np.sort(best[chi[best] > 0])
+    return sample.mapInArrow(describe, "doc_id long, good int, metadata array<double>, places array<int>").toPandas().sort_values("doc_id", ignore_index=True)
 
 
-def co_train(examples: pd.DataFrame, settings: Settings) -> Model | None:
+def co_train(examples: pd.DataFrame, lexicon: np.ndarray, settings: Settings) -> Model | None:
     """Fit the model; None if the labels do not hold both classes."""
     label = examples["good"].astype("Float64").to_numpy(float, na_value=np.nan)
     known = np.flatnonzero(~np.isnan(label))
@@ -203,30 +216,16 @@ def co_train(examples: pd.DataFrame, settings: Settings) -> Model | None:
     metadata = np.stack(examples["metadata"].to_list())
     centre, scale = metadata.mean(0), np.maximum(metadata.std(0), 0.05)
     metadata = (metadata - centre) / scale
-    lists = examples.pop("tokens").to_list()
-    doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    names, token = np.unique(np.concatenate(lists).view(np.uint64), return_inverse=True)
-    often = np.bincount(token, minlength=len(names)) >= settings.least_documents
-    keep = often[token]
-    doc, token = doc[keep], (np.cumsum(often) - 1)[token[keep]]
-    names = names[often]
-
-    def presence(lexicon):
-        at = np.full(len(names), -1)
-        at[lexicon] = np.arange(len(lexicon))
-        use = at[token] >= 0
-        out = np.zeros((len(lists), len(lexicon)), np.float32)
-        out[doc[use], at[token[use]]] = 1
-        return out
+    lists = examples["places"].to_list()
+    x = np.zeros((len(lists), len(lexicon)), np.float32)
+    x[np.repeat(np.arange(len(lists)), [len(p) for p in lists]), np.concatenate(lists).astype(np.int64)] = 1
 
     # Each view has its own labels: the given ones, then those the other view was sure of.
     own = [np.where(aside, np.nan, label) for _ in range(2)]
     free = np.isnan(label)
     for step in range(settings.rounds + 1):
         train = [~np.isnan(y) for y in own]
-        lexicon = choose_lexicon(doc, token, train[0], own[0], settings)
-        x = presence(lexicon)
-        content = fit_logistic(x[train[0]], own[0][train[0]], 1e-3)
+        content = fit_logistic(x[train[0]], own[0][train[0]], 3e-4)
         meta = fit_logistic(metadata[train[1]], own[1][train[1]], 1e-3)
         raw = [x @ content[:-1] + content[-1], metadata @ meta[:-1] + meta[-1]]
         if step == settings.rounds:
@@ -240,12 +239,15 @@ def co_train(examples: pd.DataFrame, settings: Settings) -> Model | None:
     calibration = np.stack([fit_logistic(np.clip(s[aside], -8, 8)[:, None], y, 1e-3) for s in raw])
     both = np.stack([c[0] * np.clip(s[aside], -8, 8) + c[1] for c, s in zip(calibration, raw)], axis=1)
     combination = fit_logistic(both, y, 1e-3)
-    order = np.argsort(names[lexicon])
-    return Model(names[lexicon][order], np.concatenate([content[:-1][order], content[-1:]]).astype(float), centre, scale, meta.astype(float), calibration.astype(float), combination.astype(float), settings.threshold)
+    return Model(lexicon, content.astype(float), centre, scale, meta.astype(float), calibration.astype(float), combination.astype(float), settings.threshold)
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
-    return co_train(gather_examples(docs, labels, settings), settings)
+    """The lexicon and both views from a bounded sample, which is stored once and read twice."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    sample = scratch.table("sample", sample_rows(docs, labels, settings))
+    lexicon = choose_lexicon(sample, settings)
+    return co_train(gather_examples(sample, lexicon), lexicon, settings)
 
 
 def _view_batch(batch) -> pa.RecordBatch:
