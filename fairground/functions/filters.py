@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fairground.functions.dates import MONTHS
+from fairground.functions.text import strip
 
 #: The patterns of the text pre-filter, in the order they are tried.
 _M = "|".join(MONTHS)
@@ -43,7 +44,7 @@ def date_kinds(c: Column) -> Column:
 
 def text_reason(text: Column, has_image: Column, as_of: Column) -> Column:
     """Why a text is dropped before extraction, or null to keep it."""
-    c = F.trim(F.coalesce(text, F.lit("")))
+    c = strip(F.coalesce(text, F.lit("")))
     dated = has_date(c)
     past = F.exists(F.regexp_extract_all(c, F.lit(f"(?U){YEAR}"), 1), lambda y: y.cast("int") < F.year(as_of) - 1)
     return (

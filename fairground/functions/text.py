@@ -30,6 +30,11 @@ def _fold_table() -> tuple[str, str]:
 _FROM, _TO = _fold_table()
 
 
+def strip(c: Column) -> Column:
+    """Without white space at the ends."""
+    return F.trim(c, F.lit(" \t\n\r\f\v"))
+
+
 def fold(c: Column) -> Column:
     """Lower case without accents, for Latin script; combining marks are dropped."""
     return F.regexp_replace(F.translate(F.lower(c), _FROM, _TO), r"[̀-ͯ]", "")
@@ -43,7 +48,7 @@ def fold_exact(s):
 
 def name_key(c: Column) -> Column:
     """The key by which municipalities are looked up; blank is null."""
-    return F.nullif(fold(F.trim(c)), F.lit(""))
+    return F.nullif(fold(strip(c)), F.lit(""))
 
 
 def tokens(c: Column) -> Column:
@@ -99,7 +104,7 @@ def series_titles_similar(key_a: Column, key_b: Column) -> Column:
 
 
 def _description(c: Column) -> Column:
-    return F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    return F.lower(strip(F.coalesce(c, F.lit(""))))
 
 
 def events_duplicate(key_a: Column, key_b: Column, text_a: Column, text_b: Column, sources_a: Column, sources_b: Column) -> Column:
@@ -132,7 +137,7 @@ def slug(c: Column) -> Column:
 
 def clean_post(c: Column) -> Column:
     """The lines of a post without interface labels and single obfuscated characters."""
-    lines = F.transform(F.split(F.coalesce(c, F.lit("")), "\n"), lambda x: F.trim(x))
+    lines = F.transform(F.split(F.coalesce(c, F.lit("")), "\n"), strip)
     return F.array_join(F.filter(lines, lambda x: (x != "") & ~x.rlike(NOISE_LINE) & ~x.rlike(r"^[\p{L}\p{N}]?\p{M}+$")), "\n")
 
 

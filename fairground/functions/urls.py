@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fairground.functions.text import strip
+
 #: What social links look like, and language codes that open a path.
 MUTE = r"(?i)facebook\.com/(sharer|plugins|profile\.php|story\.php|dialog|login)|twitter\.com/intent/|notfound|(https?://.*){2,}"
 FACEBOOK_DEEP = r"(?i)^(https?://(?:www\.|m\.|it-it\.)?facebook\.com/[^/?#]+)/(?:events|about|mentions|reels|photos|videos|posts|past_hosted_events)\b.*"
@@ -72,7 +74,7 @@ def post_id(permalink: Column, text: Column) -> Column:
     """A post's own id, else a hash of its text, else what is left of its link."""
     own = F.nullif(F.regexp_extract(permalink, r"/(?:posts|videos|p|reel)/([^/?#]+)", 1), F.lit(""))
     plain = F.regexp_replace(F.regexp_replace(permalink, r"\?.*$", ""), "[^a-zA-Z0-9]", "")
-    return F.coalesce(own, F.when(F.coalesce(text, F.lit("")) != "", F.left(F.sha1(F.trim(text)), F.lit(16))), F.nullif(F.right(plain, F.lit(32)), F.lit("")), permalink)
+    return F.coalesce(own, F.when(F.coalesce(text, F.lit("")) != "", F.left(F.sha1(strip(text)), F.lit(16))), F.nullif(F.right(plain, F.lit(32)), F.lit("")), permalink)
 
 
 def further_url(url: Column) -> Column:

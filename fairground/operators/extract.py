@@ -37,8 +37,8 @@ class RuleProvider:
     def extract(self, system: str, prompt: str, images: list[str]) -> str:
         body = prompt.split("\nTesto:\n", 1)[-1]
         title = next((x.strip() for x in body.split("\n") if x.strip()), "")
-        found = re.search(rf"(?i)\b(\d{{1,2}})\s+({'|'.join(dates.MONTHS)})(?:\s+(20\d\d))?\b", body)
-        number = re.search(r"\b(\d{1,2})[/.-](\d{1,2})[/.-](20\d\d)\b", body)
+        found = re.search(rf"(?i)\b(\d{{1,2}})\s+({'|'.join(dates.MONTHS)})(?:\s+((?:19|20)\d\d))?\b", body)
+        number = re.search(r"\b(\d{1,2})[/.-](\d{1,2})[/.-]((?:19|20)\d\d)\b", body)
         year = re.search(r"Data di riferimento: (\d{4})", prompt)
         if found:
             day = f"{found[3] or (year[1] if year else '1970')}-{dates.MONTHS.index(found[2].lower()) + 1:02d}-{int(found[1]):02d}"

@@ -158,7 +158,7 @@ def follow_preconditions(state: DataFrame, log: DataFrame, platforms: DataFrame,
 def sync_followed(queue: DataFrame, handles: DataFrame, profiles: DataFrame, keys: DataFrame, platform: str, now: str) -> DataFrame:
     """The queue after reading the followed ``handles(handle)`` of a platform. Known ones are followed; unknown ones are
     quarantined, or ready to follow where ``profiles(handle, soggetto, comune)`` names a telling subject and a known place."""
-    own = handles.select(F.ltrim(F.lit("@"), F.lower(F.trim("handle"))).alias("_h")).where("_h <> ''").distinct()
+    own = handles.select(F.ltrim(F.lower(F.trim("handle")), F.lit("@")).alias("_h")).where("_h <> ''").distinct()
     mine = F.col("piattaforma") == platform
     seen = queue.join(own, mine & (F.lower("handle") == F.col("_h")), "left")
     now_followed = F.col("_h").isNotNull() & (F.coalesce("stato", F.lit("")) != "seguito")
@@ -174,7 +174,7 @@ def sync_followed(queue: DataFrame, handles: DataFrame, profiles: DataFrame, key
 def attribute_posts(posts: DataFrame, queue: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Posts with the ``comune`` and category of their author where it is known, and the authors to add as candidates."""
     known = queue.where("coalesce(comune, '') <> ''").groupBy(F.col("piattaforma").alias("_p"), F.lower("handle").alias("_h")).agg(F.min(F.struct("source_id", "comune", "categoria", "stato")).alias("q"))
-    handle = F.ltrim(F.lit("@"), F.lower(F.trim("handle")))
+    handle = F.ltrim(F.lower(F.trim("handle")), F.lit("@"))
     rows = posts.withColumn("_own", handle).join(known, (F.col("piattaforma") == F.col("_p")) & (F.col("_own") == F.col("_h")), "left")
     found = rows.select(*posts.columns, F.col("q.comune").alias("comune"), F.col("q.categoria").alias("categoria"), (F.col("q.stato") == "esclusa").alias("esclusa"))
     new = rows.where("q is null").select(F.concat(F.lit("sconosciuto-"), "piattaforma", F.lit("-"), "_own").alias("source_id"), "piattaforma", F.col("_own").alias("handle"), urls.handle_url(F.col("piattaforma"), F.col("_own")).alias("url"), F.col("_own").alias("soggetto"), F.lit("").alias("comune"), F.lit("sconosciuto").alias("categoria"), F.lit("candidato_da_feed").alias("stato")).distinct()

@@ -18,7 +18,6 @@ from fairground.plans import views
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 AS_OF, NOW = "1998-06-15", "1998-06-15 12:00:00"
-DAY = F.lit(AS_OF).cast("date")
 
 
 def query(sql: str | None = None):
@@ -33,6 +32,10 @@ def query(sql: str | None = None):
     return add
 
 
+def day():
+    return F.lit(AS_OF).cast("date")
+
+
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
@@ -88,10 +91,10 @@ def comuni(spark, d):
 def events(spark, d):
     k = F.col("o_orderkey")
     rows = t(spark, d, "orders").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    day = F.to_date("o_orderdate")
+    begins = F.to_date("o_orderdate")
     return rows.select(
         k.cast("string").alias("event_id"), F.concat(F.lit("Sagra "), "o_orderpriority").alias("titolo"), F.when(k % 4 == 0, None).otherwise(F.concat(F.lit("d"), (k % 11).cast("string"))).alias("descrizione"), F.when(k % 2 == 0, "sagra").otherwise("fiera").alias("tipologia"),
-        day.cast("string").alias("data_inizio"), F.when(k % 6 == 0, None).otherwise(F.date_add(day, (k % 5).cast("int")).cast("string")).alias("data_fine"), F.col("n_name").alias("comune"), (F.col("n_nationkey") * 3).cast("double").alias("km"),
+        begins.cast("string").alias("data_inizio"), F.when(k % 6 == 0, None).otherwise(F.date_add(begins, (k % 5).cast("int")).cast("string")).alias("data_fine"), F.col("n_name").alias("comune"), (F.col("n_nationkey") * 3).cast("double").alias("km"),
         F.when(k % 10 == 0, None).when(k % 10 == 1, "scartato").when(k % 10 < 4, "quarantena").when(k % 10 < 6, "ok").otherwise("nuovo").alias("stato"), F.when(k % 7 == 0, "si").otherwise("no").alias("archiviato"),
         F.concat(F.lit("https://ev.example/"), (k % 97).cast("string")).alias("url"), F.when(k % 5 == 0, "vista").alias("note"),
     )
@@ -172,13 +175,13 @@ def map_events_view(spark, d):
 
 @query(f"$ , {_MAP} SELECT comune, lat, lon, count(*) AS n, string_agg(titolo, '|' ORDER BY titolo) AS titoli FROM map_rows WHERE data_inizio <= '1998-06-15' AND data_fine >= '1998-06-15' GROUP BY 1, 2, 3")
 def map_markers(spark, d):
-    rows = views.markers(views.map_events(full_events(spark, d), comuni(spark, d), edges(spark, d)), DAY)
+    rows = views.markers(views.map_events(full_events(spark, d), comuni(spark, d), edges(spark, d)), day())
     return rows.withColumn("titoli", F.array_join("titoli", "|"))
 
 
 @query("""$ SELECT event_id AS id, data_inizio, data_fine FROM events WHERE data_inizio <= '1998-06-15' AND coalesce(data_fine, data_inizio) >= '1998-06-15' AND tipologia = 'fiera'""")
 def interval_on_date(spark, d):
-    return views.on_date(events(spark, d), DAY, tipologia="fiera").select(F.col("event_id").alias("id"), "data_inizio", "data_fine")
+    return views.on_date(events(spark, d), day(), tipologia="fiera").select(F.col("event_id").alias("id"), "data_inizio", "data_fine")
 
 
 @query("SELECT DISTINCT p_brand AS valore FROM part WHERE coalesce(p_brand, '') <> ''")
@@ -188,7 +191,7 @@ def facets(spark, d):
 
 @query("""$ SELECT * FROM counts""")
 def source_counts(spark, d):
-    return views.event_counts(edges(spark, d), events(spark, d), DAY)
+    return views.event_counts(edges(spark, d), events(spark, d), day())
 
 
 @query("""$ , twins AS (SELECT regexp_replace(source_id, '-(facebook|instagram)$', '') AS source_id, max(comune) AS twin FROM queue WHERE comune <> '' GROUP BY 1),
@@ -199,7 +202,7 @@ rows AS (SELECT 'web' AS fonte, CASE categoria WHEN 'comune' THEN 'Comune' WHEN
   UNION ALL SELECT piattaforma, CASE categoria WHEN 'comune' THEN 'Comune' WHEN 'proloco' THEN 'Pro Loco' ELSE 'Teatro' END, comune, url, coalesce(attivi, 0), coalesce(totale, 0) FROM queue q LEFT JOIN counts c ON c.source_id = 'feed-' || piattaforma || '-' || handle WHERE stato = 'seguito')
 SELECT *, CAST(row_number() OVER (ORDER BY coalesce(nullif(comune, ''), chr(65535)), tipo, fonte, url) AS INTEGER) AS numero FROM rows""".replace("-(facebook|instagram)$", "-(facebook|instagram)\\z").replace("-sito$", "-sito\\z"))
 def sources_union(spark, d):
-    return views.all_sources(sources(spark, d), follow_queue(spark, d), comuni(spark, d), edges(spark, d), events(spark, d), DAY)
+    return views.all_sources(sources(spark, d), follow_queue(spark, d), comuni(spark, d), edges(spark, d), events(spark, d), day())
 
 
 @query("""$ , sy AS (SELECT source_id, CASE WHEN stato = 'seguito' THEN '✓' WHEN stato IN ('da_seguire', 'candidato_da_feed') THEN '○' WHEN stato IN ('fallito', 'non_valido', 'quarantena') THEN 'X' ELSE '' END AS y FROM queue),
@@ -231,7 +234,7 @@ SELECT c.istat, c.comune, c.km, coalesce(s.endpoint, '') AS sito, coalesce(k.att
 FROM comuni c LEFT JOIN sources s ON s.source_id = 'comune-' || replace(lower(c.comune), ' ', '-') LEFT JOIN counts k ON k.source_id = s.source_id
 LEFT JOIN first f ON f.comune = c.comune AND f.categoria = 'comune' AND f.piattaforma = 'facebook' LEFT JOIN first i ON i.comune = c.comune AND i.categoria = 'proloco' AND i.piattaforma = 'instagram' WHERE attivo = 'si'""")
 def perimeter_view(spark, d):
-    rows = views.perimeter(comuni(spark, d), sources(spark, d), follow_queue(spark, d), edges(spark, d), events(spark, d), app_state(spark), DAY)
+    rows = views.perimeter(comuni(spark, d), sources(spark, d), follow_queue(spark, d), edges(spark, d), events(spark, d), app_state(spark), day())
     return rows.select("istat", "comune", "km", F.col("sito_comune.url").alias("sito"), F.col("sito_comune.attivi").alias("sito_attivi"), F.col("sito_comune.totale").alias("sito_totale"), F.col("sito_comune.ultimo_aggiornamento").alias("sito_aggiornato"), F.col("facebook_comune.url").alias("fb"), F.col("facebook_comune.attivi").alias("fb_attivi"), F.col("facebook_comune.totale").alias("fb_totale"), F.col("facebook_comune.ultimo_aggiornamento").alias("fb_aggiornato"), F.col("instagram_proloco.url").alias("ig"), F.col("instagram_proloco.ultimo_aggiornamento").alias("ig_aggiornato"), F.size("altro").cast("long").alias("altri"), F.aggregate("altro", F.lit(0).cast("long"), lambda acc, x: acc + x["totale"]).alias("altri_totale"))
 
 
@@ -245,7 +248,7 @@ UNION ALL SELECT 'Eventi in quarantena da rivedere', CAST(n AS VARCHAR), CASE WH
 UNION ALL SELECT 'Coda follow in attesa', (x + y + z) || ' da lavorare (' || x || ' da seguire, ' || y || ' candidati da feed, ' || z || ' da verificare)', CASE WHEN x + y + z >= 200 THEN 'rosso' WHEN x + y + z >= 50 THEN 'giallo' ELSE 'verde' END FROM w""")
 def health_indicators(spark, d):
     used = t(spark, d, "events").select(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("created_at"))
-    rows = views.indicators(sources(spark, d), used.where("created_at like '2024-01-10%'").select(F.regexp_replace("created_at", "^2024-01-10", AS_OF).alias("created_at")), events(spark, d), follow_queue(spark, d), 400, DAY, F.lit(NOW).cast("timestamp"))
+    rows = views.indicators(sources(spark, d), used.where("created_at like '2024-01-10%'").select(F.regexp_replace("created_at", "^2024-01-10", AS_OF).alias("created_at")), events(spark, d), follow_queue(spark, d), 400, day(), F.lit(NOW).cast("timestamp"))
     return rows.select("nome", "valore", "semaforo")
 
 
@@ -255,7 +258,7 @@ ORACLE_SQL["health_indicators"] = ORACLE_SQL["health_indicators"].replace("WITH
 @query("""$ SELECT source_id, c.fascia, CAST(CASE coalesce(c.fascia, '') WHEN 'A' THEN 100 WHEN 'B' THEN 75 WHEN 'C' THEN 50 WHEN 'D' THEN 25 ELSE 0 END + 3 * coalesce(date_diff('day', CAST(CAST(last_run AS TIMESTAMP) AS DATE), DATE '1998-06-15'), 365) - 5 * consecutive_errors AS DOUBLE) AS priorita
 FROM sources s LEFT JOIN comuni c ON s.source_id = 'comune-' || replace(lower(c.comune), ' ', '-') AND attivo = 'si' WHERE tier IS NOT NULL""")
 def source_priority(spark, d):
-    return queue.by_priority(sources(spark, d), comuni(spark, d), DAY).select("source_id", "fascia", F.col("priorita").cast("double").alias("priorita"))
+    return queue.by_priority(sources(spark, d), comuni(spark, d), day()).select("source_id", "fascia", F.col("priorita").cast("double").alias("priorita"))
 
 
 # -- lookup and matching ---------------------------------------------------------------------------------------------
@@ -332,11 +335,11 @@ _NUM = r"(^|[^\p{L}\p{N}_])\d{1,2}[/\-.]\d{1,2}([/\-.]\d{2,4})?($|[^\p{L}\p{N}_]
 _HASDATE = f"(regexp_matches(x, '{_NUM}') OR regexp_matches(x, '{_UB('|'.join(dates.MONTHS))}') OR regexp_matches(x, '{_UB(filters.WEEKDAY)}') OR regexp_matches(x, '{_UB(filters.RELATIVE.replace(chr(92) + 'w', '[' + chr(92) + 'p{L}' + chr(92) + 'p{N}_]'))}') OR regexp_matches(x, '{_UB('20[0-9]{2}')}'))"
 
 
-@query(f"""WITH a AS (SELECT doc_id, trim(coalesce(text, '')) AS x, doc_id % 5 = 0 AS img FROM documents)
+@query(f"""WITH a AS (SELECT doc_id, trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x, doc_id % 5 = 0 AS img FROM documents)
 SELECT doc_id, CASE WHEN regexp_matches(x, '{_UB(filters.NOT_EVENT)}') THEN 'schema_non_evento' WHEN NOT {_HASDATE} AND NOT regexp_matches(x, '{_UB(filters.EVENT_WORDS)}') AND NOT img THEN 'nessun_segnale_di_evento'
 WHEN {_HASDATE} AND len(list_filter(regexp_extract_all(x, '(^|[^\\p{{L}}\\p{{N}}_])(20[0-9]{{2}})', 2), lambda y: CAST(y AS INTEGER) < 1997)) > 0 THEN 'solo_date_passate' WHEN length(x) < 40 AND NOT img THEN 'testo_troppo_corto_senza_immagine' END AS motivo FROM a""")
 def text_prefilter_reasons(spark, d):
-    return t(spark, d, "documents").select("doc_id", filters.text_reason(F.col("text"), F.col("doc_id") % 5 == 0, DAY).alias("motivo"))
+    return t(spark, d, "documents").select("doc_id", filters.text_reason(F.col("text"), F.col("doc_id") % 5 == 0, day()).alias("motivo"))
 
 
 @query("""WITH a AS (SELECT d.doc_id, CAST(60 + d.doc_id % 45 AS INTEGER) AS conf, CASE WHEN d.doc_id % 3 = 0 THEN 0 WHEN d.doc_id % 3 = 1 THEN -3 ELSE -10 END AS pen, coalesce(quality, 0) = 1 AS anno, CASE WHEN d.doc_id % 19 = 0 THEN '' ELSE '1998-07-01' END AS ini FROM documents d LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) l ON l.doc_id = d.doc_id)
@@ -370,14 +373,14 @@ def series_rules(spark, d):
     return rules(spark, d).select("c_custkey", dates.rrule_text(F.col("freq"), F.col("days"), F.col("ord"), F.col("months"), F.col("fine")).alias("rrule"), dates.rule_words(F.col("freq"), F.col("days"), F.col("ord"), F.col("months")).alias("regola"))
 
 
-@query(f"""WITH {_RULES}, x AS (SELECT *, CAST(unnest(generate_series(greatest(DATE '1998-06-15', dal), DATE '1998-10-13', INTERVAL 1 DAY)) AS DATE) AS g FROM rules),
+@query(f"""WITH {_RULES}, x AS (SELECT *, CAST(unnest(generate_series(greatest(DATE '1998-06-15', dal), DATE '1998-10-13', INTERVAL 1 day())) AS DATE) AS g FROM rules),
 y AS (SELECT c_custkey, g FROM x WHERE strftime(g, '%a') = CASE day WHEN 'MO' THEN 'Mon' WHEN 'TU' THEN 'Tue' WHEN 'WE' THEN 'Wed' WHEN 'TH' THEN 'Thu' WHEN 'FR' THEN 'Fri' WHEN 'SA' THEN 'Sat' ELSE 'Sun' END AND (NOT no_august OR month(g) <> 8) AND (fine IS NULL OR g <= CAST(fine AS DATE))
-  AND (freq = 'settimanale' OR ord IS NULL OR (ord > 0 AND CAST(ceil(day(g) / 7) AS INTEGER) = ord) OR (ord = -1 AND month(g + INTERVAL 7 DAY) <> month(g)))),
+  AND (freq = 'settimanale' OR ord IS NULL OR (ord > 0 AND CAST(ceil(day(g) / 7) AS INTEGER) = ord) OR (ord = -1 AND month(g + INTERVAL 7 day()) <> month(g)))),
 n AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY g) || ' di ' || count(*) OVER (PARTITION BY c_custkey) AS occorrenza FROM y)
 SELECT c_custkey, strftime(g, '%Y-%m-%d') AS data_inizio, occorrenza FROM n WHERE NOT (c_custkey % 10 = 0 AND day(g) < 8)""")
 def series_expand(spark, d):
     r = rules(spark, d)
-    made = dates.occurrences(dates.rrule_text(F.col("freq"), F.col("days"), F.col("ord"), F.col("months"), F.col("fine")), F.col("dal"), F.array().cast("array<string>"), DAY, F.lit(120))
+    made = dates.occurrences(dates.rrule_text(F.col("freq"), F.col("days"), F.col("ord"), F.col("months"), F.col("fine")), F.col("dal"), F.array().cast("array<string>"), day(), F.lit(120))
     rows = series.numbered(r.select("c_custkey", F.explode(made).alias("data_inizio")), "c_custkey", "data_inizio")
     suppressed = rows.where((F.col("c_custkey") % 10 == 0) & (F.dayofmonth("data_inizio") < 8)).select("c_custkey", "data_inizio")
     return rows.join(suppressed, ["c_custkey", "data_inizio"], "left_anti").select("c_custkey", "data_inizio", "occorrenza")
@@ -394,7 +397,7 @@ def series_decay(spark, d):
 
 @query("""$ SELECT event_id, CASE WHEN data_fine < '1998-06-15' AND archiviato = 'no' THEN 'si' ELSE archiviato END AS archiviato FROM events""")
 def archive_flag(spark, d):
-    return lifecycle.archive_ended(events(spark, d), DAY).select("event_id", "archiviato")
+    return lifecycle.archive_ended(events(spark, d), day()).select("event_id", "archiviato")
 
 
 @query("""$ SELECT event_id, CASE WHEN CAST(event_id AS BIGINT) % 8 = 0 THEN 'ok' ELSE stato END AS stato, CASE WHEN CAST(event_id AS BIGINT) % 8 = 4 THEN 'rivista' ELSE note END AS note FROM events""")
@@ -505,8 +508,8 @@ def url_canonical(spark, d):
     return t(spark, d, "pages").select("page_id", urls.generic_feed(F.col("url")).alias("feed"), F.regexp_replace(F.lower("url"), "[^a-z]+", "").alias("letters"), urls.further_url(F.col("url")).alias("further"))
 
 
-@query(r"""WITH a AS (SELECT conv_id, turn, array_to_string(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x)), lambda x: x <> '' AND NOT regexp_matches(x, '(?i)^(Facebook|·|Segui|Altro\.{3}|\d+\s*(min|h|ago|gg)?)\z')), chr(10)) AS testo FROM conversations)
-SELECT conv_id, turn, testo, substr(sha1(trim(testo)), 1, 16) AS post_id FROM a""")
+@query(r"""WITH a AS (SELECT conv_id, turn, array_to_string(list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x <> '' AND NOT regexp_matches(x, '(?i)^(Facebook|·|Segui|Altro\.{3}|\d+\s*(min|h|ago|gg)?)\z')), chr(10)) AS testo FROM conversations)
+SELECT conv_id, turn, testo, substr(sha1(trim(testo, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), 1, 16) AS post_id FROM a""")
 def social_clean(spark, d):
     rows = t(spark, d, "conversations").select("conv_id", "turn", T.clean_post(F.col("text")).alias("testo"))
     return rows.select("conv_id", "turn", "testo", F.coalesce(urls.post_id(F.lit(""), F.col("testo")), F.lit("")).alias("post_id"))
@@ -591,9 +594,9 @@ def llm_extract_rules(spark, d):
     month = F.element_at(F.array(*map(F.lit, dates.MONTHS)), F.month("o_orderdate"))
     said = F.concat(F.lit("Grande fiera "), "o_orderpriority", F.lit(" in piazza, "), F.dayofmonth("o_orderdate").cast("string"), F.lit(" "), month, F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.concat(F.lit(" "), F.year("o_orderdate").cast("string"))))
     docs = t(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("artifact_id"), said.alias("text"))
-    kept = docs.where(filters.text_reason(F.col("text"), F.lit(False), DAY).isNull())
-    asked = kept.select("artifact_id", extract.prompt(DAY, F.lit(None), F.lit(None), F.lit(None), F.lit(None), F.col("text")).alias("prompt"), F.array().cast("array<string>").alias("images"))
-    return extract.sane(extract.parse(extract.ask(asked, extract.RuleProvider)), DAY).select("artifact_id", "titolo", "data_inizio", "tipologia", "confidenza")
+    kept = docs.where(filters.text_reason(F.col("text"), F.lit(False), day()).isNull())
+    asked = kept.select("artifact_id", extract.prompt(day(), F.lit(None), F.lit(None), F.lit(None), F.lit(None), F.col("text")).alias("prompt"), F.array().cast("array<string>").alias("images"))
+    return extract.sane(extract.parse(extract.ask(asked, extract.RuleProvider)), day()).select("artifact_id", "titolo", "data_inizio", "tipologia", "confidenza")
 
 
 @query()

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from fairground import schemas
 from fairground.functions import dates
-from fairground.functions.text import html_unescape
+from fairground.functions.text import html_unescape, strip
 
 
 def artifacts(df: DataFrame, kind: str, **columns: Column) -> DataFrame:
@@ -48,18 +48,18 @@ def parse_rss(payloads: DataFrame) -> DataFrame:
 
     def inner(block: str, name: str) -> Column:
         raw = F.regexp_extract(block, rf"(?is)<(?:\w+:)?{name}(?:\s[^>]*)?>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</(?:\w+:)?{name}>", 1)
-        return F.trim(html_unescape(raw))
+        return strip(html_unescape(raw))
 
     blocks = lambda name: F.regexp_extract_all("payload", F.lit(rf"(?is)<{name}(?:\s[^>]*)?>(.*?)</{name}>"), 1)
     both = payloads.select("source_id", "url", blocks("item").alias("items"), blocks("entry").alias("entries"))
     items = both.select("source_id", "url", F.explode("items").alias("b"))
     rss = items.select("source_id", "url", inner("b", "title").alias("t"), inner("b", "link").alias("l"), inner("b", "description").alias("d"), inner("b", "pubDate").alias("p"))
-    rss = rss.withColumn("text", F.trim(F.concat_ws("\n", "t", "d"))).select("source_id", F.coalesce(F.nullif("l", F.lit("")), "url").alias("url"), "text", dates.mail_date(F.col("p")).alias("context_date"))
+    rss = rss.withColumn("text", strip(F.concat_ws("\n", "t", "d"))).select("source_id", F.coalesce(F.nullif("l", F.lit("")), "url").alias("url"), "text", dates.mail_date(F.col("p")).alias("context_date"))
     entries = both.where(F.size("items") == 0).select("source_id", "url", F.explode("entries").alias("b"))
     link = F.nullif(F.regexp_extract("b", r"""(?is)<link[^>]*\shref=["']([^"']*)["']""", 1), F.lit(""))
     first = lambda *names: F.coalesce(*(F.nullif(F.col(n), F.lit("")) for n in names), F.lit(""))
     atom = entries.select("source_id", F.coalesce(link, "url").alias("url"), inner("b", "title").alias("t"), *(inner("b", n).alias(n) for n in ("summary", "content", "published", "updated")))
-    atom = atom.select("source_id", "url", F.trim(F.concat_ws("\n", "t", first("summary", "content"))).alias("text"), F.nullif(F.left(first("published", "updated"), F.lit(10)), F.lit("")).alias("context_date"))
+    atom = atom.select("source_id", "url", strip(F.concat_ws("\n", "t", first("summary", "content"))).alias("text"), F.nullif(F.left(first("published", "updated"), F.lit(10)), F.lit("")).alias("context_date"))
     out = rss.unionByName(atom)
     return artifacts(out, "rss", context_date=F.try_to_date("context_date", "yyyy-MM-dd"), raw_hash=F.sha1("text"))
 
@@ -84,7 +84,7 @@ def parse_jsonld(payloads: DataFrame) -> DataFrame:
     address = F.coalesce(get("e", "$.location.address.addressLocality"), get("e", "$.location.address[0].addressLocality"))
     text_place = F.when(F.schema_of_variant(F.try_variant_get("e", "$.location", "variant")) == "STRING", get("e", "$.location"))
     rows = events.select("source_id", F.coalesce(get("e", "$.url"), "url").alias("url"), html_unescape(get("e", "$.name")).alias("titolo"), F.left(get("e", "$.startDate"), F.lit(10)).alias("data_inizio"), F.left(get("e", "$.endDate"), F.lit(10)).alias("b"), html_unescape(get("e", "$.description")).alias("descrizione"), html_unescape(F.coalesce(F.nullif(get("e", "$.location.name"), F.lit("")), address, text_place)).alias("luogo_testuale"))
-    rows = rows.where("coalesce(titolo, '') <> '' and coalesce(data_inizio, '') <> ''").withColumn("text", F.trim(F.concat_ws("\n", "titolo", F.coalesce("descrizione", F.lit("")))))
+    rows = rows.where("coalesce(titolo, '') <> '' and coalesce(data_inizio, '') <> ''").withColumn("text", strip(F.concat_ws("\n", "titolo", F.coalesce("descrizione", F.lit("")))))
     return artifacts(rows, "jsonld", data_fine=F.coalesce(F.nullif("b", F.lit("")), "data_inizio"), raw_hash=F.sha1("text"))
 
 
@@ -94,7 +94,7 @@ def parse_chat_updates(payloads: DataFrame, channel: Column) -> DataFrame:
     rows = payloads.withColumn("_channel", channel).select("source_id", "url", "_channel", F.explode(F.from_json("payload", f"array<struct<channel_post:{message}, message:{message}>>")).alias("u"))
     rows = rows.select("source_id", "url", "_channel", F.coalesce("u.channel_post", "u.message").alias("m")).where("m is not null")
     name = F.coalesce("m.chat.username", "m.chat.id")
-    rows = rows.where(F.lower(name) == F.lower(F.ltrim(F.lit("@"), F.col("_channel"))))
+    rows = rows.where(F.lower(name) == F.lower(F.ltrim(F.col("_channel"), F.lit("@"))))
     rows = rows.withColumn("text", F.coalesce(F.nullif("m.text", F.lit("")), "m.caption")).where("coalesce(trim(text), '') <> ''")
     link = F.when(F.col("m.chat.username").isNotNull(), F.concat(F.lit("https://t.me/"), F.col("m.chat.username"), F.lit("/"), F.col("m.message_id").cast("string"))).otherwise(F.col("url"))
     return artifacts(rows, "telegram", url=link, raw_hash=F.sha1("text"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from fairground.functions import dates, filters, urls
+from fairground.functions.text import strip
 from fairground.sources.feeds import artifacts
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -139,7 +140,7 @@ def parse_cards(payloads: DataFrame, as_of: Column) -> DataFrame:
     rows = rows.withColumn("span", span).where("span is not null")
     rows = rows.withColumns({"titolo": F.col("c.title"), "descrizione": F.col("c.description"), "data_inizio": F.col("span.start"), "data_fine": F.col("span.end")})
     link = F.when(F.col("c.link").isNotNull(), urls.absolute(F.col("c.link"), F.col("url"))).otherwise(F.col("url"))
-    return artifacts(rows, "html", url=link, text=F.trim(F.concat_ws("\n", "titolo", F.coalesce("descrizione", F.lit("")))), raw_hash=F.sha1(F.concat_ws("|", "titolo", "data_inizio")))
+    return artifacts(rows, "html", url=link, text=strip(F.concat_ws("\n", "titolo", F.coalesce("descrizione", F.lit("")))), raw_hash=F.sha1(F.concat_ws("|", "titolo", "data_inizio")))
 
 
 def og_image(html: Column, url: Column) -> Column:
@@ -187,5 +188,5 @@ def parse_mail(mails: DataFrame, sender: str = "") -> DataFrame:
             yield pd.DataFrame(out, columns=["source_id", "url", "subject", "sender", "body", "images"])
 
     rows = mails.select("source_id", "url", "content").mapInPandas(read, f"source_id string, url string, {_MAIL}")
-    rows = rows.where(F.contains(F.lower("sender"), F.lit(sender.lower()))).withColumn("text", F.trim(F.concat_ws("\n", "subject", "body"))).where("text <> ''")
+    rows = rows.where(F.contains(F.lower("sender"), F.lit(sender.lower()))).withColumn("text", strip(F.concat_ws("\n", "subject", "body"))).where("text <> ''")
     return artifacts(rows, "email", raw_hash=F.sha1("text"))
