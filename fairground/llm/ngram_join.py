@@ -134,16 +134,19 @@ def similar_documents(spark: SparkSession, docs: DataFrame, k: int = 5, percent:
     scratch = Scratch(spark, "ngram-join")
     described = scratch.table("described", describe_sets(spark, docs, k, percent))
     first = described.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("set_id"))
-    joined = described.where("n > 0").join(first, "set_key")
-    members = scratch.table("members", joined.select("doc_id", "n", "set_id", F.when(F.col("doc_id") == F.col("set_id"), F.col("prefix")).alias("prefix")))
-    empty = described.where("n = 0").select("doc_id", "n")
-
-    entries = members.where("prefix is not null").select("set_id", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    entries = entries.select("shingle", "set_id", F.struct("n", F.col("pos").cast("long").alias("pos")).alias("at"))
-    heads = entries.groupBy("shingle").agg(F.min(F.struct("set_id", "at")).alias("head"), F.max("set_id").alias("top")).where("head.set_id < top").select("shingle", "head")
-    shared = scratch.table("shared", entries.join(heads, "shingle").select("shingle", "set_id", "at.n", "at.pos", F.col("head.set_id").alias("head"), F.col("head.at.n").alias("head_n"), F.col("head.at.pos").alias("head_pos")))
-
-    near_head = shared.where("set_id <> head").where(_may_link(F.col("n"), F.col("pos"), F.col("head_n"), F.col("head_pos"), percent))
+    with_words = described.where("n > 0").select("doc_id", "n", "set_key").join(first, "set_key").select("doc_id", "n", "set_id")
+    members = scratch.table("members", with_words.unionByName(described.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("set_id"))))
+    prefixes = scratch.table("prefixes", described.where("n > 0").join(first.withColumnRenamed("set_id", "doc_id"), ["set_key", "doc_id"]).select(F.col("doc_id").alias("set_id"), "n", "prefix"))
+    scratch.drop("described")
+
+    # The rows that meet on a shingle are kept narrow: size and position share a number.
+    entries = prefixes.select("set_id", "n", F.posexplode("prefix").alias("pos", "shingle")).select("shingle", "set_id", (F.shiftleft("n", 32) + F.col("pos")).alias("at"))
+    heads = entries.groupBy("shingle").agg(F.min("set_id").alias("head"), F.max("set_id").alias("top")).where("head < top").select("shingle", "head")
+    shared = scratch.table("shared", entries.join(heads, "shingle").select("shingle", "set_id", "head", F.shiftright("at", 32).alias("n"), F.col("at").bitwiseAND((1 << 32) - 1).alias("pos")))
+    scratch.drop("prefixes")
+
+    leading = shared.where("set_id = head").select("shingle", F.col("n").alias("head_n"), F.col("pos").alias("head_pos"))
+    near_head = shared.where("set_id <> head").join(leading, "shingle").where(_may_link(F.col("n"), F.col("pos"), F.col("head_n"), F.col("head_pos"), percent))
     stars = scratch.table("stars", near_head.select(F.col("head").alias("a"), F.col("set_id").alias("b")).distinct())
 
     wanted = scratch.table("wanted", shared.select(F.col("set_id").alias("doc_id")).distinct())
@@ -165,8 +168,9 @@ def similar_documents(spark: SparkSession, docs: DataFrame, k: int = 5, percent:
     links = star_links.unionByName(later_links)
     spanning = joined_by_stars.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(later_links.select("a", "b"))
     final = scratch.table("components", components(spanning, scratch, "all"))
-    out = members.select("doc_id", "n", "set_id").join(final.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "set_id", F.coalesce("component", "set_id").alias("component_id"))
-    return out.unionByName(empty.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("set_id"), F.col("doc_id").alias("component_id"))), links
+    scratch.drop("texts", "open", "shared")
+    out = members.join(final.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "set_id", F.coalesce("component", "set_id").alias("component_id"))
+    return out, links
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
