@@ -148,7 +148,7 @@ def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
 
 def gather_samples(docs: DataFrame, may_learn: Column) -> dict[str, str]:
     """Sample text of each language, of at most ``DOCUMENTS`` documents drawn by a hash of the id, as letters only."""
-    labelled = docs.where(may_learn & F.col("text").isNotNull() & F.col("lang").isNotNull())
+    labelled = docs.where(may_learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     part = F.floor(F.lit(2.0**31) * F.least(F.lit(1.0), F.lit(1.5 * DOCUMENTS) / F.col("n")))
     drawn = labelled.join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < part)

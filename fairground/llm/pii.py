@@ -52,7 +52,7 @@ PATTERN = re.compile(
             r"(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))",
             r"(?P<card>(?<![\d.-])\d{4}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}(?![\d-]))",
             r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))",
-            r"(?P<phone>(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){2,4}(?![\w-])|(?<![\w.])\+\d{8,15}(?!\w))",
+            r"(?P<phone>(?<![\w.+-])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}(?![\w-])|(?<![\w.+(-])\(\d{2,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])|(?<![\w.+-])(?=(?:\D?\d){9})\d{2,4}(?:[ .-]\d{2,4}){2,4}(?![\w-]))",
             rf"(?P<name>\b(?P<title>{_TITLE})\.?\s(?P<first>{_NAME})(?:\s(?P<last>{_NAME}))?)",
         )
     )
@@ -114,7 +114,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "iban":
         return value[:2] + draw.shaped(value[2:])
     if kind in ("phone", "ssn"):
-        return "".join(str(draw.below(10)) if c.isdigit() else c for c in value)
+        kept = 2 if value[0] == "+" else 0  # the sign and the first digit of a country code
+        return value[:kept] + "".join(str(draw.below(10)) if c.isdigit() else c for c in value[kept:])
     if kind.startswith("given"):
         _, script, gender = kind.split(":")
         names = GIVEN[script, gender]
@@ -218,7 +219,7 @@ def settle(spark: SparkSession, values: DataFrame, key: bytes, scratch: Scratch)
 def replace_personal_data(spark: SparkSession, docs: DataFrame, key: bytes) -> DataFrame:
     """The documents with surrogates in ``text``, and ``pii_kinds`` (array of the kinds found, one a mention).
 
-    Other columns stay as they are. Null text stays null with no kinds; repeated rows are rewritten alike.
+    Other columns stay as they are, but for one of that name. Null text stays null with no kinds; repeated rows are rewritten alike.
     """
     scratch = Scratch(spark, "pii")
     found = scratch.table("mentions", mentions(docs))
@@ -231,7 +232,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, key: bytes) -> D
     else:
         own = found.join(moved, ["kind", "value"]).groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("_moved"))
         rows, held = docs.join(own, docs["doc_id"].cast("long") == own["_of"], "left").drop("_of"), None
-    names = docs.columns
+    names = [c for c in docs.columns if c != "pii_kinds"]
 
     def replace(batches):
         for batch in slices(batches):
@@ -248,5 +249,5 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, key: bytes) -> D
             columns = [texts if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(kinds, pa.list_(pa.string()))], [*names, "pii_kinds"])
 
-    schema = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
+    schema = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema if f.name in names)
     return rows.mapInArrow(replace, f"{schema}, pii_kinds array<string>")
