@@ -18,11 +18,12 @@ def page_links(pages: DataFrame) -> DataFrame:
     """``page_url, pos, link, path, query`` of a page's anchors: same host, no fragment, not itself, the root, a feed or an
     interface; links without a query whose last segment is a date are left out."""
     rows = pages.select(F.col("url").alias("page_url"), F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR), 1)).alias("pos", "href"))
-    rows = rows.withColumn("link", urls.absolute(F.trim("href"), F.col("page_url")))
     host = lambda c: F.regexp_extract(c, r"^[a-zA-Z]+://([^/?#]+)", 1)
     path = lambda c: F.regexp_extract(c, r"^[a-zA-Z]+://[^/?#]+([^?#]*)", 1)
-    rows = rows.withColumns({"path": path(F.col("link")), "query": F.regexp_extract("link", r"\?([^#]*)", 1), "_frag": F.regexp_extract("link", "#(.*)$", 1)})
-    keep = (host(F.col("link")) == host(F.col("page_url"))) & (F.col("_frag") == "") & ~F.col("path").isin("/", "") & (F.col("path") != path(F.col("page_url"))) & ~F.contains(F.col("path"), F.lit("/feed")) & ~F.startswith(F.col("path"), F.lit("/wp-json"))
+    # The link is resolved once and then taken apart: exploding it keeps the expression from being repeated in each part.
+    parts = F.transform(F.array(urls.absolute(F.trim("href"), F.col("page_url"))), lambda c: F.struct(c.alias("link"), host(c).alias("host"), path(c).alias("path"), F.regexp_extract(c, r"\?([^#]*)", 1).alias("query"), F.regexp_extract(c, "#(.*)$", 1).alias("frag")))
+    rows = rows.select("page_url", "pos", F.explode(parts).alias("p")).select("page_url", "pos", "p.*")
+    keep = (F.col("host") == host(F.col("page_url"))) & (F.col("frag") == "") & ~F.col("path").isin("/", "") & (F.col("path") != path(F.col("page_url"))) & ~F.contains(F.col("path"), F.lit("/feed")) & ~F.startswith(F.col("path"), F.lit("/wp-json"))
     last = F.regexp_extract("path", r"([^/]*)/*$", 1)
     return rows.where(keep & ((F.col("query") != "") | ~last.rlike(urls.DATE_SLUG))).select("page_url", "pos", "link", "path", "query")
 

@@ -586,7 +586,7 @@ def stream_error_counts(spark, d):
 
 @query("""WITH a AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS g, 'Grande fiera ' || o_orderpriority || ' in piazza, ' || day(o_orderdate) || ' ' || ['gennaio','febbraio','marzo','aprile','maggio','giugno','luglio','agosto','settembre','ottobre','novembre','dicembre'][month(o_orderdate)] || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE ' ' || year(o_orderdate) END AS testo FROM orders),
 b AS (SELECT o_orderkey, testo, CASE WHEN o_orderkey % 3 = 0 THEN '1998' || strftime(g, '-%m-%d') ELSE strftime(g, '%Y-%m-%d') END AS ini, o_orderkey % 3 <> 0 AS anno FROM a WHERE o_orderkey % 3 = 0 OR year(g) >= 1997)
-SELECT CAST(o_orderkey AS VARCHAR) AS artifact_id, testo AS titolo, ini AS data_inizio, 'fiera' AS tipologia, CASE WHEN anno THEN 85 ELSE 75 END AS confidenza FROM b WHERE ini BETWEEN '1998-06-14' AND '2000-06-15' AND NOT (ini = '1998-02-29')""")
+SELECT CAST(o_orderkey AS VARCHAR) AS artifact_id, testo AS titolo, ini AS data_inizio, 'fiera' AS tipologia, CASE WHEN anno THEN 85 ELSE 75 END AS confidenza FROM b WHERE ini BETWEEN '1998-06-14' AND '2000-06-15' AND length(testo) >= 40""")
 def llm_extract_rules(spark, d):
     """Announcements that the pre-filter keeps, put to the rule provider and checked."""
     from fairground.operators import extract
