@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from fairground.llm.common import Scratch, concat, mix, slices, split_words, text_column
 
 SOURCES, LANGS = 32, 8
+#: Bytes of documents that are described at a time.
+SLICE = 4 << 20
 _NUMBERS = 9
 
 
@@ -38,7 +40,7 @@ class Settings:
     sure: float = 0.97
     lexicon: int = 768
     least_documents: int = 5
-    threshold: float = 0.5
+    threshold: float = 0.6
 
 
 def _hash(strings: pa.Array, salt: int) -> np.ndarray:
@@ -74,8 +76,9 @@ class Views:
         letters = pc.replace_substring_regex(lower, r"[^\p{L}]+", "")
         shouted = pc.and_(pc.equal(seen, pc.utf8_upper(seen)), pc.greater(pc.utf8_length(letters), 2))
         tail = pc.if_else(shouted, "A", pc.replace_substring_regex(seen, r"^.*[\p{L}\p{N}]", ""))
-        #: For each distinct word: the word, its first four letters, and what ends it or that it is in capitals.
-        self.tokens = np.stack([_hash(letters, 1), _hash(pc.utf8_slice_codeunits(letters, 0, 4), 2), _hash(tail, 3)], axis=1)
+        #: For each distinct word: the word, its first four, five and six letters, and what ends it or that it is in capitals.
+        heads = [_hash(pc.utf8_slice_codeunits(letters, 0, n), 10 + n) for n in (4, 5, 6)]
+        self.tokens = np.stack([_hash(letters, 1), *heads, _hash(tail, 3)], axis=1)
         self.metadata = self._metadata(texts, batch)
 
     def _metadata(self, texts: pa.Array, batch) -> np.ndarray:
@@ -99,17 +102,19 @@ class Views:
     def token_lists(self) -> list[np.ndarray]:
         return [np.setdiff1d(self.tokens[np.unique(self.codes[a:b])].ravel(), np.uint64(0)) for a, b in zip(self.bounds[:-1], self.bounds[1:])]
 
-    def lexicon_hits(self, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of document and place in the sorted lexicon, each once."""
+    def lexicon_hits(self, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of document and place in the sorted lexicon, each once, and the logarithm of one more than its count."""
         if not len(lexicon) or not len(self.codes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        place = np.searchsorted(lexicon, self.tokens).clip(max=len(lexicon) - 1)
-        place[lexicon[place] != self.tokens] = -1
-        at = np.flatnonzero((place >= 0).any(axis=1)[self.codes])
-        doc = np.searchsorted(self.bounds, at, side="right") - 1
-        pairs = (doc[:, None] * len(lexicon) + place[self.codes[at]])[place[self.codes[at]] >= 0]
-        pairs = np.unique(pairs)
-        return pairs // len(lexicon), pairs % len(lexicon)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        pairs = []
+        for tokens in self.tokens.T:  # one kind of token at a time bounds what is held
+            place = np.searchsorted(lexicon, tokens).clip(max=len(lexicon) - 1).astype(np.int32)
+            place[lexicon[place] != tokens] = -1
+            own = place[self.codes]
+            at = np.flatnonzero(own >= 0)
+            pairs.append((np.searchsorted(self.bounds, at, side="right") - 1) * len(lexicon) + own[at])
+        pairs, times = np.unique(np.concatenate(pairs), return_counts=True)
+        return pairs // len(lexicon), pairs % len(lexicon), np.log1p(times)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 250) -> np.ndarray:
@@ -145,8 +150,8 @@ class Model:
 
     def scores(self, views: Views) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probability of good by words, by metadata and by both."""
-        doc, place = views.lexicon_hits(self.lexicon)
-        content = self.content[-1] + np.bincount(doc, self.content[place], minlength=len(views.metadata)) if len(doc) else np.full(len(views.metadata), self.content[-1], float)
+        doc, place, weight = views.lexicon_hits(self.lexicon)
+        content = self.content[-1] + np.bincount(doc, self.content[place] * weight, minlength=len(views.metadata)) if len(doc) else np.full(len(views.metadata), self.content[-1], float)
         metadata = ((views.metadata - self.centre) / self.scale) @ self.metadata[:-1] + self.metadata[-1]
         return self.combine(content, metadata)
 
@@ -171,7 +176,7 @@ def choose_lexicon(sample: DataFrame, settings: Settings) -> np.ndarray:
     """The tokens that tell good from bad best among the labelled rows, by chi-squared; sorted."""
 
     def tokens(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             lists = Views(batch).token_lists()
             good = np.repeat(batch.column("good").to_numpy(zero_copy_only=False), [len(x) for x in lists])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists).view(np.int64)), pa.array(good.astype(np.int32))], ["token", "good"])
@@ -179,28 +184,27 @@ def choose_lexicon(sample: DataFrame, settings: Settings) -> np.ndarray:
     known = sample.where("good is not null")
     totals = known.groupBy("good").count().toPandas().set_index("good")["count"]
     goods, total = float(totals.get(1, 0)), float(totals.sum())
-    counts = known.mapInArrow(tokens, "token long, good int").groupBy("token").agg(F.sum("good").alias("with_good"), F.count("*").alias("seen")).where(F.col("seen") >= settings.least_documents).toPandas()
-    seen, with_good = counts["seen"].to_numpy(float), counts["with_good"].to_numpy(float)
-    expected = seen * goods / max(total, 1)
-    chi = (with_good - expected) ** 2 / np.maximum(expected * (1 - goods / max(total, 1)) * (1 - seen / max(total, 1)), 1e-9)
-    counts["chi"] = np.where(chi < 10, 0, chi)
-    best = counts[counts["chi"] > 0].sort_values(["chi", "token"], ascending=[False, True])[: settings.lexicon]
+    counts = known.mapInArrow(tokens, "token long, good int").groupBy("token").agg(F.sum("good").alias("with_good"), F.count("*").alias("seen")).where(F.col("seen") >= settings.least_documents)
+    share, seen = goods / max(total, 1), F.col("seen")
+    spread = F.greatest(seen * share * (1 - share) * (1 - seen / max(total, 1)), F.lit(1e-9))
+    ranked = counts.withColumn("chi", (F.col("with_good") - seen * share) ** 2 / spread).where("chi >= 10")
+    best = ranked.orderBy(F.desc("chi"), "token").limit(settings.lexicon).toPandas()
     return np.sort(best["token"].to_numpy(np.int64).view(np.uint64))
 
 
 def gather_examples(sample: DataFrame, lexicon: np.ndarray) -> pd.DataFrame:
-    """``doc_id, good`` (null if unlabelled), ``metadata`` and the ``places`` in the lexicon of each row of the sample."""
+    """``doc_id, good`` (null if unlabelled), ``metadata`` and the ``places`` in the lexicon, with ``weights``, of each row of the sample."""
 
     def describe(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             views = Views(batch)
-            doc, place = views.lexicon_hits(lexicon)
+            doc, place, weight = views.lexicon_hits(lexicon)
             cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
-            places = pa.ListArray.from_arrays(pa.array(cuts), pa.array(place.astype(np.int32)))
+            places, weights = (pa.ListArray.from_arrays(pa.array(cuts), pa.array(x)) for x in (place.astype(np.int32), weight.astype(np.float32)))
             metadata = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * views.metadata.shape[1]), pa.array(views.metadata.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), metadata, places], ["doc_id", "good", "metadata", "places"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), metadata, places, weights], ["doc_id", "good", "metadata", "places", "weights"])
 
-    return sample.mapInArrow(describe, "doc_id long, good int, metadata array<double>, places array<int>").toPandas().sort_values("doc_id", ignore_index=True)
+    return sample.mapInArrow(describe, "doc_id long, good int, metadata array<double>, places array<int>, weights array<float>").toPandas().sort_values("doc_id", ignore_index=True)
 
 
 def co_train(examples: pd.DataFrame, lexicon: np.ndarray, settings: Settings) -> Model | None:
@@ -218,7 +222,7 @@ def co_train(examples: pd.DataFrame, lexicon: np.ndarray, settings: Settings) ->
     metadata = (metadata - centre) / scale
     lists = examples["places"].to_list()
     x = np.zeros((len(lists), len(lexicon)), np.float32)
-    x[np.repeat(np.arange(len(lists)), [len(p) for p in lists]), np.concatenate(lists).astype(np.int64)] = 1
+    x[np.repeat(np.arange(len(lists)), [len(p) for p in lists]), np.concatenate(lists).astype(np.int64)] = np.concatenate(examples["weights"].to_list())
 
     # Each view has its own labels: the given ones, then those the other view was sure of.
     own = [np.where(aside, np.nan, label) for _ in range(2)]
@@ -266,7 +270,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, set
 
     def score(batches):
         model = held.value
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             views = Views(_view_batch(batch))
             content, metadata, both = model.scores(views) if model else (np.full(batch.num_rows, 0.5),) * 3
             keep = both >= (model.threshold if model else 0)
@@ -282,7 +286,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, settings:
 
     def filtered(batches):
         model = held.value
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             if model:
                 batch = batch.filter(pa.array(model.scores(Views(_view_batch(batch)))[2] >= model.threshold))
             yield batch
