@@ -20,7 +20,3 @@ def make(spark):
 def tokenizer():
     public_tokenizers = pytest.importorskip("public_tokenizers")
     return public_tokenizers.path("word_bpe_49k.json")
-
-
-LONG = " ".join(f"word{i % 977} and, thing{i % 311}." for i in range(9000))
-ODD = ["", None, "  \t\n ", "one", "One two", LONG, LONG, "É l'été İstanbul H̱ <|endoftext|> x", "日本語 тест!!! don't 12,5%", "a\x1cb c"]

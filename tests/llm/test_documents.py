@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import LONG, ODD
+from samples import LONG, ODD
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

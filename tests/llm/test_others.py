@@ -1,7 +1,7 @@
 """Nearest neighbours, transcripts and the pipeline."""
 
 import numpy as np
-from conftest import ODD
+from samples import ODD
 
 from fairground.llm import ann, chat
 

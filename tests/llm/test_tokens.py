@@ -1,7 +1,7 @@
 import zlib
 
 import numpy as np
-from conftest import ODD
+from samples import ODD
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
