@@ -73,4 +73,15 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_learned_partitions, op2_cross_parsing, op3_token_files, op4_co_training, op5_packing, op6_transcripts, op7_hilbert_shards, op8_string_tiling, op9_ngram_join, op10_surrogates)}
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators fit models, call a tokenizer or choose among equals by their own method; tests hold them to brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op9_ngram_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh FROM w),
+e AS (SELECT doc_id, unnest(sh) AS g, len(sh) AS n FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND a.n * 100 >= b.n * 90 AND b.n * 100 >= a.n * 90 GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+l AS (SELECT x, y FROM p UNION SELECT y, x FROM p),
+r AS (SELECT doc_id, doc_id AS other FROM s UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.other)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, (SELECT min(other) FROM r WHERE r.doc_id = s.doc_id) AS component_id FROM s
+""",
+}

@@ -127,3 +127,20 @@ def test_registered_queries():
 
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+
+
+def test_join_against_sql(spark):
+    import os
+
+    import duckdb
+    import pytest
+
+    from fairground.llm import queries
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from '{folder}/documents.parquet'")
+    want = sorted(db.execute(queries.ORACLE_SQL["op9_ngram_join"]).fetchall())
+    assert sorted(tuple(r) for r in queries.op9_ngram_join(spark, folder).collect()) == want
