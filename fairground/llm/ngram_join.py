@@ -174,10 +174,23 @@ def similar_documents(spark: SparkSession, docs: DataFrame, k: int = 5, percent:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without near duplicates: of each component the smallest id stays; columns are unchanged.
+    """The documents without near duplicates: of each component one row stays; columns are unchanged.
 
-    Documents without words have no shingles and all stay. Rows that share an id are one document: one row of it stays.
+    Every row is a document of its own, by a key that is stored with it, whatever its id: rows without an id or with
+    one that others share are compared by their texts like any other. Of a component the row with the smallest id
+    stays, one without an id only where none has one; among equals the first stored. Rows without words have no
+    shingles and all stay, but for those that repeat another's id and text.
     """
-    members, _ = similar_documents(spark, docs, k, percent)
-    kept = members.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    scratch = Scratch(spark, "one-of-each")
+    key = "_row"
+    while key.lower() in {c.lower() for c in docs.columns}:
+        key += "_"
+    # The numbers differ from run to run of a task, so they are read from the table only.
+    rows = scratch.table("rows", docs.withColumn(key, F.monotonically_increasing_id()))
+    members, _ = similar_documents(spark, rows.select(F.col(key).alias("doc_id"), "text"), k, percent)
+    blank = F.when(F.col("text").cast("string").rlike(r"^[\x20\x09-\x0D]*$"), F.col("text").cast("string"))
+    owned = rows.select(F.col(key).alias("row"), F.col("doc_id").cast("long").alias("id"), blank.alias("blank")).join(members.withColumnRenamed("doc_id", "row"), "row")
+    repeat = F.col("n_shingles").eqNullSafe(0) & F.col("id").isNotNull()
+    groups = owned.groupBy(F.when(~repeat, F.col("component_id")).alias("component"), F.when(repeat, F.col("id")).alias("of"), F.when(repeat, F.col("blank")).alias("as"))
+    kept = groups.agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")).select(F.col("first.row").alias(key))
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
