@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,10 +17,12 @@ _OWN_ROOT: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the session (``spark.checkpoint.dir``); a temporary one where none is set, as in tests."""
+    """The shared folder of the session (``spark.checkpoint.dir``); a temporary one only where all run on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir names no shared folder for the tables between steps")
     if not _OWN_ROOT:
         _OWN_ROOT.append("file://" + tempfile.mkdtemp(prefix="fairground-"))
     return _OWN_ROOT[0]
@@ -43,11 +46,9 @@ class Scratch:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
-        """Delete tables that no later step reads."""
-        jvm = self.spark._jvm
+        """Empty tables that no later step reads: an overwrite with no rows deletes their files."""
         for name in names:
-            where = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            self.spark.createDataFrame([], "gone int").write.mode("overwrite").parquet(self.path(name))
 
 
 def text_column(df: DataFrame, name: str = "text"):
@@ -110,3 +111,16 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for j in range(width):
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + words[j : n - width + 1 + j])
     return out
+
+
+def free_name(wanted: str, *taken: str) -> str:
+    """``wanted``, with underscores behind it until it is none of the names taken, in any case."""
+    names = {t.lower() for t in taken}
+    while wanted.lower() in names:
+        wanted += "_"
+    return wanted
+
+
+def drawn(share: float, *of, salt: int = 0):
+    """Whether a row is among ``share`` of all rows, by 62 bits of a hash: fine enough for one row in 10**18."""
+    return F.xxhash64(*of, F.lit(salt)).bitwiseAND((1 << 62) - 1) < F.lit(int(min(1.0, share) * (1 << 62)))

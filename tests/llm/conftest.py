@@ -8,7 +8,7 @@ def make(spark):
     """Documents from texts: ids from 0, with a column whose name an operator uses inside."""
 
     def build(*texts, **columns):
-        rows = [(i, t, columns.get("lang", ["en"] * len(texts))[i], "src0", len(t or "")) for i, t in enumerate(texts)]
+        rows = [(i, t, columns.get("lang", ["en"] * len(texts))[i], columns.get("source", ["src0"] * len(texts))[i], len(t or "")) for i, t in enumerate(texts)]
         from pyspark.sql import functions as F
 
         return spark.createDataFrame(rows, SCHEMA).withColumns({"n": F.lit(1), "curve": F.lit("x")})

@@ -43,9 +43,31 @@ def test_shards(spark, make):
     assert sharding.shard_documents(spark, docs.limit(0)).count() == 0
 
 
-def test_hot_cell_is_dealt_in_buckets(spark, make):
-    rows = make(*["same text"] * 200).select("doc_id", F.lit(1.0).alias("x"))
-    out = sharding.hilbert_shards(spark, rows, {"x": F.col("x")}, "doc_id", 3, bucket_rows=10).collect()
+def test_shards_follow_the_curve(spark, make, monkeypatch):
+    """Against a slow version: quantiles by sorting, cells in curve order, runs of near equal length."""
+    monkeypatch.setattr(sharding, "FILE_ROWS", 7)
+    hosts = [f"https://host{i % 23:02d}.example/a" for i in range(160)]
+    sizes = [(i * 37) % 101 for i in range(160)]
+    docs = make(*["x" * n for n in sizes], source=hosts).withColumns({"shard": F.lit("own"), "r": F.lit(1)})
+    rows = sharding.shard_documents(spark, docs, 5).collect()
+    ordered = sorted(rows, key=lambda r: (r.shard, r.slot))
+    assert [r.curve for r in ordered] == sorted(r.curve for r in rows)
+    assert sorted((r.shard, r.slot) for r in rows) == [(s, i) for s in range(5) for i in range(32)]
+    # Hosts share their first twenty letters and still lie in sixteen steps of near equal depth.
+    marks = sharding.text_marks(docs, "source", 16, sharding.Scratch(spark, "t"))
+    slow = sorted(hosts)
+    want = sorted({h for h in set(hosts) if any(slow.index(h) < q * len(slow) / 16 <= slow.index(h) + slow.count(h) for q in range(1, 16))})
+    assert marks == want
+    steps = [sum(h > m for m in marks) for h in hosts]
+    assert len(set(steps)) >= 15
+
+
+def test_hot_cell_is_spread_over_files(spark, make, monkeypatch):
+    monkeypatch.setattr(sharding, "FILE_ROWS", 10)
+    rows = make(*["same text"] * 200).select(F.lit(7).alias("doc_id"), F.lit(1.0).alias("x"), F.lit(None).cast("string").alias("curve"))
+    out = sharding.hilbert_shards(spark, rows, {"x": F.col("x"), "none": F.lit(None).cast("string")}, 3)
+    assert out.columns == ["doc_id", "x", "curve", "shard", "slot"]
+    out = out.collect()
     assert sorted(r.shard for r in out).count(0) == 67 and len({(r.shard, r.slot) for r in out}) == 200
 
 
