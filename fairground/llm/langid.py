@@ -7,7 +7,8 @@ weighted by the bits that name one, cover the text is the prediction.
 
 from __future__ import annotations
 
-import functools
+import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +18,13 @@ from pyspark.sql import functions as F
 
 from fairground.llm.common import concat, slices, text_column
 
-#: Bounds of what is learned from: languages (the most frequent), documents and characters of each, distinct letters.
-LANGUAGES, DOCUMENTS, CHARACTERS, LETTERS = 64, 96, 60_000, 63
-#: Texts are parsed in runs of this many characters, side by side; a phrase ends where its run does.
+#: Bounds of what each language is learned from: documents, drawn by a hash, and characters of them. All languages that
+#: are labelled are learned, with all letters of their samples; a model takes about 3 MB.
+DOCUMENTS, CHARACTERS = 96, 60_000
+#: Texts are parsed in runs of this many characters, side by side; what a run's start depends on is mended afterwards.
 RUN = 512
+#: Languages parsed at a time, and bytes of text: they bound the working memory.
+GROUP, SLICE = 8, 1 << 22
 
 
 def letters_only(texts: pa.Array) -> pa.Array:
@@ -37,8 +41,8 @@ def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(str(raw, "utf-8").encode("utf-32-le"), np.uint32), bounds
 
 
-def automaton(symbols: np.ndarray, width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``symbols``: a row a state, -1 where there is none; state 0 is the start."""
+def automaton(symbols: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of each state of the suffix automaton of ``symbols``; state 0 is the start."""
     go: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -65,70 +69,153 @@ def automaton(symbols: np.ndarray, width: int) -> np.ndarray:
                     go[p][c] = clone
                     p = link[p]
         last = new
-    out = np.full((len(go), width), -1, np.int32)
-    for state, edges in enumerate(go):
-        out[state, list(edges)] = list(edges.values())
-    return out
+    return go
 
 
-def parse_table(steps: np.ndarray) -> np.ndarray:
-    """Transitions that never fail: where a phrase ends, the next begins with the same symbol.
+@dataclass(frozen=True)
+class Automaton:
+    """A suffix automaton over an alphabet of its own, its rows laid over each other in one table.
 
-    An entry is ``row offset of the next state * 4 + phrases that ended``: none inside a match; one where a phrase was
-    open, and one more for a symbol that does not occur in the sample, which is a phrase of its own.
+    ``letters`` are the sorted code points; symbol ``i + 1`` is letter ``i``, 0 is any other. A state is named by where
+    its row begins, which is unlike that of all others: its step by symbol ``c`` is ``step[state + c]`` if
+    ``owner[state + c]`` is the state. ``begin`` holds where a phrase that starts with a symbol leads, the start itself
+    for symbol 0; the start has no steps of its own in the table.
     """
-    states, width = steps.shape
-    failed = steps < 0
-    again = np.where(steps[0] < 0, 0, steps[0])
-    ended = np.where(failed, 1 * (np.arange(states) > 0)[:, None] + 1 * (steps[0] < 0)[None, :], 0)
-    return (np.where(failed, again[None, :], steps) * width * 4 + ended).astype(np.int32).ravel()
 
+    letters: np.ndarray
+    owner: np.ndarray
+    step: np.ndarray
+    begin: np.ndarray
+    size: int
 
-class Parser:
-    """Phrase counts of texts in every language of ``samples`` (language to text)."""
+    @staticmethod
+    def of(sample: str) -> Automaton:
+        points = np.frombuffer(sample.encode("utf-32-le"), np.uint32)
+        letters, symbols = np.unique(points, return_inverse=True)
+        go = automaton(symbols + 1)
+        width, block, total = len(letters) + 1, 1024, sum(map(len, go))
+        # Rows of several steps go where they fit first, those of one step into the gaps that are left.
+        used, named = (np.zeros(4 * width + total + 4 * block, bool) for _ in range(2))
+        at = 2 * width
+        name = np.zeros(len(go), np.int64)
+        for s in sorted((s for s in range(1, len(go)) if len(go[s]) > 1), key=lambda s: -len(go[s])):
+            own = np.sort(np.fromiter(go[s], np.int64))
+            while True:
+                if at + block + width > len(used):
+                    used, named = (np.append(x, np.zeros(len(x), bool)) for x in (used, named))
+                fits = ~(used[at : at + block] | named[at - own[0] : at - own[0] + block])
+                for gap in (own[1:] - own[0]).tolist():
+                    fits &= ~used[at + gap : at + gap + block]
+                place = int(fits.argmax())
+                if fits[place]:
+                    break
+                at += block  # what is left of a block that a row did not fit goes to rows of one step
+            name[s] = at + place - own[0]
+            used[name[s] + own], named[name[s]] = True, True
+        # By falling symbol into rising gaps, so that no two begin at the same place.
+        gaps = iter([*(2 * width + np.flatnonzero(~used[2 * width :])).tolist(), *range(len(used), len(used) + total + width)])
+        taken = set(np.flatnonzero(named).tolist())
+        for c, s in sorted(((-next(iter(x)), s) for s, x in enumerate(go) if s and len(x) == 1)):
+            name[s] = next(g + c for g in gaps if g + c not in taken)
+        top = max(int(name.max()) + width, len(used))
+        # The start and the state at the end of the sample have no row.
+        for i, s in enumerate(s for s, x in enumerate(go) if not s or not x):
+            name[s] = top + i
+        states = np.repeat(np.arange(1, len(go)), [len(x) for x in go[1:]])
+        by = np.array([c for x in go[1:] for c in x], np.int64)
+        to = name[np.array([t for x in go[1:] for t in x.values()], np.int64)]
+        owner, step = np.full(int(name.max()) + width, -1, np.int32), np.zeros(int(name.max()) + width, np.int32)
+        owner[name[states] + by], step[name[states] + by] = name[states], to
+        begin = np.full(width, name[0], np.int32)
+        begin[list(go[0])] = name[list(go[0].values())]
+        return Automaton(letters, owner, step, begin, len(points))
 
-    def __init__(self, samples: dict[str, str]):
-        self.languages = sorted(samples)
-        points = [np.frombuffer(samples[x].encode("utf-32-le"), np.uint32) for x in self.languages]
-        names, counts = np.unique(np.concatenate(points), return_counts=True)
-        names = names[np.argsort(-counts, kind="stable")][:LETTERS]
-        #: The last symbol stands for every letter that the samples hold too seldom or not at all.
-        self.width = len(names) + 1
-        self.symbol = np.full(0x110000, len(names), np.uint8)
-        self.symbol[names] = np.arange(len(names))
-        tables, starts, at = [], [], 0
-        for own in points:
-            symbols = self.symbol[own]
-            steps = automaton(symbols, self.width)
-            # A letter outside the alphabet never matches, even where the sample has one in the same place.
-            steps[:, -1] = -1
-            table = parse_table(steps)
-            tables.append(table)
-            starts.append(at)
-            at += len(table)
-        self.table, self.starts = np.concatenate(tables), np.array(starts, np.int32)
-        self.bits = np.array([np.log2(max(len(p), 2)) for p in points])
 
-    def phrases(self, points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Phrases of each text (rows) in each language (columns)."""
-        symbols = self.symbol[points]
+class Tables:
+    """The automata of a few languages laid end to end."""
+
+    def __init__(self, automata: list[Automaton], alphabet: np.ndarray):
+        places = np.cumsum([0, *(len(a.owner) for a in automata)])
+        #: Owner and step of a place share a number, as both are read together.
+        self.table = np.concatenate([(np.where(a.owner < 0, -1, a.owner.astype(np.int64) + p) << 32) | (a.step.astype(np.int64) + p) for a, p in zip(automata, places)])
+        self.begin = np.concatenate([a.begin.astype(np.int64) + p for a, p in zip(automata, places)])
+        self.starts = np.cumsum([0, *(len(a.begin) for a in automata)])[:-1]
+        self.root = self.begin[self.starts]
+        #: Symbols of each language by the place of a letter in the common alphabet (0: in none).
+        self.symbol = np.zeros((len(alphabet) + 1, len(automata)), np.uint16 if len(alphabet) < 1 << 16 else np.int32)
+        for i, a in enumerate(automata):
+            self.symbol[np.searchsorted(alphabet, a.letters) + 1, i] = np.arange(1, len(a.letters) + 1)
+
+    def advance(self, state: np.ndarray, symbol: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after a symbol, and whether a new phrase began with it."""
+        entry = self.table[state + symbol]
+        new = (entry >> 32) != state
+        entry &= 0xFFFFFFFF
+        entry[new] = self.begin[(starts + symbol)[new]]
+        return entry, new
+
+    def phrase_starts(self, letters: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Whether a phrase begins at a character (rows) in a language (columns), for all texts."""
         size = np.diff(bounds)
         runs = -(-size // RUN)
         text = np.repeat(np.arange(len(size)), runs)
-        start = bounds[text] + (np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)) * RUN
+        first = np.repeat(np.cumsum(runs) - runs, runs)
+        start = bounds[text] + (np.arange(len(text)) - first) * RUN
         length = np.minimum(RUN, bounds[text + 1] - start)
+        symbols = self.symbol[letters]
+        out = np.zeros(symbols.shape, bool)
+        last = np.repeat(self.root[None, :], len(text), axis=0)
+        # Every run is parsed as if a phrase began with it ...
         order = np.argsort(-length, kind="stable")
-        text, start, length = text[order], start[order], length[order]
-        row = np.zeros((len(self.languages), len(text)), np.int32)
-        count = np.zeros_like(row)
-        base = self.starts[:, None]
-        for t in range(int(length[0]) if len(length) else 0):
-            n = int(np.searchsorted(-length, -t))  # runs longer than t come first
-            entry = self.table[base + row[:, :n] + symbols[start[:n] + t]]
-            count[:, :n] += entry & 3
-            row[:, :n] = entry >> 2
-        count += row > 0
-        return np.stack([np.bincount(text, c, minlength=len(size)) for c in count], axis=1)
+        begin, sizes, state = start[order], length[order], last.copy()
+        for t in range(int(sizes[0]) if len(sizes) else 0):
+            n = int(np.searchsorted(-sizes, -t))  # runs longer than t come first
+            at = begin[:n] + t
+            state[:n], out[at] = self.advance(state[:n], symbols[at], self.starts)
+        last[order] = state
+        # ... then from the state that the run before it ends in, until both ways begin a phrase at the same character.
+        run, lang = np.nonzero((np.arange(len(text)) > first)[:, None] & (np.roll(last, 1, axis=0) != self.root))
+        while len(run):
+            state, at, end = last[run - 1, lang], start[run], start[run] + length[run]
+            again = []
+            while len(run):
+                state, new = self.advance(state, symbols[at, lang], self.starts[lang])
+                met = new & out[at, lang]
+                out[at, lang] = new
+                at = at + 1
+                over = ~met & (at == end)
+                moved = over & (state != last[run, lang])
+                last[run[moved], lang[moved]] = state[moved]
+                onward = np.flatnonzero(moved)
+                onward = onward[run[onward] + 1 < len(text)]
+                onward = onward[text[run[onward] + 1] == text[run[onward]]]
+                again.append((run[onward] + 1, lang[onward]))
+                left = ~met & ~over
+                run, lang, state, at, end = run[left], lang[left], state[left], at[left], end[left]
+            run, lang = (np.concatenate(x) for x in zip(*again))
+        return out
+
+
+class Parser:
+    """Phrase counts of texts in every language of ``samples`` (language to text or automaton)."""
+
+    def __init__(self, samples: dict[str, str | Automaton]):
+        self.languages = sorted(samples)
+        automata = [x if isinstance(x, Automaton) else Automaton.of(x) for x in (samples[n] for n in self.languages)]
+        alphabet = np.unique(np.concatenate([a.letters for a in automata]))
+        self.place = np.zeros(0x110000, np.int32)
+        self.place[alphabet] = np.arange(1, len(alphabet) + 1)
+        self.tables = [Tables(automata[i : i + GROUP], alphabet) for i in range(0, len(automata), GROUP)]
+        self.bits = np.array([np.log2(max(a.size, 2)) for a in automata])
+
+    def phrases(self, points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Phrases of each text (rows) in each language (columns)."""
+        letters = self.place[points]
+        counts = []
+        for tables in self.tables:
+            for column in tables.phrase_starts(letters, bounds).T:
+                counts.append(np.diff(np.concatenate([[0], np.cumsum(column, dtype=np.int64)])[bounds]))
+        return np.stack(counts, axis=1)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """The language and a score from 0 to 1 of each text; ``und`` and 0 without a letter."""
@@ -141,34 +228,49 @@ class Parser:
         return [self.languages[b] if has else "und" for b, has in zip(best, lettered)], score
 
 
-@functools.lru_cache(maxsize=2)
-def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
-    return Parser(dict(samples))
-
-
-def gather_samples(docs: DataFrame, may_learn: Column) -> dict[str, str]:
-    """Sample text of each language, of at most ``DOCUMENTS`` documents drawn by a hash of the id, as letters only."""
-    labelled = docs.where(may_learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    part = F.floor(F.lit(2.0**31) * F.least(F.lit(1.0), F.lit(1.5 * DOCUMENTS) / F.col("n")))
-    drawn = labelled.join(F.broadcast(counts), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < part)
-    rows = drawn.select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, CHARACTERS).alias("text")).collect()
-    out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["h"], r["text"])):
-        own = out.setdefault(r["lang"], [])
-        if r["text"] not in own and len(own) < DOCUMENTS:
-            own.append(r["text"])
-    samples = {}
-    for lang, texts in out.items():
-        clean = letters_only(pa.array(texts, pa.string())).to_pylist()
-        # Every document gives as much as the bound allows, the shorter ones leaving room to the longer.
-        left, parts = CHARACTERS, []
-        for k, text in enumerate(sorted(clean, key=len)):
-            parts.append(text[: left // (len(clean) - k)])
-            left -= len(parts[-1])
-        if any(p.strip() for p in parts):
-            samples[lang] = " ".join(parts)
-    return samples
+def sample_text(texts: list[str]) -> str:
+    """At most ``CHARACTERS`` letters and spaces of the texts: each gives as much as the bound allows, the shorter ones leaving room to the longer."""
+    clean = letters_only(pa.array(texts, pa.string())).to_pylist()
+    left, parts = CHARACTERS, []
+    for k, text in enumerate(sorted(clean, key=len)):
+        parts.append(text[: left // (len(clean) - k)])
+        left -= len(parts[-1])
+    return " ".join(parts) if any(p.strip() for p in parts) else ""
+
+
+def learn(docs: DataFrame, may_learn: Column) -> dict[str, Automaton]:
+    """The automaton of each labelled language, from at most ``DOCUMENTS`` documents drawn by a hash of id and text.
+
+    Languages are learned side by side on the executors; only the automata come to the driver.
+    """
+    labelled = docs.where(may_learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))  # one row a language
+    share = F.least(F.lit(1.0), F.lit(1.5 * DOCUMENTS) / F.col("n"))
+    h = F.xxhash64("doc_id", "text").alias("h")
+    few = labelled.join(F.broadcast(counts), "lang").where(F.xxhash64("doc_id", "text", F.lit(1)).bitwiseAND((1 << 62) - 1) < share * float(1 << 62)).select("lang", h, F.substring("text", 1, CHARACTERS).alias("text"))
+    arrays = ("letters", "owner", "step", "begin")
+
+    def build(table: pa.Table) -> pa.Table:
+        lang, rows = table.column("lang")[0].as_py(), sorted(zip(table.column("h").to_pylist(), table.column("text").to_pylist()))
+        texts = list(dict.fromkeys(text for _, text in rows))[:DOCUMENTS]
+        sample = sample_text(texts)
+        made = [Automaton.of(sample)] if sample else []
+        columns = {"lang": pa.array([lang] * len(made), pa.string()), "size": pa.array([m.size for m in made], pa.int32())}
+        return pa.table(columns | {n: pa.array([getattr(m, n).astype(np.int32).tobytes() for m in made], pa.binary()) for n in arrays})
+
+    built = few.groupBy("lang").applyInArrow(build, "lang string, size int, letters binary, owner binary, step binary, begin binary")
+    return {r["lang"]: Automaton(*(np.frombuffer(r[n], np.int32) for n in arrays), r["size"]) for r in built.toLocalIterator()}
+
+
+_PARSERS: dict[str, Parser] = {}
+
+
+def _parser(key: str, automata: dict[str, Automaton]) -> Parser:
+    """The parser of one call of ``identify``, kept by a Python worker from task to task."""
+    if key not in _PARSERS:
+        _PARSERS.clear()
+        _PARSERS[key] = Parser(automata)
+    return _PARSERS[key]
 
 
 def identify(spark: SparkSession, docs: DataFrame, may_learn: Column) -> DataFrame:
@@ -176,13 +278,14 @@ def identify(spark: SparkSession, docs: DataFrame, may_learn: Column) -> DataFra
 
     ``may_learn`` says which rows the samples may come from; of those, rows with text and ``lang`` count. Null text and
     text without a letter are ``und`` with score 0, and so is everything if nothing can be learned from. Ties go to the
-    language first in order. Repeated rows are predicted alike; other columns are ignored.
+    language first in order. Long texts are parsed whole: no phrase ends because its text is cut. Repeated rows are
+    predicted alike; other columns are ignored.
     """
-    held = spark.sparkContext.broadcast(tuple(sorted(gather_samples(docs, may_learn).items())))
+    held, key = spark.sparkContext.broadcast(learn(docs, may_learn)), uuid.uuid4().hex
 
     def predict(batches):
-        parser = _parser(held.value) if held.value else None
-        for batch in slices(batches):
+        parser = _parser(key, held.value) if held.value else None
+        for batch in slices(batches, SLICE):
             texts = concat(batch.column("text"))
             langs, score = parser.predict(texts) if parser else (["und"] * len(texts), np.zeros(len(texts)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])

@@ -97,9 +97,40 @@ def test_cross_parsing(texts, one, two):
     assert got.tolist() == [[phrases(t, one), phrases(t, two)] for t in texts]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("abz语", max_size=90), min_size=1, max_size=5), st.text("ab语", min_size=1, max_size=120), st.text("ab", min_size=1, max_size=9), st.integers(1, 7))
+def test_cross_parsing_over_runs(texts, one, two, run):
+    """Runs of a few characters: phrases that reach over one or many of them count once."""
+    held, langid.RUN = langid.RUN, run
+    try:
+        texts = [*texts, one[1:], one + one, two * 9]
+        parser = langid.Parser({"a": one, "b": two})
+        assert parser.phrases(*langid.code_points(pa.array(texts))).tolist() == [[phrases(t, one), phrases(t, two)] for t in texts]
+    finally:
+        langid.RUN = held
+
+
 def test_long_texts_are_parsed_whole():
     parser = langid.Parser({"a": "abab", "b": "cdcd"})
     assert parser.predict(pa.array(["ab" * 600 + "cd" * 3000]))[0] == ["b"]
+    rng = random.Random(2)
+    sample = "".join(rng.choices("abcdefgh ", k=9000))
+    parser = langid.Parser({"a": sample, "b": sample[::-1]})
+    whole = sample[100:8100]
+    assert parser.phrases(*langid.code_points(pa.array([whole, "", whole + "!" + whole])))[:, 0].tolist() == [1, 0, 3]
+
+
+def test_many_letters_and_languages(spark, make):
+    """Scripts of thousands of letters keep them all, and the seventieth language is learned like the first."""
+    rng = random.Random(4)
+    alphabets = {"zh": range(0x4E00, 0x5400), "ko": range(0xAC00, 0xB400), "en": range(97, 123)} | {f"x{i:02d}": range(0x1000 + 20 * i, 0x1014 + 20 * i) for i in range(67)}
+    words = {lang: ["".join(chr(rng.choice(points)) for _ in range(4)) for _ in range(30)] for lang, points in alphabets.items()}
+    langs = [lang for lang in words for _ in range(4)]
+    docs = make(*(" ".join(rng.choices(words[lang], k=40)) for lang in langs), lang=langs)
+    rows = {r.doc_id: r.lang_pred for r in langid.identify(spark, docs, F.col("doc_id") % 4 != 1).collect()}
+    letters = {i for i in rows if langs[i] in ("zh", "ko", "en")}
+    assert all(rows[i] == langs[i] for i in letters)
+    assert sum(rows[i] == langs[i] for i in rows) >= len(rows) - 4
 
 
 def test_identify(spark, make):
