@@ -24,7 +24,7 @@ def test_recall(spark):
     rng = np.random.default_rng(0)
     centres = rng.standard_normal((30, 16)) * 2
     x = np.float32(centres[rng.integers(0, 30, 3000)] + rng.standard_normal((3000, 16)))
-    settings = ann.Settings(rows_per_part=200, sample=1500, block=128, query_block=16)
+    settings = ann.Settings(sample=1500, block=128, query_block=16)
     rows = ann.nearest(spark, vectors(spark, x), F.col("vec_id") % 50 == 0, settings=settings).collect()
     found = {}
     for r in rows:
@@ -44,18 +44,78 @@ def test_recall(spark):
 def test_ties_and_unusable(spark):
     from pyspark.sql import functions as F
 
-    x = [[1, 0], [1, 0], [1, 0], [1, 0], [1, 0], [1, 0], [1, 0], [0, 1], None, [0, 0], [None, 1], [float("nan"), 1], [float("inf"), 1], [1, 2, 3]]
-    rows = ann.nearest(spark, vectors(spark, x), F.col("vec_id").isin(0, 3, 7, 8, 9, 10)).collect()
+    x = [[1, 0], [1, 0], [1, 0], [1, 0], [1, 0], [1, 0], [1, 0], [0, 1], None, [0, 0], [None, 1], [float("nan"), 1], [float("inf"), 1], [1, 2, 3], [2, 4, 7]]
+    rows = ann.nearest(spark, vectors(spark, x), F.col("vec_id").isin(0, 3, 7, 8, 9, 10, 13)).collect()
     got = {}
     for r in sorted(rows, key=lambda r: r.rank):
         got.setdefault(r.query_id, []).append(r.vec_id)
-    assert got == {0: [1, 2, 3, 4, 5], 3: [0, 1, 2, 4, 5], 7: [0, 1, 2, 3, 4]}
+    assert got == {0: [1, 2, 3, 4, 5], 3: [0, 1, 2, 4, 5], 7: [0, 1, 2, 3, 4], 13: [14]}
     few = ann.nearest(spark, vectors(spark, [[1, 0], [1, 1]]), F.lit(True)).collect()
     assert sorted((r.query_id, r.rank, r.vec_id) for r in few) == [(0, 1, 1), (1, 1, 0)]
     assert ann.nearest(spark, vectors(spark, [None]), F.lit(True)).count() == 0
     assert ann.nearest(spark, vectors(spark, [[1, 0]]).limit(0), F.lit(True)).count() == 0
 
 
+def test_parallel_vectors_go_by_id(spark):
+    """Sixty vectors with cosine 1 to each other, not equal: the smallest ids are the nearest."""
+    from pyspark.sql import functions as F
+
+    x = [[float(1 << (i % 12)), 0.0] for i in range(60)] + [[-1.0, 0.5]] * 3
+    rows = ann.nearest(spark, vectors(spark, x).withColumns({"w": F.lit("own"), "part": F.lit(1)}), F.col("vec_id").isin(0, 30)).collect()
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in rows}
+    assert [got[0, n] for n in range(1, 6)] == [(n, 1.0) for n in range(1, 6)] and [got[30, n] for n in range(1, 6)] == [(n - 1, 1.0) for n in range(1, 6)]
+
+
+def clustered(n, seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((60, 24)) * 3
+    return np.float32(centres[rng.integers(0, 60, n)] + rng.standard_normal((n, 24)))
+
+
+def test_few_vectors_are_compared_where_there_is_structure(spark):
+    """Recall by learned partitions of one and of two levels, and the share of vectors that a query is compared with."""
+    from pyspark.sql import functions as F
+
+    x = clustered(6000, 3)
+    for settings in (ann.Settings(), ann.Settings(most_parts=8, parts_factor=0.8, sample=2000)):
+        data = vectors(spark, x).select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), F.size("embedding").alias("w"))
+        node = ann.classifiers(data, {24: len(x)}, settings)[24]
+        assert bool(node.inner) == (settings.most_parts == 8)
+        sizes = np.bincount(node.file(np.float64(x), settings.most_parts), minlength=settings.most_parts**2)
+        row, part = node.route(np.float64(x[::50]), settings.most_parts, settings.least_probes)
+        assert len(set(zip(row.tolist(), part.tolist()))) == len(row)
+        assert sizes[part].sum() / (len(x) * len(x[::50])) <= 0.3
+        rows = ann.nearest(spark, vectors(spark, x), F.col("vec_id") % 50 == 0, settings=settings).collect()
+        hits = sum(r.vec_id in exact(np.float64(x), r.query_id, 5)[0] for r in rows)
+        assert hits >= 0.9 * 5 * len(x[::50])
+
+
+def test_recall_on_the_table(spark):
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    if not os.path.isdir("/root/testdata/sf0.1"):
+        pytest.skip("no test tables")
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    x = np.stack([np.float64(r.embedding) for r in rows.orderBy("vec_id").collect()])
+    got = ann.nearest(spark, rows, F.col("vec_id") % 50 == 0).collect()
+    hits = sum(r.vec_id in exact(x, r.query_id, 5)[0] for r in got)
+    assert len(got) == 5 * len(x[::50]) and hits >= 0.9 * len(got)
+
+
+def test_sampling_survives_any_size(spark):
+    """One row in 10**12 is a share that a hash can still draw."""
+    from fairground.llm.common import drawn
+
+    many = spark.range(1 << 18)
+    assert 0.20 < many.where(drawn(0.25, "id")).count() / (1 << 18) < 0.30 and spark.range(9).where(drawn(1.0, "id")).count() == 9
+    # Of ten billion rows 8192 are drawn: the share is no longer one in a million, and it is not none.
+    share = 8192 / 1e10
+    assert not many.where(drawn(share, "id")).count() and str(int(share * (1 << 62))) in drawn(share, "id")._jc.toString()
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(1)
     x = ann.unit(rng.standard_normal((500, 8)))
