@@ -1,9 +1,10 @@
 """Quality classifier by co-training.
 
 Two views of a document are classified apart: its words, and its metadata (source, language, size and layout). Both
-start from the labelled rows; in each round each gives the other the unlabelled documents it is surest of as further
-examples. Each view is then calibrated on labelled rows kept aside, and a logistic combination of both scores every
-document. A document is good if its quality label is 1 and its toxic label is not.
+start from the labelled rows; in each round both score all unlabelled documents of the corpus, and each gives the other
+those it is surest of, so many of each class from every stratum of source and language, as further examples. Each view
+is then calibrated on labelled rows kept aside, and a logistic combination of both scores every document. A document is
+good if its quality label is 1 and its toxic label is not.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fairground.llm.common import Scratch, concat, mix, slices, split_words, text_column
+from fairground.llm.common import Scratch, concat, drawn, mix, slices, split_words, text_column
 
 SOURCES, LANGS = 32, 8
 #: Bytes of documents that are described at a time.
@@ -25,18 +26,23 @@ SLICE = 4 << 20
 _NUMBERS = 9
 
 
+#: Labels up to this many are broadcast to the documents; more are joined by a shuffle of the described rows.
+BROADCAST_LABELS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the training set and parameters of the rounds.
+    """Bounds of what is gathered to fit, and parameters of the rounds.
 
-    ``labelled`` and ``unlabelled`` bound the documents that are gathered to fit the two views, drawn evenly by a hash
-    of the id over the whole corpus; scoring takes every document.
+    ``labelled`` bounds the labelled documents, drawn evenly by a hash of the id. In each round every unlabelled
+    document is scored by both views, and ``per_stratum`` of each view, class and stratum at most are gathered, those
+    it is surest of: at most ``4 * strata * per_stratum`` a round. Scoring takes every document.
     """
 
     labelled: int = 10_000
-    unlabelled: int = 3000
     rounds: int = 3
-    per_round: int = 300
+    strata: int = 64
+    per_stratum: int = 5
     sure: float = 0.97
     lexicon: int = 768
     least_documents: int = 5
@@ -136,6 +142,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 250) -
     return w
 
 
+def raw_scores(content: np.ndarray, meta: np.ndarray, metadata: np.ndarray, hits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of good by each view, from scaled metadata and pairs of document, place in the lexicon and weight."""
+    doc, place, weight = hits
+    words = np.bincount(doc, content[place] * weight, minlength=len(metadata)) if len(doc) else np.zeros(len(metadata))
+    return content[-1] + words, metadata @ meta[:-1] + meta[-1]
+
+
 @dataclass
 class Model:
     lexicon: np.ndarray
@@ -148,12 +161,9 @@ class Model:
     combination: np.ndarray
     threshold: float
 
-    def scores(self, views: Views) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def scores(self, metadata: np.ndarray, hits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probability of good by words, by metadata and by both."""
-        doc, place, weight = views.lexicon_hits(self.lexicon)
-        content = self.content[-1] + np.bincount(doc, self.content[place] * weight, minlength=len(views.metadata)) if len(doc) else np.full(len(views.metadata), self.content[-1], float)
-        metadata = ((views.metadata - self.centre) / self.scale) @ self.metadata[:-1] + self.metadata[-1]
-        return self.combine(content, metadata)
+        return self.combine(*raw_scores(self.content, self.metadata, (metadata - self.centre) / self.scale, hits))
 
     def combine(self, content, metadata):
         a, b = (self.calibration[i, 0] * np.clip(s, -8, 8) + self.calibration[i, 1] for i, s in enumerate((content, metadata)))
@@ -161,15 +171,13 @@ class Model:
         return tuple(1 / (1 + np.exp(-np.clip(s, -30, 30))) for s in (a, b, both))
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """The bounded training set: labelled rows with ``good`` and unlabelled rows without."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
-    marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0))).alias("good"))
-    part = lambda limit, of, *salt: F.pmod(F.xxhash64("doc_id", *salt), F.lit(1_000_003)) < int(1_000_003 * min(1, limit / max(of, 1)))
-    marks = marks.where(part(settings.labelled, marks.count()))
-    picked = rows.join(F.broadcast(marks), "doc_id")
-    others = rows.where(part(settings.unlabelled, docs.count(), F.lit(1))).join(F.broadcast(marks), "doc_id", "left_anti").withColumn("good", F.lit(None).cast("int"))
-    return picked.unionByName(others)
+def marks_of(labels: DataFrame) -> DataFrame:
+    """``doc_id, good`` of each labelled id; one labelled twice is good only if both say so."""
+    return labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0))).alias("good"))
+
+
+def plain_rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
 
 
 def choose_lexicon(sample: DataFrame, settings: Settings) -> np.ndarray:
@@ -181,10 +189,9 @@ def choose_lexicon(sample: DataFrame, settings: Settings) -> np.ndarray:
             good = np.repeat(batch.column("good").to_numpy(zero_copy_only=False), [len(x) for x in lists])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists).view(np.int64)), pa.array(good.astype(np.int32))], ["token", "good"])
 
-    known = sample.where("good is not null")
-    totals = known.groupBy("good").count().toPandas().set_index("good")["count"]
+    totals = sample.groupBy("good").count().toPandas().set_index("good")["count"]
     goods, total = float(totals.get(1, 0)), float(totals.sum())
-    counts = known.mapInArrow(tokens, "token long, good int").groupBy("token").agg(F.sum("good").alias("with_good"), F.count("*").alias("seen")).where(F.col("seen") >= settings.least_documents)
+    counts = sample.mapInArrow(tokens, "token long, good int").groupBy("token").agg(F.sum("good").alias("with_good"), F.count("*").alias("seen")).where(F.col("seen") >= settings.least_documents)
     share, seen = goods / max(total, 1), F.col("seen")
     spread = F.greatest(seen * share * (1 - share) * (1 - seen / max(total, 1)), F.lit(1e-9))
     ranked = counts.withColumn("chi", (F.col("with_good") - seen * share) ** 2 / spread).where("chi >= 10")
@@ -192,66 +199,133 @@ def choose_lexicon(sample: DataFrame, settings: Settings) -> np.ndarray:
     return np.sort(best["token"].to_numpy(np.int64).view(np.uint64))
 
 
-def gather_examples(sample: DataFrame, lexicon: np.ndarray) -> pd.DataFrame:
-    """``doc_id, good`` (null if unlabelled), ``metadata`` and the ``places`` in the lexicon, with ``weights``, of each row of the sample."""
+FEATURES = "metadata array<float>, places array<int>, weights array<float>"
+
 
-    def describe(batches):
+def describe(docs: DataFrame, marks: DataFrame, many: int, lexicon: np.ndarray, settings: Settings) -> DataFrame:
+    """Every document in numbers: ``row`` (a key), ``doc_id``, ``good`` (null if unlabelled), ``stratum`` and its features."""
+    held = docs.sparkSession.sparkContext.broadcast(lexicon)
+
+    def numbers(batches):
         for batch in slices(batches, SLICE):
             views = Views(batch)
-            doc, place, weight = views.lexicon_hits(lexicon)
+            doc, place, weight = views.lexicon_hits(held.value)
             cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
             places, weights = (pa.ListArray.from_arrays(pa.array(cuts), pa.array(x)) for x in (place.astype(np.int32), weight.astype(np.float32)))
-            metadata = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * views.metadata.shape[1]), pa.array(views.metadata.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), metadata, places, weights], ["doc_id", "good", "metadata", "places", "weights"])
+            metadata = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * views.metadata.shape[1]), pa.array(views.metadata.astype(np.float32).ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("stratum"), metadata, places, weights], ["doc_id", "stratum", "metadata", "places", "weights"])
+
+    stratum = F.pmod(F.xxhash64("source", "lang"), F.lit(settings.strata)).cast("int").alias("stratum")
+    blank = [F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]
+    rows = plain_rows(docs).select("doc_id", "text", *blank, stratum).mapInArrow(numbers, f"doc_id long, stratum int, {FEATURES}")
+    known = rows.join(F.broadcast(marks) if many <= BROADCAST_LABELS else marks, "doc_id", "left")
+    return known.withColumn("row", F.monotonically_increasing_id())
+
+
+@dataclass
+class Examples:
+    """Rows with their metadata, and their words as a matrix over the lexicon."""
+
+    row: np.ndarray
+    metadata: np.ndarray
+    words: np.ndarray
+    label: np.ndarray
+
+    @staticmethod
+    def of(table: pa.Table, lexicon: int, label: str) -> Examples:
+        table = table.sort_by("row").combine_chunks()
+        metadata = concat(table.column("metadata")).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(table.num_rows, -1) if table.num_rows else np.zeros((0, _NUMBERS + SOURCES + LANGS))
+        words = np.zeros((table.num_rows, lexicon), np.float32)
+        doc, place, weight = stored_hits(table)
+        words[doc, place] = weight
+        return Examples(table.column("row").to_numpy(), metadata, words, table.column(label).to_numpy().astype(float))
+
+    def take(self, at: np.ndarray) -> Examples:
+        return Examples(self.row[at], self.metadata[at], self.words[at], self.label[at])
+
+    def __add__(self, other: Examples) -> Examples:
+        return Examples(*(np.concatenate([getattr(self, n), getattr(other, n)]) for n in ("row", "metadata", "words", "label")))
 
-    return sample.mapInArrow(describe, "doc_id long, good int, metadata array<double>, places array<int>, weights array<float>").toPandas().sort_values("doc_id", ignore_index=True)
 
+def stored_hits(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of document and place, with weights, of described rows."""
+    places, weights = concat(rows.column("places")), concat(rows.column("weights"))
+    doc = np.repeat(np.arange(len(places)), places.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)) if len(places) else np.zeros(0, np.int64)
+    return doc, places.flatten().to_numpy(zero_copy_only=False), weights.flatten().to_numpy(zero_copy_only=False)
 
-def co_train(examples: pd.DataFrame, lexicon: np.ndarray, settings: Settings) -> Model | None:
-    """Fit the model; None if the labels do not hold both classes."""
-    label = examples["good"].astype("Float64").to_numpy(float, na_value=np.nan)
-    known = np.flatnonzero(~np.isnan(label))
-    if len(known) < 20 or len(np.unique(label[known])) < 2:
+
+def surest(features: DataFrame, content: np.ndarray, meta: np.ndarray, centre: np.ndarray, scale: np.ndarray, taken: np.ndarray, settings: Settings) -> pa.Table:
+    """Of all unlabelled rows, those a view is surest of: at most ``per_stratum`` of each view, class and stratum.
+
+    A batch keeps its own best before anything is sent on; ``taken`` rows were chosen before.
+    """
+    held = features.sparkSession.sparkContext.broadcast((content, meta, centre, scale, taken))
+    names = ["row", "stratum", "metadata", "places", "weights"]
+
+    def choose(batches):
+        content, meta, centre, scale, taken = held.value
+        for batch in batches:
+            metadata = concat(batch.column("metadata")).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, len(centre))
+            odds = raw_scores(content, meta, (metadata - centre) / scale, stored_hits(batch))
+            stratum, fresh = batch.column("stratum").to_numpy(), ~np.isin(batch.column("row").to_numpy(), taken)
+            for view, score in enumerate(odds):
+                p = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+                for k, sure in ((1, p), (0, 1 - p)):
+                    at = np.flatnonzero(fresh & (sure >= settings.sure))
+                    at = at[np.lexsort((-sure[at], stratum[at]))]
+                    first = np.searchsorted(stratum[at], stratum[at])
+                    at = at[np.arange(len(at)) - first < settings.per_stratum]
+                    own = batch.take(pa.array(at))
+                    extra = [pa.array(np.full(len(at), view, np.int32)), pa.array(np.full(len(at), k, np.int32)), pa.array(sure[at])]
+                    yield pa.RecordBatch.from_arrays([*(own.column(n) for n in names), *extra], [*names, "view", "class", "sure"])
+
+    picked = features.where("good is null").select(*names).mapInArrow(choose, f"row long, stratum int, {FEATURES}, view int, class int, sure double")
+    order = Window.partitionBy("view", "class", "stratum").orderBy(F.desc("sure"), "row")
+    return picked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= settings.per_stratum).drop("n").toArrow()
+
+
+def co_train(features: DataFrame, lexicon: np.ndarray, many: int, settings: Settings) -> Model | None:
+    """Fit the model on described rows; None if the labels do not hold both classes."""
+    known = Examples.of(features.where(F.col("good").isNotNull() & drawn(settings.labelled / max(many, 1), "doc_id")).select("row", "good", "metadata", "places", "weights").toArrow(), len(lexicon), "good")
+    both = lambda y: len(np.unique(y)) == 2
+    if not both(known.label):
         return None
-    aside = np.zeros(len(label), bool)
-    aside[known[::4]] = True
-    if len(np.unique(label[aside])) < 2:
-        aside[known] = True
-    metadata = np.stack(examples["metadata"].to_list())
-    centre, scale = metadata.mean(0), np.maximum(metadata.std(0), 0.05)
-    metadata = (metadata - centre) / scale
-    lists = examples["places"].to_list()
-    x = np.zeros((len(lists), len(lexicon)), np.float32)
-    x[np.repeat(np.arange(len(lists)), [len(p) for p in lists]), np.concatenate(lists).astype(np.int64)] = np.concatenate(examples["weights"].to_list())
-
-    # Each view has its own labels: the given ones, then those the other view was sure of.
-    own = [np.where(aside, np.nan, label) for _ in range(2)]
-    free = np.isnan(label)
+    aside = np.arange(len(known.label)) % 4 == 0
+    if both(known.label[aside]) and both(known.label[~aside]):
+        kept, given = known.take(aside), known.take(~aside)
+    else:
+        kept = given = known
+    centre, scale = known.metadata.mean(0), np.maximum(known.metadata.std(0), 0.05)
+    # Each view has its own examples: the given ones, then those that the other view was sure of.
+    own = [given, given]
     for step in range(settings.rounds + 1):
-        train = [~np.isnan(y) for y in own]
-        content = fit_logistic(x[train[0]], own[0][train[0]], 3e-4)
-        meta = fit_logistic(metadata[train[1]], own[1][train[1]], 1e-3)
-        raw = [x @ content[:-1] + content[-1], metadata @ meta[:-1] + meta[-1]]
+        content = fit_logistic(own[0].words, own[0].label, 3e-4).astype(float)
+        meta = fit_logistic((own[1].metadata - centre) / scale, own[1].label, 1e-3).astype(float)
         if step == settings.rounds:
             break
+        taken = np.unique(np.concatenate([x.row for x in own]))
+        found = surest(features, content, meta, centre, scale, taken, settings)
+        views = found.column("view").to_numpy()
         for view, other in ((0, 1), (1, 0)):
-            p = 1 / (1 + np.exp(-np.clip(raw[view], -30, 30)))
-            for k, sure in ((1, p), (0, 1 - p)):
-                new = np.flatnonzero(free & np.isnan(own[other]) & (sure >= settings.sure))
-                own[other][new[np.argsort(-sure[new], kind="stable")[: settings.per_round]]] = k
-    y = label[aside]
-    calibration = np.stack([fit_logistic(np.clip(s[aside], -8, 8)[:, None], y, 1e-3) for s in raw])
-    both = np.stack([c[0] * np.clip(s[aside], -8, 8) + c[1] for c, s in zip(calibration, raw)], axis=1)
-    combination = fit_logistic(both, y, 1e-3)
-    return Model(lexicon, content.astype(float), centre, scale, meta.astype(float), calibration.astype(float), combination.astype(float), settings.threshold)
-
-
-def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
-    """The lexicon and both views from a bounded sample, which is stored once and read twice."""
+            own[other] = own[other] + Examples.of(found.filter(pa.array(views == view)), len(lexicon), "class")
+    raw = [kept.words @ content[:-1] + content[-1], (kept.metadata - centre) / scale @ meta[:-1] + meta[-1]]
+    calibration = np.stack([fit_logistic(np.clip(s, -8, 8)[:, None], kept.label, 1e-3) for s in raw])
+    sides = np.stack([c[0] * np.clip(s, -8, 8) + c[1] for c, s in zip(calibration, raw)], axis=1)
+    combination = fit_logistic(sides, kept.label, 1e-3)
+    return Model(lexicon, content, centre, scale, meta, calibration.astype(float), combination.astype(float), settings.threshold)
+
+
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> tuple[Model | None, DataFrame]:
+    """The model, and all documents described in numbers: texts are taken apart once, the rounds read the numbers."""
     scratch = Scratch(docs.sparkSession, "quality")
-    sample = scratch.table("sample", sample_rows(docs, labels, settings))
+    marks = scratch.table("marks", marks_of(labels))
+    many = marks.count()
+    some = marks.where(drawn(settings.labelled / max(many, 1), "doc_id"))
+    sample = scratch.table("sample", plain_rows(docs).join(F.broadcast(some), "doc_id"))
     lexicon = choose_lexicon(sample, settings)
-    return co_train(gather_examples(sample, lexicon), lexicon, settings)
+    features = scratch.table("features", describe(docs, marks, many, lexicon, settings))
+    scratch.drop("sample")
+    return co_train(features, lexicon, many, settings), features
 
 
 def _view_batch(batch) -> pa.RecordBatch:
@@ -262,33 +336,45 @@ def _view_batch(batch) -> pa.RecordBatch:
 def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, score, content_score, metadata_score, keep`` of every document; scores are probabilities of good.
 
-    Null and empty texts have no words and are scored by what is left. Null source or language is a value of its own.
-    Labels of no document are ignored; a document labelled twice is good only if both say so. Without labels of both
-    classes nothing can be learned: all scores are 0.5 and all documents are kept. Repeated rows are scored alike.
+    Null and empty texts have no words and are scored by what is left; long texts are read whole. Null source or
+    language is a value of its own. Labels of no document are ignored; a document labelled twice is good only if both
+    say so, and rows that share a labelled id share its label. Without labels of both classes nothing can be learned:
+    all scores are 0.5 and all documents are kept. Repeated rows are scored alike; equally sure rows are chosen in
+    stored order; other columns are ignored; an empty table gives no rows.
     """
-    held = spark.sparkContext.broadcast(fit(docs, labels, settings))
+    model, features = fit(docs, labels, settings)
+    held = spark.sparkContext.broadcast(model)
 
     def score(batches):
         model = held.value
-        for batch in slices(batches, SLICE):
-            views = Views(_view_batch(batch))
-            content, metadata, both = model.scores(views) if model else (np.full(batch.num_rows, 0.5),) * 3
+        for batch in batches:
+            if model:
+                metadata = concat(batch.column("metadata")).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, len(model.centre))
+                content, meta, both = model.scores(metadata, stored_hits(batch))
+            else:
+                content = meta = both = np.full(batch.num_rows, 0.5)
             keep = both >= (model.threshold if model else 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x) for x in (both, content, metadata, keep))], ["doc_id", "score", "content_score", "metadata_score", "keep"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x) for x in (both, content, meta, keep))], ["doc_id", "score", "content_score", "metadata_score", "keep"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), "lang", "source")
-    return rows.mapInArrow(score, "doc_id long, score double, content_score double, metadata_score double, keep boolean")
+    return features.select("doc_id", "metadata", "places", "weights").mapInArrow(score, "doc_id long, score double, content_score double, metadata_score double, keep boolean")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents, all columns as they are, that the classifier does not reject."""
-    held = spark.sparkContext.broadcast(fit(docs, labels, settings))
+    """The documents, all columns as they are, that the classifier does not reject.
+
+    Nulls, empty and long texts, repeated rows, doubtful labels and empty tables are taken as in ``score_documents``:
+    every row stays or goes by its own score, and repeated rows alike.
+    """
+    held = spark.sparkContext.broadcast(fit(docs, labels, settings)[0])
 
     def filtered(batches):
         model = held.value
         for batch in slices(batches, SLICE):
             if model:
-                batch = batch.filter(pa.array(model.scores(Views(_view_batch(batch)))[2] >= model.threshold))
+                views = Views(_view_batch(batch))
+                # As stored for the fit: in single precision.
+                doc, place, weight = views.lexicon_hits(model.lexicon)
+                batch = batch.filter(pa.array(model.scores(views.metadata.astype(np.float32).astype(float), (doc, place, weight.astype(np.float32)))[2] >= model.threshold))
             yield batch
 
     return docs.mapInArrow(filtered, docs.schema)

@@ -180,6 +180,43 @@ def test_co_training(spark, make):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in rows.items() if r.keep}
 
 
+def test_pseudo_labels_tell(spark, make):
+    """Labels from two sources only: what the words tell of the others reaches the metadata view through the rounds."""
+    rng = random.Random(6)
+    good, bad, shared = (["".join(rng.choices("abcdefghij", k=6)) for _ in range(40)] for _ in range(3))
+    texts, sources, truth = [], [], []
+    for i in range(900):
+        y = i % 2
+        words = rng.choices(shared, k=20) + rng.choices(shared if i >= 600 else good if y else bad, k=6)  # the last third holds no telling word
+        texts.append(" ".join(rng.sample(words, len(words))))
+        sources.append(f"{'near' if i < 200 else 'far'}{y}")
+        truth.append(y)
+    docs = make(*texts, source=sources)
+    labels = spark.createDataFrame([(i, truth[i], 0) for i in range(200)], "doc_id long, quality int, toxic int")
+
+    def right(settings):
+        """How often a good row of the last third is told from a bad one by its metadata; a half is chance."""
+        rows = {r.doc_id: r.metadata_score for r in quality.score_documents(spark, docs, labels, settings).collect()}
+        return np.mean([rows[i + 1] > rows[i] + 1e-6 for i in range(600, 900, 2)])
+
+    base = dict(lexicon=400, least_documents=1, sure=0.9, per_stratum=30)
+    assert right(quality.Settings(rounds=3, **base)) >= 0.9 and right(quality.Settings(rounds=0, **base)) <= 0.7
+
+
+def test_few_labels_are_enough(spark, make):
+    docs, labels = labelled(spark, make)
+    few = labels.where("doc_id < 38")
+    assert few.count() == 19
+    assert len({round(r.score, 6) for r in quality.score_documents(spark, docs, few).collect()}) > 2
+
+
+def test_null_ids_and_shared_ids_are_scored(spark, make):
+    docs, labels = labelled(spark, make)
+    odd = docs.unionByName(docs.where("doc_id < 9").withColumn("doc_id", F.lit(None).cast("long"))).unionByName(docs.where("doc_id < 5"))
+    assert quality.score_documents(spark, odd, labels).count() == 403 + 9 + 5
+    assert quality.keep_good(spark, odd.limit(0), labels).count() == 0
+
+
 def test_quality_without_labels(spark, make):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = quality.score_documents(spark, make(*ODD), none).collect()
