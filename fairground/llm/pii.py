@@ -4,6 +4,10 @@ Each detected value gets a replacement of its own type: same script and letter c
 gender for names, a valid check digit where the original had one. The replacement is drawn from a keyed hash of the
 value, so it is the same in every document; a check over all values of the corpus draws again where two would share one
 or where one equals a value that occurs, so distinct values stay distinct.
+
+A person's name is found behind a form of address, or as a known given name with a family name; the same names are then
+replaced wherever they stand alone in that document. A given name has one gender in the whole corpus: the one most
+forms of address give it, else the one it is known for.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairground.llm.common import Scratch, concat, slices, text_column
+from fairground.llm.common import Scratch, concat, free_name, slices, text_column
 
 #: Values that were drawn again, up to this many, are broadcast; more are joined to their documents.
 BROADCAST_VALUES = 100_000
@@ -39,8 +43,18 @@ GIVEN = {
 }
 SYLLABLES = {"latin": "ba be bo da de do fa fe ga ge ha ho ka ke la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se so ta te ti to va ve vi wa za".split(), "cyrillic": "ба бо ва ве да до ка ко ла ле ма мо на но па по ра ро са со та то".split()}
 
+#: More given names that tell a person where a family name follows, with their gender; a user may pass others.
+KNOWN_GIVEN = {
+    **{n: g for (_, g), names in GIVEN.items() for n in names if len(n) > 3},
+    **dict.fromkeys("Alan Albert Andrew Antonio Arthur Charles Christian David Edward Frank George Giovanni Giuseppe Hans Henry Jacques James Jean John Joseph José Juan Klaus Louis Luca Luigi Manuel Mark Martin Matthew Michael Miguel Otto Pablo Pedro Peter Philip Pierre Richard Robert Stefan Stephen Thomas William Wolfgang".split(), "m"),
+    **dict.fromkeys("Alice Ana Barbara Carla Carmen Caroline Catherine Charlotte Christine Claire Dorothy Elisabeth Elizabeth Emily Emma Francesca Giulia Heidi Helen Ingrid Isabella Jane Jennifer Juliette Linda Lucia Margaret Maria Marie Martha Mary Monica Nancy Patricia Paula Rachel Ruth Sarah Silvia Sophie Susan Teresa Victoria".split(), "f"),
+}
+
 _NAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+)?"
 _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
+_KNOWN = "|".join(sorted(KNOWN_GIVEN, key=len, reverse=True))
+#: Words that make a run of digits a card number even where the check digit does not.
+CARD_WORDS = re.compile(r"(?i)\b(?:card|carta|carte|karte|tarjeta|visa|mastercard|amex)\b\W{0,3}(?:(?:number|num|nr|no)\b\W{0,3})?$")
 #: One alternative a type, the more certain first.
 PATTERN = re.compile(
     "|".join(
@@ -54,6 +68,7 @@ PATTERN = re.compile(
             r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))",
             r"(?P<phone>(?<![\w.+-])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}(?![\w-])|(?<![\w.+(-])\(\d{2,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])|(?<![\w.+-])(?=(?:\D?\d){9})\d{2,4}(?:[ .-]\d{2,4}){2,4}(?![\w-]))",
             rf"(?P<name>\b(?P<title>{_TITLE})\.?\s(?P<first>{_NAME})(?:\s(?P<last>{_NAME}))?)",
+            rf"(?P<person>\b(?P<given>{_KNOWN})\s(?P<family>{_NAME}))",
         )
     )
 )
@@ -68,7 +83,7 @@ def _re2_class(shorthand: str) -> str:
 _D, _S = _re2_class(r"\d"), _re2_class(r"\s")
 #: A text without any of these holds no value: a cheap test before the pattern, true wherever PATTERN matches. RE2 syntax.
 #: Before a title stands no ASCII word character; what else is no word boundary is left to the pattern.
-HINT = rf"@|AKIA|ASIA|gh[pousr]_|sk-|password|passwd|pwd|secret|token|api[_-]?key|{_D}[ .()-]?{_D}[ .()-]?{_D}[ .()-]?{_D}|{_D}\.{_D}|[A-Z]{{2}}{_D}{_D}|(?:^|[^0-9A-Za-z_])(?:{_TITLE})\.?{_S}[A-ZÀ-ÖØ-ÞА-Я]"
+HINT = rf"@|AKIA|ASIA|gh[pousr]_|sk-|password|passwd|pwd|secret|token|api[_-]?key|{_D}[ .()-]?{_D}[ .()-]?{_D}[ .()-]?{_D}|{_D}\.{_D}|[A-Z]{{2}}{_D}{_D}|(?:^|[^0-9A-Za-z_])(?:{_TITLE})\.?{_S}[A-ZÀ-ÖØ-ÞА-Я]|(?:^|[^0-9A-Za-z_])(?:{_KNOWN}){_S}[A-ZÀ-ÖØ-ÞА-Я]"
 
 
 class Draw:
@@ -106,37 +121,42 @@ def luhn(digits: str) -> bool:
     return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
 
 
-def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
+#: Attempts after which every replacement gets longer, so that a free one is found even where a format has none left.
+LONGER_AFTER = 12
+
+
+def surrogate(key: bytes, kind: str, value: str, attempt: int = 0, gender: str = "n") -> str:
     """The replacement of a value in its canonical form. Later attempts may be longer, so that a free one is found."""
     draw = Draw(key, kind, value, attempt)
-    more = max(0, attempt - 2)
+    more, beyond = max(0, attempt - 2), max(0, attempt - LONGER_AFTER)
+    digits = lambda n: "".join(str(draw.below(10)) for _ in range(n))
     if kind == "email":
         local, _, domain = value.partition("@")
         labels = domain.split(".")
         return draw.shaped(local + "x" * more) + "@" + ".".join([*(draw.shaped(x) for x in labels[:-1]), labels[-1]])
     if kind == "ip":
-        return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        return ".".join(str(1 + draw.below(254)) for _ in range(4 + beyond))
     if kind == "card":
-        body = value[0] + "".join(str(draw.below(10)) for _ in value[1:])
+        body = value[0] + digits(len(value) - 1 + beyond)
         if luhn(value):
             body = next(x for x in (body[:-1] + str(d) for d in range(10)) if luhn(x))
         return body
     if kind == "iban":
-        return value[:2] + draw.shaped(value[2:])
+        return value[:2] + draw.shaped(value[2:]) + digits(beyond)
     if kind in ("phone", "ssn"):
         kept = 2 if value[0] == "+" else 0  # the sign and the first digit of a country code
-        return value[:kept] + "".join(str(draw.below(10)) if c.isdigit() else c for c in value[kept:])
+        return value[:kept] + "".join(str(draw.below(10)) if c.isdigit() else c for c in value[kept:]) + digits(beyond)
     if kind.startswith("given"):
-        _, script, gender = kind.split(":")
+        script = kind.split(":")[1]
         names = GIVEN[script, gender]
         name = names[draw.below(len(names))]
-        return name + "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range(min(attempt, 4)))
+        return name + "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range(min(attempt, 4) + beyond))
     if kind.startswith("family"):
         script = kind.split(":")[1]
         return "".join(SYLLABLES[script][draw.below(len(SYLLABLES[script]))] for _ in range(3 + more)).capitalize()
     for prefix in ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-"):
         if value.startswith(prefix):
-            return prefix + draw.shaped(value[len(prefix) :])
+            return prefix + draw.shaped(value[len(prefix) :] + "x" * beyond)
     if re.fullmatch(r"[0-9a-f]+", value):
         return "".join("0123456789abcdef"[draw.below(16)] for _ in value) + "0" * more
     return draw.shaped(value + "x" * more)
@@ -146,19 +166,55 @@ def _script(name: str) -> str:
     return "cyrillic" if "а" <= name[0].lower() <= "я" else "latin"
 
 
-def units(match: re.Match) -> list[tuple[str, str, int, int]]:
-    """The values of a match as ``(kind, canonical value, start, end)``; a name is its given and family name apart."""
-    kind = match.lastgroup if match.lastgroup in ("email", "secret", "iban", "ssn", "card", "ip", "phone") else "assigned" if match["assigned"] else "name" if match["name"] else next(k for k in ("email", "secret", "iban", "ssn", "card", "ip", "phone") if match[k])
-    if kind == "assigned":
-        return [("secret", match["value"], *match.span("value"))]
-    if kind == "name":
-        gender, last = TITLES[match["title"]], match["last"]
+_PLAIN = ("email", "secret", "iban", "ssn", "card", "ip", "phone")
+
+
+def units(match: re.Match) -> list[tuple[str, str, str, int, int]]:
+    """The values of a match as ``(kind, canonical value, gender, start, end)``; a name is its given and family name apart.
+
+    ``gender`` is what a form of address tells of a given name, else empty. A run of digits that fails its check digit
+    is no card unless it is called one.
+    """
+    if match["assigned"]:
+        return [("secret", match["value"], "", *match.span("value"))]
+    if match["name"]:
+        gender, last = TITLES[match["title"]].replace("n", ""), match["last"]
         family = "last" if last else "first"
-        out = [(f"family:{_script(match[family])}", match[family], *match.span(family))]
-        return [(f"given:{_script(match['first'])}:{gender}", match["first"], *match.span("first")), *out] if last else out
+        out = [(f"family:{_script(match[family])}", match[family], "", *match.span(family))]
+        return [(f"given:{_script(match['first'])}", match["first"], gender, *match.span("first")), *out] if last else out
+    if match["person"]:
+        return [(f"{k}:{_script(match[k])}", match[k], "", *match.span(k)) for k in ("given", "family")]
+    kind = next(k for k in _PLAIN if match[k])
     raw = match[kind]
     canonical = {"email": raw.lower(), "iban": raw.replace(" ", ""), "card": re.sub(r"\D", "", raw), "phone": re.sub(r"[^\d+]", "", raw)}.get(kind, raw)
-    return [(kind, canonical, *match.span(kind))]
+    if kind == "card" and not luhn(canonical) and not CARD_WORDS.search(match.string, max(0, match.start() - 40), match.start()):
+        return []
+    return [(kind, canonical, "", *match.span(kind))]
+
+
+def entities(text: str) -> list[tuple[str, str, str, int, int]]:
+    """All values of a text in order, as ``units`` gives them, with the later and earlier mentions of its names alone.
+
+    A name that the text also writes as a word in lower case ("will") is not followed beyond its form of address.
+    """
+    found = [u for match in PATTERN.finditer(text) for u in units(match)]
+    names: dict[str, str] = {}
+    for kind, value, *_ in found:
+        if kind.startswith(("given", "family")):
+            names.setdefault(value, kind)
+    names = {n: k for n, k in names.items() if not re.search(rf"(?<!\w){re.escape(n.lower())}(?!\w)", text)}
+    if not names:
+        return found
+    alone = re.compile(rf"(?<![\w@.-])(?:{'|'.join(map(re.escape, sorted(names, key=len, reverse=True)))})(?![\w@])")
+    spans, at = [*((s, e) for *_, s, e in found), (len(text), len(text))], 0
+    for start, end in spans:
+        found += [(names[m[0]], m[0], "", *m.span()) for m in alone.finditer(text, at, start) if m.end() <= start]
+        at = max(at, end)
+    return sorted(found, key=lambda u: u[3])
+
+
+def known_gender(kind: str, value: str) -> str:
+    return KNOWN_GIVEN.get(value, "n") if kind.startswith("given") else "n"
 
 
 def in_format(kind: str, replacement: str, raw: str) -> str:
@@ -172,14 +228,14 @@ def in_format(kind: str, replacement: str, raw: str) -> str:
     return replacement
 
 
-def rewrite(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, list[str]]:
-    """The text with every value replaced, and the kinds that were found."""
+def rewrite(text: str, key: bytes, settled: dict[tuple[str, str], tuple[int, str]]) -> tuple[str, list[str]]:
+    """The text with every value replaced, and the kinds that were found; ``settled`` has the values that are not as by default."""
     out, at, kinds = [], 0, []
-    for match in PATTERN.finditer(text):
-        for kind, value, start, end in units(match):
-            out += [text[at:start], in_format(kind, surrogate(key, kind, value, attempts.get((kind, value), 0)), text[start:end])]
-            at = end
-            kinds.append(kind.split(":")[0])
+    for kind, value, _, start, end in entities(text):
+        attempt, gender = settled.get((kind, value)) or (0, known_gender(kind, value))
+        out += [text[at:start], in_format(kind, surrogate(key, kind, value, attempt, gender), text[start:end])]
+        at = end
+        kinds.append(kind.split(":")[0])
     return "".join([*out, text[at:]]), kinds
 
 
@@ -188,60 +244,74 @@ def _hinted(texts: pa.Array) -> np.ndarray:
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """``doc_id, kind, value``: each value of a document once."""
+    """``text_key, kind, value, gender``: each value of a text once; the key is a checksum of the text."""
 
     def find(batches):
         for batch in slices(batches):
-            texts, ids, rows = concat(batch.column("text")), batch.column("doc_id"), []
+            texts, keys, rows = concat(batch.column("text")), batch.column("text_key"), []
             for i in _hinted(texts):
-                rows += sorted({(int(i), kind, value) for m in PATTERN.finditer(texts[i].as_py()) for kind, value, *_ in units(m)})
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], ["doc_id", "kind", "value"])
+                rows += sorted({(int(i), *u[:3]) for u in entities(texts[i].as_py())})
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array([r[0] for r in rows], pa.int64())), *(pa.array([r[n] for r in rows], pa.string()) for n in (1, 2, 3))], ["text_key", "kind", "value", "gender"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)).mapInArrow(find, "doc_id long, kind string, value string")
+    return docs.select(text_column(docs)).select("text", F.md5("text").alias("text_key")).mapInArrow(find, "text_key string, kind string, value string, gender string")
 
 
 def settle(spark: SparkSession, values: DataFrame, key: bytes, scratch: Scratch) -> DataFrame:
-    """``kind, value, attempt``: the first attempt of each value whose surrogate is its own and is no value that occurs.
+    """``kind, value, gender, attempt``: the first attempt of each value whose surrogate is its own and is no value that occurs.
 
-    Of values that draw the same surrogate the smallest keeps it, the others draw again, until none is shared.
+    Of values that draw the same surrogate the smallest keeps it, the others draw again, until none is shared. Given
+    and family names of a script are held apart from each other too, whatever their gender. Late attempts get longer,
+    so the rounds end.
     """
 
     def draw(batches):
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("kind", "value", "attempt")))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([surrogate(key, *r) for r in rows], pa.string())], ["kind", "value", "attempt", "surrogate"])
-
-    drawn = lambda rows: rows.mapInArrow(draw, "kind string, value string, attempt int, surrogate string")
-    now, step = scratch.table("drawn-0", drawn(values.select("kind", "value", F.lit(0).alias("attempt")))), 0
+            rows = zip(*(batch.column(c).to_pylist() for c in ("kind", "value", "attempt", "gender")))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([surrogate(key, *r) for r in rows], pa.string())], [*names, "surrogate"])
+
+    names = ["space", "kind", "value", "gender", "attempt"]
+    drawn = lambda rows: rows.select(*names).mapInArrow(draw, "space string, kind string, value string, gender string, attempt int, surrogate string")
+    space = F.regexp_replace("kind", "^(given|family):", "name:").alias("space")
+    now, step = scratch.table("drawn-0", drawn(values.select(space, "kind", "value", "gender", F.lit(0).alias("attempt")))), 0
+    real = values.select(space, F.col("value").alias("surrogate")).distinct()
     while True:
         # Who draws again keeps its place only against those who do so too: a settled value is never moved.
-        owner = now.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "value")).alias("first"), F.count("*").alias("n")).where("n > 1").select("kind", "surrogate", F.col("first.value").alias("first"))
-        shared = now.join(owner, ["kind", "surrogate"]).where("value <> first").select("kind", "value")
-        real = values.select("kind", F.col("value").alias("surrogate"))
-        lost = scratch.table(f"lost-{step}", shared.unionByName(now.join(real, ["kind", "surrogate"], "left_semi").select("kind", "value")).distinct())
+        owner = now.groupBy("space", "surrogate").agg(F.min(F.struct("attempt", "kind", "value")).alias("first"), F.count("*").alias("n")).where("n > 1").select("space", "surrogate", "first")
+        shared = now.join(owner, ["space", "surrogate"]).where("kind <> first.kind or value <> first.value").select("kind", "value")
+        lost = scratch.table(f"lost-{step}", shared.unionByName(now.join(real, ["space", "surrogate"], "left_semi").select("kind", "value")).distinct())
         if lost.isEmpty():
-            return now.select("kind", "value", "attempt")
+            return now.select("kind", "value", "gender", "attempt")
         step += 1
-        again = drawn(now.join(lost, ["kind", "value"], "left_semi").select("kind", "value", (F.col("attempt") + 1).alias("attempt")))
-        now = scratch.table(f"drawn-{step}", now.join(lost, ["kind", "value"], "left_anti").unionByName(again))
+        again = drawn(now.join(lost, ["kind", "value"], "left_semi").withColumn("attempt", F.col("attempt") + 1))
+        new = scratch.table(f"drawn-{step}", now.join(lost, ["kind", "value"], "left_anti").unionByName(again))
+        scratch.drop(f"drawn-{step - 1}", f"lost-{step - 1}")
+        now = new
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, key: bytes) -> DataFrame:
     """The documents with surrogates in ``text``, and ``pii_kinds`` (array of the kinds found, one a mention).
 
-    Other columns stay as they are, but for one of that name. Null text stays null with no kinds; repeated rows are rewritten alike.
+    Other columns stay as they are, but for one of that name. Null text stays null with no kinds, empty text stays
+    empty; long texts are read whole; repeated rows are rewritten alike, whatever their ids. Where matches could begin
+    at one place the more certain type is taken. An empty table gives no rows.
     """
     scratch = Scratch(spark, "pii")
     found = scratch.table("mentions", mentions(docs))
-    values = scratch.table("values", found.select("kind", "value").distinct())
-    moved = scratch.table("moved", settle(spark, values, key, scratch).where("attempt > 0"))
-    few = moved.count() <= BROADCAST_VALUES
+    votes = lambda g: F.count_if(F.col("gender") == g)
+    default = F.create_map(*(F.lit(x) for pair in KNOWN_GIVEN.items() for x in pair))
+    usual = F.when(F.col("kind").startswith("given"), F.coalesce(F.try_element_at(default, F.col("value")), F.lit("n"))).otherwise("n")
+    gender = F.when(F.col("m") > F.col("f"), "m").when(F.col("f") > F.col("m"), "f").otherwise(usual).alias("gender")
+    counted = found.groupBy("kind", "value").agg(votes("m").alias("m"), votes("f").alias("f"))
+    values = scratch.table("values", counted.select("kind", "value", gender))
+    settled = scratch.table("settled", settle(spark, values, key, scratch).where((F.col("attempt") > 0) | (F.col("gender") != usual)))
+    few = settled.count() <= BROADCAST_VALUES
+    of, moved = free_name("_of", *docs.columns), free_name("_moved", *docs.columns)
     if few:
-        held = spark.sparkContext.broadcast({(r["kind"], r["value"]): r["attempt"] for r in moved.collect()})
+        held = spark.sparkContext.broadcast({(r["kind"], r["value"]): (r["attempt"], r["gender"]) for r in settled.collect()})
         rows = docs
     else:
-        own = found.join(moved, ["kind", "value"]).groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("_moved"))
-        rows, held = docs.join(own, docs["doc_id"].cast("long") == own["_of"], "left").drop("_of"), None
+        own = found.select("text_key", "kind", "value").distinct().join(settled, ["kind", "value"]).groupBy(F.col("text_key").alias(of)).agg(F.collect_list(F.struct("kind", "value", "attempt", "gender")).alias(moved))
+        rows, held = docs.join(own, F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))) == own[of], "left").drop(of), None
     names = [c for c in docs.columns if c != "pii_kinds"]
 
     def replace(batches):
@@ -250,8 +320,8 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, key: bytes) -> D
             kinds: list[list[str]] = [[] for _ in range(len(texts))]
             changed, new = np.zeros(len(texts), bool), []
             for i in _hinted(pc.fill_null(texts, "")):
-                attempts = held.value if few else {(m["kind"], m["value"]): m["attempt"] for m in batch.column("_moved")[int(i)].as_py() or ()}
-                text, kinds[i] = rewrite(texts[int(i)].as_py(), key, attempts)
+                own = held.value if few else {(m["kind"], m["value"]): (m["attempt"], m["gender"]) for m in batch.column(moved)[int(i)].as_py() or ()}
+                text, kinds[i] = rewrite(texts[int(i)].as_py(), key, own)
                 if kinds[i]:
                     changed[i] = True
                     new.append(text)
