@@ -1,8 +1,10 @@
 """Exact n-gram Jaccard self-join of documents, by rare-first prefixes.
 
-A document is its set of word shingles. Shingles are ordered rare first by a count sketch over all documents; two sets
-that meet the threshold share a shingle among the first ``n - ceil(t * n) + 1`` of each. Length and positional filters
-thin the pairs that share one, a suffix filter comes before the overlap is counted, and each pair is verified once.
+A document is its set of word shingles. Shingles are ordered rare first, by the least of two counts over all documents:
+that of their hash bucket and that of their rarest word, which still tells rare from common when every bucket is full.
+Two sets that meet the threshold share a shingle among the first ``n - ceil(t * n) + 1`` of each. Length and positional
+filters thin the pairs that share one, a suffix filter comes before the overlap is counted, and each pair is verified
+once.
 
 Equal sets are collapsed first. Links inside a group of near copies are not all enumerated: every member of a prefix
 bucket is verified against the bucket's first, components are taken, and only pairs that still lie in different
@@ -22,52 +24,96 @@ from pyspark.sql import functions as F
 from fairground.llm.common import Scratch, concat, hash_words, shingle_hashes, slices, split_words, text_column
 from fairground.llm.components import components
 
-#: Buckets of the count sketch, as a power of two: the size of what is broadcast, whatever the corpus.
-SKETCH_BITS = 16
+#: Buckets of the counts of shingles and of words, as powers of two: the size of what is broadcast, whatever the corpus.
+SHINGLE_BITS, WORD_BITS = 16, 17
+#: Counts that are sent in one row.
+CHUNK = 1 << 12
 #: Document ids up to this many are broadcast to pick texts out of the corpus; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Members of a bucket that are compared with its first in one group, for which that one's text is sent once.
+STAR = 64
 
 
-def document_sets(texts: pa.Array, k: int):
-    """The sorted distinct shingle hashes of each text; words are runs of other than ASCII white space, A-Z lower-cased."""
+def bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and each text's bounds; words are runs of other than ASCII white space, A-Z lower-cased."""
     words, bounds = split_words(pc.ascii_lower(texts))
-    hashes = hash_words(words)
+    return hash_words(words), bounds
+
+
+def document_sets(texts: pa.Array, k: int):
+    """The sorted distinct shingle hashes of each text."""
+    hashes, bounds = word_hashes(texts)
     shingles = shingle_hashes(hashes, k)
     for a, b in zip(bounds[:-1], bounds[1:]):
         own = np.sort(shingles[a : b - k + 1] if b - a >= k else shingle_hashes(hashes[a:b], k))
         yield own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) > 1 else own
 
 
-def shingle_sketch(docs: DataFrame, k: int) -> np.ndarray:
-    """Counts of documents by hash bucket of their shingles, over all documents: 2 ** SKETCH_BITS numbers."""
+def rare_first(texts: pa.Array, k: int, shingle_counts: np.ndarray, word_counts: np.ndarray):
+    """The distinct shingle hashes of each text, sorted, and their places in rare-first order."""
+    hashes, bounds = word_hashes(texts)
+    shingles = shingle_hashes(hashes, k)
+    seen = word_counts[bucket(hashes, WORD_BITS)]
+    rarest = seen[: max(0, len(seen) - k + 1)].copy()
+    for j in range(1, k):
+        np.minimum(rarest, seen[j : j + len(rarest)], out=rarest)
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        if b - a >= k:
+            own, words = shingles[a : b - k + 1], rarest[a : b - k + 1]
+        else:
+            own, words = shingle_hashes(hashes[a:b], k), seen[a:b].min(keepdims=True) if b > a else seen[:0]
+        order = np.argsort(own)
+        own = own[order]
+        new = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
+        own, words = own[new], words[order[new]]
+        yield own, np.argsort(np.minimum(shingle_counts[bucket(own, SHINGLE_BITS)], words), kind="stable")
+
+
+def count_sketches(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts over all documents by hash bucket: of documents with a shingle, and of occurrences of words."""
+    sizes = (1 << SHINGLE_BITS, 1 << WORD_BITS)
 
     def count(batches):
-        totals = np.zeros(1 << SKETCH_BITS, np.int64)
+        totals = np.zeros(sum(sizes), np.int64)
         for batch in slices(batches):
-            sets = list(document_sets(concat(batch.column("text")), k))
-            totals += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(totals))
-        at = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(totals[at])], ["bucket", "n"])
-
-    rows = docs.select(text_column(docs)).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    out[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out
+            texts = concat(batch.column("text"))
+            totals[: sizes[0]] += np.bincount(bucket(np.concatenate(list(document_sets(texts, k))), SHINGLE_BITS), minlength=sizes[0])
+            totals[sizes[0] :] += np.bincount(bucket(word_hashes(texts)[0], WORD_BITS), minlength=sizes[1])
+        chunks = [(i, totals[i * CHUNK : (i + 1) * CHUNK]) for i in range(len(totals) // CHUNK)]
+        chunks = [(i, c) for i, c in chunks if c.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in chunks], pa.int32()), pa.array([c.astype("<i8").tobytes() for _, c in chunks], pa.binary())], ["chunk", "counts"])
+
+    def add(batches):
+        total = np.zeros((sum(sizes) // CHUNK, CHUNK), np.int64)
+        for batch in batches:
+            for i, c in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
+                total[i] += np.frombuffer(c, "<i8")
+        at = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([total[i].tobytes() for i in at], pa.binary())], ["chunk", "counts"])
+
+    # One row a chunk and task, added up by chunk.
+    rows = docs.select(text_column(docs)).mapInArrow(count, "chunk int, counts binary").repartition("chunk").mapInArrow(add, "chunk int, counts binary")
+    out = np.zeros(sum(sizes), np.int64)
+    for r in rows.collect():
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], "<i8")
+    return out[: sizes[0]], out[sizes[0] :]
 
 
 def describe_sets(spark: SparkSession, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``doc_id, n, set_key, prefix`` of every document; no shingles: ``set_key`` null and no prefix."""
-    counts = spark.sparkContext.broadcast(shingle_sketch(docs, k))
+    counts = spark.sparkContext.broadcast(count_sketches(docs, k))
 
     def describe(batches):
-        frequency = counts.value
         for batch in slices(batches):
             sizes, keys, prefixes = [], [], []
-            for own in document_sets(concat(batch.column("text")), k):
+            for own, order in rare_first(concat(batch.column("text")), k, *counts.value):
                 n = len(own)
                 sizes.append(n)
                 keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if n else None)
-                order = np.argsort(frequency[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                 prefixes.append(own[order[: n - -(-percent * n // 100) + 1]].view(np.int64))
             cuts = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(prefixes)))
@@ -92,33 +138,44 @@ def _suffix_filter(x: np.ndarray, y: np.ndarray, allowed: int, parts: int = 16)
     return int(np.abs(np.diff(cx, prepend=0, append=len(x)) - np.diff(cy, prepend=0, append=len(y))).sum()) <= allowed
 
 
-def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of ``pairs(a, b)``, those that meet the threshold, with the sizes ``both`` and ``either``."""
+def verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, k: int, percent: int) -> DataFrame:
+    """Of stored ``pairs(a, b)``, those that meet the threshold, with the sizes ``both`` and ``either``; a stored table.
+
+    The partners of one ``a`` are dealt into groups of about ``STAR``; its text is sent once to each, and its set made
+    once. Texts are picked out of the corpus by the ids that occur in pairs.
+    """
+    wanted = scratch.table(f"{name}-ids", pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    texts = scratch.table(f"{name}-texts", docs.join(ids, "doc_id", "left_semi"))
+    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("groups"))
+    dealt = scratch.table(f"{name}-dealt", pairs.join(groups, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("group"), "b"))
+    heads = dealt.select("a", "group").distinct().join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "group", F.lit(None).cast("long").alias("b"), "text")
+    others = dealt.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "group", "b", "text")
 
     def check(batches):
-        last: dict = {}
+        key, first = None, []
         for batch in slices(batches):
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            # A bucket's first document comes in many pairs: its set is made once in a batch.
-            sides = []
-            for column in ("text_a", "text_b"):
-                coded = concat(batch.column(column)).dictionary_encode()
-                sets = list(document_sets(coded.dictionary, k))
-                sides.append([sets[i] for i in coded.indices.to_pylist()])
             found = []
-            for i, (x, y) in enumerate(zip(*sides)):
-                least = -(-percent * (len(x) + len(y)) // (100 + percent))
-                if not _suffix_filter(x, y, len(x) + len(y) - 2 * least):
+            for a, group, b, own in zip(*(batch.column(c).to_pylist() for c in ("a", "group", "b")), document_sets(concat(batch.column("text")), k)):
+                if (a, group) != key:
+                    key, first = (a, group), []
+                if b is None:
+                    first.append(own)
                     continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                either = len(x) + len(y) - both
-                if both and 100 * both >= percent * either:
-                    found.append((a[i], b[i], both, either))
+                for x in first:
+                    least = -(-percent * (len(x) + len(own)) // (100 + percent))
+                    if not _suffix_filter(x, own, len(x) + len(own) - 2 * least):
+                        continue
+                    both = len(np.intersect1d(x, own, assume_unique=True))
+                    either = len(x) + len(own) - both
+                    if both and 100 * both >= percent * either:
+                        found.append((a, b, both, either))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (zip(*found) if found else ([], [], [], []))], ["a", "b", "both", "either"])
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long, both long, either long")
+    ordered = heads.unionByName(others).repartition("a", "group").sortWithinPartitions("a", "group", F.asc_nulls_first("b"))
+    out = scratch.table(name, ordered.mapInArrow(check, "a long, b long, both long, either long"))
+    scratch.drop(f"{name}-ids", f"{name}-texts", f"{name}-dealt")
+    return out
 
 
 def similar_documents(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -132,43 +189,42 @@ def similar_documents(spark: SparkSession, docs: DataFrame, k: int = 5, percent:
     are equal sets. Rows that share an id count as one document with several texts. Other columns are ignored.
     """
     scratch = Scratch(spark, "ngram-join")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs))
     described = scratch.table("described", describe_sets(spark, docs, k, percent))
-    first = described.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("set_id"))
-    with_words = described.where("n > 0").select("doc_id", "n", "set_key").join(first, "set_key").select("doc_id", "n", "set_id")
-    members = scratch.table("members", with_words.unionByName(described.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("set_id"))))
-    prefixes = scratch.table("prefixes", described.where("n > 0").join(first.withColumnRenamed("set_id", "doc_id"), ["set_key", "doc_id"]).select(F.col("doc_id").alias("set_id"), "n", "prefix"))
-    scratch.drop("described")
+    # Only sets that occur again meet their first document; stored, so that a join on a hot set can be split.
+    again = scratch.table("again", described.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("set_id"), F.count("*").alias("m")).where("m > 1").select("set_key", "set_id"))
+    owned = described.join(again, "set_key", "left").withColumn("set_id", F.coalesce("set_id", "doc_id"))
+    members = scratch.table("members", owned.select("doc_id", "n", "set_id"))
+    prefixes = scratch.table("prefixes", owned.where("n > 0 and set_id <=> doc_id").select("set_id", "n", "prefix"))
+    scratch.drop("described", "again")
 
     # The rows that meet on a shingle are kept narrow: size and position share a number.
     entries = prefixes.select("set_id", "n", F.posexplode("prefix").alias("pos", "shingle")).select("shingle", "set_id", (F.shiftleft("n", 32) + F.col("pos")).alias("at"))
-    heads = entries.groupBy("shingle").agg(F.min("set_id").alias("head"), F.max("set_id").alias("top")).where("head < top").select("shingle", "head")
+    heads = scratch.table("heads", entries.groupBy("shingle").agg(F.min("set_id").alias("head"), F.max("set_id").alias("top")).where("head < top").select("shingle", "head"))
     shared = scratch.table("shared", entries.join(heads, "shingle").select("shingle", "set_id", "head", F.shiftright("at", 32).alias("n"), F.col("at").bitwiseAND((1 << 32) - 1).alias("pos")))
-    scratch.drop("prefixes")
+    scratch.drop("prefixes", "heads")
 
     leading = shared.where("set_id = head").select("shingle", F.col("n").alias("head_n"), F.col("pos").alias("head_pos"))
     near_head = shared.where("set_id <> head").join(leading, "shingle").where(_may_link(F.col("n"), F.col("pos"), F.col("head_n"), F.col("head_pos"), percent))
     stars = scratch.table("stars", near_head.select(F.col("head").alias("a"), F.col("set_id").alias("b")).distinct())
-
-    wanted = scratch.table("wanted", shared.select(F.col("set_id").alias("doc_id")).distinct())
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    texts = scratch.table("texts", docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)).join(ids, "doc_id", "left_semi"))
-
-    star_links = scratch.table("star-links", verify(stars, texts, k, percent))
+    star_links = verify(stars, plain, scratch, "star-links", k, percent)
     joined_by_stars = scratch.table("star-components", components(star_links, scratch, "star"))
 
     # What is left: pairs in a bucket whose ends are still in different components.
-    labelled = shared.select("shingle", "set_id", "n", "pos").join(joined_by_stars.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    by_label = labelled.groupBy("shingle", "component").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.max(F.struct("m", "component")).alias("most"), F.count("*").alias("kinds")).where("kinds > 1").select("shingle", F.col("most.component").alias("major"))
+    labelled = scratch.table("labelled", shared.select("shingle", "set_id", "n", "pos").join(joined_by_stars.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id")))
+    by_label = scratch.table("by-label", labelled.groupBy("shingle", "component").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.max(F.struct("m", "component")).alias("most"), F.count("*").alias("kinds")).where("kinds > 1").select("shingle", F.col("most.component").alias("major")))
     open_rows = scratch.table("open", labelled.join(by_label, "shingle"))
+    scratch.drop("shared", "labelled", "by-label")
     minor, other = open_rows.where("component <> major").alias("x"), open_rows.alias("y")
     met = minor.join(other, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.major")) | (F.col("x.set_id") < F.col("y.set_id"))) & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent))
-    later = met.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    later_links = scratch.table("later-links", verify(later, texts, k, percent))
+    later = scratch.table("later", met.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
+    scratch.drop("open", "stars")
+    later_links = verify(later, plain, scratch, "later-links", k, percent)
 
     links = star_links.unionByName(later_links)
     spanning = joined_by_stars.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(later_links.select("a", "b"))
     final = scratch.table("components", components(spanning, scratch, "all"))
-    scratch.drop("texts", "open", "shared")
+    scratch.drop("star-components", "later")
     out = members.join(final.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "set_id", F.coalesce("component", "set_id").alias("component_id"))
     return out, links
 
