@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairground.llm.common import Scratch
+from fairground.llm.common import Scratch, runs
 
 ROLES = ("system", "user", "assistant")
 #: Words that name a speaker before a colon, or stand in a chat tag.
@@ -104,28 +104,6 @@ def emissions(hmm: Hmm) -> Column:
     return F.array(*out)
 
 
-def runs(batches, keys: list[str]):
-    """Batches of a sorted stream, cut so that rows with equal keys are never in two of them."""
-    rest: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        last = [batch.column(k)[batch.num_rows - 1] for k in keys]
-        at = batch.num_rows
-        while at and all(batch.column(k)[at - 1].equals(v) for k, v in zip(keys, last)):
-            at -= 1
-        if at:
-            yield pa.Table.from_batches([*rest, batch.slice(0, at)]).combine_chunks()
-            rest = [batch.slice(at)]
-        elif rest and not all(rest[-1].column(k)[rest[-1].num_rows - 1].equals(v) for k, v in zip(keys, last)):
-            yield pa.Table.from_batches(rest).combine_chunks()
-            rest = [batch]
-        else:
-            rest.append(batch)
-    if rest:
-        yield pa.Table.from_batches(rest).combine_chunks()
-
-
 def _groups(table: pa.Table, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """First rows of the groups, longest group first, and the groups' lengths."""
     new = np.zeros(table.num_rows, bool)

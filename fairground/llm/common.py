@@ -124,3 +124,25 @@ def free_name(wanted: str, *taken: str) -> str:
 def drawn(share: float, *of, salt: int = 0):
     """Whether a row is among ``share`` of all rows, by 62 bits of a hash: fine enough for one row in 10**18."""
     return F.xxhash64(*of, F.lit(salt)).bitwiseAND((1 << 62) - 1) < F.lit(int(min(1.0, share) * (1 << 62)))
+
+
+def runs(batches, keys: list[str]):
+    """Batches of a sorted stream, cut so that rows with equal keys are never in two of them."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [batch.column(k)[batch.num_rows - 1] for k in keys]
+        at = batch.num_rows
+        while at and all(batch.column(k)[at - 1].equals(v) for k, v in zip(keys, last)):
+            at -= 1
+        if at:
+            yield pa.Table.from_batches([*rest, batch.slice(0, at)]).combine_chunks()
+            rest = [batch.slice(at)]
+        elif rest and not all(rest[-1].column(k)[rest[-1].num_rows - 1].equals(v) for k, v in zip(keys, last)):
+            yield pa.Table.from_batches(rest).combine_chunks()
+            rest = [batch]
+        else:
+            rest.append(batch)
+    if rest:
+        yield pa.Table.from_batches(rest).combine_chunks()

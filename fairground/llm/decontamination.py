@@ -1,27 +1,35 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words of documents and test items meet in shared runs of ``seed`` words (Karp-Rabin hashes of every window). In each
-document that shares seeds with an item, the longest matches that do not overlap are marked again and again until none
-of ``seed`` words is left; the share of the item's words under tiles is its coverage. Since tiles may lie in any order,
-passages that were moved about are caught like whole ones.
+Words of documents and test items meet in shared runs of ``seed`` words, by rolling Karp-Rabin hashes: the items' seeds
+are a table, a bounded filter of its hashes tells which windows of a document may be one, and these are joined with it.
+In each document that shares seeds with an item, the longest matches that do not overlap are marked again and again
+until none of ``seed`` words is left; the share of the item's words under tiles is its coverage. Since tiles may lie in
+any order, passages that were moved about are caught like whole ones. Items of fewer words are one seed each.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairground.llm.common import concat, hash_words, shingle_hashes, slices, split_words, text_column
+from fairground.llm.common import Scratch, concat, free_name, hash_words, mix, runs, slices, split_words, text_column
 
-#: Characters of test items that one pass holds; more items are taken in further passes over the documents.
-BLOCK_CHARS = 32_000_000
+#: Bits of the filter, as powers of two: at least, and at most whatever the number of items (16 MB).
+LEAST_BITS, MOST_BITS = 20, 27
+#: Found rows up to this many are broadcast to the documents; more are joined by a shuffle.
+BROADCAST_FOUND = 200_000
 
-FOUND = "doc_id long, item_id long, coverage double, tiles int, longest int"
+#: Base of the rolling hash and its inverse modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
+FOUND = "text_key string, item_id long, coverage double, tiles int, longest int"
 
 
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -30,6 +38,14 @@ def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hash_words(words), bounds
 
 
+def windows(hashes: np.ndarray, widths: list[int]) -> dict[int, np.ndarray]:
+    """Hashes of all runs of so many words, by width: differences of one running sum, brought to the same power."""
+    n = len(hashes)
+    power, back = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]), dtype=np.uint64) for b in (BASE, INVERSE))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:n], dtype=np.uint64)])
+    return {w: mix((total[w:] - total[: n + 1 - w]) * back[: n + 1 - w] + np.uint64(w)) if n >= w else np.zeros(0, np.uint64) for w in widths}
+
+
 def tile(doc_at: np.ndarray, item_at: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
     """Greedy tiles ``(document word, item word, length)`` from the places where both hold the same seed.
 
@@ -64,100 +80,132 @@ def tile(doc_at: np.ndarray, item_at: np.ndarray, seed: int) -> list[tuple[int,
     return tiles
 
 
-class Items:
-    """Seeds of a block of test items, to be held by every task."""
-
-    def __init__(self, ids: list[int], texts: list[str], seed: int):
-        self.ids, self.seed = ids, seed
-        hashes, bounds = plain_words(pa.array(texts, pa.string()))
-        self.lengths = np.diff(bounds)
-        windows = shingle_hashes(hashes, seed) if len(hashes) >= seed else np.zeros(0, np.uint64)
-        rows = [(w, n, k) for n, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) for k, w in enumerate(windows[a : max(a, b - seed + 1)])]
-        seeds = np.array([r[0] for r in rows], np.uint64)
-        order = np.argsort(seeds, kind="stable")
-        self.seeds = seeds[order]
-        self.item = np.array([r[1] for r in rows], np.int64)[order]
-        self.place = np.array([r[2] for r in rows], np.int64)[order]
-        self.mask = np.zeros(1 << 20, bool)
-        self.mask[(self.seeds >> np.uint64(44)).astype(np.int64)] = True
-
-    def covered(self, texts: pa.Array, threshold: float):
-        """For each text with an item covered enough: ``(row, item id, coverage, tiles, longest)``."""
-        hashes, bounds = plain_words(texts)
-        if len(hashes) < self.seed or not len(self.seeds):
-            return
-        windows = shingle_hashes(hashes, self.seed)
-        at = np.flatnonzero(self.mask[(windows >> np.uint64(44)).astype(np.int64)])
-        low = np.searchsorted(self.seeds, windows[at])
-        high = np.searchsorted(self.seeds, windows[at], side="right")
-        row = np.searchsorted(bounds, at, side="right") - 1
-        hit = (high > low) & (at + self.seed <= bounds[row + 1])
-        at, low, high, row = at[hit], low[hit], high[hit], row[hit]
-        if not len(at):
-            return
-        n = high - low
-        entry = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        at, row = np.repeat(at, n) - bounds[np.repeat(row, n)], np.repeat(row, n)
-        item, place = self.item[entry], self.place[entry]
-        pair = row * len(self.ids) + item
-        order = np.argsort(pair, kind="stable")
-        cuts = np.flatnonzero(np.diff(pair[order])) + 1
-        for own in np.split(order, cuts):
-            r, i = int(row[own[0]]), int(item[own[0]])
-            need = threshold * self.lengths[i]
-            # No tiling can cover more than all windows that were met.
-            if len(np.unique((place[own][:, None] + np.arange(self.seed)).ravel())) < need:
-                continue
-            tiles = tile(at[own], place[own], self.seed)
-            share = sum(t[2] for t in tiles) / self.lengths[i]
-            if share >= threshold:
-                yield r, self.ids[i], share, len(tiles), max(t[2] for t in tiles)
-
-
-def item_blocks(benchmark: DataFrame, seed: int):
-    """The test items in blocks of about ``BLOCK_CHARS`` characters, each small enough to be sent to every task."""
+def item_seeds(benchmark: DataFrame, seed: int) -> DataFrame:
+    """``seed, width, place, item, item_id, words``: every run of ``seed`` words of each item, or all of a shorter one."""
+
+    def cut(batches):
+        for batch in slices(batches):
+            hashes, bounds = plain_words(concat(batch.column("text")))
+            sizes = np.diff(bounds)
+            width = np.minimum(sizes, seed)
+            n = np.where(sizes > 0, sizes - width + 1, 0)
+            row = np.repeat(np.arange(len(sizes)), n)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            found = windows(hashes, sorted(set(width.tolist()) - {0}))
+            value = np.zeros(len(row), np.uint64)
+            for w, own in found.items():
+                at = np.flatnonzero(width[row] == w)
+                value[at] = own[bounds[row[at]] + place[at]]
+            taken = [batch.column(c).take(pa.array(row)) for c in ("item", "item_id")]
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(width[row].astype(np.int32)), pa.array(place.astype(np.int32)), *taken, pa.array(sizes[row].astype(np.int32))], ["seed", "width", "place", "item", "item_id", "words"])
+
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_column(benchmark)).where("item_id is not null").distinct()
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = 1 + chars // BLOCK_CHARS
-    for b in range(blocks):
-        own = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        yield Items([r["item_id"] for r in own], [r["text"] for r in own], seed)
+    return rows.select(F.xxhash64("item_id", "text").alias("item"), "item_id", "text").mapInArrow(cut, "seed long, width int, place int, item long, item_id long, words int")
+
+
+def _bits_of(values: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The two places of a hash in the filter."""
+    return [(values >> np.uint64(64 - bits)).astype(np.int64), ((values << np.uint64(32)) >> np.uint64(64 - bits)).astype(np.int64)]
+
+
+def seed_filter(seeds: DataFrame, bits: int) -> np.ndarray:
+    """A filter of ``2**bits`` bits with two set for each seed, made on the executors and put together here."""
+
+    def mark(batches):
+        own = np.zeros(1 << bits, bool)
+        for batch in batches:
+            for at in _bits_of(batch.column("seed").to_numpy().view(np.uint64), bits):
+                own[at] = True
+        words = np.packbits(own).view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], ["at", "word"])
+
+    out = np.zeros(1 << (bits - 6), np.int64)
+    merged = seeds.select("seed").mapInArrow(mark, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    out[merged.column("at").to_numpy()] = merged.column("word").to_numpy()
+    return np.unpackbits(out.view(np.uint8)).astype(bool)
+
+
+def text_key() -> Column:
+    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def found_in(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, seed: int, threshold: float) -> DataFrame:
+    """``FOUND``: each different text and item of which tiles cover at least ``threshold``; a stored table."""
+    scratch = Scratch(spark, "tiling")
+    seeds = scratch.table("seeds", item_seeds(benchmark, seed))
+    known = seeds.agg(F.count("*").alias("n"), F.array_sort(F.collect_set("width")).alias("widths")).first()
+    if not known["n"]:
+        return spark.createDataFrame([], FOUND)
+    widths, bits = known["widths"], min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(64 * known["n"]))))
+    held = spark.sparkContext.broadcast(np.packbits(seed_filter(seeds, bits)))
+
+    def meet(batches):
+        mask = np.unpackbits(held.value).astype(bool)
+        for batch in slices(batches):
+            hashes, bounds = plain_words(concat(batch.column("text")))
+            rows, places, values = [], [], []
+            for w, own in windows(hashes, widths).items():
+                first, second = _bits_of(own, bits)
+                at = np.flatnonzero(mask[first])
+                at = at[mask[second[at]]]
+                row = np.searchsorted(bounds, at, side="right") - 1
+                inside = at + w <= bounds[row + 1]
+                rows.append(row[inside])
+                places.append((at - bounds[row])[inside])
+                values.append(own[at[inside]])
+            keys = batch.column("text_key").take(pa.array(np.concatenate(rows)))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(values).view(np.int64))], ["text_key", "at", "seed"])
+
+    hits = scratch.table("hits", docs.select(text_column(docs)).select("text", text_key().alias("text_key")).mapInArrow(meet, "text_key string, at int, seed long").distinct())
+    pairs = hits.join(seeds, "seed").select("text_key", "item", "at", "place", "width", "words", "item_id")
+
+    def cover(batches):
+        for table in runs(batches, ["text_key", "item"]):
+            keys, items = table.column("text_key").to_numpy(zero_copy_only=False), table.column("item").to_numpy()
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (items[1:] != items[:-1])) + 1
+            at, place, width, words = (table.column(c).to_numpy() for c in ("at", "place", "width", "words"))
+            found = []
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                own, size = int(width[a]), int(words[a])
+                # No tiling can cover more than all windows that were met.
+                if len(np.unique((place[a:b][:, None] + np.arange(own)).ravel())) < threshold * size:
+                    continue
+                tiles = tile(at[a:b], place[a:b], own)
+                share = sum(t[2] for t in tiles) / size
+                if share >= threshold:
+                    found.append((a, share, len(tiles), max(t[2] for t in tiles)))
+            rows = pa.array([f[0] for f in found], pa.int64())
+            columns = [table.column(c).combine_chunks().take(rows) for c in ("text_key", "item_id")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.int32())], ["text_key", "item_id", "coverage", "tiles", "longest"])
+
+    ordered = pairs.repartition("text_key", "item").sortWithinPartitions("text_key", "item")
+    out = scratch.table("found", ordered.mapInArrow(cover, FOUND))
+    scratch.drop("hits", "seeds")
+    return out
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, seed: int = 5, threshold: float = 0.5) -> DataFrame:
-    """One row for each document and item of which tiles cover at least ``threshold`` of the words.
+    """``doc_id, item_id, coverage, tiles, longest``: one row for each document row and item of which tiles cover at least ``threshold`` of the words.
 
-    Null and empty texts match nothing; items of fewer than ``seed`` words cannot be told from chance and match
-    nothing; repeated rows are reported once each. Other columns are ignored.
+    Long texts are read whole; null and empty texts match nothing. An item of fewer than ``seed`` words is found where
+    all its words stand in a row. Of equally long matches the earliest in the item and the document is marked first.
+    Repeated rows are reported once each; items that repeat id and text are one, items without an id none. Other
+    columns are ignored; empty tables give no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs))
-    out = spark.createDataFrame([], FOUND)
-    for items in item_blocks(benchmark, seed):
-        held = spark.sparkContext.broadcast(items)
-
-        def find(batches, held=held):
-            for batch in slices(batches):
-                found = list(held.value.covered(concat(batch.column("text")), threshold))
-                ids = batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.float64()), pa.array([f[3] for f in found], pa.int32()), pa.array([f[4] for f in found], pa.int32())], ["doc_id", "item_id", "coverage", "tiles", "longest"])
-
-        out = out.unionByName(rows.mapInArrow(find, FOUND))
-    return out
+    found = found_in(spark, docs, benchmark, seed, threshold)
+    side = F.broadcast(found) if found.count() <= BROADCAST_FOUND else found
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"))
+    return rows.join(side, "text_key").select("doc_id", "item_id", "coverage", "tiles", "longest")
 
 
 def without_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, seed: int = 5, threshold: float = 0.5) -> DataFrame:
-    """The documents, all columns as they are, of which no item is covered enough."""
-    out = docs
-    for items in item_blocks(benchmark, seed):
-        held = spark.sparkContext.broadcast(items)
-
-        def clean(batches, held=held):
-            for batch in slices(batches):
-                texts = pc.fill_null(concat(batch.column("text")).cast(pa.string()), "")
-                bad = np.zeros(batch.num_rows, bool)
-                for row, *_ in held.value.covered(texts, threshold):
-                    bad[row] = True
-                yield batch.filter(pa.array(~bad))
-
-        out = out.mapInArrow(clean, docs.schema)
-    return out
+    """The documents, all columns as they are, of which no item is covered enough; null and empty texts stay.
+
+    What counts as covered, and nulls, ties, repeated rows and empty tables, are as in ``contaminated``: rows with equal
+    texts stay or go together.
+    """
+    found = found_in(spark, docs, benchmark, seed, threshold).select("text_key").distinct()
+    side = F.broadcast(found) if found.count() <= BROADCAST_FOUND else found
+    key = free_name("text_key", *docs.columns)
+    return docs.withColumn(key, text_key()).join(side.withColumnRenamed("text_key", key), key, "left_anti").select(*docs.columns)

@@ -276,11 +276,49 @@ def test_contaminated(spark, make):
     assert decontamination.without_contaminated(spark, docs.limit(0), bench).count() == 0
 
 
-def test_items_in_blocks(spark, make, monkeypatch):
-    monkeypatch.setattr(decontamination, "BLOCK_CHARS", 40)
-    texts = [" ".join(f"{c}{i}" for i in range(8)) for c in "abcdef"]
-    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
-    assert sorted((r.doc_id, r.item_id) for r in decontamination.contaminated(spark, make(*texts), bench).collect()) == [(i, i) for i in range(6)]
+def test_short_items_and_shuffled_joins(spark, make, monkeypatch):
+    """Items of one to four words are found where they stand in a row; equal texts and rows without an id count each."""
+    texts = ["The capital of France is Paris.", "of France the capital is", "the capital, of FRANCE is!", None, "abc", "x abc", "the capital of france"]
+    bench = spark.createDataFrame([(1, "capital of France is"), (2, "abc"), (None, "of"), (3, "")], "item_id long, text string")
+    docs = make(*texts, texts[0]).withColumn("text_key", F.lit("own"))
+    for most in (200_000, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_FOUND", most)
+        rows = sorted((r.doc_id, r.item_id, r.coverage, r.tiles, r.longest) for r in decontamination.contaminated(spark, docs, bench).collect())
+        assert rows == [(0, 1, 1.0, 1, 4), (2, 1, 1.0, 1, 4), (4, 2, 1.0, 1, 1), (5, 2, 1.0, 1, 1), (7, 1, 1.0, 1, 4)]
+        kept = decontamination.without_contaminated(spark, docs, bench)
+        assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 6]
+
+
+@pytest.mark.parametrize("seed", [2, 5])
+def test_contaminated_by_brute_force(spark, make, seed):
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(9 if seed == 2 else 30)}"
+    items = [[word() for _ in range(rng.randint(1, 14))] for _ in range(25)]
+    docs = []
+    for _ in range(60):
+        own = [word() for _ in range(rng.randint(0, 25))]
+        for item in rng.sample(items, 2):
+            cut = rng.randrange(len(item) + 1)
+            own[rng.randrange(len(own) + 1) : 0] = item[cut:] + [word()] + item[:cut]
+        docs.append(own)
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    want = []
+    for d, own in enumerate(docs):
+        for i, item in enumerate(items):
+            tiles = tile_slowly(own, item, min(seed, len(item)))
+            share = sum(t[2] for t in tiles) / len(item)
+            if share >= 0.5:
+                want.append((d, i, share, len(tiles)))
+    got = decontamination.contaminated(spark, make(*(" ".join(d) for d in docs)), bench, seed=seed).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage, r.tiles) for r in got) == want
+
+
+def test_rolling_hashes():
+    x = np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64)
+    x[30:37] = x[3:10]
+    found = decontamination.windows(x, [1, 5, 7, 60])
+    assert [len(found[w]) for w in (1, 5, 7, 60)] == [50, 46, 44, 0]
+    assert found[7][3] == found[7][30] and len(set(found[7].tolist())) == 43 and len(set(found[5].tolist())) == 43
 
 
 # -- n-gram join -----------------------------------------------------------------------------------------------------
