@@ -27,7 +27,7 @@ _ANY = "|".join(SPEAKERS.values())
 MARKER = rf"(?im)^[ \t]*(?:<\|(?:im_start\|>)?(?:{_ANY})(?:\|>)?|\[(?:{_ANY})\]|#{{1,4}} ?(?:{_ANY})\b:?|\*{{0,2}}(?:{_ANY})\*{{0,2}} ?:\*{{0,2}})[ \t]*"
 #: A marker tells its role this surely; the rest is shared by the other roles and by segments without one.
 TRUST = 0.98
-#: Turns that one task decodes at a time of one conversation.
+#: Segments that are decoded at a time of one conversation.
 BLOCK = 2048
 
 FEATURES = ("length", "asks", "lines", "opening")
@@ -43,13 +43,14 @@ class Hmm:
 
 
 def segments(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
-    """``conv_id, turn, segment, marker, text`` and the features of each segment; other columns stay.
+    """``conv_id, turn, tie, row, segment, n, marker, text`` and the features of each segment, and the role ``given`` to its row.
 
-    Null text is one empty segment. A text in front of its first marker is a segment of its own.
+    Null text is one empty segment. A text in front of its first marker is a segment of its own. ``tie`` is a hash of
+    the row's text and ``row`` a number of its own: they order rows that share a turn.
     """
     parts = F.filter(F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), MARKER, "\u0001$0"), "\u0001"), lambda p: p.rlike(r"\S"))
-    cut = rows.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), *([F.lower("role").alias("given")] if "role" in rows.columns else [F.lit(None).cast("string").alias("given")]), F.when(F.size(parts) == 0, F.array(F.lit(""))).otherwise(parts).alias("parts"))
-    out = cut.select("conv_id", "turn", "given", F.size("parts").alias("n"), F.posexplode("parts").alias("segment", "raw"))
+    cut = rows.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), *([F.lower("role").alias("given")] if "role" in rows.columns else [F.lit(None).cast("string").alias("given")]), F.xxhash64(F.col(text).cast("string")).alias("tie"), F.monotonically_increasing_id().alias("row"), F.when(F.size(parts) == 0, F.array(F.lit(""))).otherwise(parts).alias("parts"))
+    out = cut.select("conv_id", "turn", "tie", "row", "given", F.size("parts").alias("n"), F.posexplode("parts").alias("segment", "raw"))
     head = F.lower(F.regexp_extract("raw", MARKER, 0))
     marker = F.lit(-1)
     for i, role in reversed(list(enumerate(ROLES))):
@@ -72,8 +73,9 @@ _SIZES = {"length": 16, "asks": 3, "lines": 8, "opening": 3}
 def fit(segs: DataFrame) -> Hmm:
     """Count the probabilities over all rows whose role is given and that hold one segment; add-one smoothed.
 
-    Steps are counted between turns ``n`` and ``n + 1`` by a join, so no conversation is ordered as a whole. Without
-    labels all is even, but for a start that prefers the system and turns that alternate.
+    Steps are counted between turns ``n`` and ``n + 1`` by a join of the counts of roles in each, so no conversation is
+    ordered as a whole, and a turn that many rows share counts once a row. Without labels all is even, but for a start
+    that prefers the system and turns that alternate.
     """
     code = F.coalesce(*(F.when(F.col("given") == r, i) for i, r in enumerate(ROLES)))
     known = segs.where("n = 1").withColumn("state", code).where("state is not null").select("conv_id", "turn", "state", *FEATURES)
@@ -87,8 +89,9 @@ def fit(segs: DataFrame) -> Hmm:
     for r in known.where("turn = 0").groupBy("state").agg(F.count("*").alias("m")).collect():
         start[r["state"]] += r["m"]
     step = np.array([[0.1, 1.0, 0.3], [0.02, 0.2, 1.0], [0.02, 1.0, 0.2]])
-    after = known.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("state").alias("then"))
-    for r in known.select("conv_id", "turn", "state").join(after, ["conv_id", "turn"]).groupBy("state", "then").agg(F.count("*").alias("m")).collect():
+    turns = known.groupBy("conv_id", "turn", "state").agg(F.count("*").alias("m"))
+    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("state").alias("then"), F.col("m").alias("k"))
+    for r in turns.join(after, ["conv_id", "turn"]).groupBy("state", "then").agg(F.sum(F.least("m", "k")).alias("m")).collect():
         step[r["state"], r["then"]] += r["m"]
     return Hmm(np.log(start / start.sum()), np.log(step / step.sum(axis=1, keepdims=True)), emission)
 
@@ -109,8 +112,9 @@ def _groups(table: pa.Table, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
     new = np.zeros(table.num_rows, bool)
     new[0] = True
     for k in keys:
-        values = table.column(k).to_pandas().to_numpy()
-        new[1:] |= ~((values[1:] == values[:-1]) | ((values[1:] != values[1:]) & (values[:-1] != values[:-1])))
+        column = table.column(k)
+        for values in (column.fill_null(0).to_numpy(), column.is_null().to_numpy()):
+            new[1:] |= values[1:] != values[:-1]
     first = np.flatnonzero(new)
     size = np.diff(np.append(first, table.num_rows))
     order = np.argsort(-size, kind="stable")
@@ -144,7 +148,7 @@ def transfer(score: np.ndarray, first: np.ndarray, size: np.ndarray, into: np.nd
     return best
 
 
-KEYS, ORDER = ["conv_id", "block"], ["conv_id", "block", "turn", "segment", "tie"]
+KEYS, ORDER = ["conv_id", "block"], ["conv_id", "block", "at"]
 
 
 def boundaries(scored: DataFrame, into: np.ndarray) -> DataFrame:
@@ -177,7 +181,7 @@ def boundaries(scored: DataFrame, into: np.ndarray) -> DataFrame:
         conv = pa.array([table.column("conv_id")[0].as_py()] * len(pdf), pa.int64())
         return pa.table({"conv_id": conv, "block": pa.array(pdf["block"].to_numpy(), pa.int64()), "before": pa.array([3, *last[:-1]], pa.int32()), "last": pa.array(last, pa.int32())})
 
-    long = scored.join(spans, "conv_id", "left_semi").select(*ORDER, "score")
+    long = scored.select(*ORDER, "score").join(spans.withColumnRenamed("conv_id", "_long"), F.col("conv_id").eqNullSafe(F.col("_long")), "left_semi")
     blocks = long.repartition("conv_id", "block").sortWithinPartitions(*ORDER).mapInArrow(sums, "conv_id long, block long, m array<double>")
     return blocks.groupBy("conv_id").applyInArrow(chain, "conv_id long, block long, before int, last int")
 
@@ -190,17 +194,24 @@ def format_transcripts(spark: SparkSession, rows: DataFrame, block: int = BLOCK)
     """``conv_id, turn, segment, role, text, rendered``: each segment with its recovered role and in canonical form.
 
     ``rows`` hold ``conv_id``, ``turn`` and ``text``; ``role``, where given, is only counted, never read for the row's
-    own prediction. Rows without a conversation are one conversation; rows that share a turn follow the order of their
-    texts; a null turn comes first. Null and empty texts are kept as an empty turn. Other columns are ignored.
-
-    A conversation is decoded in blocks of ``block`` turns whose boundary states are found first, so one with a third
-    of all turns is spread over tasks and still decoded exactly.
+    own prediction. Rows without a conversation are one conversation; a null turn comes first; rows that share a turn
+    follow a hash of their texts, rows equal in that too the order they come in, and the segments of a row stay
+    together. Null and empty texts are kept as an empty turn; long texts are read whole; repeated rows are turns of
+    their own. Other columns are ignored; an empty table gives no rows.
+
+    All segments are sorted into files by ranges of conversation, turn and those ties, so that one conversation with a
+    third of all rows, even of one turn or none, lies in many files. It is decoded in blocks of ``block`` segments of a
+    file whose boundary states are found first, so it is spread over tasks and still decoded exactly.
     """
     scratch = Scratch(spark, "chat")
-    segs = segments(rows).withColumns({"block": F.floor(F.coalesce("turn", F.lit(-1)) / block).cast("long"), "tie": F.xxhash64("text")})
+    first = [F.asc_nulls_first(c) for c in ("conv_id", "turn", "tie", "row", "segment")]
+    stored = scratch.table("segments", segments(rows).orderBy(*first))
+    # Files are numbered in the order of their ranges.
+    part, at = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long"), F.col("_metadata.row_index")
+    segs = stored.select("*", (part * (1 << 32) + F.floor(at / block)).alias("block"), at.alias("at"))
     hmm = fit(segs)
     into = np.vstack([hmm.step, hmm.start])
-    scored = segs.withColumn("score", emissions(hmm)).select(*ORDER, "score", "text")
+    scored = segs.withColumn("score", emissions(hmm)).select(*ORDER, "turn", "segment", "score", "text")
     sides = scratch.table("sides", boundaries(scored, into))
 
     def decode(batches):

@@ -163,6 +163,31 @@ def test_transcripts(spark):
     assert chat.format_transcripts(spark, table.limit(0)).count() == 0
 
 
+def test_one_hot_turn_is_decoded_in_blocks(spark):
+    """Rows without conversation and turn, and repeats of one turn, against Viterbi over each conversation as a whole."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    texts = ["short?", "a long answer\nwith lines " * 4, "User: hi\nAssistant: well\nUser: so?", "System: be kind", "- a\n- b", None]
+    hot = [(None, None, None, texts[i]) for i in rng.integers(0, 6, 90)] + [(7, 1, None, texts[i]) for i in rng.integers(0, 6, 60)] + [(7, int(t), None, texts[i]) for t, i in enumerate(rng.integers(0, 6, 9))]
+    known = [(c, t, ["user", "assistant"][t % 2], texts[t % 2]) for c in range(20, 30) for t in range(6)]
+    table = conversation(spark, *hot, *known).withColumns({"block": F.lit("own"), "at": F.lit(1)})
+    segs = chat.segments(table)
+    hmm = chat.fit(segs)
+    rows = segs.withColumn("score", chat.emissions(hmm)).collect()
+    low = lambda x: (x is not None, x or 0)
+    rows.sort(key=lambda r: (low(r.conv_id), low(r.turn), r.tie, r.row, r.segment))
+    want = []
+    for conv in {r.conv_id for r in rows}:
+        own = [r for r in rows if r.conv_id == conv]
+        path = viterbi_slowly(np.array([r.score for r in own]), hmm.start, hmm.step)
+        want += [(conv, r.turn, r.segment, chat.ROLES[s], r.text) for r, s in zip(own, path)]
+    key = lambda r: tuple(map(str, r))
+    for block in (3, 2048):
+        got = [tuple(r)[:5] for r in chat.format_transcripts(spark, table, block=block).collect()]
+        assert sorted(got, key=key) == sorted(want, key=key)
+
+
 def test_pipeline(spark, make, tmp_path):
     import corpus_pipeline
 
