@@ -84,6 +84,20 @@ def ask(rows: DataFrame, factory: Callable[[], Provider], tries: int = 3) -> Dat
     return rows.select("artifact_id", "prompt", "images").mapInPandas(call, "artifact_id string, raw_output string, errore string")
 
 
+#: Version of the question, stored with each answer.
+PROMPT_VERSION = "1"
+
+
+def records(answers: DataFrame, model: str, now: str) -> DataFrame:
+    """Answers as stored extractions: with an id, the model and question they come from, what could be read, and the time."""
+    read = F.from_json("raw_output", schemas.EXTRACTION)
+    rows = answers.where("raw_output is not null").withColumn("_r", read)
+    best = F.array_max(F.transform("_r.eventi", lambda e: e["confidenza"]))
+    return rows.select(
+        F.substring(F.sha1(F.concat_ws("|", "artifact_id", F.lit(model), F.lit(PROMPT_VERSION))), 1, 16).alias("extraction_id"), "artifact_id", F.lit(model).alias("model"), F.lit(PROMPT_VERSION).alias("prompt_version"), "raw_output", F.to_json("_r").alias("parsed_json"), best.alias("confidence"), F.lit(now).alias("created_at")
+    )
+
+
 def not_extracted(artifacts: DataFrame, extractions: DataFrame) -> DataFrame:
     """Artifacts whose content has no extraction yet."""
     return artifacts.join(extractions.select("artifact_id"), "artifact_id", "left_anti")
@@ -122,6 +136,7 @@ def event_rows(events: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     Without a start an event is dropped; without a place, or under the threshold, it is quarantined. The gate reads the
     score as it is; what is stored lies from 0 to 100.
     """
+    first_of = lambda c: F.try_element_at(F.col(c), F.lit(1)) if c in events.columns else F.lit(None).cast("string")
     score = scores.final_confidence(F.col("confidenza"), F.coalesce("penalty", F.lit(0)), F.col("anno_esplicito"), settings)
     rows = events.withColumn("_score", score)
     return rows.withColumns(
@@ -133,7 +148,12 @@ def event_rows(events: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
             "titolo": T.title_display(F.col("titolo")),
             "descrizione": F.left(F.coalesce("descrizione", F.lit("")), F.lit(settings.max_description)),
             "data_fine": F.coalesce(F.nullif("data_fine", F.lit("")), "data_inizio"),
+            "luogo": F.col("luogo_testuale"),
             "ora_inizio": dates.clock_time(F.col("ora_inizio")) if "ora_inizio" in rows.columns else F.lit(None).cast("string"),
+            "ora_fine": dates.clock_time(F.col("ora_fine")) if "ora_fine" in rows.columns else F.lit(None).cast("string"),
+            "url_immagine": first_of("image_paths"),
+            # A further link that nobody named is the picture's own address: it can be opened at least.
+            "url_approfondimento": F.coalesce(F.nullif("url_approfondimento", F.lit("")), first_of("image_urls")) if "url_approfondimento" in rows.columns else first_of("image_urls"),
             "campi_incerti": F.nullif(F.array_join("campi_incerti", ", "), F.lit("")),
             "confidenza": F.greatest(F.lit(0), F.least(F.lit(100), F.col("_score"))),
         }

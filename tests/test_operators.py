@@ -178,8 +178,118 @@ def test_ingest_and_merge(spark):
     src = table(spark, schemas.SOURCES, {"source_id": "comune-asti", "categoria": "comune"})
     rows = publish.ingest(arts, src, comuni(spark), day(), extract.RuleProvider)
     assert sorted((r.titolo, r.comune, r.confidenza, r.esito) for r in rows.collect()) == [("Fiera D'autunno", "Asti", 92, "pubblicato"), ("Sagra del 12 ottobre 2026 in piazza del mercato vecchio", "Asti", 82, "pubblicato")]
-    events, edges = publish.merge_events(spark.createDataFrame([], schemas.EVENTS), spark.createDataFrame([], schemas.EVENT_SOURCES), rows, "2026-08-22")
-    assert events.count() == 2 and edges.count() == 2
+    events, edges, outcomes = publish.merge_events(spark.createDataFrame([], schemas.EVENTS), spark.createDataFrame([], schemas.EVENT_SOURCES), rows, "2026-08-22")
+    assert events.count() == 2 and edges.count() == 2 and sorted(r.esito for r in outcomes.collect()) == ["pubblicato"] * 2
+
+
+ROWS = IN + ", prezzo string, esito string"
+
+
+def merged(spark, stored, edges, *rows):
+    events, edges, outcomes = publish.merge_events(stored, edges, publish.event_columns(table(spark, ROWS, *rows)), "2026-08-23")
+    keep = lambda df: spark.createDataFrame(df.collect(), df.schema)
+    return keep(events), keep(edges), {r.seq: r for r in outcomes.collect()}
+
+
+def test_merge_follows_the_event_folded_into(spark):
+    """Verdicts reach the event of a fuzzy match; columns the batch lacks stay; rejected rows have a reason."""
+    none, edges = spark.createDataFrame([], schemas.EVENTS), spark.createDataFrame([], schemas.EVENT_SOURCES)
+    near = {"titolo": "Tartufo bianco del Monferrato", "titolo_normalizzato": "bianco del monferrato tartufo"}
+    events, edges, out = merged(spark, none, edges, event(seq=1, source_id="a", prezzo="5 euro", esito="pubblicato"), event(seq=2, source_id="a", comune=None, comune_normalizzato=None, esito="quarantena"), event(seq=3, source_id="a", data_inizio=None, esito="scartato"))
+    assert [(out[n].esito, out[n].motivo, out[n].event_id is None) for n in (1, 2, 3)] == [("pubblicato", None, False), ("quarantena", "comune_ambiguo", True), ("scartato", "data_mancante", True)]
+    first = events.first()
+    # A doubtful sighting of the same event under another title: no second event, and the first is in doubt.
+    events, edges, out = merged(spark, events, edges, event(seq=1, source_id="b", esito="quarantena", **near))
+    assert events.count() == 1 and out[1].event_id == first.event_id and events.first().stato == "quarantena"
+    # Confirmed again, by yet another title, after a doubtful one: the last to arrive decides.
+    events, edges, out = merged(spark, events, edges, event(seq=7, source_id="c", esito="pubblicato", **near), event(seq=2, source_id="c", esito="quarantena"))
+    assert events.first().stato == "nuovo" and edges.count() == 3
+    for decided in ("ok", "scartato"):
+        kept = events.withColumn("stato", F.lit(decided))
+        assert merged(spark, kept, edges, event(seq=1, source_id="b", esito="quarantena"))[0].first().stato == decided
+    # A batch without prices leaves them.
+    plain = table(spark, IN, event(seq=1, source_id="z", titolo="Sagra del Tartufo Bianco"))
+    again, _ = dedup.upsert_events(events.withColumn("prezzo", F.lit("5 euro")), edges, plain, "2026-08-24")
+    row = again.first()
+    assert (row.prezzo, row.titolo, row.primo_visto, row.ultimo_visto) == ("5 euro", "Sagra del Tartufo Bianco", "2026-08-23", "2026-08-24")
+
+
+def fold_slowly(stored, rows):
+    """One pass over all sightings against all events, by the rules as sets."""
+    rules = dedup._python_rules()
+    events = [dict(e) for e in stored]
+    where = {}
+    for r in rows:
+        hit = next((e for e in events if e["id"] == r["id"]), None)
+        if hit is None:
+            for e in events:
+                if e["open"] and (e["day"], e["town"]) == (r["day"], r["town"]) and rules(set(r["key"].split()), set(e["key"].split()), r["text"].strip().lower(), e["text"].strip().lower(), {r["source"]}, e["sources"]):
+                    hit = e
+                    break
+        if hit is None:
+            hit = {"id": r["id"], "day": r["day"], "town": r["town"], "open": True, "locked": False, "sources": set(), "key": r["as_stored"], "text": r["text"]}
+            events.append(hit)
+        elif not hit["locked"]:
+            hit |= {"key": r["as_stored"], "text": r["text"]}
+        hit["sources"] = hit["sources"] | {r["source"]}
+        where[r["seq"]] = hit["id"]
+    return where
+
+
+def test_fold_against_one_pass(spark):
+    import random
+
+    words = "mercatino natale castello concerto banda gara pesca evento sagra".split()
+    for seed in range(4):
+        rng = random.Random(seed)
+        rows = [event(seq=i, source_id=f"s{rng.randrange(3)}", titolo=(title := " ".join(rng.choices(words, k=rng.randint(1, 5))).capitalize()), titolo_normalizzato=title, descrizione=rng.choice(["", "vieni a trovarci", "vieni a vederci", None, title]), data_inizio=f"2026-10-0{rng.randint(1, 2)}", comune=(town := rng.choice(["Asti", "Calosso"])), comune_normalizzato=town.lower()) for i in range(120)]
+        incoming = table(spark, IN, *rows).withColumn("titolo_normalizzato", T.title_key(F.col("titolo"), F.col("comune")))
+        stored_rows = rows[:40:3]
+        stored = publish.migrate(dedup.keyed(incoming.where(F.col("seq").isin([r["seq"] for r in stored_rows]))).dropDuplicates(["event_id"]), schemas.EVENTS).withColumns({"bloccato": F.when(F.length("titolo") % 4 == 0, "si").otherwise("no"), "archiviato": F.when(F.length("titolo") % 5 == 0, "si").otherwise("no")})
+        stored = spark.createDataFrame(stored.orderBy("event_id").collect(), stored.schema)
+        edges = spark.createDataFrame([(r.event_id, "s1", "u", "2026-01-01") for r in stored.collect()], schemas.EVENT_SOURCES)
+        new = dedup.keyed(incoming)
+        got = {r.seq: r.target for r in dedup.fold_targets(stored, edges, new).collect()}
+        known = stored.withColumn("key", T.title_key(F.col("titolo"))).orderBy("event_id").collect()
+        begin = [{"id": r.event_id, "day": r.data_inizio, "town": r.comune, "open": r.archiviato == "no", "locked": r.bloccato == "si", "sources": {"s1"}, "key": r.key, "text": r.descrizione or ""} for r in known]
+        seen = [{"seq": r.seq, "id": r.event_id, "day": r.data_inizio, "town": r.comune, "source": r.source_id, "key": r.titolo_normalizzato, "as_stored": r.k, "text": r.descrizione or ""} for r in new.withColumn("k", T.title_key(F.col("titolo"))).orderBy("seq").collect()]
+        assert got == fold_slowly(begin, seen) and len(set(got.values())) < 110
+        after, links = dedup.upsert_events(stored, edges, incoming, "2026-08-22")
+        assert {r.event_id for r in after.collect()} == {r.event_id for r in known} | set(got.values())
+        last = {got[r["seq"]]: r["titolo"] for r in rows}
+        locked = {r.event_id: r.titolo for r in known if r.bloccato == "si"}
+        assert {r.event_id: r.titolo for r in after.collect() if r.event_id in last} == last | {e: t for e, t in locked.items() if e in last}
+
+
+def test_similar_images_by_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    near = [b ^ sum({1 << rng.randrange(64) for _ in range(rng.randint(0, 11))}) for b in base for _ in range(6)]
+    cache = spark.createDataFrame([(f"{b:016x}", f"2026-01-{i + 1:02d}") for i, b in enumerate(base)] + [(None, "x"), ("zz", "y")], "phash string, first_seen string")
+    images = spark.createDataFrame([(f"i{i}", f"{n:016x}") for i, n in enumerate(near)] + [("no", None)], "image string, phash string")
+    for most in (8, 4, 0):
+        want = set()
+        for i, n in enumerate(near):
+            close = [(j, (b ^ n).bit_count()) for j, b in enumerate(base) if (b ^ n).bit_count() <= most]
+            if close:
+                want.add((f"i{i}", f"{base[close[0][0]]:016x}", close[0][1]))
+        assert {tuple(r) for r in dedup.similar_images(cache, images, most).collect()} == want
+
+
+def test_extraction_records(spark):
+    arts = table(spark, schemas.ARTIFACTS.replace("image_urls array<string>, ", ""), {"source_id": "comune-asti", "url": "v", "kind": "html", "text": "Sagra del 12 ottobre 2026 in piazza del mercato vecchio", "raw_hash": "k"}).withColumn("image_urls", F.array(F.lit("http://x/p.jpg")))
+    src = table(spark, schemas.SOURCES, {"source_id": "comune-asti", "categoria": "comune"})
+    stored = spark.createDataFrame([], schemas.EXTRACTIONS)
+    new = publish.extract_new(arts, stored, src, comuni(spark), day(), extract.RuleProvider, "2026-08-22T10:00:00")
+    assert new.columns == stored.columns
+    new = spark.createDataFrame(new.collect(), new.schema)
+    row = new.first()
+    assert row.model == "rules" and row.confidence == 85 and json.loads(row.parsed_json)["eventi"][0]["data_inizio"] == "2026-10-12" and row.extraction_id
+    assert publish.extract_new(arts, new, src, comuni(spark), day(), extract.RuleProvider, "x").count() == 0
+    read = publish.ingest(arts, src, comuni(spark), day(), extractions=new).collect()
+    assert [(r.titolo, r.url_approfondimento, r.esito) for r in read] == [("Sagra del 12 ottobre 2026 in piazza del mercato vecchio", "http://x/p.jpg", "pubblicato")]
 
 
 def test_views_edge_cases(spark):
