@@ -22,7 +22,7 @@ from fairground.functions import text as T
 
 #: Kinds of event.
 KINDS = "sagra gastronomia degustazione concerto teatro cinema mostra fiera sportivo bambini altro".split()
-SYSTEM = "Estrai gli eventi dal testo e rispondi solo con JSON secondo lo schema. Non inventare date o luoghi."
+SYSTEM = "Estrai gli annunci dal testo e rispondi solo con JSON secondo lo schema. Non inventare date o luoghi."
 
 
 class Provider(Protocol):
@@ -45,11 +45,11 @@ class RuleProvider:
         elif number:
             day = f"{number[3]}-{int(number[2]):02d}-{int(number[1]):02d}"
         else:
-            return json.dumps({"eventi": [], "non_e_un_evento": True, "motivo": "nessuna data"})
+            return json.dumps({"annunci": [], "non_e_un_evento": True, "motivo": "nessuna data"})
         kind = next((k for k in KINDS if re.search(rf"(?i)\b{k}", body)), "altro")
         explicit = bool(number or found[3])
         event = {"titolo": title[:200], "descrizione": body[:400], "tipologia": kind, "data_inizio": day, "anno_esplicito": explicit, "confidenza": 85 if explicit else 75, "ricorrenza": {"e_ricorrente": False}, "campi_incerti": []}
-        return json.dumps({"eventi": [event], "non_e_un_evento": False, "motivo": None}, ensure_ascii=False)
+        return json.dumps({"annunci": [event], "non_e_un_evento": False, "motivo": None}, ensure_ascii=False)
 
 
 PROVIDERS: dict[str, Callable[[], Provider]] = {"rules": RuleProvider}
@@ -92,7 +92,7 @@ def records(answers: DataFrame, model: str, now: str) -> DataFrame:
     """Answers as stored extractions: with an id, the model and question they come from, what could be read, and the time."""
     read = F.from_json("raw_output", schemas.EXTRACTION)
     rows = answers.where("raw_output is not null").withColumn("_r", read)
-    best = F.array_max(F.transform("_r.eventi", lambda e: e["confidenza"]))
+    best = F.array_max(F.transform("_r.annunci", lambda e: e["confidenza"]))
     return rows.select(
         F.substring(F.sha1(F.concat_ws("|", "artifact_id", F.lit(model), F.lit(PROMPT_VERSION))), 1, 16).alias("extraction_id"), "artifact_id", F.lit(model).alias("model"), F.lit(PROMPT_VERSION).alias("prompt_version"), "raw_output", F.to_json("_r").alias("parsed_json"), best.alias("confidence"), F.lit(now).alias("created_at")
     )
@@ -111,7 +111,7 @@ def within_quota(artifacts: DataFrame, used: Column, band: str = "fascia", image
 def parse(extractions: DataFrame) -> DataFrame:
     """One row an extracted event: ``artifact_id, pos`` and the event's fields. An answer that is not JSON gives none."""
     rows = extractions.withColumn("r", F.from_json("raw_output", schemas.EXTRACTION))
-    out = rows.select("artifact_id", F.posexplode("r.eventi").alias("pos", "e")).select("artifact_id", "pos", "e.*")
+    out = rows.select("artifact_id", F.posexplode("r.annunci").alias("pos", "e")).select("artifact_id", "pos", "e.*")
     fixed = {"confidenza": F.greatest(F.lit(0), F.least(F.lit(100), F.col("confidenza"))), "tipologia": F.when(F.col("tipologia").isin(KINDS), F.col("tipologia")).otherwise("altro"), "url_approfondimento": urls.further_url(F.col("url_approfondimento"))}
     return out.withColumns(fixed)
 

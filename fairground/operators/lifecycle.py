@@ -28,9 +28,16 @@ def leave_quarantine(events: DataFrame, confirmed: DataFrame) -> DataFrame:
     return events.join(seen, "event_id", "left").withColumn("stato", F.when(F.col("_seen") & (F.col("stato") == "quarantena"), "nuovo").otherwise(F.col("stato"))).drop("_seen")
 
 
+def last_rows(sheet: DataFrame, key: str) -> DataFrame:
+    """The last row of each key that is not blank: by ``riga`` where the sheet numbers its rows, else as it is stored."""
+    at = F.col("riga") if "riga" in sheet.columns else F.monotonically_increasing_id()
+    numbered = sheet.where(f"coalesce({key}, '') <> ''").select(F.struct(*sheet.columns).alias("_r"), F.col(key).alias("_k"), at.alias("_at"))
+    return numbered.groupBy("_k").agg(F.max_by("_r", "_at").alias("_r")).select("_r.*")
+
+
 def with_overrides(rows: DataFrame, sheet: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Rows with the operator's columns where the sheet has any; blank and null both mean none. The last row of a key counts."""
-    own = sheet.where(f"coalesce({key}, '') <> ''").groupBy(F.col(key).alias("_k")).agg(*(F.max(F.nullif(F.trim(F.col(c)), F.lit(""))).alias(f"_u_{c}") for c in columns))
+    own = last_rows(sheet, key).select(F.col(key).alias("_k"), *(F.nullif(F.trim(F.col(c)), F.lit("")).alias(f"_u_{c}") for c in columns))
     kept = {c: F.coalesce(F.col(f"_u_{c}"), F.col(c) if c in rows.columns else F.lit("")) for c in columns}
     return rows.join(own, rows[key] == own["_k"], "left").withColumns(kept).drop("_k", *(f"_u_{c}" for c in columns))
 
@@ -62,7 +69,7 @@ def action_tally(actions: DataFrame, edges: DataFrame) -> DataFrame:
 
 def pull_source_columns(sources: DataFrame, sheet: DataFrame) -> DataFrame:
     """Category and direct polling as the sheet has them for known sources; blank is null."""
-    own = sheet.where("coalesce(source_id, '') <> ''").groupBy("source_id").agg(*(F.max(F.nullif(F.trim(F.col(c)), F.lit(""))).alias(f"_{c}") for c in ("categoria", "polling_diretto")), F.lit(True).alias("_in"))
+    own = last_rows(sheet, "source_id").select("source_id", *(F.nullif(F.trim(F.col(c)), F.lit("")).alias(f"_{c}") for c in ("categoria", "polling_diretto")), F.lit(True).alias("_in"))
     take = {c: F.when(F.col("_in"), F.col(f"_{c}")).otherwise(F.col(c)) for c in ("categoria", "polling_diretto")}
     return sources.join(own, "source_id", "left").withColumns(take).drop("_categoria", "_polling_diretto", "_in")
 
@@ -70,7 +77,7 @@ def pull_source_columns(sources: DataFrame, sheet: DataFrame) -> DataFrame:
 def pull_queue_columns(queue: DataFrame, sheet: DataFrame) -> DataFrame:
     """Municipality and state as the sheet has them, where it has any and the state is a known one."""
     state = F.when(F.trim("stato").isin(QUEUE_STATES), F.trim("stato"))
-    own = sheet.where("coalesce(source_id, '') <> ''").groupBy("source_id").agg(F.max(F.nullif(F.trim("comune"), F.lit(""))).alias("_c"), F.max(state).alias("_s"))
+    own = last_rows(sheet, "source_id").select("source_id", F.nullif(F.trim("comune"), F.lit("")).alias("_c"), state.alias("_s"))
     return queue.join(own, "source_id", "left").withColumns({"comune": F.coalesce("_c", "comune"), "stato": F.coalesce("_s", "stato")}).drop("_c", "_s")
 
 
@@ -94,8 +101,8 @@ def apply_outcomes(sources: DataFrame, outcomes: DataFrame) -> DataFrame:
             "consecutive_errors": F.when(F.col("_ok").isNotNull(), F.col("_errors")).otherwise(F.coalesce("consecutive_errors", F.lit(0)) + F.coalesce("_errors", F.lit(0))).cast("int"),
             "ultimo_errore": F.when(ran, F.col("_message")).otherwise(F.col("ultimo_errore")),
             "last_run": F.when(ran, F.col("_end")).otherwise(F.col("last_run")),
-            "eventi_totali": plus("eventi_totali", "_total"),
-            "eventi_utili": plus("eventi_utili", "_useful"),
+            "esiti_totali": plus("esiti_totali", "_total"),
+            "esiti_utili": plus("esiti_utili", "_useful"),
         }
     ).drop("_ok", "_useful", "_total", "_errors", "_message", "_end")
 
@@ -113,6 +120,21 @@ def import_sources(sources: DataFrame, found: DataFrame) -> DataFrame:
     return both.withColumns({"endpoint": F.coalesce("_e", "endpoint"), "categoria": F.coalesce("_c", "categoria"), "tier": F.coalesce("tier", F.when(F.col("_e").isNotNull(), "T1_html"))}).drop("_e", "_c")
 
 
+def may_reprocess(sources: DataFrame) -> DataFrame:
+    """Sources of a tier whose pages can be read again for one source alone."""
+    return sources.where(F.col("tier").isin(REPROCESSABLE))
+
+
+def may_read_feed(state: DataFrame, platform: str, now: Column, settings: Settings = DEFAULT) -> DataFrame:
+    """Whether a platform's feed may be read now: not within ``feed_separation_minutes`` of its last lot of follows.
+
+    One row: ``permesso, minuti`` (since then, null if never).
+    """
+    last = state.where(F.col("chiave") == f"ultimo_lotto_follow_{platform}").agg(F.max(F.try_to_timestamp("valore")).alias("_t"))
+    minutes = (F.unix_timestamp(now) - F.unix_timestamp("_t")) / 60
+    return last.select(F.coalesce(minutes >= settings.feed_separation_minutes, F.lit(True)).alias("permesso"), minutes.alias("minuti"))
+
+
 def upsert_latest(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows by key, new ones instead of stored ones."""
     return stored.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.dropDuplicates(keys).select(*stored.columns))
@@ -219,7 +241,7 @@ def replace_after_replay(events: DataFrame, replayed: DataFrame) -> DataFrame:
 
 
 def replay_routes(events: DataFrame, edges: DataFrame) -> DataFrame:
-    """``rotta, chiave, eventi``: quarantined events by how they can be read again: posts by event, pages by source."""
+    """``rotta, chiave, annunci``: quarantined events by how they can be read again: posts by event, pages by source."""
     rows = events.where("stato = 'quarantena'").select("event_id").join(edges.select("event_id", "source_id").distinct(), "event_id")
     route = F.when(F.col("source_id").startswith("feed-instagram-"), "instagram").when(F.col("source_id").startswith("feed-facebook-"), "facebook_non_riprocessabile").otherwise("html")
-    return rows.withColumn("rotta", route).groupBy("rotta", F.when(F.col("rotta") == "html", F.col("source_id")).otherwise(F.col("event_id")).alias("chiave")).agg(F.countDistinct("event_id").alias("eventi"))
+    return rows.withColumn("rotta", route).groupBy("rotta", F.when(F.col("rotta") == "html", F.col("source_id")).otherwise(F.col("event_id")).alias("chiave")).agg(F.countDistinct("event_id").alias("annunci"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fairground.functions import filters, urls
 
+#: Paths of details, and how many the regional portal gives.
+DETAIL_PATH, REGIONAL_PATH, REGIONAL_LINKS = "^/event/[^/]+", "^/it/eventi/[^/]+", 20
 #: Limits of the dominant-prefix search and texts of links to an events page.
 MOST_LINKS, DOMINANT, GENERIC, NUMERIC = 15, 5, 0.85, 0.5
 EVENTS_LINK = r"(?i)^(?:(?:eventi|manifestazioni|agenda|calendario|cartellone|spettacoli|events|what'?s on)|(?:tutti\s+)?(?:gli|i|le|la|lo|il)\s+(?:eventi|manifestazioni|agenda|calendario|cartellone|spettacoli|events))$"
@@ -75,12 +77,30 @@ def detail_links(pages: DataFrame) -> DataFrame:
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= MOST_LINKS).select("page_url", "rank", "link")
 
 
-def event_links(pages: DataFrame, most: int = MOST_LINKS) -> DataFrame:
-    """``page_url, rank, link``: links whose path opens with ``event`` and goes on, in order of the alphabet."""
-    rows = page_links(pages).where(F.col("path").rlike("^/event/[^/]+")).select("page_url", "link").distinct()
+def event_links(pages: DataFrame, most: int = MOST_LINKS, under: str = DETAIL_PATH) -> DataFrame:
+    """``page_url, rank, link``: links whose path matches, in order of the alphabet; ``DETAIL_PATH`` has ``event`` as its
+    first segment and goes on, ``REGIONAL_PATH`` lies in the regional portal's list (take ``REGIONAL_LINKS`` of those)."""
+    rows = page_links(pages).where(F.col("path").rlike(under)).select("page_url", "link").distinct()
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("page_url").orderBy("link"))).where(F.col("rank") <= most).select("page_url", "rank", "link")
 
 
+def crawl(index: DataFrame, links: DataFrame, details: DataFrame) -> DataFrame:
+    """Events stated in JSON-LD on the detail pages that index pages link to; an index whose details state none is read itself.
+
+    ``index(source_id, url, html)``, ``links`` from ``event_links``, ``details(url, html)`` as landed: a page that could
+    not be read is missing and costs nothing else.
+    """
+    from fairground.sources.feeds import parse_jsonld
+
+    pages = index.select("source_id", "url").join(links.select(F.col("page_url").alias("url"), "link"), "url").select(F.concat_ws("\u0001", "source_id", "url").alias("source_id"), F.col("link").alias("url")).join(details, "url")
+    tagged = parse_jsonld(pages.select("source_id", "url", F.col("html").alias("payload")))
+    whose = F.split("source_id", "\u0001")
+    found = tagged.withColumn("source_id", whose[0])
+    told = tagged.select(whose[1].alias("url"), whose[0].alias("source_id")).distinct()
+    rest = index.join(told, ["url", "source_id"], "left_anti")
+    return found.unionByName(parse_jsonld(rest.select("source_id", "url", F.col("html").alias("payload"))))
+
+
 def events_page(html: Column, base: Column) -> Column:
     """The first link whose whole text names an events page."""
     pattern = r"""(?i)<a[^>]+href=["']([^"']+)["'][^>]*>([^<]*)</a>"""
@@ -105,13 +125,13 @@ def probe(homes: DataFrame, landed: DataFrame, sitemaps: DataFrame) -> DataFrame
     root = lambda c: F.regexp_extract(c, "^(https?://[^/]+)", 1)
     rows = homes.select("url", "html", events_page(F.col("html"), F.col("url")).alias("_link"), root(F.col("url")).alias("_root"))
     maps = sitemaps.select(root(F.col("url")).alias("_root"), F.nullif(F.regexp_extract("text", SITEMAP, 1), F.lit("")).alias("_map")).groupBy("_root").agg(F.min("_map").alias("_map"))
-    rows = rows.join(maps, "_root", "left").withColumn("pagina_eventi", F.coalesce("_link", "_map", "url"))
+    rows = rows.join(maps, "_root", "left").withColumn("pagina_calendario", F.coalesce("_link", "_map", "url"))
     rows = rows.withColumn("fonte_scoperta", F.when(F.col("_link").isNotNull(), "homepage").when(F.col("_map").isNotNull(), "sitemap").otherwise("nessuna"))
-    pages = landed.select(F.col("url").alias("pagina_eventi"), F.col("html").alias("_html"))
-    rows = rows.join(pages, "pagina_eventi", "left")
-    end = F.when(F.col("_html").isNotNull(), structured_endpoint(F.col("_html"), F.col("pagina_eventi"))).otherwise(structured_endpoint(F.col("html"), F.col("url")))
+    pages = landed.select(F.col("url").alias("pagina_calendario"), F.col("html").alias("_html"))
+    rows = rows.join(pages, "pagina_calendario", "left")
+    end = F.when(F.col("_html").isNotNull(), structured_endpoint(F.col("_html"), F.col("pagina_calendario"))).otherwise(structured_endpoint(F.col("html"), F.col("url")))
     unread = (F.col("fonte_scoperta") != "nessuna") & F.col("_html").isNull()
-    return rows.withColumn("_e", end).select("url", "pagina_eventi", "fonte_scoperta", F.col("_e.url").alias("endpoint_strutturato"), F.col("_e.kind").alias("tipo_endpoint"), F.when(unread, F.array(F.lit("pagina eventi non raggiungibile"))).otherwise(F.array().cast("array<string>")).alias("note"))
+    return rows.withColumn("_e", end).select("url", "pagina_calendario", "fonte_scoperta", F.col("_e.url").alias("endpoint_strutturato"), F.col("_e.kind").alias("tipo_endpoint"), F.when(unread, F.array(F.lit("pagina del calendario non raggiungibile"))).otherwise(F.array().cast("array<string>")).alias("note"))
 
 
 def fingerprints(pages: DataFrame) -> DataFrame:

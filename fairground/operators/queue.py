@@ -16,7 +16,7 @@ def by_priority(sources: DataFrame, comuni: DataFrame, as_of: Column, only_faili
     rows = sources.where("tier is not null").join(band, "source_id", "left")
     if only_failing:
         rows = rows.where("consecutive_errors > 0")
-    rows = rows.withColumn("priorita", scores.source_priority(F.col("fascia"), F.coalesce("eventi_utili", F.lit(0)), F.lit(0.0), F.col("last_run"), F.col("consecutive_errors"), as_of))
+    rows = rows.withColumn("priorita", scores.source_priority(F.col("fascia"), F.coalesce("esiti_utili", F.lit(0)), F.lit(0.0), F.col("last_run"), F.col("consecutive_errors"), as_of))
     rows = rows.orderBy(F.desc("priorita"), "source_id")
     return rows.limit(limit) if limit else rows
 

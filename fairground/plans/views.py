@@ -21,12 +21,17 @@ def _shown(events: DataFrame) -> DataFrame:
     return events.where("archiviato = 'no' and stato <> 'scartato'")
 
 
+def by_start(rows: DataFrame) -> DataFrame:
+    """Events by start and distance, as the sheets show them."""
+    return rows.orderBy(F.asc_nulls_first("data_inizio"), F.asc_nulls_first("km"), "id")
+
+
 def active_events(events: DataFrame, comuni: DataFrame, edges: DataFrame) -> DataFrame:
-    """Open events that are not dropped, with band and sources, by start and distance."""
+    """Open events that are not dropped, with band and sources; ``by_start`` puts what is written in order."""
     band = comuni.where("attivo = 'si'").select("comune", "fascia")
     rows = _shown(events).join(band, "comune", "left").join(sources_of(edges), "event_id", "left")
     rows = rows.withColumn("fonti", F.coalesce("fonti", F.lit(""))).withColumnRenamed("event_id", "id")
-    return rows.drop("dedup_key", "archiviato").orderBy(F.asc_nulls_first("data_inizio"), F.asc_nulls_first("km"), "id")
+    return rows.drop("dedup_key", "archiviato")
 
 
 def quarantine(active: DataFrame) -> DataFrame:
@@ -100,7 +105,21 @@ def all_sources(sources: DataFrame, queue: DataFrame, comuni: DataFrame, edges:
     social = queue.where("coalesce(url, '') <> '' and stato = 'seguito'").withColumn("_feed", feed).join(counts.withColumnRenamed("source_id", "_feed"), "_feed", "left").select(F.col("piattaforma").alias("fonte"), T.category_label(F.col("categoria")).alias("tipo"), F.coalesce("comune", F.lit("")).alias("comune"), "url", "attivi", "totale")
     rows = web.unionByName(social).withColumns({c: F.coalesce(c, F.lit(0)) for c in ("attivi", "totale")})
     order = [F.coalesce(F.nullif("comune", F.lit("")), F.lit("￿")), F.col("tipo"), F.col("fonte"), F.col("url")]
-    return rows.withColumn("numero", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)))
+    return numbered(rows, [c.alias(f"_o{i}") for i, c in enumerate(order)], "numero")
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Rows numbered from 1 in a whole order, without one task that sees them all.
+
+    Rows are numbered within each value of the first column of the order, and the values' counts are added up.
+    """
+    keys = [f"_o{i}" for i in range(len(order))]
+    keyed = rows.select(*rows.columns, *order)
+    before = Window.orderBy("_o0").rowsBetween(Window.unboundedPreceding, -1)  # one row a value
+    bases = keyed.groupBy("_o0").agg(F.count("*").alias("_m")).select(F.col("_o0").alias("_v"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_base"))
+    local = F.row_number().over(Window.partitionBy("_o0").orderBy(*keys[1:]))
+    placed = keyed.withColumn("_n", local).join(bases, F.col("_o0").eqNullSafe(F.col("_v")))
+    return placed.select(*rows.columns, (F.col("_base") + F.col("_n")).cast("int").alias(name))
 
 
 def sources_sheet(sources: DataFrame, comuni: DataFrame) -> DataFrame:
@@ -151,11 +170,11 @@ def series_sheet(series: DataFrame, sheet: DataFrame) -> DataFrame:
 
 
 def events_sheet(active: DataFrame, sheet: DataFrame) -> DataFrame:
-    return with_overrides(active, sheet, "id", schemas.COLONNE_UTENTE).select(*schemas.COLONNE_EVENTI)
+    return by_start(with_overrides(active, sheet, "id", schemas.COLONNE_UTENTE).select(*schemas.EVENT_COLUMNS))
 
 
 def quarantine_sheet(active: DataFrame, sheet: DataFrame) -> DataFrame:
-    return with_overrides(quarantine(active), sheet, "id", [*schemas.COLONNE_UTENTE, "azione"]).select(*schemas.COLONNE_QUARANTENA)
+    return by_start(with_overrides(quarantine(active), sheet, "id", [*schemas.COLONNE_UTENTE, "azione"]).select(*schemas.COLONNE_QUARANTENA))
 
 
 def source_detail(source_id: str, edges: DataFrame, events: DataFrame, extractions: DataFrame, artifacts: DataFrame) -> DataFrame:
@@ -171,9 +190,9 @@ def source_detail(source_id: str, edges: DataFrame, events: DataFrame, extractio
 
 def status(events: DataFrame, sources: DataFrame, edges: DataFrame) -> DataFrame:
     """One row of counters."""
-    e = events.agg(F.count("*").alias("eventi"), F.count_if(F.col("archiviato") == "no").alias("aperti"), F.count_if((F.col("archiviato") == "no") & (F.col("stato") == "quarantena")).alias("in_quarantena"))
+    e = events.agg(F.count("*").alias("annunci"), F.count_if(F.col("archiviato") == "no").alias("aperti"), F.count_if((F.col("archiviato") == "no") & (F.col("stato") == "quarantena")).alias("in_quarantena"))
     s = sources.agg(F.count("*").alias("fonti"), F.count_if(F.coalesce("consecutive_errors", F.lit(0)) > 0).alias("fonti_in_errore"))
-    return e.join(F.broadcast(s)).join(F.broadcast(edges.agg(F.countDistinct("source_id").alias("fonti_con_eventi"))))
+    return e.join(F.broadcast(s)).join(F.broadcast(edges.agg(F.countDistinct("source_id").alias("fonti_attive"))))
 
 
 def on_date(rows: DataFrame, day: Column, comune: str | None = None, tipologia: str | None = None) -> DataFrame:
@@ -225,8 +244,9 @@ def indicators(sources: DataFrame, extractions: DataFrame, events: DataFrame, qu
     b = row(used, 2, "Quota LLM residua", text(c("u"), s(f"/{budget} ("), F.round(part * 100).cast("int"), s("%)")), light(part >= 0.85, part >= 0.7))
     age = (F.unix_timestamp(now) - F.unix_timestamp(F.try_to_timestamp("r"))) / 3600
     d = row(one, 3, "Ultimo run completato", F.coalesce("r", s("mai eseguito")), light(c("r").isNull() | (age > 48), age > 36))
-    q = row(events.agg(F.count_if((c("stato") == "quarantena") & (c("archiviato") == "no")).alias("n")), 4, "Eventi in quarantena da rivedere", text(c("n")), light(c("n") >= 30, c("n") >= 10))
+    q = row(events.agg(F.count_if((c("stato") == "quarantena") & (c("archiviato") == "no")).alias("n")), 4, "Annunci in quarantena da rivedere", text(c("n")), light(c("n") >= 30, c("n") >= 10))
     n = lambda x: F.count_if(c("stato") == x)
     waiting = queue.agg(n("da_seguire").alias("x"), n("candidato_da_feed").alias("y"), n("quarantena").alias("z")).withColumn("n", c("x") + c("y") + c("z"))
     f = row(waiting, 5, "Coda follow in attesa", text(c("n"), s(" da lavorare ("), c("x"), s(" da seguire, "), c("y"), s(" candidati da feed, "), c("z"), s(" da verificare)")), light(c("n") >= 200, c("n") >= 50))
     return a.unionByName(b).unionByName(d).unionByName(q).unionByName(f).orderBy("ordine")
+

@@ -60,7 +60,7 @@ edges AS (
 sources AS (
   SELECT 'comune-' || replace(lower(n_name), ' ', '-') AS source_id, CASE WHEN n_nationkey % 6 = 0 THEN NULL ELSE 'T1_html' END AS tier, CASE WHEN n_nationkey % 11 = 3 THEN NULL ELSE 'https://c' || n_nationkey || '.example' END AS endpoint,
     CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE strftime(DATE '1998-06-15' - to_days(CAST(n_nationkey AS INTEGER)), '%Y-%m-%d') || ' 08:00:00' END AS last_run, CAST(n_nationkey % 4 AS INTEGER) AS consecutive_errors,
-    CAST(n_nationkey AS BIGINT) AS eventi_utili, 'comune' AS categoria, CASE WHEN n_nationkey % 10 = 9 THEN 'esclusa' ELSE 'attiva' END AS stato FROM nation
+    CAST(n_nationkey AS BIGINT) AS esiti_utili, 'comune' AS categoria, CASE WHEN n_nationkey % 10 = 9 THEN 'esclusa' ELSE 'attiva' END AS stato FROM nation
   UNION ALL
   SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'proloco-' || replace(lower(n_name), ' ', '-') || '-' || s_suppkey || '-sito' ELSE 'teatro-' || s_suppkey END, CASE WHEN s_suppkey % 3 = 0 THEN 'T0_rss' ELSE 'T1_html' END, 'https://s' || s_suppkey || '.example',
     strftime(DATE '1998-06-14' - to_days(CAST(s_suppkey % 50 AS INTEGER)), '%Y-%m-%d') || ' 09:30:00', CAST(CASE WHEN s_suppkey % 6 = 0 THEN 2 ELSE 0 END AS INTEGER), CAST(s_suppkey AS BIGINT), CASE WHEN s_suppkey % 2 = 0 THEN 'proloco' ELSE 'teatro' END,
@@ -120,11 +120,11 @@ def sources(spark, d):
     ago = lambda day, days, hour: F.concat(F.date_sub(F.lit(day).cast("date"), days.cast("int")).cast("string"), F.lit(hour))
     a = t(spark, d, "nation").select(
         F.concat(F.lit("comune-"), slugged("n_name")).alias("source_id"), F.when(n % 6 == 0, None).otherwise("T1_html").alias("tier"), F.when(n % 11 == 3, None).otherwise(F.concat(F.lit("https://c"), n.cast("string"), F.lit(".example"))).alias("endpoint"),
-        F.when(n % 5 == 0, None).otherwise(ago(AS_OF, n, " 08:00:00")).alias("last_run"), (n % 4).cast("int").alias("consecutive_errors"), n.cast("long").alias("eventi_utili"), F.lit("comune").alias("categoria"), F.when(n % 10 == 9, "esclusa").otherwise("attiva").alias("stato"),
+        F.when(n % 5 == 0, None).otherwise(ago(AS_OF, n, " 08:00:00")).alias("last_run"), (n % 4).cast("int").alias("consecutive_errors"), n.cast("long").alias("esiti_utili"), F.lit("comune").alias("categoria"), F.when(n % 10 == 9, "esclusa").otherwise("attiva").alias("stato"),
     )
     b = t(spark, d, "supplier").join(t(spark, d, "nation"), F.col("s_nationkey") == n).select(
         F.when(k % 2 == 0, F.concat(F.lit("proloco-"), slugged("n_name"), F.lit("-"), k.cast("string"), F.lit("-sito"))).otherwise(F.concat(F.lit("teatro-"), k.cast("string"))).alias("source_id"), F.when(k % 3 == 0, "T0_rss").otherwise("T1_html").alias("tier"), F.concat(F.lit("https://s"), k.cast("string"), F.lit(".example")).alias("endpoint"),
-        ago("1998-06-14", k % 50, " 09:30:00").alias("last_run"), F.when(k % 6 == 0, 2).otherwise(0).cast("int").alias("consecutive_errors"), k.cast("long").alias("eventi_utili"), F.when(k % 2 == 0, "proloco").otherwise("teatro").alias("categoria"), F.when(k % 17 == 0, "rotta").otherwise("attiva").alias("stato"),
+        ago("1998-06-14", k % 50, " 09:30:00").alias("last_run"), F.when(k % 6 == 0, 2).otherwise(0).cast("int").alias("consecutive_errors"), k.cast("long").alias("esiti_utili"), F.when(k % 2 == 0, "proloco").otherwise("teatro").alias("categoria"), F.when(k % 17 == 0, "rotta").otherwise("attiva").alias("stato"),
     )
     return a.unionByName(b)
 
@@ -244,7 +244,7 @@ w AS (SELECT count(*) FILTER (stato = 'da_seguire') AS x, count(*) FILTER (stato
 SELECT 'Fonti in errore/rotte' AS nome, e || ' in errore, ' || b || ' rotte (su ' || t || ')' AS valore, CASE WHEN b > 0 OR e / t > 0.2 THEN 'rosso' WHEN e > 0 THEN 'giallo' ELSE 'verde' END AS semaforo FROM s, b
 UNION ALL SELECT 'Quota LLM residua', u || '/400 (' || CAST(round(u / 400 * 100) AS INTEGER) || '%)', CASE WHEN u / 400 >= 0.85 THEN 'rosso' WHEN u / 400 >= 0.7 THEN 'giallo' ELSE 'verde' END FROM u
 UNION ALL SELECT 'Ultimo run completato', r, CASE WHEN date_diff('minute', CAST(r AS TIMESTAMP), TIMESTAMP '1998-06-15 12:00:00') / 60 > 48 THEN 'rosso' WHEN date_diff('minute', CAST(r AS TIMESTAMP), TIMESTAMP '1998-06-15 12:00:00') / 60 > 36 THEN 'giallo' ELSE 'verde' END FROM s
-UNION ALL SELECT 'Eventi in quarantena da rivedere', CAST(n AS VARCHAR), CASE WHEN n >= 30 THEN 'rosso' WHEN n >= 10 THEN 'giallo' ELSE 'verde' END FROM q
+UNION ALL SELECT 'Annunci in quarantena da rivedere', CAST(n AS VARCHAR), CASE WHEN n >= 30 THEN 'rosso' WHEN n >= 10 THEN 'giallo' ELSE 'verde' END FROM q
 UNION ALL SELECT 'Coda follow in attesa', (x + y + z) || ' da lavorare (' || x || ' da seguire, ' || y || ' candidati da feed, ' || z || ' da verificare)', CASE WHEN x + y + z >= 200 THEN 'rosso' WHEN x + y + z >= 50 THEN 'giallo' ELSE 'verde' END FROM w""")
 def health_indicators(spark, d):
     used = t(spark, d, "events").select(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("created_at"))
@@ -291,6 +291,7 @@ def longest_prefix_match(spark, d):
 
 #: The first line of each document as a title. The sharp s is spelled out: SQL has no accent folding that agrees on word bounds.
 _LINES = "lines AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, replace(string_split(coalesce(text, ''), chr(10))[1], 'ß', 'ss') AS line FROM documents)"
+_GENERIC = "['" + "','".join(T.GENERIC_WORDS) + "']"
 _STOP = "['" + "','".join(T.STOPWORDS) + "']"
 _KEY = rf"""list_aggregate(list_sort(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(strip_accents(lower(line)), '(?i)\b\d+[ªº°]|\bX{{0,3}}(IX|IV|V?I{{0,3}})\b', '', 'g'), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+'), lambda x: x <> '' AND NOT list_contains({_STOP}, x))), 'string_agg', ' ')"""
 
@@ -323,7 +324,7 @@ def dedup_exact(spark, d):
 w AS (SELECT *, list_filter(string_split(key, ' '), lambda x: x <> '') AS ws0, list_filter(regexp_split_to_array(descr, '\\s+'), lambda x: x <> '') AS ds0 FROM k), v AS (SELECT *, list_distinct(ws0) AS ws, list_distinct(ds0) AS ds FROM w),
 p AS (SELECT a.id AS a, b.id AS b, a.ws AS x, b.ws AS y, a.descr AS dx, b.descr AS dy, a.ds AS s, b.ds AS t, a.id % 3 = b.id % 3 AS same FROM v a JOIN v b ON a.source = b.source AND a.lang = b.lang AND a.id < b.id),
 o AS (SELECT *, least(len(x), len(y)) AS m, len(list_intersect(x, y)) AS c FROM p)
-SELECT v.id, coalesce(min(o.a), v.id) AS canonical FROM v LEFT JOIN o ON o.b = v.id AND ((m > 0 AND c / m >= 0.8 AND CASE WHEN m = 1 THEN c = 1 AND NOT list_contains(['evento','eventi','iniziativa','manifestazione','appuntamento','serata','giornata','incontro','attivita'], CASE WHEN len(x) = 1 THEN x[1] ELSE y[1] END) ELSE c >= 3 END)
+SELECT v.id, coalesce(min(o.a), v.id) AS canonical FROM v LEFT JOIN o ON o.b = v.id AND ((m > 0 AND c / m >= 0.8 AND CASE WHEN m = 1 THEN c = 1 AND NOT list_contains({_GENERIC}, CASE WHEN len(x) = 1 THEN x[1] ELSE y[1] END) ELSE c >= 3 END)
 OR (dx <> '' AND dx = dy) OR (m > 0 AND c = m AND same AND ((dx = '' AND dy = '') OR (least(len(s), len(t)) > 0 AND len(list_intersect(s, t)) / least(len(s), len(t)) >= 0.7)))) GROUP BY v.id""")
 def dedup_fuzzy(spark, d):
     rows = first_lines(spark, d).select(F.col("doc_id").alias("id"), "source", "lang", T.title_key(F.col("line")).alias("titolo_normalizzato"), F.left("line", F.lit(60)).alias("descrizione"), F.array((F.col("doc_id") % 3).cast("string")).alias("fonti"))
@@ -431,18 +432,18 @@ def excluded_sources(spark, d):
 
 
 @query("""$ , r AS (SELECT e.event_id, source_id, CASE WHEN starts_with(source_id, 'feed-instagram-') THEN 'instagram' WHEN starts_with(source_id, 'feed-facebook-') THEN 'facebook_non_riprocessabile' ELSE 'html' END AS rotta FROM events e JOIN edges d ON d.event_id = e.event_id WHERE stato = 'quarantena')
-SELECT rotta, CASE WHEN rotta = 'html' THEN source_id ELSE event_id END AS chiave, count(DISTINCT event_id) AS eventi FROM r GROUP BY 1, 2""")
+SELECT rotta, CASE WHEN rotta = 'html' THEN source_id ELSE event_id END AS chiave, count(DISTINCT event_id) AS annunci FROM r GROUP BY 1, 2""")
 def quarantine_routes(spark, d):
     return lifecycle.replay_routes(events(spark, d), edges(spark, d))
 
 
-@query("""WITH l AS (SELECT user_id, CASE event_type WHEN 'purchase' THEN 'seguito' WHEN 'signup' THEN 'gia_seguito' WHEN 'error' THEN 'errore' WHEN 'view' THEN 'timeout' END AS esito FROM events WHERE event_type <> 'click' AND value < 20),
+@query("""WITH l AS (SELECT user_id, CASE event_type WHEN 'purchase' THEN 'seguito' WHEN 'signup' THEN 'gia_seguito' WHEN 'error' THEN 'errore' WHEN 'view' THEN 'timeout' END AS esito FROM events WHERE event_type <> 'click'),
 s AS (SELECT user_id, bool_or(esito IN ('seguito', 'gia_seguito')) AS fatto, count(*) FILTER (esito IN ('errore', 'timeout')) AS n FROM l GROUP BY 1), q AS (SELECT DISTINCT user_id FROM events)
 SELECT q.user_id, CASE WHEN fatto THEN 'seguito' WHEN n >= 3 THEN 'fallito' ELSE 'da_seguire' END AS stato, CAST(coalesce(n, 0) AS INTEGER) AS tentativi FROM q LEFT JOIN s ON s.user_id = q.user_id""")
 def follow_queue_state(spark, d):
     e = t(spark, d, "events")
     kind = F.col("event_type")
-    log = e.where("event_type <> 'click' and value < 20").select(F.col("user_id").alias("source_id"), F.lit("x").alias("piattaforma"), F.when(kind == "purchase", "seguito").when(kind == "signup", "gia_seguito").when(kind == "error", "errore").otherwise("timeout").alias("esito"), F.col("ts").cast("string").alias("data_follow"), kind.alias("dettaglio"))
+    log = e.where("event_type <> 'click'").select(F.col("user_id").alias("source_id"), F.lit("x").alias("piattaforma"), F.when(kind == "purchase", "seguito").when(kind == "signup", "gia_seguito").when(kind == "error", "errore").otherwise("timeout").alias("esito"), F.col("ts").cast("string").alias("data_follow"), kind.alias("dettaglio"))
     rows = e.select(F.col("user_id").alias("source_id"), F.lit("x").alias("piattaforma"), F.lit("da_seguire").alias("stato"), F.lit(0).alias("tentativi"), F.lit(None).cast("string").alias("data_follow"), F.lit(None).cast("string").alias("note")).distinct()
     return lifecycle.follow_outcomes(rows, log).select(F.col("source_id").alias("user_id"), "stato", "tentativi")
 
@@ -458,12 +459,12 @@ def quota_degradation(spark, d):
 
 
 @query("""$ , o AS (SELECT o_custkey % 40 AS s, o_orderkey AS seq, CASE WHEN o_orderkey % 3 = 0 THEN 'timeout' || o_orderkey END AS errore, o_orderkey % 4 AS pub FROM orders), m AS (SELECT s, max(seq) FILTER (errore IS NULL) AS ok FROM o GROUP BY 1)
-SELECT CAST(o.s AS VARCHAR) AS source_id, CAST(CASE WHEN ok IS NOT NULL THEN 0 ELSE 1 END + count(*) FILTER (errore IS NOT NULL AND (ok IS NULL OR seq > ok)) AS INTEGER) AS consecutive_errors, arg_max(CASE WHEN errore IS NULL THEN '' ELSE errore END, seq) AS ultimo_errore, CAST(10 + coalesce(sum(pub) FILTER (errore IS NULL), 0) AS BIGINT) AS eventi_utili FROM o JOIN m ON m.s = o.s GROUP BY o.s, ok""")
+SELECT CAST(o.s AS VARCHAR) AS source_id, CAST(CASE WHEN ok IS NOT NULL THEN 0 ELSE 1 END + count(*) FILTER (errore IS NOT NULL AND (ok IS NULL OR seq > ok)) AS INTEGER) AS consecutive_errors, arg_max(CASE WHEN errore IS NULL THEN '' ELSE errore END, seq) AS ultimo_errore, CAST(10 + coalesce(sum(pub) FILTER (errore IS NULL), 0) AS BIGINT) AS esiti_utili FROM o JOIN m ON m.s = o.s GROUP BY o.s, ok""")
 def source_outcomes(spark, d):
     k = F.col("o_orderkey")
     rows = t(spark, d, "orders").select((F.col("o_custkey") % 40).cast("string").alias("source_id"), k.alias("seq"), F.when(k % 3 == 0, F.concat(F.lit("timeout"), k.cast("string"))).alias("errore"), (k % 4).alias("pubblicati"), (k % 4).alias("totali"), F.col("o_orderdate").cast("string").alias("fine"))
-    stored = rows.select("source_id").distinct().select("source_id", F.lit(1).alias("consecutive_errors"), F.lit(None).cast("string").alias("ultimo_errore"), F.lit(None).cast("string").alias("last_run"), F.lit(10).cast("long").alias("eventi_totali"), F.lit(10).cast("long").alias("eventi_utili"))
-    return lifecycle.apply_outcomes(stored, rows).select("source_id", "consecutive_errors", F.coalesce("ultimo_errore", F.lit("")).alias("ultimo_errore"), "eventi_utili")
+    stored = rows.select("source_id").distinct().select("source_id", F.lit(1).alias("consecutive_errors"), F.lit(None).cast("string").alias("ultimo_errore"), F.lit(None).cast("string").alias("last_run"), F.lit(10).cast("long").alias("esiti_totali"), F.lit(10).cast("long").alias("esiti_utili"))
+    return lifecycle.apply_outcomes(stored, rows).select("source_id", "consecutive_errors", F.coalesce("ultimo_errore", F.lit("")).alias("ultimo_errore"), "esiti_utili")
 
 
 @query("""SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""")
@@ -541,20 +542,12 @@ def _stream(spark, d):
     return jobs, raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _drain(spark, stream, mode="append"):
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    name = f"drained_{uuid.uuid4().hex}"
+def _drain(spark, stream, mode="append", keys=None):
+    from fairground.storage import fresh_path
     from fairground.streaming import jobs
 
-    if root:
-        jobs.collect_into(stream, name, f"{root.rstrip('/')}/{name}", mode)
-    else:
-        import tempfile
-
-        jobs.collect_into(stream, name, tempfile.mkdtemp(), mode)
-    return spark.table(name)
+    path = fresh_path(spark, "stream")
+    return jobs.into_files(stream, f"{path}/rows", f"{path}/state", mode, keys)
 
 
 @query("SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS giorno, count(*) AS usate, CASE WHEN count(*) / 400 >= 0.85 THEN 'rosso' WHEN count(*) / 400 >= 0.7 THEN 'giallo' ELSE 'verde' END AS semaforo FROM events GROUP BY 1")
@@ -580,7 +573,7 @@ def stream_sessions(spark, d):
 @query("""WITH o AS (SELECT user_id, ts, event_id, event_type = 'error' AS bad FROM events), m AS (SELECT user_id, max(ts) FILTER (NOT bad) AS ok FROM o GROUP BY 1) SELECT o.user_id, count(*) FILTER (bad AND (ok IS NULL OR ts > ok)) AS errori FROM o JOIN m ON m.user_id = o.user_id GROUP BY 1""")
 def stream_error_counts(spark, d):
     jobs, stream = _stream(spark, d)
-    rows = _drain(spark, jobs.error_counts(stream.select("user_id", "ts", (F.col("event_type") == "error").alias("fallita")), "user_id"), "update")
+    rows = _drain(spark, jobs.error_counts(stream.select("user_id", "ts", (F.col("event_type") == "error").alias("fallita")), "user_id"), "update", ["user_id"])
     return rows.select("user_id", "errori")
 
 

@@ -42,9 +42,18 @@ def error_counts(outcomes: DataFrame, key: str = "source_id", ts: str = "ts", fa
 
     def fold(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         count, last = state.get if state.exists else (0, None)
-        rows = pd.concat(list(batches)).sort_values(ts)
-        for when, bad in zip(rows[ts], rows[failed]):
-            count, last = (count + 1 if bad else 0), when
+        good, bad = None, []
+        for rows in batches:
+            wrong = rows[failed].to_numpy(bool)
+            fine = rows[ts][~wrong].max()
+            good = fine if good is None or pd.isna(good) or fine > good else good
+            # Failures before the last success so far are done with: only those after it are held.
+            after = rows[ts][wrong]
+            bad = [b[b > good] if good is not None and not pd.isna(good) else b for b in [*bad, after]]
+            newest = rows[ts].max()
+            last = newest if last is None or newest > last else last
+        known = good is not None and not pd.isna(good)
+        count = sum(map(len, bad)) + (0 if known else count)
         state.update((count, last))
         yield pd.DataFrame({key: [keys[0]], "errori": [count], "ultimo": [last]})
 
@@ -59,7 +68,26 @@ def into_table(stream: DataFrame, merge: Callable[[DataFrame, int], None], check
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def collect_into(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> None:
-    """Drain what is there into a table in memory, for tests and small reports."""
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def into_files(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+    """Drain what is there into Parquet files in the shared folder, and read them.
+
+    Each batch is written to a folder of its own, so a batch that is done again replaces what it wrote. In append mode
+    all batches are the result; a complete result is the last batch; of updates the last row of each of ``keys`` counts.
+    """
+    schema = stream.schema
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    # Any folder is there to be read even if no batch came.
+    spark = stream.sparkSession
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/epoch=-1")
+    stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), "epoch long"])).parquet(path)
+    if mode == "append":
+        return rows.drop("epoch")
+    if mode == "complete":
+        last = rows.agg(F.max("epoch").alias("_last"))
+        return rows.join(F.broadcast(last), F.col("epoch") == F.col("_last")).drop("epoch", "_last")
+    names = [f.name for f in schema]
+    return rows.groupBy(*(keys or [])).agg(F.max_by(F.struct(*names), "epoch").alias("_r")).select("_r.*")

@@ -119,27 +119,27 @@ def test_queue_machine(spark):
 def test_import_links(spark):
     a = spark.createDataFrame([("Asti", "https://www.facebook.com/ComuneAsti"), ("Ignoto", "https://www.facebook.com/x")], "Comune string, Facebook string")
     b = spark.createDataFrame([("Calosso", "", "https://www.facebook.com/groups/1", "https://www.instagram.com/proloco_calosso/")], "Comune string, Denominazione string, Facebook string, Instagram string")
-    s = spark.createDataFrame([("Eventi Piemonte", "https://www.facebook.com/EventiP", None)], "Nome string, Facebook string, Instagram string")
+    s = spark.createDataFrame([("Fiere Piemonte", "https://www.facebook.com/FiereP", None)], "Nome string, Facebook string, Instagram string")
     out = queue.import_links(a, b, s, comuni(spark), places.place_keys(comuni(spark))).collect()
-    assert [(r.source_id, r.handle, r.priorita) for r in out] == [("aggregatore-eventi-piemonte-facebook", "EventiP", 75), ("proloco-calosso-instagram", "proloco_calosso", 75), ("comune-asti-facebook", "ComuneAsti", 70)]
+    assert [(r.source_id, r.handle, r.priorita) for r in out] == [("aggregatore-fiere-piemonte-facebook", "FiereP", 75), ("proloco-calosso-instagram", "proloco_calosso", 75), ("comune-asti-facebook", "ComuneAsti", 70)]
 
 
 def test_links(spark):
-    items = "".join(f'<a href="/eventi/fiera-{i}">x</a>' for i in range(7)) + '<a href="/feed">f</a><a href="/">h</a><a href="https://altri.it/eventi/1">z</a><a href="/news/2026-01-02">d</a>'
+    items = "".join(f'<a href="/ev/fiera-{i}">x</a>' for i in range(7)) + '<a href="/feed">f</a><a href="/">h</a><a href="https://altri.it/ev/1">z</a><a href="/news/2026-01-02">d</a>'
     pages = spark.createDataFrame([("https://a.it/", items), ("https://b.it/", "".join(f'<a href="/d?id={i}">x</a>' for i in (3, 20, 100, 4, 5, 6))), ("https://c.it/", "<p>nulla</p>")], "url string, html string")
     out = {}
     for r in links.detail_links(pages).orderBy("page_url", "rank").collect():
         out.setdefault(r.page_url, []).append(r.link)
-    assert out["https://a.it/"] == [f"https://a.it/eventi/fiera-{i}" for i in range(7)]
+    assert out["https://a.it/"] == [f"https://a.it/ev/fiera-{i}" for i in range(7)]
     assert out["https://b.it/"][:2] == ["https://b.it/d?id=100", "https://b.it/d?id=20"] and "https://c.it/" not in out
 
 
 def test_probe(spark):
-    homes = spark.createDataFrame([("https://a.it/", '<a href="/ev">Gli eventi</a>'), ("https://b.it/", "<p>"), ("https://c.it/", '<link rel="alternate" type="application/rss+xml" href="/feed/">')], "url string, html string")
+    homes = spark.createDataFrame([("https://a.it/", '<a href="/ev">Gli spettacoli</a>'), ("https://b.it/", "<p>"), ("https://c.it/", '<link rel="alternate" type="application/rss+xml" href="/feed/">')], "url string, html string")
     landed = spark.createDataFrame([("https://a.it/ev", '<link type="text/calendar" href="/c.ics">')], "url string, html string")
-    maps = spark.createDataFrame([("https://b.it/sitemap.xml", "<loc>https://b.it/eventi/x</loc>")], "url string, text string")
-    out = {r.url: (r.pagina_eventi, r.fonte_scoperta, r.tipo_endpoint, len(r.note)) for r in links.probe(homes, landed, maps).collect()}
-    assert out == {"https://a.it/": ("https://a.it/ev", "homepage", "ical", 0), "https://b.it/": ("https://b.it/eventi/x", "sitemap", None, 1), "https://c.it/": ("https://c.it/", "nessuna", None, 0)}
+    maps = spark.createDataFrame([("https://b.it/sitemap.xml", "<loc>https://b.it/agenda/x</loc>")], "url string, text string")
+    out = {r.url: (r.pagina_calendario, r.fonte_scoperta, r.tipo_endpoint, len(r.note)) for r in links.probe(homes, landed, maps).collect()}
+    assert out == {"https://a.it/": ("https://a.it/ev", "homepage", "ical", 0), "https://b.it/": ("https://b.it/agenda/x", "sitemap", None, 1), "https://c.it/": ("https://c.it/", "nessuna", None, 0)}
 
 
 def test_extraction(spark):
@@ -147,7 +147,7 @@ def test_extraction(spark):
         def extract(self, system, prompt, images):
             if "rotto" in prompt:
                 raise RuntimeError("giù")
-            return json.dumps({"eventi": [{"titolo": "Sagra del vino", "data_inizio": "2026-09-12", "data_fine": "2026-09-10", "confidenza": 80, "anno_esplicito": False, "comune_testuale": "Calosso", "tipologia": "boh", "url_approfondimento": "www.x.it", "campi_incerti": []}, {"titolo": "x", "data_inizio": "2026-09-12", "confidenza": 90}, {"titolo": "Vecchia", "data_inizio": "2020-01-01", "confidenza": 90}]})
+            return json.dumps({"annunci": [{"titolo": "Sagra del vino", "data_inizio": "2026-09-12", "data_fine": "2026-09-10", "confidenza": 80, "anno_esplicito": False, "comune_testuale": "Calosso", "tipologia": "boh", "url_approfondimento": "www.x.it", "campi_incerti": []}, {"titolo": "x", "data_inizio": "2026-09-12", "confidenza": 90}, {"titolo": "Vecchia", "data_inizio": "2020-01-01", "confidenza": 90}]})
 
     asked = spark.createDataFrame([("1", "ok", []), ("2", "rotto", [])], "artifact_id string, prompt string, images array<string>")
     answers = extract.ask(asked, Canned).collect()
@@ -163,14 +163,18 @@ def test_publish(spark, tmp_path):
     e = table(spark, schemas.EVENTS, {"event_id": "1", "titolo": "Sagra", "data_inizio": "2026-09-01", "comune": "Asti", "archiviato": "no", "stato": "nuovo", "tipologia": "sagra"}, {"event_id": "2", "titolo": "X", "data_inizio": "2020-01-01", "data_fine": "2020-01-01", "comune": "Asti", "archiviato": "no", "stato": "nuovo"})
     empty = {n: spark.createDataFrame([], d) for n, d in (("sources", schemas.SOURCES), ("coda_follow", schemas.QUEUE), ("runs", schemas.RUNS), ("series", schemas.SERIES), ("extractions", schemas.EXTRACTIONS), ("app_state", schemas.APP_STATE))}
     tables = empty | {"events": e, "comuni": comuni(spark), "event_sources": spark.createDataFrame([("1", "s", "u", "x")], schemas.EVENT_SOURCES)}
-    sheets = {"eventi": spark.createDataFrame([("1", "ok", "", "", "", "")], "id string, stato string, note string, bloccato string, soppressa string, comune string")}
+    sheets = {"annunci": spark.createDataFrame([("1", "ok", "", "", "", "")], "id string, stato string, note string, bloccato string, soppressa string, comune string")}
     publish.publish(spark, tables, sheets, str(tmp_path), "2026-08-22", "2026-08-22T10:00:00")
-    assert [(r.id, r.stato, r.fonti) for r in spark.read.parquet(f"{tmp_path}/eventi").collect()] == [("1", "ok", "s")]
+    assert [(r.id, r.stato, r.fonti) for r in spark.read.parquet(f"{tmp_path}/annunci").collect()] == [("1", "ok", "s")]
     assert [r.id for r in spark.read.parquet(f"{tmp_path}/archivio").collect()] == ["2"]
-    shown = json.loads(spark.read.text(f"{tmp_path}/eventi_mappa.json").first()[0])
-    assert shown["generato_il"] and shown["eventi"][0]["data_fine"] == "2026-09-01" and shown["eventi"][0]["quarantena"] is False
-    assert len(json.loads(spark.read.text(f"{tmp_path}/perimetro.json").first()[0])["comuni"]) == 3
-    assert json.loads(spark.read.text(f"{tmp_path}/fonti.json").first()[0])["fonti"] == []
+    def document(name):
+        """The parts of a document in the order of their names."""
+        return json.loads("".join(x.read_text() for x in sorted((tmp_path / name).glob("part-*"))))
+
+    shown = document("mappa.json")
+    assert shown["generato_il"] and shown["annunci"][0]["data_fine"] == "2026-09-01" and shown["annunci"][0]["quarantena"] is False
+    assert len(document("perimetro.json")["comuni"]) == 3
+    assert document("fonti.json")["fonti"] == []
 
 
 def test_ingest_and_merge(spark):
@@ -286,7 +290,7 @@ def test_extraction_records(spark):
     assert new.columns == stored.columns
     new = spark.createDataFrame(new.collect(), new.schema)
     row = new.first()
-    assert row.model == "rules" and row.confidence == 85 and json.loads(row.parsed_json)["eventi"][0]["data_inizio"] == "2026-10-12" and row.extraction_id
+    assert row.model == "rules" and row.confidence == 85 and json.loads(row.parsed_json)["annunci"][0]["data_inizio"] == "2026-10-12" and row.extraction_id
     assert publish.extract_new(arts, new, src, comuni(spark), day(), extract.RuleProvider, "x").count() == 0
     read = publish.ingest(arts, src, comuni(spark), day(), extractions=new).collect()
     assert [(r.titolo, r.url_approfondimento, r.esito) for r in read] == [("Sagra del 12 ottobre 2026 in piazza del mercato vecchio", "http://x/p.jpg", "pubblicato")]

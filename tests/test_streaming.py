@@ -34,13 +34,13 @@ def test_error_counts_carry_over_batches(spark, tmp_path):
     for hour in ("10", "11"):
         rows.where(F.col("t").contains(f" {hour}:")).select("source_id", F.col("t").cast("timestamp").alias("ts"), "fallita").coalesce(1).write.mode("append").parquet(source)
     stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema, "ts", files_per_trigger=10)
-    jobs.collect_into(jobs.error_counts(stream), "error_counts_out", f"{tmp_path}/check", "update")
-    assert {r.source_id: r.errori for r in spark.table("error_counts_out").collect()} == {"a": 2, "b": 0}
+    out = jobs.into_files(jobs.error_counts(stream), f"{tmp_path}/out", f"{tmp_path}/check", "update", ["source_id"])
+    assert {r.source_id: r.errori for r in out.collect()} == {"a": 2, "b": 0}
 
 
 def test_daily_usage(spark, tmp_path):
     source = f"{tmp_path}/calls"
     write(spark, source, *((str(i), "a", f"2026-08-20 {i % 24:02d}:00:00") for i in range(8)), ("9", "a", "2026-08-21 00:00:00"))
     stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema, "ts")
-    jobs.collect_into(jobs.daily_usage(stream, "ts", 10), "daily_usage_out", f"{tmp_path}/check", "complete")
-    assert {str(r.giorno): (r.usate, r.semaforo) for r in spark.table("daily_usage_out").collect()} == {"2026-08-20": (8, "giallo"), "2026-08-21": (1, "verde")}
+    out = jobs.into_files(jobs.daily_usage(stream, "ts", 10), f"{tmp_path}/out", f"{tmp_path}/check", "complete")
+    assert {str(r.giorno): (r.usate, r.semaforo) for r in out.collect()} == {"2026-08-20": (8, "giallo"), "2026-08-21": (1, "verde")}
