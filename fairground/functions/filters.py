@@ -33,7 +33,8 @@ def _any(c: Column, words: str) -> Column:
 
 
 def has_date(c: Column) -> Column:
-    return c.rlike(f"(?U){NUMERIC_DATE}") | _any(c, _M) | _any(c, WEEKDAY) | _any(c, RELATIVE) | c.rlike(f"(?U){YEAR}")
+    """Any kind of date, by one pattern."""
+    return c.rlike(rf"(?iuU)(?:{NUMERIC_DATE}|\b(?:{_M}|{WEEKDAY}|{RELATIVE})\b|{YEAR})")
 
 
 def date_kinds(c: Column) -> Column:
@@ -45,14 +46,18 @@ def date_kinds(c: Column) -> Column:
 def text_reason(text: Column, has_image: Column, as_of: Column) -> Column:
     """Why a text is dropped before extraction, or null to keep it."""
     c = strip(F.coalesce(text, F.lit("")))
-    dated = has_date(c)
-    past = F.exists(F.regexp_extract_all(c, F.lit(f"(?U){YEAR}"), 1), lambda y: y.cast("int") < F.year(as_of) - 1)
-    return (
-        F.when(_any(c, NOT_EVENT), "schema_non_evento")
-        .when(~dated & ~_any(c, EVENT_WORDS) & ~has_image, "nessun_segnale_di_evento")
-        .when(dated & past, "solo_date_passate")
-        .when((F.length(c) < SHORTEST) & ~has_image, "testo_troppo_corto_senza_immagine")
-    )
+
+    def reason(p: Column) -> Column:
+        past = F.exists(F.regexp_extract_all(p["c"], F.lit(f"(?U){YEAR}"), 1), lambda y: y.cast("int") < F.year(as_of) - 1)
+        return (
+            F.when(_any(p["c"], NOT_EVENT), "schema_non_evento")
+            .when(~p["dated"] & ~has_image & ~_any(p["c"], EVENT_WORDS), "nessun_segnale_di_evento")
+            .when(p["dated"] & past, "solo_date_passate")
+            .when((F.length(p["c"]) < SHORTEST) & ~has_image, "testo_troppo_corto_senza_immagine")
+        )
+
+    # Text and date are made once and put into an array of one, or each mention would search the text again.
+    return F.transform(F.array(F.struct(c.alias("c"), has_date(c).alias("dated"))), reason)[0]
 
 
 def image_reason(width: Column, height: Column, known: Column, edges: Column) -> Column:

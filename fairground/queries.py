@@ -290,7 +290,7 @@ def longest_prefix_match(spark, d):
 
 
 #: The first line of each document as a title. The sharp s is spelled out: SQL has no accent folding that agrees on word bounds.
-_LINES = "lines AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, replace(string_split(coalesce(text, ''), chr(10))[1], 'ß', 'ss') AS line FROM documents)"
+_LINES = "lines AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, replace(string_split(coalesce(text, ''), chr(10))[1], 'ß', 'ss') AS line, substr(coalesce(text, ''), length(string_split(coalesce(text, ''), chr(10))[1]) + 2) AS rest FROM documents)"
 _GENERIC = "['" + "','".join(T.GENERIC_WORDS) + "']"
 _STOP = "['" + "','".join(T.STOPWORDS) + "']"
 _KEY = rf"""list_aggregate(list_sort(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(strip_accents(lower(line)), '(?i)\b\d+[ªº°]|\bX{{0,3}}(IX|IV|V?I{{0,3}})\b', '', 'g'), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+'), lambda x: x <> '' AND NOT list_contains({_STOP}, x))), 'string_agg', ' ')"""
@@ -298,7 +298,7 @@ _KEY = rf"""list_aggregate(list_sort(list_filter(regexp_split_to_array(regexp_re
 
 def first_lines(spark, d):
     line = F.replace(F.split(F.coalesce("text", F.lit("")), "\n")[0], F.lit("ß"), F.lit("ss"))
-    return t(spark, d, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), line.alias("line"))
+    return t(spark, d, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), line.alias("line"), F.substr(F.coalesce("text", F.lit("")), F.length(F.split(F.coalesce("text", F.lit("")), "\n")[0]) + 2).alias("rest"))
 
 
 @query(f"WITH {_LINES} SELECT doc_id, coalesce({_KEY}, '') AS key FROM lines")
@@ -320,14 +320,14 @@ def dedup_exact(spark, d):
     return dedup.keyed(rows).groupBy("event_id").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
 
-@query(f"""WITH {_LINES}, k AS (SELECT doc_id AS id, source, lang, coalesce({_KEY}, '') AS key, lower(trim(left(line, 60))) AS descr FROM lines),
+@query(f"""WITH {_LINES}, k AS (SELECT doc_id AS id, source, lang, coalesce({_KEY}, '') AS key, lower(trim(rest, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS descr FROM lines),
 w AS (SELECT *, list_filter(string_split(key, ' '), lambda x: x <> '') AS ws0, list_filter(regexp_split_to_array(descr, '\\s+'), lambda x: x <> '') AS ds0 FROM k), v AS (SELECT *, list_distinct(ws0) AS ws, list_distinct(ds0) AS ds FROM w),
 p AS (SELECT a.id AS a, b.id AS b, a.ws AS x, b.ws AS y, a.descr AS dx, b.descr AS dy, a.ds AS s, b.ds AS t, a.id % 3 = b.id % 3 AS same FROM v a JOIN v b ON a.source = b.source AND a.lang = b.lang AND a.id < b.id),
 o AS (SELECT *, least(len(x), len(y)) AS m, len(list_intersect(x, y)) AS c FROM p)
 SELECT v.id, coalesce(min(o.a), v.id) AS canonical FROM v LEFT JOIN o ON o.b = v.id AND ((m > 0 AND c / m >= 0.8 AND CASE WHEN m = 1 THEN c = 1 AND NOT list_contains({_GENERIC}, CASE WHEN len(x) = 1 THEN x[1] ELSE y[1] END) ELSE c >= 3 END)
 OR (dx <> '' AND dx = dy) OR (m > 0 AND c = m AND same AND ((dx = '' AND dy = '') OR (least(len(s), len(t)) > 0 AND len(list_intersect(s, t)) / least(len(s), len(t)) >= 0.7)))) GROUP BY v.id""")
 def dedup_fuzzy(spark, d):
-    rows = first_lines(spark, d).select(F.col("doc_id").alias("id"), "source", "lang", T.title_key(F.col("line")).alias("titolo_normalizzato"), F.left("line", F.lit(60)).alias("descrizione"), F.array((F.col("doc_id") % 3).cast("string")).alias("fonti"))
+    rows = first_lines(spark, d).select(F.col("doc_id").alias("id"), "source", "lang", T.title_key(F.col("line")).alias("titolo_normalizzato"), F.col("rest").alias("descrizione"), F.array((F.col("doc_id") % 3).cast("string")).alias("fonti"))
     return dedup.canonical(rows, dedup.duplicate_pairs(rows, ["source", "lang"]))
 
 
