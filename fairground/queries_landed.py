@@ -61,7 +61,7 @@ def cards_parse(spark, d):
     """One page an order with a card whose field holds a date or two; cards without a date give none."""
     it = lambda c: F.date_format(c, "dd/MM/yyyy")
     when_text = when("k % 9 = 0", "presto", when("k % 2 = 0", F.concat(it("g"), F.lit(" - "), it(F.date_add("g", 3))), it("g")))
-    page = F.concat(F.lit('<div class="card-wrapper"><h3 class="card-title">Fiera '), "o_orderpriority", F.lit('</h3><span class="data">'), when_text, F.lit('</span><a href="/d/'), F.col("k").cast("string"), F.lit('">leggi</a></div>'))
+    page = F.concat(F.lit('<div class="card-wrapper"><a href="/d/'), F.col("k").cast("string"), F.lit('"><h3 class="card-title">Fiera '), "o_orderpriority", F.lit('</h3></a><span class="data">'), when_text, F.lit("</span></div>"))
     return markup.parse_cards(landed(orders(spark, d), page), day()).select("source_id", "url", "titolo", "data_inizio", "data_fine")
 
 

@@ -132,7 +132,7 @@ def parse_cards(payloads: DataFrame, as_of: Column) -> DataFrame:
     """
     pages = payloads.select("source_id", "url", card_fields("payload").alias("cards"))
     shown = F.filter(F.transform("cards", lambda c: F.when(c["card_date"].rlike(r"^\d+$") & dates.month_number(c["card_day"]).isNotNull(), F.struct(c["card_date"].cast("int").alias("d"), dates.month_number(c["card_day"]).alias("m")))), lambda x: x.isNotNull())
-    stamped = (F.size(shown) >= 2) & (F.size(F.array_distinct(shown)) == 1) & (shown[0]["d"] == F.dayofmonth(as_of)) & (shown[0]["m"] == F.month(as_of))
+    stamped = (F.size(shown) >= 2) & (F.size(F.array_distinct(shown)) == 1) & (F.try_element_at(shown, F.lit(1))["d"] == F.dayofmonth(as_of)) & (F.try_element_at(shown, F.lit(1))["m"] == F.month(as_of))
     rows = pages.withColumn("stamped", F.coalesce(stamped, F.lit(False))).select("source_id", "url", "stamped", F.explode("cards").alias("c")).where("coalesce(c.title, '') <> ''")
     c = lambda name: F.coalesce(F.col(f"c.{name}"), F.lit(""))
     bare = F.when(~F.col("stamped"), dates.day_month(F.concat_ws(" ", "c.card_date", "c.card_day"), as_of, dates.year_in(F.col("c.title"))))
