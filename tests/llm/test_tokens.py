@@ -87,3 +87,51 @@ def test_encoder_equals_library(texts):
     own = tokens.encoder(public_tokenizers.path("word_bpe_49k.json"))
     ids, cuts = own.encode(pa.array(texts, pa.string()))
     assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [own.tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_files_are_laid_out_as_said(spark, make, tokenizer, tmp_path):
+    """Encodings, statistics and page indexes of what is written, read by another library."""
+    import pyarrow.parquet as pq
+
+    texts = [f"word{i % 50} and another text {i} " * 40 for i in range(12_000)]
+    tokens.write_tokens(make(*texts).coalesce(1), f"{tmp_path}/files", tokenizer, 1)
+    seen = []
+    for part in sorted((tmp_path / "files").glob("part-*.parquet")):
+        meta = pq.ParquetFile(part).metadata
+        for g in range(meta.num_row_groups):
+            columns = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c) for c in range(meta.num_columns)}
+            by_kind = {name.split(".")[0]: c for name, c in columns.items()}
+            assert "DELTA_BINARY_PACKED" in by_kind["doc_id"].encodings and "DELTA_BINARY_PACKED" in by_kind["n_tokens"].encodings
+            assert "RLE_DICTIONARY" in by_kind["tokens"].encodings and by_kind["tokens"].has_dictionary_page
+            assert by_kind["doc_id"].has_offset_index and by_kind["doc_id"].has_column_index
+            # Row groups cover ranges of ids that do not overlap, so that a reader can pass over them.
+            seen.append((by_kind["doc_id"].statistics.min, by_kind["doc_id"].statistics.max))
+    assert sorted(seen) == seen and all(a[1] < b[0] for a, b in zip(seen, seen[1:])) and (seen[0][0], seen[-1][1]) == (0, 11_999)
+
+
+def pack_slowly(histogram, room):
+    """One piece at a time, longest first, each onto the pack that is shortest among those with room."""
+    packs = []
+    for length in sorted((n for n, c in histogram.items() for _ in range(c)), reverse=True):
+        fits = [p for p in packs if sum(p) + length <= room]
+        if fits:
+            min(fits, key=sum).append(length)
+        else:
+            packs.append([length])
+    return packs
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 20), st.integers(1, 12), max_size=10))
+def test_plan_is_shortest_pack_first(histogram):
+    plan = packing.plan_packs(histogram, 20)
+    got = sorted(sum(lengths) for lengths, count in plan for _ in range(count))
+    assert got == sorted(map(sum, pack_slowly(histogram, 20)))
+
+
+def test_null_and_shared_ids_are_packed(spark, make, tokenizer):
+    docs = make("a b", None, "c").withColumns({"file": __import__("pyspark.sql.functions", fromlist=["lit"]).lit("own")})
+    odd = docs.unionByName(docs.selectExpr("cast(null as long) as doc_id", *[f"`{c}`" for c in docs.columns if c != "doc_id"]))
+    rows = packing.pack_documents(spark, odd, tokenizer, 1, max_len=8).collect()
+    assert len(rows) == 6 and sorted((r.doc_id is None, r.doc_tokens) for r in rows) == [(False, 1), (False, 2), (False, 3), (True, 1), (True, 2), (True, 3)]
+    assert tokens.encode_documents(spark, odd, tokenizer, 1).count() == 6
