@@ -63,7 +63,7 @@ def text_reason(text: Column, has_image: Column, as_of: Column) -> Column:
 def image_reason(width: Column, height: Column, known: Column, edges: Column) -> Column:
     """Why an image is dropped, or null: too small, odd shape, seen before, hardly any edges. Unreadable images stay."""
     ratio = width / height
-    return F.when(width.isNull() | height.isNull(), None).when(F.least(width, height) < 400, "troppo_piccola").when((ratio < 0.4) | (ratio > 2.5), "aspect_ratio").when(known, "duplicato").when(edges < 0.02, "pochi_bordi")
+    return F.when(width.isNull() | height.isNull(), None).when(F.least(width, height) < 400, "dimensioni_troppo_piccole").when((ratio < 0.4) | (ratio > 2.5), "aspect_ratio_implausibile").when(known, "duplicato_di_immagine_nota").when(edges < 0.02, "densita_bordi_bassa")
 
 
 def unavailable(text: Column) -> Column:

@@ -6,9 +6,12 @@ import io
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType
 
+from fairground.functions import filters
+
 FEATURES = StructType().add("width", IntegerType()).add("height", IntegerType()).add("phash", StringType()).add("edges", DoubleType())
 
 
@@ -48,3 +51,22 @@ def image_features(content: pd.Series) -> pd.DataFrame:
             return (None, None, None, None)
 
     return pd.DataFrame([one(x) for x in content], columns=["width", "height", "phash", "edges"])
+
+
+def prefilter(images: DataFrame, cache: DataFrame) -> DataFrame:
+    """``image, phash, motivo_scarto`` of ``images(image, content)``: why an image is dropped before extraction, or null.
+
+    Hashes near to one of ``cache(phash, first_seen)`` are known images. What cannot be read is kept, with no hash.
+    """
+    from fairground.operators.dedup import similar_images
+
+    seen = images.select("image", image_features("content").alias("f")).select("image", "f.*")
+    return reasons(seen, similar_images(cache, seen.select("image", "phash")))
+
+
+def reasons(features: DataFrame, near: DataFrame) -> DataFrame:
+    """The rules on ``features(image, width, height, phash, edges)`` and the images ``near(image)`` that are known."""
+    known = near.select("image", F.lit(True).alias("_known")).distinct()
+    rows = features.join(known, "image", "left")
+    why = filters.image_reason(F.col("width"), F.col("height"), F.coalesce("_known", F.lit(False)), F.col("edges"))
+    return rows.select("image", "phash", why.alias("motivo_scarto"))

@@ -50,3 +50,17 @@ def import_links(comuni_list: DataFrame, proloco_list: DataFrame, social_list: D
     # Aggregators belong to no municipality: only the links of no use go.
     others = c.where(~F.coalesce(F.col("url").rlike(urls.MUTE), F.lit(True))).withColumn("url", urls.social_url(F.col("url"))).withColumns({"piattaforma": urls.platform(F.col("url")), "handle": urls.social_handle(F.col("url")), "verdetto": F.lit("ok")}).where("handle is not null and piattaforma is not null")
     return queue_rows(towns.unionByName(others))
+
+
+def queue_sheet(queue: DataFrame) -> DataFrame:
+    """The whole queue as its sheet shows it, by band and category; the priority is left to a formula of the sheet."""
+    shown = "source_id piattaforma handle url soggetto comune fascia priorita stato tentativi data_follow note".split()
+    rows = queue.withColumn("priorita", F.lit("")).withColumns({c: F.coalesce(c, F.lit("")) for c in ("data_follow", "note")})
+    return rows.orderBy(F.asc_nulls_first("fascia"), F.asc_nulls_first("categoria"), "source_id").select(*shown)
+
+
+def without_own(handles: DataFrame, own_page: Column) -> DataFrame:
+    """Followed handles without that of one's own page, which its address names by number or by name."""
+    number, name = F.regexp_extract(own_page, r"[?&]id=(\d+)", 1), F.regexp_extract(own_page, r"facebook\.com/([^/?#]+)", 1)
+    own = F.lower(F.coalesce(F.nullif(number, F.lit("")), F.nullif(name, F.lit("")), F.lit("")))
+    return handles.where(F.lower(F.trim("handle")) != own)
