@@ -137,3 +137,27 @@ def test_posts(spark):
     assert one(spark, T.clean_post(c("t")), t="Facebook\n·\nSegui\n12 h\nt͏\nSagra domani\n\nAltro...") == "Sagra domani"
     subject, channel = T.subject_and_channel(c("s"), c("k"))
     assert (one(spark, subject, s="comune-sant'anna-alta-facebook", k="comune"), one(spark, channel, s="comune-x-facebook", k="comune")) == ("Comune di Sant'Anna Alta", "facebook")
+
+
+def test_small_url_and_name_functions(spark):
+    handle = lambda u: one(spark, urls.followed_handle(c("u")), u=u)
+    assert handle("https://www.facebook.com/ProLocoX/") == "ProLocoX" and handle("/profile.php?id=77&x=1") == "profile.php?id=77" and handle("https://www.instagram.com/pro.loco?hl=it") == "pro.loco"
+    assert one(spark, urls.page_town(c("u")), u="Via Roma 1, San Damiano d'Asti, Italy") == "San Damiano d'Asti" and one(spark, urls.page_town(c("u")), u="Via Roma 1") is None
+    assert one(spark, urls.town_url(c("n"), c("p")), n="Nizza Monferrato", p="AT") == "https://www.comune.nizzamonferrato.at.it/"
+    assert one(spark, urls.handle_url(F.lit("instagram"), c("h")), h="x") == "https://www.instagram.com/x"
+    assert one(spark, T.comune_of_subject(c("s")), s="Asti - Teatro Alfieri - sala") == "Asti" and one(spark, T.comune_of_subject(c("s")), s="Teatro") is None
+    assert one(spark, T.append_note(c("n"), F.lit("b")), n="a") == "a | b" and one(spark, T.append_note(F.lit(None).cast("string"), F.lit("b"))) == "b"
+
+
+def test_image_functions():
+    import numpy as np
+
+    from fairground.operators import images
+
+    rng = np.random.default_rng(0)
+    grey = rng.random((32, 32)) * 255
+    assert len(images.perceptual_hash(grey)) == 16 and images.perceptual_hash(grey) == images.perceptual_hash(grey * 0.5 + 3)
+    noisy = int(images.perceptual_hash(grey), 16) ^ int(images.perceptual_hash(grey + rng.random((32, 32))), 16)
+    assert noisy.bit_count() <= 4
+    flat, split = np.full((50, 50), 90.0), np.hstack([np.zeros((50, 25)), np.full((50, 25), 255.0)])
+    assert images.edge_share(flat) == 0 and 0 < images.edge_share(split) < 0.1

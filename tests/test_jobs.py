@@ -105,3 +105,17 @@ def test_image_rules(spark):
     assert out == {"small": "dimensioni_troppo_piccole", "wide": "aspect_ratio_implausibile", "known": "duplicato_di_immagine_nota", "flat": "densita_bordi_bassa", "fine": None, "unread": None}
     none = images.prefilter(spark.createDataFrame([("x", b"no image")], "image string, content binary"), spark.createDataFrame([], "phash string, first_seen string"))
     assert [tuple(r) for r in none.collect()] == [("x", None, None)]
+
+
+def test_venues_and_series(spark):
+    from fairground.operators import places
+
+    q = table(spark, schemas.QUEUE, {"source_id": "1", "categoria": "teatro", "soggetto": "Asti - Teatro Alfieri", "comune": ""}, {"source_id": "2", "categoria": "teatro", "soggetto": "Teatro", "comune": "Calosso"}, {"source_id": "3", "categoria": "altro", "soggetto": "Asti - x"})
+    out = {r.source_id: r.comune for r in places.link_venues(q, places.place_keys(comuni(spark)), ["teatro"]).collect()}
+    assert out == {"1": "Asti", "2": "Calosso", "3": None}
+    rule = "struct<e_ricorrente:boolean, frequenza:string, giorni_settimana:array<string>, ordinale:int, mesi_inclusi:array<int>, fine_dichiarata:string, testo_originale:string>"
+    told = spark.createDataFrame([(1, "s", "Mercatino dell'antico", "fiera", "Asti", None, (True, "settimanale", ["domenica"], None, None, None, "ogni domenica")), (2, "s", "Una volta", "fiera", "Asti", None, (False, None, None, None, None, None, None))], f"seq long, source_id string, titolo string, tipologia string, comune string, luogo_testuale string, ricorrenza {rule}")
+    after, dates = publish.recurring(told, spark.createDataFrame([], schemas.SERIES), comuni(spark), spark.createDataFrame([], "serie_id string, data_inizio string"), day())
+    assert [r.titolo for r in after.collect()] == ["Mercatino dell'antico"]
+    found = sorted(r.data_inizio for r in dates.collect())
+    assert found[0] == "2026-08-23" and len(found) == 18
