@@ -154,46 +154,49 @@ class Tables:
         entry[new] = self.begin[(starts + symbol)[new]]
         return entry, new
 
-    def phrase_starts(self, letters: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Whether a phrase begins at a character (rows) in a language (columns), for all texts."""
+    def phrases(self, letters: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Phrases of each text (rows) in each language (columns)."""
         size = np.diff(bounds)
         runs = -(-size // RUN)
         text = np.repeat(np.arange(len(size)), runs)
         first = np.repeat(np.cumsum(runs) - runs, runs)
         start = bounds[text] + (np.arange(len(text)) - first) * RUN
         length = np.minimum(RUN, bounds[text + 1] - start)
-        symbols = self.symbol[letters]
-        out = np.zeros(symbols.shape, bool)
-        last = np.repeat(self.root[None, :], len(text), axis=0)
-        # Every run is parsed as if a phrase began with it ...
+        # Longest runs first: those that still go on after t characters are always the first n.
         order = np.argsort(-length, kind="stable")
-        begin, sizes, state = start[order], length[order], last.copy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        begin, sizes = start[order], length[order]
+        state = np.repeat(self.root[None, :], len(text), axis=0)
+        # Every run is parsed as if a phrase began with it: by t, whether one began with the character of each run ...
+        news = []
         for t in range(int(sizes[0]) if len(sizes) else 0):
-            n = int(np.searchsorted(-sizes, -t))  # runs longer than t come first
-            at = begin[:n] + t
-            state[:n], out[at] = self.advance(state[:n], symbols[at], self.starts)
-        last[order] = state
+            n = int(np.searchsorted(-sizes, -t))
+            state[:n], new = self.advance(state[:n], self.symbol[letters[begin[:n] + t]], self.starts)
+            news.append(new)
+        last = state[place]
         # ... then from the state that the run before it ends in, until both ways begin a phrase at the same character.
         run, lang = np.nonzero((np.arange(len(text)) > first)[:, None] & (np.roll(last, 1, axis=0) != self.root))
         while len(run):
-            state, at, end = last[run - 1, lang], start[run], start[run] + length[run]
-            again = []
+            state, at, again, t = last[run - 1, lang], place[run], [], 0
             while len(run):
-                state, new = self.advance(state, symbols[at, lang], self.starts[lang])
-                met = new & out[at, lang]
-                out[at, lang] = new
-                at = at + 1
-                over = ~met & (at == end)
-                moved = over & (state != last[run, lang])
-                last[run[moved], lang[moved]] = state[moved]
-                onward = np.flatnonzero(moved)
+                state, new = self.advance(state, self.symbol[letters[begin[at] + t], lang], self.starts[lang])
+                met = new & news[t][at, lang]
+                news[t][at, lang] = new
+                t += 1
+                over = ~met & (sizes[at] == t)
+                onward = np.flatnonzero(over & (state != last[run, lang]))
+                last[run[onward], lang[onward]] = state[onward]
                 onward = onward[run[onward] + 1 < len(text)]
                 onward = onward[text[run[onward] + 1] == text[run[onward]]]
                 again.append((run[onward] + 1, lang[onward]))
                 left = ~met & ~over
-                run, lang, state, at, end = run[left], lang[left], state[left], at[left], end[left]
+                run, lang, state, at = run[left], lang[left], state[left], at[left]
             run, lang = (np.concatenate(x) for x in zip(*again))
-        return out
+        counts = np.zeros((len(text), len(self.root)), np.int64)
+        for new in news:
+            counts[: len(new)] += new
+        return np.stack([np.bincount(text[order], c, minlength=len(size)) for c in counts.T], axis=1)
 
 
 class Parser:
@@ -211,11 +214,7 @@ class Parser:
     def phrases(self, points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
         letters = self.place[points]
-        counts = []
-        for tables in self.tables:
-            for column in tables.phrase_starts(letters, bounds).T:
-                counts.append(np.diff(np.concatenate([[0], np.cumsum(column, dtype=np.int64)])[bounds]))
-        return np.stack(counts, axis=1)
+        return np.concatenate([tables.phrases(letters, bounds) for tables in self.tables], axis=1)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """The language and a score from 0 to 1 of each text; ``und`` and 0 without a letter."""

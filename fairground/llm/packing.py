@@ -122,7 +122,9 @@ def place_pieces(spark: SparkSession, pieces: DataFrame, scratch: Scratch, max_l
 def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, max_len: int = 2048) -> DataFrame:
     """Pack every document into sequences of at most ``max_len`` ids; one row a piece.
 
-    Null text counts as empty: the end id alone. Repeated rows are packed once each. Other columns are ignored.
+    Null and empty text are the end id alone; long texts are cut into as many pieces as they need. Pieces of one length
+    are placed in the order in which they are stored; repeated rows are packed once each, whatever their ids. Other
+    columns are ignored; an empty table gives no rows.
     """
     scratch = Scratch(spark, "packing")
     pieces = scratch.table("pieces", cut_documents(docs, tokenizer, end_id, max_len))
