@@ -7,8 +7,10 @@ filters thin the pairs that share one, a suffix filter comes before the overlap
 once.
 
 Equal sets are collapsed first. Links inside a group of near copies are not all enumerated: every member of a prefix
-bucket is verified against the bucket's first, components are taken, and only pairs that still lie in different
-components are verified after that. This loses no component: a pair is left out only if its ends are joined already.
+bucket is verified against the bucket's first and components are taken; while buckets still hold many pairs of different
+components, and it helps, members are verified against a few drawn by a hash and components are taken again. Only pairs
+that then lie in different components are verified one by one. This loses no component: a pair is left out only if its
+ends are joined already.
 """
 
 from __future__ import annotations
@@ -32,6 +34,12 @@ CHUNK = 1 << 12
 BROADCAST_IDS = 1_000_000
 #: Members of a bucket that are compared with its first in one group, for which that one's text is sent once.
 STAR = 64
+#: Open pairs a row of a bucket at most when its pairs are verified one by one; above, another round of heads comes first,
+#: as long as a round closes a tenth of the pairs of all such buckets.
+OPEN_PAIRS, CLOSES = 16, 0.9
+#: Heads of a crowded bucket in the first such round, where all are compared with them, and in later ones, where only those
+#: outside its largest component are.
+FIRST_HEADS, HEADS = 4, 64
 
 
 def bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -211,18 +219,41 @@ def similar_documents(spark: SparkSession, docs: DataFrame, k: int = 5, percent:
     joined_by_stars = scratch.table("star-components", components(star_links, scratch, "star"))
 
     # What is left: pairs in a bucket whose ends are still in different components.
-    labelled = scratch.table("labelled", shared.select("shingle", "set_id", "n", "pos").join(joined_by_stars.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id")))
-    by_label = scratch.table("by-label", labelled.groupBy("shingle", "component").agg(F.count("*").alias("m")).groupBy("shingle").agg(F.max(F.struct("m", "component")).alias("most"), F.count("*").alias("kinds")).where("kinds > 1").select("shingle", F.col("most.component").alias("major")))
-    open_rows = scratch.table("open", labelled.join(by_label, "shingle"))
-    scratch.drop("shared", "labelled", "by-label")
+    links, tested, joined, before, step = star_links, stars, joined_by_stars, None, 0
+    while True:
+        step += 1
+        labelled = scratch.table(f"labelled-{step}", shared.select("shingle", "set_id", "n", "pos").join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id")))
+        kinds = labelled.groupBy("shingle", "component").agg(F.count("*").alias("m"))
+        by_label = kinds.groupBy("shingle").agg(F.max(F.struct("m", "component")).alias("most"), F.count("*").alias("kinds"), F.sum("m").alias("rows"), F.sum(F.col("m").cast("double") ** 2).alias("squares"))
+        by_label = scratch.table(f"by-label-{step}", by_label.where("kinds > 1").select("shingle", F.col("most.component").alias("major"), "rows", ((F.col("rows").cast("double") ** 2 - F.col("squares")) / 2).alias("pairs")))
+        crowded = by_label.where(F.col("pairs") > OPEN_PAIRS * F.col("rows"))
+        pairs = crowded.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
+        if not pairs or (before is not None and pairs > CLOSES * before):
+            break
+        before = pairs
+        # Heads are drawn by a hash of the document alone, so that buckets with the same documents have the same heads.
+        rows = scratch.table(f"crowded-{step}", labelled.join(crowded, "shingle"))
+        lot = F.xxhash64("set_id", F.lit(step)).bitwiseAND((1 << 62) - 1).cast("double") * F.col("rows")
+        heads = rows.where(lot < float((FIRST_HEADS if step == 1 else HEADS) * (1 << 62))).alias("x")
+        others = (rows if step == 1 else rows.where("component <> major")).alias("y")
+        at = heads.join(others, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent))
+        ends = at.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
+        chosen = scratch.table(f"round-{step}-pairs", ends.join(tested, ["a", "b"], "left_anti"))
+        found = verify(chosen, plain, scratch, f"round-{step}", k, percent)
+        links, tested = links.unionByName(found), tested.unionByName(chosen)
+        edges = joined.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(found.select("a", "b"))
+        joined = scratch.table(f"joined-{step}", components(edges, scratch, f"round-{step}"))
+        scratch.drop(f"labelled-{step}", f"by-label-{step}", f"crowded-{step}")
+    open_rows = scratch.table("open", labelled.join(by_label.select("shingle", "major"), "shingle"))
+    scratch.drop("shared", f"labelled-{step}", f"by-label-{step}")
     minor, other = open_rows.where("component <> major").alias("x"), open_rows.alias("y")
     met = minor.join(other, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.major")) | (F.col("x.set_id") < F.col("y.set_id"))) & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent))
-    later = scratch.table("later", met.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
+    later = scratch.table("later", met.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"))
     scratch.drop("open", "stars")
     later_links = verify(later, plain, scratch, "later-links", k, percent)
 
-    links = star_links.unionByName(later_links)
-    spanning = joined_by_stars.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(later_links.select("a", "b"))
+    links = links.unionByName(later_links)
+    spanning = joined.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(later_links.select("a", "b"))
     final = scratch.table("components", components(spanning, scratch, "all"))
     scratch.drop("star-components", "later")
     out = members.join(final.withColumnRenamed("node", "set_id"), "set_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "set_id", F.coalesce("component", "set_id").alias("component_id"))
