@@ -28,6 +28,8 @@ from fairground.llm.components import components
 
 #: Buckets of the counts of shingles and of words, as powers of two: the size of what is broadcast, whatever the corpus.
 SHINGLE_BITS, WORD_BITS = 16, 17
+#: Bytes of texts that are taken apart at a time.
+SLICE = 4 << 20
 #: Counts that are sent in one row.
 CHUNK = 1 << 12
 #: Document ids up to this many are broadcast to pick texts out of the corpus; more are joined by a shuffle.
@@ -87,7 +89,7 @@ def count_sketches(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
 
     def count(batches):
         totals = np.zeros(sum(sizes), np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             texts = concat(batch.column("text"))
             totals[: sizes[0]] += np.bincount(bucket(np.concatenate(list(document_sets(texts, k))), SHINGLE_BITS), minlength=sizes[0])
             totals[sizes[0] :] += np.bincount(bucket(word_hashes(texts)[0], WORD_BITS), minlength=sizes[1])
@@ -116,7 +118,7 @@ def describe_sets(spark: SparkSession, docs: DataFrame, k: int, percent: int) ->
     counts = spark.sparkContext.broadcast(count_sketches(docs, k))
 
     def describe(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             sizes, keys, prefixes = [], [], []
             for own, order in rare_first(concat(batch.column("text")), k, *counts.value):
                 n = len(own)
@@ -162,7 +164,7 @@ def verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, k: in
 
     def check(batches):
         key, first = None, []
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             found = []
             for a, group, b, own in zip(*(batch.column(c).to_pylist() for c in ("a", "group", "b")), document_sets(concat(batch.column("text")), k)):
                 if (a, group) != key:
