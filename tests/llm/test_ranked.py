@@ -50,7 +50,7 @@ def test_ranks_equal_a_slow_search(spark, make, monkeypatch, terms_bound, rows_b
     index = ranked.Index(spark, docs.withColumn("row", F.lit(1)), bucket_rows=rows_bound, buckets=buckets)
     got = sorted((tuple(r) for r in ranked.search(spark, index, items, k=5).collect()), key=str)
     assert got == slow([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()], 5)
-    if rows_bound == 10:
+    if rows_bound == 10 and buckets > 1:
         assert index.spread.count() > 3
 
 
