@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from fairground import queries, queries_landed, queries_state  # noqa: F401
+from fairground import queries, queries_landed, queries_matching, queries_state  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
