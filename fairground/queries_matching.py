@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from fairground.functions import text as T
 from fairground.operators import matching, merging
-from fairground.queries import _KEY, _LINES, first_lines, query, t
+from fairground.queries import _KEY, _LINES, _drain, _stream, first_lines, query, t
+from fairground.streaming import timers
 
 _WORDS = "list_sort(list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\s+'), lambda x: x <> '')))"
 _GRAMS = "list_distinct(flatten(list_transform({0}, lambda w: list_transform(range(1, length(w) + 1), lambda i: substr('^' || w || '$', i, 3)))))"
@@ -43,3 +44,34 @@ def field_merge(spark, d):
         F.when(p % 5 != 0, text("p", p)).alias("titolo"), F.when(s % 3 == 0, " ").otherwise(text("sala ", s % 10)).alias("luogo"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_extendedprice")).alias("prezzo"), F.when(p % 11 == 0, text("img", p)).alias("url_immagine"),
     )
     return merging.merged(rows, ["k"], ["titolo", "luogo", "prezzo", "url_immagine"]).withColumn("fonti", F.array_join("fonti", ", "))
+
+
+_END = "z AS (SELECT epoch_us(max(ts)) // 1000 - {0} AS fine FROM events)"
+_AT = "strftime(make_timestamp({0} * 1000), '%Y-%m-%d %H:%M:%S.%g')"
+
+
+def _changes(rows):
+    return rows.select("user_id", "stato", F.date_format("dal", "yyyy-MM-dd HH:mm:ss.SSS").alias("dal"))
+
+
+@query(f"""WITH {_END.format(86400000)}, e AS (SELECT user_id, epoch_us(ts) // 1000 AS ms FROM events, z WHERE epoch_us(ts) // 1000 <= fine),
+w AS (SELECT *, lag(ms) OVER (PARTITION BY user_id ORDER BY ms) AS prima, coalesce(lead(ms) OVER (PARTITION BY user_id ORDER BY ms), fine + 1) AS poi FROM e, z)
+SELECT user_id, 'attiva' AS stato, {_AT.format("ms")} AS dal FROM w WHERE prima IS NULL OR ms - prima > 86400000
+UNION ALL SELECT user_id, 'da_verificare', {_AT.format("(ms + 86400000)")} FROM w WHERE ms + 86400000 < poi UNION ALL SELECT user_id, 'sospesa', {_AT.format("(ms + 172800000)")} FROM w WHERE ms + 172800000 < poi""")
+def stream_decay(spark, d):
+    """What ages between confirmations, as a stream with event-time timers; the SQL is the batch form."""
+    _, stream = _stream(spark, d)
+    with timers.rocksdb(spark):
+        return _changes(_drain(spark, timers.ageing(stream, "user_id", "ts", "attiva", [(1, "da_verificare"), (2, "sospesa")], "1 day")))
+
+
+@query(f"""WITH RECURSIVE {_END.format(3600000)}, e AS (SELECT user_id, epoch_us(ts) // 1000 AS ms, event_type <> 'error' AS ok, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_type <> 'error') AS n FROM events, z WHERE epoch_us(ts) // 1000 <= fine),
+r AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, 0 AS errori, CAST(NULL AS BIGINT) AS fino, CAST(NULL AS BIGINT) AS aperto FROM e
+  UNION ALL SELECT e.user_id, e.n, CASE WHEN fino >= ms THEN errori WHEN ok OR errori + 1 >= 2 THEN 0 ELSE errori + 1 END, CASE WHEN fino >= ms THEN fino WHEN NOT ok AND errori + 1 >= 2 THEN ms + 36000000 END, CASE WHEN coalesce(fino < ms, true) AND NOT ok AND errori + 1 >= 2 THEN ms END
+  FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1)
+SELECT user_id, 'aperto' AS stato, {_AT.format("aperto")} AS dal FROM r WHERE aperto IS NOT NULL UNION ALL SELECT user_id, 'chiuso', {_AT.format("(aperto + 36000000)")} FROM r, z WHERE aperto + 36000000 <= fine""")
+def stream_circuit(spark, d):
+    """Circuits opened by two errors in a row, as a stream with event-time timers; the SQL goes row by row."""
+    _, stream = _stream(spark, d)
+    with timers.rocksdb(spark):
+        return _changes(_drain(spark, timers.breaker(stream.withColumn("fallita", F.col("event_type") == "error"), "user_id", "ts", "fallita", 2, 600, "1 hour")))
