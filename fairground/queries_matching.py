@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fairground.functions import text as T
-from fairground.operators import matching, merging
+from fairground.operators import backlog, matching, mentions, merging
 from fairground.queries import _KEY, _LINES, _drain, _stream, first_lines, query, t
 from fairground.streaming import timers
 
@@ -75,3 +75,36 @@ def stream_circuit(spark, d):
     _, stream = _stream(spark, d)
     with timers.rocksdb(spark):
         return _changes(_drain(spark, timers.breaker(stream.withColumn("fallita", F.col("event_type") == "error"), "user_id", "ts", "fallita", 2, 600, "1 hour")))
+
+
+_PLACED = """p AS (SELECT lower(replace(n_name, '_', ' ')) AS nome, n_name AS comune FROM nation UNION ALL SELECT lower(replace(n_name, '_', ' ')) || ' alta', 'alta di ' || n_name FROM nation WHERE n_nationkey % 3 = 0
+  UNION ALL SELECT 'Valle Comune', n_name FROM nation WHERE n_nationkey < 2 UNION ALL SELECT replace(r_name, '_', ' '), r_name FROM region),
+names AS (SELECT lower(nome) AS nome, array_to_string(list_sort(list_distinct(list(comune))), ', ') AS comuni FROM p GROUP BY 1)"""
+
+
+@query(rf"""WITH {_PLACED}, pat AS (SELECT ' (' || string_agg(replace(nome, ' ', '  '), '|' ORDER BY length(nome) DESC) || ') ' AS pattern FROM names),
+x AS (SELECT doc_id, ' ' || regexp_replace(strip_accents(lower(coalesce(text, '') || '; Nàtion ' || (doc_id % 30) || ' Alta, nation_1 nation ' || (doc_id % 7) || '(nation ' || (doc_id % 4) || ')' || CASE WHEN doc_id % 3 = 0 THEN ' valle   comune REGION 2' ELSE '' END)), '[^\p{{L}}\p{{N}}_]+', '  ', 'g') || ' ' AS t FROM documents),
+m AS (SELECT doc_id, replace(unnest(regexp_extract_all(t, (SELECT pattern FROM pat), 1)), '  ', ' ') AS nome FROM x)
+SELECT doc_id, m.nome, comuni, comuni LIKE '%,%' AS ambiguo, count(*) AS n FROM m JOIN names USING (nome) GROUP BY ALL""")
+def place_mentions(spark, d):
+    """Names of nations and regions in whole texts, to whose ends some are put."""
+    n, k = t(spark, d, "nation"), F.col("doc_id")
+    plain = F.replace("n_name", F.lit("_"), F.lit(" "))
+    named = n.select(plain.alias("nome"), F.col("n_name").alias("comune"))
+    named = named.unionByName(n.where("n_nationkey % 3 = 0").select(F.concat(plain, F.lit(" alta")), F.concat(F.lit("alta di "), "n_name")).toDF("nome", "comune"))
+    named = named.unionByName(n.where("n_nationkey < 2").select(F.lit("Valle Comune"), "n_name").toDF("nome", "comune")).unionByName(t(spark, d, "region").select(F.replace("r_name", F.lit("_"), F.lit(" ")), "r_name").toDF("nome", "comune"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit("; Nàtion "), (k % 30).cast("string"), F.lit(" Alta, nation_1 nation "), (k % 7).cast("string"), F.lit("(nation "), (k % 4).cast("string"), F.lit(")"), F.when(k % 3 == 0, " valle   comune REGION 2").otherwise(""))
+    found = mentions.mentions(t(spark, d, "documents").select("doc_id", text.alias("testo")), ["doc_id"], "testo", mentions.dictionary(named))
+    return found.groupBy("doc_id", "nome", F.array_join("comuni", ", ").alias("comuni"), "ambiguo").agg(F.count("*").alias("n"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT event_id, CAST(ts AS DATE) AS giorno, CAST(value AS BIGINT) % 7 AS p FROM (SELECT event_id, ts, floor(value) AS value FROM events)),
+q AS (SELECT min(giorno) - 1 AS oggi, NULL::BIGINT AS event_id, NULL::DATE AS giorno, NULL::BIGINT AS p, true AS dentro FROM e
+  UNION ALL SELECT oggi, event_id, giorno, p, row_number() OVER (ORDER BY p - 2 * date_diff('day', DATE '1970-01-01', giorno) DESC, giorno, event_id) <= 300 FROM (
+    SELECT CAST(oggi + 1 AS DATE) AS oggi, event_id, giorno, p FROM q WHERE NOT dentro
+    UNION ALL SELECT e.giorno, e.event_id, e.giorno, e.p FROM e JOIN (SELECT DISTINCT CAST(oggi + 1 AS DATE) AS oggi FROM q) n ON n.oggi = e.giorno) WHERE oggi <= DATE '2024-01-30')
+SELECT e.event_id, strftime(a.oggi, '%Y-%m-%d') AS ammesso_il FROM e LEFT JOIN (SELECT event_id, oggi FROM q WHERE dentro AND event_id IS NOT NULL) a ON a.event_id = e.event_id""")
+def quota_backlog(spark, d):
+    """Three hundred admissions a day by a priority that rises while waiting; the SQL carries the backlog from day to day."""
+    rows = t(spark, d, "events").select("event_id", F.to_date(F.col("ts").cast("timestamp")).alias("giorno"), (F.floor("value") % 7).alias("priorita"))
+    return backlog.schedule(rows, 300, "2024-01-30", id="event_id", rise=2).select("event_id", F.col("ammesso_il").cast("string").alias("ammesso_il"))
