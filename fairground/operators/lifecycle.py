@@ -135,6 +135,13 @@ def may_read_feed(state: DataFrame, platform: str, now: Column, settings: Settin
     return last.select(F.coalesce(minutes >= settings.feed_separation_minutes, F.lit(True)).alias("permesso"), minutes.alias("minuti"))
 
 
+def feeds_on_hold(state: DataFrame, now: Column, settings: Settings = DEFAULT) -> DataFrame:
+    """``piattaforma`` of the feeds that ``may_read_feed`` does not let read now, all at once."""
+    prefix = "ultimo_lotto_follow_"
+    last = state.where(F.col("chiave").startswith(prefix)).groupBy(F.substring("chiave", len(prefix) + 1, 100).alias("piattaforma")).agg(F.max(F.try_to_timestamp("valore")).alias("_t"))
+    return last.where((F.unix_timestamp(now) - F.unix_timestamp("_t")) / 60 < settings.feed_separation_minutes).select("piattaforma")
+
+
 def upsert_latest(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows by key, new ones instead of stored ones."""
     return stored.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.dropDuplicates(keys).select(*stored.columns))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fairground import schemas
 from fairground.functions import text as T
 from fairground.operators import backlog, matching, mentions, merging
-from fairground.queries import _KEY, _LINES, _drain, _stream, first_lines, query, t
+from fairground.plans import publish
+from fairground.queries import _KEY, _LINES, _RULES, _drain, _stream, comuni, day, first_lines, query, rules, t
 from fairground.streaming import timers
 
 _WORDS = "list_sort(list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\s+'), lambda x: x <> '')))"
@@ -108,3 +110,27 @@ def quota_backlog(spark, d):
     """Three hundred admissions a day by a priority that rises while waiting; the SQL carries the backlog from day to day."""
     rows = t(spark, d, "events").select("event_id", F.to_date(F.col("ts").cast("timestamp")).alias("giorno"), (F.floor("value") % 7).alias("priorita"))
     return backlog.schedule(rows, 300, "2024-01-30", id="event_id", rise=2).select("event_id", F.col("ammesso_il").cast("string").alias("ammesso_il"))
+
+
+@query(f"""WITH {_RULES}, x AS (SELECT *, CAST(unnest(generate_series(DATE '1998-06-15', DATE '1998-10-13', INTERVAL 1 DAY)) AS DATE) AS g FROM rules WHERE c_custkey % 4 <> 3),
+y AS (SELECT c_custkey, g FROM x WHERE strftime(g, '%a') = CASE day WHEN 'MO' THEN 'Mon' WHEN 'TU' THEN 'Tue' WHEN 'WE' THEN 'Wed' WHEN 'TH' THEN 'Thu' WHEN 'FR' THEN 'Fri' WHEN 'SA' THEN 'Sat' ELSE 'Sun' END AND (NOT no_august OR month(g) <> 8) AND (fine IS NULL OR g <= CAST(fine AS DATE))
+  AND (freq = 'settimanale' OR ord IS NULL OR (ord > 0 AND CAST(ceil(day(g) / 7) AS INTEGER) = ord) OR (ord = -1 AND month(g + INTERVAL 7 DAY) <> month(g)))),
+n AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY g) || ' di ' || count(*) OVER (PARTITION BY c_custkey) AS occorrenza FROM y),
+s AS (SELECT c_custkey, 's' || (c_custkey % 5) AS source_id FROM rules UNION ALL SELECT c_custkey, 'bis' FROM rules WHERE c_custkey % 6 = 0),
+o AS (SELECT c_custkey AS arrivo, source_id, strftime(g, '%Y-%m-%d') AS data_inizio, occorrenza FROM n JOIN s USING (c_custkey) WHERE NOT (c_custkey % 10 = 0 AND day(g) < 8)
+  UNION ALL SELECT c_custkey, source_id, '1998-07-01', NULL FROM s WHERE c_custkey % 4 = 3)
+SELECT o.*, 'Mercato ' || arrivo AS titolo, n_name AS comune FROM o JOIN customer ON c_custkey = arrivo JOIN nation ON n_nationkey = c_nationkey""")
+def recurring_routed(spark, d):
+    """Announcements of which three in four recur, some told by two sources: their dates by way of series, the others as they are."""
+    k = F.col("c_custkey")
+    who = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("comune"))
+    told = rules(spark, d).join(who, "c_custkey").withColumn("titolo", F.concat(F.lit("Mercato "), k.cast("string")))
+    rule = F.struct((k % 4 != 3).alias("e_ricorrente"), F.col("freq").alias("frequenza"), F.col("days").alias("giorni_settimana"), F.col("ord").cast("int").alias("ordinale"), F.col("months").alias("mesi_inclusi"), F.col("fine").alias("fine_dichiarata"), F.lit("").alias("testo_originale"))
+    one = lambda rows, pos, source: rows.select((k * publish.PER_ARTIFACT + pos).alias("seq"), k.alias("arrivo"), source.alias("source_id"), "titolo", F.lit("fiera").alias("tipologia"), "comune", F.lit(None).cast("string").alias("luogo_testuale"), F.lit("u").alias("url"), rule.alias("ricorrenza"))
+    read = one(told, 0, F.concat(F.lit("s"), (k % 5).cast("string"))).unionByName(one(told.where(k % 6 == 0), 1, F.lit("bis")))
+    key = T.title_key(F.col("titolo"), F.col("comune"))
+    plain = publish.event_columns(read.where(~publish.recurs()).withColumns({"titolo_normalizzato": key, "comune_normalizzato": T.title_key(F.col("comune")), "esito": F.lit("pubblicato"), "data_inizio": F.lit("1998-07-01")}))
+    days = F.explode(F.transform(F.filter(F.sequence(day(), F.date_add(day(), 120)), lambda g: F.dayofmonth(g) < 8), lambda g: g.cast("string")))
+    none = told.where(k % 10 == 0).select(T.series_id(key, F.col("comune"), F.lit(None).cast("string")).alias("serie_id"), days.alias("data_inizio"), F.lit("si").alias("soppressa"))
+    rows, _, _ = publish.with_occurrences(plain, read, spark.createDataFrame([], schemas.SERIES), publish.migrate(none, schemas.EVENTS), comuni(spark, d), day())
+    return rows.select("arrivo", "source_id", "data_inizio", "occorrenza", "titolo", "comune")
