@@ -10,13 +10,19 @@ from fairground.functions import text as T
 from fairground.operators.places import wrong_entity
 
 
-def by_priority(sources: DataFrame, comuni: DataFrame, as_of: Column, only_failing: bool = False, limit: int | None = None) -> DataFrame:
-    """Runnable sources with their ``priorita``, the most urgent first; ties in order of the id."""
+def by_priority(sources: DataFrame, comuni: DataFrame, as_of: Column, only_failing: bool = False, limit: int | None = None, season: DataFrame | None = None, bonus: float = 25.0) -> DataFrame:
+    """Runnable sources with their ``priorita``, the most urgent first; ties in order of the id.
+
+    Those of ``season`` (``source_id``, as ``attention.in_season`` finds them) have ``bonus`` points more, as much as a band.
+    """
     band = comuni.where("attivo = 'si'").select(F.concat(F.lit("comune-"), T.slug(F.trim("comune"))).alias("source_id"), "fascia").groupBy("source_id").agg(F.min("fascia").alias("fascia"))
     rows = sources.where("tier is not null").join(band, "source_id", "left")
     if only_failing:
         rows = rows.where("consecutive_errors > 0")
     rows = rows.withColumn("priorita", scores.source_priority(F.col("fascia"), F.coalesce("esiti_utili", F.lit(0)), F.lit(0.0), F.col("last_run"), F.col("consecutive_errors"), as_of))
+    if season is not None:
+        rows = rows.join(season.select("source_id").distinct().withColumn("_in", F.lit(True)), "source_id", "left")
+        rows = rows.withColumn("priorita", F.col("priorita") + F.when(F.col("_in"), bonus).otherwise(0.0)).drop("_in")
     rows = rows.orderBy(F.desc("priorita"), "source_id")
     return rows.limit(limit) if limit else rows
 

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from fairground import schemas
 from fairground.functions import text as T
-from fairground.operators import backlog, matching, mentions, merging
+from fairground.operators import attention, backlog, geo, matching, mentions, merging, queue
 from fairground.plans import publish
-from fairground.queries import _KEY, _LINES, _RULES, _drain, _stream, comuni, day, first_lines, query, rules, t
+from fairground.queries import _KEY, _LINES, _RULES, _drain, _stream, comuni, day, edges, events, first_lines, query, rules, sources, t
 from fairground.streaming import timers
 
 _WORDS = "list_sort(list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\s+'), lambda x: x <> '')))"
@@ -134,3 +134,63 @@ def recurring_routed(spark, d):
     none = told.where(k % 10 == 0).select(T.series_id(key, F.col("comune"), F.lit(None).cast("string")).alias("serie_id"), days.alias("data_inizio"), F.lit("si").alias("soppressa"))
     rows, _, _ = publish.with_occurrences(plain, read, spark.createDataFrame([], schemas.SERIES), publish.migrate(none, schemas.EVENTS), comuni(spark, d), day())
     return rows.select("arrivo", "source_id", "data_inizio", "occorrenza", "titolo", "comune")
+
+
+@query("""WITH c AS (SELECT n_name AS comune, CASE WHEN n_nationkey % 9 <> 5 THEN 35.0 + (n_nationkey * 7) % 25 END AS b, -5.0 + (n_nationkey * 11) % 50 AS l FROM nation UNION ALL SELECT r_name, -80.0 + r_regionkey * 40, 179.5 - r_regionkey * 0.25 FROM region),
+p AS (SELECT c_custkey, CASE WHEN c_custkey % 40 = 0 THEN NULL WHEN c_custkey % 40 = 1 THEN 89.0 ELSE 35.0 + (c_custkey * 37 % 1000) / 40.0 END AS lat, CASE WHEN c_custkey % 40 = 2 THEN -179.9 ELSE -5.0 + (c_custkey * 61 % 1000) / 20.0 END AS lon FROM customer),
+d AS (SELECT c_custkey, comune, 2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(b - lat) / 2), 2) + cos(radians(lat)) * cos(radians(b)) * pow(sin(radians(l - lon) / 2), 2)))) AS aria FROM p, c WHERE b IS NOT NULL AND lat IS NOT NULL),
+n AS (SELECT c_custkey, first(comune ORDER BY round(aria, 6), comune) AS comune, round(min(aria), 3) AS aria FROM d GROUP BY 1)
+SELECT p.c_custkey, comune, aria, round(aria * 1.3, 1) AS km, CASE WHEN aria * 1.3 <= 50 THEN 'A' WHEN aria * 1.3 <= 75 THEN 'B' WHEN aria * 1.3 <= 100 THEN 'C' END AS fascia FROM p LEFT JOIN n ON n.c_custkey = p.c_custkey""")
+def nearest_place(spark, d):
+    """The nearest of the nations and regions to each customer, at coordinates made from keys, poles and date line among them."""
+    n, r, k = F.col("n_nationkey"), F.col("r_regionkey"), F.col("c_custkey")
+    places = t(spark, d, "nation").select(F.col("n_name").alias("comune"), F.when(n % 9 != 5, 35.0 + (n * 7) % 25).alias("lat"), (-5.0 + (n * 11) % 50).alias("lon")).unionByName(t(spark, d, "region").select(F.col("r_name").alias("comune"), (-80.0 + r * 40).alias("lat"), (179.5 - r * 0.25).alias("lon")))
+    points = t(spark, d, "customer").select(k, F.when(k % 40 == 0, None).when(k % 40 == 1, 89.0).otherwise(35.0 + (k * 37 % 1000) / 40.0).alias("lat"), F.when(k % 40 == 2, -179.9).otherwise(-5.0 + (k * 61 % 1000) / 20.0).alias("lon"))
+    found = geo.nearest(points, places)
+    air = F.round("aria", 3)
+    road = geo.by_road(air)
+    return found.select("c_custkey", "comune", air.alias("aria"), F.round(road["km"], 1).alias("km"), road["fascia"].alias("fascia"))
+
+
+_SEASON = """h AS (SELECT DISTINCT source_id, CAST(data_inizio AS DATE) AS g FROM edges JOIN events USING (event_id) WHERE CAST(event_id AS BIGINT) % 61 = 0 AND data_inizio < '1998-06-15' AND CAST(data_inizio AS DATE) >= DATE '1995-06-15'),
+k AS (SELECT source_id FROM h GROUP BY 1 HAVING date_diff('day', min(g), DATE '1998-06-15') >= 300), w AS (SELECT source_id, g + to_months(CAST(12 * y AS INTEGER)) AS at_ FROM h JOIN k USING (source_id), range(1, 6) r(y)),
+s AS (SELECT DISTINCT giorno, source_id FROM w, (SELECT CAST(unnest(generate_series(DATE '1998-06-15', DATE '1999-06-15', INTERVAL 7 DAY)) AS DATE) AS giorno) WHERE giorno BETWEEN at_ - INTERVAL 60 DAY AND at_ + INTERVAL 5 DAY)"""
+
+
+def _seasons(spark, d):
+    history = edges(spark, d).join(events(spark, d).where(F.col("event_id").cast("long") % 61 == 0).select("event_id", "data_inizio"), "event_id")
+    return attention.seasons(history, day(), F.date_add(day(), 365))
+
+
+@query(f"""$ , {_SEASON} SELECT strftime(giorno, '%Y-%m-%d') AS giorno, count(*) AS fonti, min(source_id) AS prima FROM s GROUP BY 1""")
+def seasonal_calendar(spark, d):
+    """How many sources are in season each week of the year to come, and the first of them."""
+    weeks = spark.range(53).select(F.date_add(day(), (F.col("id") * 7).cast("int")).alias("giorno"))
+    found = attention.in_season(weeks, _seasons(spark, d))
+    return found.groupBy(F.col("giorno").cast("string").alias("giorno")).agg(F.count("*").alias("fonti"), F.min("source_id").alias("prima"))
+
+
+@query(f"""$ , {_SEASON} SELECT x.source_id, CAST(CASE coalesce(c.fascia, '') WHEN 'A' THEN 100 WHEN 'B' THEN 75 WHEN 'C' THEN 50 WHEN 'D' THEN 25 ELSE 0 END + 3 * coalesce(date_diff('day', CAST(CAST(last_run AS TIMESTAMP) AS DATE), DATE '1998-06-15'), 365) - 5 * consecutive_errors + CASE WHEN s.source_id IS NOT NULL THEN 25 ELSE 0 END AS DOUBLE) AS priorita
+FROM sources x LEFT JOIN comuni c ON x.source_id = 'comune-' || replace(lower(c.comune), ' ', '-') AND attivo = 'si' LEFT JOIN s ON s.source_id = x.source_id AND s.giorno = DATE '1998-06-15' WHERE tier IS NOT NULL""")
+def seasonal_priority(spark, d):
+    """Priorities of sources, higher in the season that their past events give them."""
+    now = attention.in_season(spark.range(1).select(day().alias("giorno")), _seasons(spark, d))
+    return queue.by_priority(sources(spark, d), comuni(spark, d), day(), season=now).select("source_id", F.col("priorita").cast("double").alias("priorita"))
+
+
+_MESSAGES = ["HTTP 404", "timeout", "HTTP 429 Too Many Requests", "nessun annuncio estratto", "dominio scaduto", "503"]
+
+
+@query(f"""WITH o AS (SELECT 'u' || user_id AS source_id, ts, CASE WHEN event_type = 'purchase' AND user_id % 3 = 0 THEN 'riuscita' ELSE ['permanente', 'transitorio', 'blocco', 'struttura', 'permanente', 'transitorio'][CASE WHEN event_id % 97 = 0 THEN 2 ELSE user_id % 6 + 1 END] END AS classe FROM events),
+g AS (SELECT *, CASE WHEN classe = lag(classe) OVER (PARTITION BY source_id ORDER BY ts, classe) THEN 0 ELSE 1 END AS nuovo FROM o), i AS (SELECT *, sum(nuovo) OVER (PARTITION BY source_id ORDER BY ts, classe) AS k FROM g),
+r AS (SELECT source_id, classe, min(ts) AS dal, max(ts) AS al, count(*) AS n FROM i GROUP BY source_id, classe, k QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY k DESC) = 1)
+SELECT source_id, classe, date_diff('day', CAST(dal AS DATE), CAST(al AS DATE)) AS giorni, n, CASE WHEN classe = 'permanente' AND date_diff('day', CAST(dal AS DATE), CAST(al AS DATE)) >= 14 THEN 'rotta' ELSE 'attiva' END AS stato,
+strftime(CAST(al AS DATE) + to_days(CAST(CASE WHEN classe = 'permanente' AND date_diff('day', CAST(dal AS DATE), CAST(al AS DATE)) >= 14 THEN 30 WHEN classe = 'blocco' THEN [7, 14, 30][least(n, 3)] ELSE 0 END AS INTEGER)), '%Y-%m-%d') AS riprova_dal FROM r""")
+def broken_sources(spark, d):
+    """What the errors of each user's visits say, from two batches one after the other; the SQL sees all at once."""
+    e, u = t(spark, d, "events"), F.col("user_id")
+    said = F.element_at(F.array(*map(F.lit, _MESSAGES)), F.when(F.col("event_id") % 97 == 0, 2).otherwise(u % 6 + 1).cast("int"))
+    rows = e.select(F.concat(F.lit("u"), u.cast("string")).alias("source_id"), F.col("ts").cast("timestamp").alias("ts"), F.when(~((F.col("event_type") == "purchase") & (u % 3 == 0)), said).alias("errore"))
+    half = F.lit("2024-01-12 07:00:00").cast("timestamp")
+    after = attention.continued(attention.last_stretch(rows.where(F.col("ts") < half)), attention.last_stretch(rows.where(F.col("ts") >= half)))
+    return attention.verdicts(after).join(after.select("source_id", "n"), "source_id").select("source_id", "classe", "giorni", "n", "stato", F.col("riprova_dal").cast("string").alias("riprova_dal"))
