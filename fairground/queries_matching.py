@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from fairground import schemas
 from fairground.functions import text as T
-from fairground.operators import attention, backlog, geo, matching, mentions, merging, queue
+from fairground.operators import attention, backlog, geo, groups, matching, mentions, merging, queue
 from fairground.plans import publish
-from fairground.queries import _KEY, _LINES, _RULES, _drain, _stream, comuni, day, edges, events, first_lines, query, rules, sources, t
+from fairground.queries import _BITS, _KEY, _LINES, _RULES, _drain, _stream, comuni, day, edges, events, first_lines, query, rules, sources, t
 from fairground.streaming import timers
 
 _WORDS = "list_sort(list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\s+'), lambda x: x <> '')))"
@@ -194,3 +194,19 @@ def broken_sources(spark, d):
     half = F.lit("2024-01-12 07:00:00").cast("timestamp")
     after = attention.continued(attention.last_stretch(rows.where(F.col("ts") < half)), attention.last_stretch(rows.where(F.col("ts") >= half)))
     return attention.verdicts(after).join(after.select("source_id", "n"), "source_id").select("source_id", "classe", "giorni", "n", "stato", F.col("riprova_dal").cast("string").alias("riprova_dal"))
+
+
+@query(f"""WITH RECURSIVE {_BITS}, n AS (SELECT vec_id AS id, h, vec_id % 3 AS giorno, vec_id % 2 AS comune, vec_id // 40 AS titolo FROM bits),
+e AS (SELECT a.id AS x, b.id AS y FROM n a JOIN n b ON a.giorno = b.giorno AND a.comune = b.comune AND a.id <> b.id AND (bit_count(xor(a.h, b.h)) <= 8 OR (a.titolo = b.titolo AND a.titolo % 2 = 0))),
+r AS (SELECT id, id AS altro FROM n UNION SELECT r.id, e.y FROM r JOIN e ON e.x = r.altro)
+SELECT id, min(altro) AS gruppo FROM r GROUP BY 1""")
+def image_event_groups(spark, d):
+    """Groups of a day and place by near pictures (the signs of vectors) and, for every other title, by titles."""
+    sign = F.array_join(F.transform("embedding", lambda x: F.when(x > 0, "1").otherwise("0")), "")
+    half = lambda at: F.lpad(F.lower(F.conv(F.substring(sign, at, 32), 2, 16)), 8, "0")
+    k = F.col("vec_id")
+    rows = t(spark, d, "embeddings").select(k.alias("id"), (k % 3).alias("giorno"), (k % 2).alias("comune"), F.concat(half(1), half(33)).alias("phash"), F.floor(k / 40).alias("titolo"))
+    named = rows.where("titolo % 2 = 0")
+    first = named.groupBy("titolo", "giorno", "comune").agg(F.min("id").alias("a"))
+    pairs = named.join(first, ["titolo", "giorno", "comune"]).select("a", F.col("id").alias("b")).where("a <> b")
+    return groups.event_groups(rows, ["giorno", "comune"], pairs)
