@@ -9,6 +9,8 @@ from fairground.functions import text as T
 from fairground.operators import attention, backlog, geo, groups, matching, mentions, merging, queue
 from fairground.plans import publish
 from fairground.queries import _BITS, _KEY, _LINES, _RULES, _drain, _stream, comuni, day, edges, events, first_lines, query, rules, sources, t
+from fairground.sources import updates
+from fairground.storage import fresh_path
 from fairground.streaming import timers
 
 _WORDS = "list_sort(list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\s+'), lambda x: x <> '')))"
@@ -210,3 +212,15 @@ def image_event_groups(spark, d):
     first = named.groupBy("titolo", "giorno", "comune").agg(F.min("id").alias("a"))
     pairs = named.join(first, ["titolo", "giorno", "comune"]).select("a", F.col("id").alias("b")).where("a <> b")
     return groups.event_groups(rows, ["giorno", "comune"], pairs)
+
+
+@query("""WITH p AS (SELECT DISTINCT ['facebook', 'instagram', 'telegram'][conv_id % 3 + 1] AS piattaforma, conv_id * 1000 + turn AS post_id, text AS testo FROM conversations)
+SELECT piattaforma, count(DISTINCT post_id) AS post, max(post_id) AS ultimo, CAST(sum(length(testo)) AS BIGINT) AS lettere FROM p GROUP BY 1""")
+def stream_updates(spark, d):
+    """Turns as posts that land in lots of three platforms, some of them twice, read by a cursor each and counted once."""
+    k = F.col("conv_id")
+    posts = t(spark, d, "conversations").select(F.element_at(F.array(*map(F.lit, ["facebook", "instagram", "telegram"])), (k % 3 + 1).cast("int")).alias("piattaforma"), (k % 4).alias("lotto"), (k * 1000 + F.col("turn")).alias("post_id"), F.col("text").alias("testo"))
+    path = fresh_path(spark, "landed")
+    updates.land(posts.unionByName(posts.where("post_id % 5 = 0").withColumn("lotto", F.lit(7))), path)
+    rows = _drain(spark, updates.read_updates(spark, path, "piattaforma string, lotto bigint, post_id bigint, testo string"))
+    return rows.select("piattaforma", "post_id", "testo").distinct().groupBy("piattaforma").agg(F.countDistinct("post_id").alias("post"), F.max("post_id").alias("ultimo"), F.sum(F.length("testo")).alias("lettere"))
