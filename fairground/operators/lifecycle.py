@@ -147,6 +147,17 @@ def upsert_latest(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
     return stored.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.dropDuplicates(keys).select(*stored.columns))
 
 
+def upsert_queue(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """The follow queue after an import: handle, address, subject, municipality, band and category from the import by source
+    and platform; state, attempts, day and note of what is stored stay. Of rows with one key that with the greatest address counts."""
+    taken = ["handle", "url", "soggetto", "comune", "fascia", "categoria"]
+    last = new.groupBy("source_id", "piattaforma").agg(F.max_by(F.struct(*(c for c in new.columns if c not in ("source_id", "piattaforma"))), F.struct(F.coalesce("url", F.lit("")), F.coalesce("handle", F.lit("")))).alias("_n"))
+    rows = stored.withColumn("_old", F.lit(True)).join(last, ["source_id", "piattaforma"], "full_outer")
+    given = set(new.columns)
+    pick = lambda c: F.when(F.col("_n").isNotNull(), F.col(f"_n.{c}")).otherwise(F.col(c)) if c in given and c in taken else F.when(F.col("_old").isNull(), F.col(f"_n.{c}")).otherwise(F.col(c)) if c in given and c not in ("source_id", "piattaforma") else F.col(c)
+    return rows.select(*(pick(f.name).cast(f.dataType).alias(f.name) for f in stored.schema))
+
+
 def insert_missing(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Stored rows and those of the new ones whose key is not there; what is stored wins."""
     return stored.unionByName(new.dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti").select(*stored.columns))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fairground import schemas
 from fairground.functions import scores
 from fairground.functions import text as T
+from fairground.operators import backlog
 from fairground.operators.lifecycle import with_overrides
 from fairground.operators.places import place_of_slug
 
@@ -105,21 +106,14 @@ def all_sources(sources: DataFrame, queue: DataFrame, comuni: DataFrame, edges:
     social = queue.where("coalesce(url, '') <> '' and stato = 'seguito'").withColumn("_feed", feed).join(counts.withColumnRenamed("source_id", "_feed"), "_feed", "left").select(F.col("piattaforma").alias("fonte"), T.category_label(F.col("categoria")).alias("tipo"), F.coalesce("comune", F.lit("")).alias("comune"), "url", "attivi", "totale")
     rows = web.unionByName(social).withColumns({c: F.coalesce(c, F.lit(0)) for c in ("attivi", "totale")})
     order = [F.coalesce(F.nullif("comune", F.lit("")), F.lit("￿")), F.col("tipo"), F.col("fonte"), F.col("url")]
-    return numbered(rows, [c.alias(f"_o{i}") for i, c in enumerate(order)], "numero")
+    return numbered(rows, order, "numero")
 
 
 def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Rows numbered from 1 in a whole order, without one task that sees them all.
-
-    Rows are numbered within each value of the first column of the order, and the values' counts are added up.
-    """
+    """Rows numbered from 1 in a whole order, by ranges of it, so that no task sees all rows, however many share a value."""
     keys = [f"_o{i}" for i in range(len(order))]
-    keyed = rows.select(*rows.columns, *order)
-    before = Window.orderBy("_o0").rowsBetween(Window.unboundedPreceding, -1)  # one row a value
-    bases = keyed.groupBy("_o0").agg(F.count("*").alias("_m")).select(F.col("_o0").alias("_v"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_base"))
-    local = F.row_number().over(Window.partitionBy("_o0").orderBy(*keys[1:]))
-    placed = keyed.withColumn("_n", local).join(bases, F.col("_o0").eqNullSafe(F.col("_v")))
-    return placed.select(*rows.columns, (F.col("_base") + F.col("_n")).cast("int").alias(name))
+    keyed = rows.select(*rows.columns, *(c.alias(k) for c, k in zip(order, keys)))
+    return backlog.running(keyed, keys).select(*rows.columns, F.col("_upto").cast("int").alias(name))
 
 
 def sources_sheet(sources: DataFrame, comuni: DataFrame) -> DataFrame:
@@ -202,12 +196,52 @@ def on_date(rows: DataFrame, day: Column, comune: str | None = None, tipologia:
     return hit.where(F.col("tipologia") == tipologia) if tipologia else hit
 
 
+def _sort_key(rows: DataFrame, column: str) -> Column:
+    """A column with nulls as blanks."""
+    text = rows.schema[column].dataType.simpleString() == "string"
+    return F.coalesce(F.col(column), F.lit("") if text else F.lit(float("-inf")))
+
+
 def sorted_by(rows: DataFrame, column: str, down: bool = False, tie: str = "id") -> DataFrame:
     """Rows by any column, nulls as blanks."""
-    c = F.coalesce(F.col(column).cast("string") if rows.schema[column].dataType.simpleString() == "string" else F.col(column), F.lit("") if rows.schema[column].dataType.simpleString() == "string" else F.lit(float("-inf")))
+    c = _sort_key(rows, column)
     return rows.orderBy(c.desc() if down else c.asc(), tie)
 
 
+def placed_by(rows: DataFrame, column: str, down: bool = False, tie: str = "id", name: str = "posto") -> DataFrame:
+    """Rows with their place, from 1, in the order of ``sorted_by``; ``tie`` is unlike for all rows."""
+    c = _sort_key(rows, column)
+    keyed = rows.withColumn("_key", c)
+    return backlog.running(keyed, [F.desc("_key") if down else F.asc("_key"), F.asc(tie)]).withColumnRenamed("_upto", name).drop("_key")
+
+
+def shown_of(rows: DataFrame, hit: Column, what: str = "eventi") -> DataFrame:
+    """One row: how many of the rows a filter shows, how many there are, and the line that says so."""
+    counts = rows.agg(F.count_if(F.coalesce(hit, F.lit(False))).alias("mostrati"), F.count("*").alias("totale"))
+    text = F.when(F.col("mostrati") == F.col("totale"), F.format_string(f"%d {what}", "totale")).otherwise(F.format_string(f"%d su %d {what}", "mostrati", "totale"))
+    return counts.withColumn("testo", text)
+
+
+def period(start: Column, end: Column) -> Column:
+    """The days of an event in words: one, or from one to another; a start that is no date stays as it is."""
+    short = lambda c: F.coalesce(F.date_format(F.try_to_date(F.left(c, F.lit(10)), "yyyy-MM-dd"), "dd/MM/yyyy"), c)
+    several = (F.coalesce(end, F.lit("")) != "") & (end != start)
+    return F.when(several, F.concat(F.lit("dal "), short(start), F.lit(" al "), short(end))).otherwise(F.coalesce(short(start), F.lit("")))
+
+
+def sources_matching(rows: DataFrame, words: str = "", channel: str = "", kind: str = "") -> DataFrame:
+    """The list of sources by channel, kind and words in municipality or address; what is blank asks for nothing."""
+    hit = rows.where(F.col("fonte") == channel) if channel else rows
+    hit = hit.where(F.col("tipo") == kind) if kind else hit
+    return containing(hit, words.strip(), "comune", "url") if words.strip() else hit
+
+
+def perimeter_matching(rows: DataFrame, words: str = "", province: str = "") -> DataFrame:
+    """Municipalities whose name holds the words, in a province."""
+    hit = containing(rows, words.strip(), "comune") if words.strip() else rows
+    return hit.where(F.col("provincia") == province) if province else hit
+
+
 def facets(rows: DataFrame, column: str) -> DataFrame:
     return rows.select(F.col(column).alias("valore")).where("coalesce(valore, '') <> ''").distinct().orderBy("valore")
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fairground import schemas
 from fairground.functions import filters
+from fairground.functions import text as T
 from fairground.operators import lifecycle, links
 from fairground.plans import publish, views
-from fairground.queries import edges, events, follow_queue, full_events, query, sources, t
+from fairground.queries import AS_OF, comuni, edges, events, follow_queue, full_events, query, sources, t
 
 
 @query("""$ , sh AS (SELECT source_id, CASE WHEN n % 4 = 0 THEN ' ' ELSE 'cat' || n END AS categoria, n FROM (SELECT source_id, unnest([esiti_utili, esiti_utili + 5, esiti_utili + 2]) AS n FROM sources WHERE esiti_utili % 2 = 0)), l AS (SELECT source_id, arg_max(categoria, n) AS c FROM sh GROUP BY 1)
@@ -83,9 +85,9 @@ def category_shares(spark, d):
     return links.shares(sources(spark, d), "categoria")
 
 
-@query("""SELECT p_partkey FROM part WHERE contains(lower(p_name), 'green') OR contains(lower(p_type), 'green')""")
+@query("""SELECT p_partkey FROM part WHERE contains(lower(p_name), 'ring') OR contains(lower(p_type), 'econ')""")
 def rows_containing(spark, d):
-    return views.containing(t(spark, d, "part"), "Green", "p_name", "p_type").select("p_partkey")
+    return views.containing(t(spark, d, "part"), "Ring", "p_name").select("p_partkey").unionByName(views.containing(t(spark, d, "part"), "ECON", "p_type").select("p_partkey")).distinct()
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'mai verificata' WHEN 1 THEN 'non seguita' ELSE strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y') || ' 08:30' END AS testo FROM orders""")
@@ -151,9 +153,39 @@ def follow_guards(spark, d):
 
 @query("""$ SELECT event_id AS id, titolo, comune, row_number() OVER (ORDER BY coalesce(comune, '') DESC, event_id) AS posto FROM events WHERE archiviato = 'no'""")
 def rows_sorted(spark, d):
-    """Rows by a column, the last first, with their place: taken from the order in which they are written."""
-    from fairground.storage import stored
+    """Rows by a column, the last first, with their place."""
+    return views.placed_by(events(spark, d).where("archiviato = 'no'").select(F.col("event_id").alias("id"), "titolo", "comune"), "comune", down=True).select("id", "titolo", "comune", "posto")
 
-    rows = views.sorted_by(events(spark, d).where("archiviato = 'no'").select(F.col("event_id").alias("id"), "titolo", "comune"), "comune", down=True)
-    written = stored(rows.coalesce(1), "sorted")
-    return written.select("id", "titolo", "comune", (F.col("_metadata.row_index") + 1).alias("posto"))
+
+@query("""$ SELECT count(*) FILTER (tipologia = 'sagra' AND data_inizio >= '1998-06-15') AS mostrati, count(*) AS totale, count(*) FILTER (tipologia = 'sagra' AND data_inizio >= '1998-06-15') || ' su ' || count(*) || ' eventi' AS testo FROM events""")
+def shown_count(spark, d):
+    return views.shown_of(events(spark, d), (F.col("tipologia") == "sagra") & (F.col("data_inizio") >= AS_OF))
+
+
+@query("""$ SELECT event_id, CASE WHEN data_fine <> data_inizio THEN 'dal ' || strftime(CAST(data_inizio AS DATE), '%d/%m/%Y') || ' al ' || strftime(CAST(data_fine AS DATE), '%d/%m/%Y') ELSE strftime(CAST(data_inizio AS DATE), '%d/%m/%Y') END AS periodo FROM events""")
+def period_text(spark, d):
+    return events(spark, d).select("event_id", views.period(F.col("data_inizio"), F.col("data_fine")).alias("periodo"))
+
+
+@query("""$ , l AS (SELECT piattaforma AS fonte, CASE categoria WHEN 'comune' THEN 'Comune' WHEN 'proloco' THEN 'Pro Loco' ELSE 'Teatro' END AS tipo, comune, url FROM queue)
+SELECT * FROM l WHERE fonte = 'facebook' AND tipo = 'Teatro' AND (contains(lower(comune), 'nation_1') OR contains(lower(url), 'nation_1'))""")
+def sources_filtered(spark, d):
+    """Followed pages by channel, kind and words."""
+    q = follow_queue(spark, d).select(F.col("piattaforma").alias("fonte"), T.category_label(F.col("categoria")).alias("tipo"), "comune", "url")
+    return views.sources_matching(q, " NATION_1", "facebook", "Teatro")
+
+
+@query("""$ SELECT istat, comune FROM comuni WHERE contains(lower(comune), '_1') AND provincia = 'B'""")
+def perimeter_filtered(spark, d):
+    return views.perimeter_matching(comuni(spark, d), "_1 ", "B").select("istat", "comune")
+
+
+@query("""$ , n AS (SELECT source_id, piattaforma, max(url || '/nuova') AS url, max(comune) AS comune FROM queue WHERE seq % 2 = 0 GROUP BY 1, 2)
+SELECT q.source_id, q.piattaforma, coalesce(n.url, q.url) AS url, CASE WHEN n.source_id IS NULL THEN q.comune ELSE 'X' || n.comune END AS comune, q.stato, q.tentativi FROM queue q LEFT JOIN n ON n.source_id = q.source_id AND n.piattaforma = q.piattaforma
+UNION ALL SELECT 'nuova-' || source_id, piattaforma, url || '/nuova', 'X' || comune, 'da_seguire', NULL FROM queue WHERE seq % 10 = 0""")
+def queue_reimported(spark, d):
+    """Lists imported again: addresses change, what was done to a candidate stays."""
+    q = follow_queue(spark, d)
+    again = q.where("seq % 2 = 0").select("source_id", "piattaforma", "handle", F.concat("url", F.lit("/nuova")).alias("url"), "soggetto", F.concat(F.lit("X"), "comune").alias("comune"), F.lit("A").alias("fascia"), "categoria", F.lit("da_seguire").alias("stato"), "seq")
+    new = again.where("seq % 10 = 0").withColumn("source_id", F.concat(F.lit("nuova-"), "source_id"))
+    return lifecycle.upsert_queue(publish.migrate(q, schemas.QUEUE), again.unionByName(new).drop("seq")).select("source_id", "piattaforma", "url", "comune", "stato", "tentativi")
