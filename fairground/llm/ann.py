@@ -225,7 +225,8 @@ def classifiers(data: DataFrame, counts: dict[int, int], settings: Settings) ->
     for w in sorted(counts, key=lambda w: (-counts[w], w))[: settings.widths]:
         total, own = counts[w], data.where(F.col("w") == w)
         wanted = _power(settings.parts_factor * total**0.5)
-        sample = rows(own.where(drawn(settings.sample / total, "id")).select("v"), w)
+        # By id and vector: of many vectors under one id the same share is drawn, and copies of one vector count once.
+        sample = rows(own.where(drawn(settings.sample / total, "id", "v")).select("v").distinct(), w)
         if not len(sample):
             continue
         levels = 1 if wanted <= settings.most_parts else 2
@@ -247,11 +248,12 @@ def divide(data: DataFrame, node: Node, w: int, parts_per_row: float, settings:
     filed = data.select("id", "v").mapInArrow(file, "id long, v array<double>, outer int")
     counts = {r["outer"]: r["count"] for r in filed.groupBy("outer").count().collect()}  # at most most_parts rows
     share = F.create_map(*(F.lit(x) for p, n in counts.items() for x in (p, min(1.0, settings.sample / n))))[F.col("outer")]
-    some = filed.where(F.xxhash64("id", F.lit(2)).bitwiseAND((1 << 62) - 1) < share * float(1 << 62))
+    some = filed.where(F.xxhash64("id", "v", F.lit(2)).bitwiseAND((1 << 62) - 1) < share * float(1 << 62)).select("outer", "v").distinct()
 
     def fit(table: pa.Table) -> pa.Table:
         p = table.column("outer")[0].as_py()
-        inner = learn(np.unique(matrix(table.column("v"), w), axis=0)[: settings.sample], min(settings.most_parts, _power(parts_per_row * counts[p])), settings, 2)
+        own = np.unique(matrix(table.column("v"), w), axis=0)
+        inner = learn(own[np.random.default_rng(p).permutation(len(own))[: settings.sample]], min(settings.most_parts, _power(parts_per_row * counts[p])), settings, 2)
         return pa.table({"outer": pa.array([p], pa.int32()), "parts": pa.array([inner.weights.shape[1]], pa.int32()), "mass": pa.array([inner.mass]), "weights": pa.array([inner.weights.astype(np.float32).tobytes()], pa.binary())})
 
     fitted = some.groupBy("outer").applyInArrow(fit, "outer int, parts int, mass double, weights binary")

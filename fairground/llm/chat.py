@@ -205,8 +205,8 @@ def format_transcripts(spark: SparkSession, rows: DataFrame, block: int = BLOCK)
     """
     scratch = Scratch(spark, "chat")
     first = [F.asc_nulls_first(c) for c in ("conv_id", "turn", "tie", "row", "segment")]
-    stored = scratch.table("segments", segments(rows).orderBy(*first))
-    # Files are numbered in the order of their ranges.
+    # One file a task, whatever the session says: files are numbered by their task, in the order of their ranges.
+    stored = scratch.table("segments", segments(rows).orderBy(*first), maxRecordsPerFile=0)
     part, at = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long"), F.col("_metadata.row_index")
     segs = stored.select("*", (part * (1 << 32) + F.floor(at / block)).alias("block"), at.alias("at"))
     hmm = fit(segs)

@@ -34,7 +34,7 @@ BROADCAST_LABELS = 1_000_000
 class Settings:
     """Bounds of what is gathered to fit, and parameters of the rounds.
 
-    ``labelled`` bounds the labelled documents, drawn evenly by a hash of the id. In each round every unlabelled
+    ``labelled`` bounds the labelled rows that are gathered, drawn evenly by a hash of the row, whatever ids they share. In each round every unlabelled
     document is scored by both views, and ``per_stratum`` of each view, class and stratum at most are gathered, those
     it is surest of: at most ``4 * strata * per_stratum`` a round. Scoring takes every document.
     """
@@ -284,9 +284,11 @@ def surest(features: DataFrame, content: np.ndarray, meta: np.ndarray, centre: n
     return picked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= settings.per_stratum).drop("n").toArrow()
 
 
-def co_train(features: DataFrame, lexicon: np.ndarray, many: int, settings: Settings) -> Model | None:
+def co_train(features: DataFrame, lexicon: np.ndarray, settings: Settings) -> Model | None:
     """Fit the model on described rows; None if the labels do not hold both classes."""
-    known = Examples.of(features.where(F.col("good").isNotNull() & drawn(settings.labelled / max(many, 1), "doc_id")).select("row", "good", "metadata", "places", "weights").toArrow(), len(lexicon), "good")
+    told = features.where("good is not null").select("row", "good", "metadata", "places", "weights")
+    # Rows are drawn, not ids: many may share a labelled one.
+    known = Examples.of(told.where(drawn(settings.labelled / max(told.count(), 1), "row")).toArrow(), len(lexicon), "good")
     both = lambda y: len(np.unique(y)) == 2
     if not both(known.label):
         return None
@@ -325,7 +327,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     lexicon = choose_lexicon(sample, settings)
     features = scratch.table("features", describe(docs, marks, many, lexicon, settings))
     scratch.drop("sample")
-    return co_train(features, lexicon, many, settings), features
+    return co_train(features, lexicon, settings), features
 
 
 def _view_batch(batch) -> pa.RecordBatch:
