@@ -82,19 +82,26 @@ def block_hours(text: Column) -> Column:
     return out
 
 
+#: What the markup of each platform holds, and patterns of structured data and of cards.
+WORDPRESS, DRUPAL, DESIGN_SYSTEM = "wp-content", r"""(?i)<meta[^>]+name=["']generator["'][^>]+content=["']Drupal""", ("bootstrap-italia", "agid")
+LD_JSON = r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>.*?</script>"""
+CARDS = r"""(?i)class=["'](?:[^"']*\s)?card-wrapper(?:\s[^"']*)?["']"""
+
+
 def cms(html: Column) -> Column:
     """The platform that a page's markup shows; the first signature wins."""
+    library, agency = DESIGN_SYSTEM
     return (
-        F.when(html.contains("wp-content"), "wordpress")
-        .when(html.rlike(r"""(?i)<meta[^>]+name=["']generator["'][^>]+content=["']Drupal"""), "drupal")
-        .when(html.contains("bootstrap-italia") & F.lower(html).contains("agid"), "pa_design_system")
+        F.when(html.contains(WORDPRESS), "wordpress")
+        .when(html.rlike(DRUPAL), "drupal")
+        .when(html.contains(library) & F.lower(html).contains(agency), "pa_design_system")
         .otherwise("sconosciuta")
     )
 
 
 def has_ld_json(html: Column) -> Column:
-    return html.rlike(r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>.*?</script>""")
+    return html.rlike(LD_JSON)
 
 
 def has_cards(html: Column) -> Column:
-    return html.rlike(r"""(?i)class=["'](?:[^"']*\s)?card-wrapper(?:\s[^"']*)?["']""")
+    return html.rlike(CARDS)

@@ -35,12 +35,18 @@ def social_url(url: Column) -> Column:
     return F.when(c.rlike(FACEBOOK_DEEP), F.regexp_replace(c, FACEBOOK_DEEP, "$1")).when(c.rlike(INSTAGRAM_DEEP), F.regexp_replace(c, INSTAGRAM_DEEP, "$1")).otherwise(F.regexp_replace(c, r"/+$", ""))
 
 
+#: Where a profile's name stands in an address, in the order in which it is looked for.
+PEOPLE, SHORT = r"(?i)facebook\.com/people/([^/?#]+)/(\d+)", r"(?i)facebook\.com/p/([^/?#]+)"
+CATEGORY, PAGES = r"(?i)facebook\.com/pages/category/[^/?#]+/([^/?#]+-\d+)", r"(?i)facebook\.com/pages/([^/?#]+)/(\d+)"
+FACEBOOK_NAME, INSTAGRAM_NAME = r"(?i)facebook\.com/([^/?#]+)", r"(?i)instagram\.com/([^/?#]+)"
+
+
 def social_handle(url: Column) -> Column:
     """The profile's name in a social URL; null if there is none."""
     part = lambda p, i=1: F.nullif(F.regexp_extract(url, p, i), F.lit(""))
-    people, pages = r"(?i)facebook\.com/people/([^/?#]+)/(\d+)", r"(?i)facebook\.com/pages/([^/?#]+)/(\d+)"
-    facebook = F.coalesce(F.concat(part(people), F.lit("-"), part(people, 2)), part(r"(?i)facebook\.com/p/([^/?#]+)"), part(r"(?i)facebook\.com/pages/category/[^/?#]+/([^/?#]+-\d+)"), F.concat(part(pages), F.lit("-"), part(pages, 2)), part(r"(?i)facebook\.com/([^/?#]+)"))
-    return F.when(platform(url) == "facebook", facebook).otherwise(part(r"(?i)instagram\.com/([^/?#]+)"))
+    numbered = lambda p: F.concat(part(p), F.lit("-"), part(p, 2))
+    facebook = F.coalesce(numbered(PEOPLE), part(SHORT), part(CATEGORY), numbered(PAGES), part(FACEBOOK_NAME))
+    return F.when(platform(url) == "facebook", facebook).otherwise(part(INSTAGRAM_NAME))
 
 
 def social_verdict(url: Column) -> Column:

@@ -101,9 +101,16 @@ def crawl(index: DataFrame, links: DataFrame, details: DataFrame) -> DataFrame:
     return found.unionByName(parse_jsonld(rest.select("source_id", "url", F.col("html").alias("payload"))))
 
 
+#: Links with their text, and what pages offer to machines.
+LINK_TEXT = r"""(?i)<a[^>]+href=["']([^"']+)["'][^>]*>([^<]*)</a>"""
+CALENDAR = r"""(?i)<link[^>]+type=["']text/calendar["'][^>]+href=["']([^"']+)["']"""
+FEED = r"""(?i)<link[^>]+rel=["']alternate["'][^>]+type=["']application/(?:rss|atom)\+xml["'][^>]+href=["']([^"']+)["']"""
+LD_EVENT = r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>(?:(?!</script>).)*"@type"\s*:\s*"Event\""""
+
+
 def events_page(html: Column, base: Column) -> Column:
     """The first link whose whole text names an events page."""
-    pattern = r"""(?i)<a[^>]+href=["']([^"']+)["'][^>]*>([^<]*)</a>"""
+    pattern = LINK_TEXT
     pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(pattern), 1).alias("h"), F.regexp_extract_all(html, F.lit(pattern), 2).alias("t"))
     hit = F.filter(pairs, lambda p: F.trim(p["t"]).rlike(EVENTS_LINK))
     return urls.absolute(F.try_element_at(hit, F.lit(1))["h"], base)
@@ -111,10 +118,9 @@ def events_page(html: Column, base: Column) -> Column:
 
 def structured_endpoint(html: Column, base: Column) -> Column:
     """``url, kind`` of what a page offers to machines: a calendar, else a feed of its own, else events in JSON-LD."""
-    calendar = F.nullif(F.regexp_extract(html, r"""(?i)<link[^>]+type=["']text/calendar["'][^>]+href=["']([^"']+)["']""", 1), F.lit(""))
-    feed = F.nullif(F.regexp_extract(html, r"""(?i)<link[^>]+rel=["']alternate["'][^>]+type=["']application/(?:rss|atom)\+xml["'][^>]+href=["']([^"']+)["']""", 1), F.lit(""))
+    calendar, feed = (F.nullif(F.regexp_extract(html, p, 1), F.lit("")) for p in (CALENDAR, FEED))
     feed = F.when(~urls.generic_feed(urls.absolute(feed, base)), urls.absolute(feed, base))
-    events = html.rlike(r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>(?:(?!</script>).)*"@type"\s*:\s*"Event\"""")
+    events = html.rlike(LD_EVENT)
     made = lambda u, k: F.struct(u.alias("url"), F.lit(k).alias("kind"))
     return F.when(calendar.isNotNull(), made(urls.absolute(calendar, base), "ical")).when(feed.isNotNull(), made(feed, "rss")).when(events, made(base, "jsonld"))
 

@@ -215,8 +215,8 @@ def placed_by(rows: DataFrame, column: str, down: bool = False, tie: str = "id",
     return backlog.running(keyed, [F.desc("_key") if down else F.asc("_key"), F.asc(tie)]).withColumnRenamed("_upto", name).drop("_key")
 
 
-def shown_of(rows: DataFrame, hit: Column, what: str = "eventi") -> DataFrame:
-    """One row: how many of the rows a filter shows, how many there are, and the line that says so."""
+def shown_of(rows: DataFrame, hit: Column, what: str = "annunci") -> DataFrame:
+    """One row: how many of the rows a filter shows, how many there are, and the line that says so of ``what`` is listed."""
     counts = rows.agg(F.count_if(F.coalesce(hit, F.lit(False))).alias("mostrati"), F.count("*").alias("totale"))
     text = F.when(F.col("mostrati") == F.col("totale"), F.format_string(f"%d {what}", "totale")).otherwise(F.format_string(f"%d su %d {what}", "mostrati", "totale"))
     return counts.withColumn("testo", text)

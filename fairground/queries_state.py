@@ -157,7 +157,7 @@ def rows_sorted(spark, d):
     return views.placed_by(events(spark, d).where("archiviato = 'no'").select(F.col("event_id").alias("id"), "titolo", "comune"), "comune", down=True).select("id", "titolo", "comune", "posto")
 
 
-@query("""$ SELECT count(*) FILTER (tipologia = 'sagra' AND data_inizio >= '1998-06-15') AS mostrati, count(*) AS totale, count(*) FILTER (tipologia = 'sagra' AND data_inizio >= '1998-06-15') || ' su ' || count(*) || ' eventi' AS testo FROM events""")
+@query("""$ SELECT count(*) FILTER (tipologia = 'sagra' AND data_inizio >= '1998-06-15') AS mostrati, count(*) AS totale, count(*) FILTER (tipologia = 'sagra' AND data_inizio >= '1998-06-15') || ' su ' || count(*) || ' annunci' AS testo FROM events""")
 def shown_count(spark, d):
     return views.shown_of(events(spark, d), (F.col("tipologia") == "sagra") & (F.col("data_inizio") >= AS_OF))
 

@@ -77,12 +77,12 @@ def test_replay(spark):
 
 def test_crawl(spark):
     event = '<script type="application/ld+json">{"@type": "Event", "name": "%s", "startDate": "2026-10-03", "url": "https://other.example/e"}</script>'
-    anchors = "".join(f'<a href="/it/eventi/{x}">x</a><a href="/event/{x}">y</a>' for x in ("b", "a", "a"))
-    index = spark.createDataFrame([("s", "https://a.it/", anchors + event % "Indice"), ("t", "https://b.it/", anchors.replace("eventi", "news") + event % "Solo indice")], "source_id string, url string, html string")
-    regional = links.event_links(index, links.REGIONAL_LINKS, links.REGIONAL_PATH)
-    assert sorted((r.page_url, r.rank, r.link) for r in regional.collect()) == [("https://a.it/", 1, "https://a.it/it/eventi/a"), ("https://a.it/", 2, "https://a.it/it/eventi/b")]
+    anchors = "".join(f'<a href="/it/agenda/{x}">x</a><a href="/event/{x}">y</a>' for x in ("b", "a", "a"))
+    index = spark.createDataFrame([("s", "https://a.it/", anchors + event % "Indice"), ("t", "https://b.it/", anchors.replace("agenda", "news") + event % "Solo indice")], "source_id string, url string, html string")
+    regional = links.event_links(index, links.REGIONAL_LINKS, "^/it/agenda/[^/]+")
+    assert sorted((r.page_url, r.rank, r.link) for r in regional.collect()) == [("https://a.it/", 1, "https://a.it/it/agenda/a"), ("https://a.it/", 2, "https://a.it/it/agenda/b")]
     assert {r.link for r in links.event_links(index).collect()} == {f"https://{h}.it/event/{x}" for h in "ab" for x in "ab"}
-    details = spark.createDataFrame([("https://a.it/it/eventi/a", event % "Dettaglio")], "url string, html string")
+    details = spark.createDataFrame([("https://a.it/it/agenda/a", event % "Dettaglio")], "url string, html string")
     assert sorted((r.source_id, r.titolo) for r in links.crawl(index, regional, details).collect()) == [("s", "Dettaglio"), ("t", "Solo indice")]
 
 

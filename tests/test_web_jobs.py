@@ -22,8 +22,8 @@ def test_numbers_where_one_value_has_most_rows(spark):
 def test_texts_of_lists(spark):
     df = spark.createDataFrame([("2026-10-01", "2026-10-03"), ("2026-10-01", "2026-10-01"), ("2026-10-01", None), ("presto", None), (None, None)], "a string, b string")
     assert [r.p for r in df.select(views.period(F.col("a"), F.col("b")).alias("p")).collect()] == ["dal 01/10/2026 al 03/10/2026", "01/10/2026", "01/10/2026", "presto", ""]
-    assert tuple(views.shown_of(df, F.col("b").isNotNull()).first()) == (2, 5, "2 su 5 eventi")
-    assert views.shown_of(df, F.lit(True)).first().testo == "5 eventi" and views.shown_of(df.limit(0), F.lit(True)).first().testo == "0 eventi"
+    assert tuple(views.shown_of(df, F.col("b").isNotNull()).first()) == (2, 5, "2 su 5 annunci")
+    assert views.shown_of(df, F.lit(True)).first().testo == "5 annunci" and views.shown_of(df.limit(0), F.lit(True)).first().testo == "0 annunci"
     rows = spark.createDataFrame([("web", "Comune", "Asti", "https://a"), ("web", "Teatro", None, "https://ASTI.it"), ("facebook", "Comune", "Asti", None)], "fonte string, tipo string, comune string, url string")
     n = lambda *a: views.sources_matching(rows, *a).count()
     assert (n(), n("asti"), n(" ASTI ", "web"), n("asti", "web", "Teatro"), n("x")) == (3, 3, 2, 1, 0)
