@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -60,6 +61,19 @@ def concat(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # only the GNU C library has it
+    _trim = None
+
+
+def give_back() -> None:
+    """Freed memory back to the system: a worker lives through many stages, and what one leaves lies beside the next."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batches, max_bytes: int = 8 << 20):
     """Record batches cut into runs of whole rows of about ``max_bytes``, so that working memory stays bounded."""
     for batch in batches:
@@ -69,7 +83,7 @@ def slices(batches, max_bytes: int = 8 << 20):
         step = max(1, int(n * max_bytes / max(batch.nbytes, 1)))
         for at in range(0, n, step):
             yield batch.slice(at, step)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
