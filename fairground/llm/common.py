@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_ROOT: list[str] = []
+#: Bytes of an Arrow batch between Spark and a worker, where the session names none: both sides hold a batch whole.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -34,6 +37,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
+        if spark.conf.get(_BATCH_SETTING, None) is None:
+            spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
         self.base = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:

@@ -157,7 +157,7 @@ def verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, k: in
     wanted = scratch.table(f"{name}-ids", pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     texts = scratch.table(f"{name}-texts", docs.join(ids, "doc_id", "left_semi"))
-    groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("groups"))
+    groups = scratch.table(f"{name}-groups", pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("groups")))
     dealt = scratch.table(f"{name}-dealt", pairs.join(groups, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("group"), "b"))
     heads = dealt.select("a", "group").distinct().join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "group", F.lit(None).cast("long").alias("b"), "text")
     others = dealt.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "group", "b", "text")
@@ -184,7 +184,7 @@ def verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, k: in
 
     ordered = heads.unionByName(others).repartition("a", "group").sortWithinPartitions("a", "group", F.asc_nulls_first("b"))
     out = scratch.table(name, ordered.mapInArrow(check, "a long, b long, both long, either long"))
-    scratch.drop(f"{name}-ids", f"{name}-texts", f"{name}-dealt")
+    scratch.drop(f"{name}-ids", f"{name}-texts", f"{name}-groups", f"{name}-dealt")
     return out
 
 
