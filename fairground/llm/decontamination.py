@@ -46,42 +46,52 @@ def windows(hashes: np.ndarray, widths: list[int]) -> dict[int, np.ndarray]:
     return {w: mix((total[w:] - total[: n + 1 - w]) * back[: n + 1 - w] + np.uint64(w)) if n >= w else np.zeros(0, np.uint64) for w in widths}
 
 
-def tile(doc_at: np.ndarray, item_at: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles ``(document word, item word, length)`` from the places where both hold the same seed.
+def tile_runs(doc: np.ndarray, item: np.ndarray, size: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
+    """Greedy tiles ``(document word, item word, length)`` from all maximal matches of ``seed`` words or more.
 
-    Seeds in a row on one diagonal are one maximal match. The longest match goes first (then the earliest in the item
-    and the document); of a match that a tile has cut into, the free stretches of ``seed`` words or more stay in play.
+    The longest match goes first (then the earliest in the item and the document); of a match that a tile has cut into,
+    the free stretches of ``seed`` words or more stay in play.
     """
-    order = np.lexsort((item_at, doc_at - item_at))
-    d, i = doc_at[order], item_at[order]
-    breaks = np.flatnonzero((np.diff(i) != 1) | (np.diff(d - i) != 0)) + 1
-    heap = [(-(e - s + seed - 1), int(i[s]), int(d[s])) for s, e in zip(np.concatenate([[0], breaks]), np.concatenate([breaks, [len(i)]]))]
+    base = int(doc.min())
+    in_doc, in_item = np.zeros(int((doc + size).max()) - base, bool), np.zeros(int((item + size).max()), bool)
+    heap = list(zip((-size).tolist(), item.tolist(), (doc - base).tolist()))
     heapq.heapify(heap)
-    in_doc: set[int] = set()
-    in_item: set[int] = set()
     tiles = []
     while heap:
-        size, item, doc = heapq.heappop(heap)
-        size = -size
-        free = [item + k not in in_item and doc + k not in in_doc for k in range(size)]
-        if all(free):
-            tiles.append((doc, item, size))
-            in_doc.update(range(doc, doc + size))
-            in_item.update(range(item, item + size))
+        n, i, d = heapq.heappop(heap)
+        taken = in_item[i : i - n] | in_doc[d : d - n]
+        if not taken.any():
+            tiles.append((d + base, i, -n))
+            in_item[i : i - n] = in_doc[d : d - n] = True
+            # What is left of the item must still hold a seed, or no later match can.
+            if not _stretches(~in_item, seed):
+                break
             continue
-        k = 0
-        while k < size:
-            run = k
-            while run < size and free[run]:
-                run += 1
-            if run - k >= seed:
-                heapq.heappush(heap, (-(run - k), item + k, doc + k))
-            k = run + 1
+        for a, b in _stretches(~taken, seed):
+            heapq.heappush(heap, (a - b, i + a, d + a))
     return tiles
 
 
+def _stretches(free: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Stretches of at least so many trues, as bounds."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], free, [False]]).astype(np.int8)))
+    return [(a, b) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()) if b - a >= least]
+
+
+def tile(doc_at: np.ndarray, item_at: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
+    """``tile_runs`` of the places where both hold the same seed: those in a row on one diagonal are one maximal match."""
+    order = np.lexsort((item_at, doc_at - item_at))
+    d, i = doc_at[order], item_at[order]
+    breaks = np.flatnonzero((np.diff(i) != 1) | (np.diff(d - i) != 0)) + 1
+    first, end = np.concatenate([[0], breaks]), np.concatenate([breaks, [len(i)]])
+    return tile_runs(d[first], i[first], end - first + seed - 1, seed)
+
+
 def item_seeds(benchmark: DataFrame, seed: int) -> DataFrame:
-    """``seed, width, place, item, item_id, words``: every run of ``seed`` words of each item, or all of a shorter one."""
+    """``seed, before, after, width, place, item, item_id, words``: every run of ``seed`` words of each item, or all of a shorter one.
+
+    ``before`` and ``after`` are the hashes of the runs one word earlier and later, null where there is none.
+    """
 
     def cut(batches):
         for batch in slices(batches):
@@ -97,10 +107,12 @@ def item_seeds(benchmark: DataFrame, seed: int) -> DataFrame:
                 at = np.flatnonzero(width[row] == w)
                 value[at] = own[bounds[row[at]] + place[at]]
             taken = [batch.column(c).take(pa.array(row)) for c in ("item", "item_id")]
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(width[row].astype(np.int32)), pa.array(place.astype(np.int32)), *taken, pa.array(sizes[row].astype(np.int32))], ["seed", "width", "place", "item", "item_id", "words"])
+            value = value.view(np.int64)
+            before, after = pa.array(np.roll(value, 1), mask=place == 0), pa.array(np.roll(value, -1), mask=place == n[row] - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(value), before, after, pa.array(width[row].astype(np.int32)), pa.array(place.astype(np.int32)), *taken, pa.array(sizes[row].astype(np.int32))], ["seed", "before", "after", "width", "place", "item", "item_id", "words"])
 
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_column(benchmark)).where("item_id is not null").distinct()
-    return rows.select(F.xxhash64("item_id", "text").alias("item"), "item_id", "text").mapInArrow(cut, "seed long, width int, place int, item long, item_id long, words int")
+    return rows.select(F.xxhash64("item_id", "text").alias("item"), "item_id", "text").mapInArrow(cut, "seed long, before long, after long, width int, place int, item long, item_id long, words int")
 
 
 def _bits_of(values: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -130,6 +142,11 @@ def text_key() -> Column:
     return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+def wordless() -> Column:
+    """Null, empty and white texts: they match nothing, and many rows may share one of them."""
+    return F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"^\s*$")
+
+
 def found_in(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, seed: int, threshold: float) -> DataFrame:
     """``FOUND``: each different text and item of which tiles cover at least ``threshold``; a stored table."""
     scratch = Scratch(spark, "tiling")
@@ -144,34 +161,49 @@ def found_in(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, seed: i
         mask = np.unpackbits(held.value).astype(bool)
         for batch in slices(batches):
             hashes, bounds = plain_words(concat(batch.column("text")))
-            rows, places, values = [], [], []
+            rows, places, values, before, after = [], [], [], [], []
             for w, own in windows(hashes, widths).items():
                 first, second = _bits_of(own, bits)
                 at = np.flatnonzero(mask[first])
                 at = at[mask[second[at]]]
                 row = np.searchsorted(bounds, at, side="right") - 1
                 inside = at + w <= bounds[row + 1]
-                rows.append(row[inside])
-                places.append((at - bounds[row])[inside])
-                values.append(own[at[inside]])
+                at, row = at[inside], row[inside]
+                rows.append(row)
+                places.append(at - bounds[row])
+                values.append(own[at])
+                before.append(pa.array(own[np.maximum(at - 1, 0)].view(np.int64), mask=at == bounds[row]))
+                after.append(pa.array(own[np.minimum(at + 1, len(own) - 1)].view(np.int64), mask=at + w == bounds[row + 1]))
             keys = batch.column("text_key").take(pa.array(np.concatenate(rows)))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(values).view(np.int64))], ["text_key", "at", "seed"])
-
-    hits = scratch.table("hits", docs.select(text_column(docs)).select("text", text_key().alias("text_key")).mapInArrow(meet, "text_key string, at int, seed long").distinct())
-    pairs = hits.join(seeds, "seed").select("text_key", "item", "at", "place", "width", "words", "item_id")
+            columns = [pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(values).view(np.int64)), pa.concat_arrays(before), pa.concat_arrays(after)]
+            yield pa.RecordBatch.from_arrays([keys, *columns], ["text_key", "at", "seed", "before", "after"])
+
+    hits = scratch.table("hits", docs.select(text_column(docs)).select("text", text_key().alias("text_key")).mapInArrow(meet, "text_key string, at int, seed long, before long, after long").distinct())
+    # A match is met at its first and its last seed only, and an item's places with one seed between the same two
+    # others at once: a word that text and item repeat m and n times makes as many rows as m + n, not m * n.
+    classes = seeds.groupBy("seed", "item", "item_id", "words", "width", "before", "after").agg(F.collect_list("place").alias("places"))
+    classes = scratch.table("classes", classes.withColumnsRenamed({"before": "item_before", "after": "item_after"}))
+    starts, ends = (~F.coalesce(F.col(c) == F.col(f"item_{c}"), F.lit(False)) for c in ("before", "after"))
+    met = hits.join(classes, "seed").select("text_key", "item", "at", "places", "width", "words", "item_id", starts.alias("starts"), ends.alias("ends")).where("starts or ends")
+    pairs = met.select("text_key", "item", "at", F.explode("places").alias("place"), "width", "words", "item_id", "starts", "ends")
 
     def cover(batches):
         for table in runs(batches, ["text_key", "item"]):
             keys, items = table.column("text_key").to_numpy(zero_copy_only=False), table.column("item").to_numpy()
             cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (items[1:] != items[:-1])) + 1
-            at, place, width, words = (table.column(c).to_numpy() for c in ("at", "place", "width", "words"))
+            at, place, width, words, starts, ends = (table.column(c).to_numpy() for c in ("at", "place", "width", "words", "starts", "ends"))
             found = []
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
                 own, size = int(width[a]), int(words[a])
-                # No tiling can cover more than all windows that were met.
-                if len(np.unique((place[a:b][:, None] + np.arange(own)).ravel())) < threshold * size:
+                # On each diagonal first and last seeds take turns.
+                order = a + np.lexsort((place[a:b], at[a:b] - place[a:b]))
+                first, last = order[starts[order]], order[ends[order]]
+                length = place[last] - place[first] + own
+                # No tiling can cover more than all matches together.
+                edges = np.bincount(place[first], minlength=size + 1) - np.bincount(place[first] + length, minlength=size + 1)
+                if np.count_nonzero(np.cumsum(edges)) < threshold * size:
                     continue
-                tiles = tile(at[a:b], place[a:b], own)
+                tiles = tile_runs(at[first], place[first], length, own)
                 share = sum(t[2] for t in tiles) / size
                 if share >= threshold:
                     found.append((a, share, len(tiles), max(t[2] for t in tiles)))
@@ -181,7 +213,7 @@ def found_in(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, seed: i
 
     ordered = pairs.repartition("text_key", "item").sortWithinPartitions("text_key", "item")
     out = scratch.table("found", ordered.mapInArrow(cover, FOUND))
-    scratch.drop("hits", "seeds")
+    scratch.drop("hits", "seeds", "classes")
     return out
 
 
@@ -195,7 +227,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, see
     """
     found = found_in(spark, docs, benchmark, seed, threshold)
     side = F.broadcast(found) if found.count() <= BROADCAST_FOUND else found
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"))
+    rows = docs.where(~wordless()).select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"))
     return rows.join(side, "text_key").select("doc_id", "item_id", "coverage", "tiles", "longest")
 
 
@@ -206,6 +238,11 @@ def without_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFr
     texts stay or go together.
     """
     found = found_in(spark, docs, benchmark, seed, threshold).select("text_key").distinct()
-    side = F.broadcast(found) if found.count() <= BROADCAST_FOUND else found
+    found = Scratch(spark, "leaked").table("keys", found)
     key = free_name("text_key", *docs.columns)
-    return docs.withColumn(key, text_key()).join(side.withColumnRenamed("text_key", key), key, "left_anti").select(*docs.columns)
+    keyed, found = docs.withColumn(key, text_key()), found.withColumnRenamed("text_key", key)
+    if found.count() <= BROADCAST_FOUND:
+        kept = keyed.join(F.broadcast(found), key, "left_anti")
+    else:
+        kept = keyed.where(~wordless()).join(found, key, "left_anti").select(*keyed.columns).unionByName(keyed.where(wordless()))
+    return kept.select(*docs.columns)

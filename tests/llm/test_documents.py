@@ -1,6 +1,7 @@
 """Language, quality, sharding, decontamination, joins and surrogates against brute force and planted cases."""
 
 import random
+import time
 import re
 import zlib
 
@@ -313,6 +314,44 @@ def test_contaminated_by_brute_force(spark, make, seed):
     assert sorted((r.doc_id, r.item_id, r.coverage, r.tiles) for r in got) == want
 
 
+@pytest.mark.parametrize("seed", [2, 3])
+def test_repetitive_texts_by_brute_force(spark, make, seed):
+    """Texts of two words, and of one: every match meets the item at its first and last seed."""
+    rng = random.Random(seed)
+    items = [["a"] * 9, ["a", "b"] * 5, *([rng.choice("ab") for _ in range(rng.randint(1, 12))] for _ in range(8))]
+    docs = [["a"] * 30, ["a"] * 4 + ["b"] + ["a"] * 6, ["b", "a"] * 9, *([rng.choice("aab") for _ in range(rng.randint(0, 30))] for _ in range(20))]
+    want = []
+    for d, own in enumerate(docs):
+        for i, item in enumerate(items):
+            tiles = tile_slowly(own, item, min(seed, len(item)))
+            share = sum(t[2] for t in tiles) / len(item)
+            if share >= 0.5:
+                want.append((d, i, share, len(tiles)))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = decontamination.contaminated(spark, make(*(" ".join(d) for d in docs)), bench, seed=seed).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage, r.tiles) for r in got) == want
+
+
+def test_one_word_repeated_many_times(spark, make):
+    """150 000 repeats against an item of 300: rows grow with their sum (45 million places hold the same seed)."""
+    began = time.monotonic()
+    bench = spark.createDataFrame([(1, "the " * 300), (2, "the " * 280 + "x1 x2 x3 x4 x5 x6 x7 x8 x9")], "item_id long, text string")
+    rows = decontamination.contaminated(spark, make("the " * 150_000, "calm"), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.tiles, r.longest) for r in rows) == [(0, 1, 1, 300), (0, 2, 1, 280)]
+    assert time.monotonic() - began < 60
+
+
+def test_many_wordless_texts_are_not_joined(spark, make, monkeypatch):
+    """Null, empty and white texts stay on either side of the broadcast bound, and take no part in the shuffled join."""
+    bench = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    docs = make(*[None, "", " \n\t"] * 20, "a b c d e f g", "clean words only")
+    for most in (200_000, 0):
+        monkeypatch.setattr(decontamination, "BROADCAST_FOUND", most)
+        kept = decontamination.without_contaminated(spark, docs, bench)
+        assert sorted(r.doc_id for r in kept.collect()) == [*range(60), 61]
+        assert [r.doc_id for r in decontamination.contaminated(spark, docs, bench).collect()] == [60]
+
+
 def test_rolling_hashes():
     x = np.random.default_rng(1).integers(0, 1 << 63, 50).astype(np.uint64)
     x[30:37] = x[3:10]
