@@ -311,7 +311,12 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, key: bytes) -> D
         rows = docs
     else:
         own = found.select("text_key", "kind", "value").distinct().join(settled, ["kind", "value"]).groupBy(F.col("text_key").alias(of)).agg(F.collect_list(F.struct("kind", "value", "attempt", "gender")).alias(moved))
-        rows, held = docs.join(own, F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))) == own[of], "left").drop(of), None
+        own = scratch.table("moved", own)
+        # Wordless texts hold no mention, and a third of all rows may share one of them: they go past the join.
+        text, held = F.coalesce(F.col("text").cast("string"), F.lit("")), None
+        wordless = text.rlike(r"^\s*$")
+        met = docs.where(~wordless).join(own, F.md5(text) == own[of], "left").drop(of)
+        rows = met.unionByName(docs.where(wordless).withColumn(moved, F.lit(None).cast(own.schema[moved].dataType)))
     names = [c for c in docs.columns if c != "pii_kinds"]
 
     def replace(batches):
