@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fairground.llm.common import Scratch, concat, drawn, mix, slices, split_words, text_column
+from fairground.llm.common import Scratch, concat, drawn, give_back, mix, slices, split_words, text_column
 
 SOURCES, LANGS = 32, 8
 #: Bytes of documents that are described at a time.
@@ -125,17 +125,19 @@ class Views:
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 250) -> np.ndarray:
     """Weights (the last is the intercept) of a ridge logistic regression, by accelerated gradient steps."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float32)
-    y = y.astype(np.float32)
-    w = np.zeros(x.shape[1], np.float32)
+    x, y = np.asarray(x, np.float32), y.astype(np.float32)
+    # The intercept goes by itself: a column of ones would copy the examples.
+    odds = lambda v: x @ v[:-1] + v[-1]
+    back = lambda r: np.append(x.T @ r, r.sum())
+    w = np.zeros(x.shape[1] + 1, np.float32)
     top = np.ones_like(w)
     for _ in range(20):  # the largest curvature, by power steps
-        top = x.T @ (x @ (top / np.linalg.norm(top))) / len(x)
+        top = back(odds(top / np.linalg.norm(top))) / len(x)
     v, rate = w.copy(), np.float32(3.5 / max(float(np.linalg.norm(top)), 1e-6))
     penalty = np.full_like(w, ridge)
     penalty[-1] = 0
     for step in range(steps):
-        grad = x.T @ (1 / (1 + np.exp(-np.clip(x @ v, -30, 30))) - y) / len(x) + penalty * v
+        grad = back(1 / (1 + np.exp(-np.clip(odds(v), -30, 30))) - y) / len(x) + penalty * v
         new = v - rate * grad
         v = new + np.float32(step / (step + 3)) * (new - w)
         w = new
@@ -243,6 +245,11 @@ class Examples:
     def take(self, at: np.ndarray) -> Examples:
         return Examples(self.row[at], self.metadata[at], self.words[at], self.label[at])
 
+    def seen_by(self, view: int) -> Examples:
+        """What one view is fitted on: the words (0) or the metadata (1)."""
+        none = np.zeros((len(self.row), 0), np.float32)
+        return Examples(self.row, self.metadata if view else none, none if view else self.words, self.label)
+
     def __add__(self, other: Examples) -> Examples:
         return Examples(*(np.concatenate([getattr(self, n), getattr(other, n)]) for n in ("row", "metadata", "words", "label")))
 
@@ -299,7 +306,8 @@ def co_train(features: DataFrame, lexicon: np.ndarray, settings: Settings) -> Mo
         kept = given = known
     centre, scale = known.metadata.mean(0), np.maximum(known.metadata.std(0), 0.05)
     # Each view has its own examples: the given ones, then those that the other view was sure of.
-    own = [given, given]
+    own = [given.seen_by(view) for view in (0, 1)]
+    del known, given
     for step in range(settings.rounds + 1):
         content = fit_logistic(own[0].words, own[0].label, 3e-4).astype(float)
         meta = fit_logistic((own[1].metadata - centre) / scale, own[1].label, 1e-3).astype(float)
@@ -309,11 +317,14 @@ def co_train(features: DataFrame, lexicon: np.ndarray, settings: Settings) -> Mo
         found = surest(features, content, meta, centre, scale, taken, settings)
         views = found.column("view").to_numpy()
         for view, other in ((0, 1), (1, 0)):
-            own[other] = own[other] + Examples.of(found.filter(pa.array(views == view)), len(lexicon), "class")
+            own[other] = own[other] + Examples.of(found.filter(pa.array(views == view)), len(lexicon), "class").seen_by(other)
+    del own
     raw = [kept.words @ content[:-1] + content[-1], (kept.metadata - centre) / scale @ meta[:-1] + meta[-1]]
     calibration = np.stack([fit_logistic(np.clip(s, -8, 8)[:, None], kept.label, 1e-3) for s in raw])
     sides = np.stack([c[0] * np.clip(s, -8, 8) + c[1] for c, s in zip(calibration, raw)], axis=1)
     combination = fit_logistic(sides, kept.label, 1e-3)
+    del kept
+    give_back()
     return Model(lexicon, content, centre, scale, meta, calibration.astype(float), combination.astype(float), settings.threshold)
 
 
