@@ -6,7 +6,8 @@ value, so it is the same in every document; a check over all values of the corpu
 or where one equals a value that occurs, so distinct values stay distinct.
 
 A person's name is found behind a form of address, or as a known given name with a family name; the same names are then
-replaced wherever they stand alone in that document. A given name has one gender in the whole corpus: the one most
+replaced wherever they stand alone in that document, in capitals too. A name is letters of any cased script with a capital in
+front, also with more capitals inside, apostrophes and hyphens ("McDonald", "O'Brien"); particles ("van der") stay. A given name has one gender in the whole corpus: the one most
 forms of address give it, else the one it is known for.
 """
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,8 @@ BROADCAST_VALUES = 100_000
 
 #: Forms of address and the gender they tell.
 TITLES = {
-    "Mr": "m", "Mister": "m", "Sir": "m", "Herr": "m", "Herrn": "m", "Monsieur": "m", "M": "m", "Señor": "m", "Sr": "m", "Don": "m", "Signor": "m", "Sig": "m", "господин": "m",
-    "Mrs": "f", "Ms": "f", "Miss": "f", "Madam": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Mademoiselle": "f", "Señora": "f", "Sra": "f", "Doña": "f", "Signora": "f", "госпожа": "f",
+    "Mr": "m", "Mister": "m", "Sir": "m", "Herr": "m", "Herrn": "m", "Monsieur": "m", "M": "m", "Señor": "m", "Sr": "m", "Don": "m", "Signor": "m", "Sig": "m", "господин": "m", "κύριος": "m",
+    "Mrs": "f", "Ms": "f", "Miss": "f", "Madam": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Mademoiselle": "f", "Señora": "f", "Sra": "f", "Doña": "f", "Signora": "f", "госпожа": "f", "κυρία": "f",
     "Dr": "n", "Prof": "n",
 }
 #: Given names from which surrogates are drawn, by script and gender.
@@ -40,8 +42,11 @@ GIVEN = {
     ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис Иван Кирилл Лев Макар Олег Павел Роман".split(),
     ("cyrillic", "f"): "Анна Вера Галина Дарья Елена Ирина Ксения Лидия Мария Ольга Полина Раиса".split(),
     ("cyrillic", "n"): "Женя Саша Валя Слава".split(),
+    ("greek", "m"): "Αλέξης Βασίλης Γιάννης Δημήτρης Κώστας Λευτέρης Μάρκος Νίκος Πέτρος Στέλιος".split(),
+    ("greek", "f"): "Άννα Βασιλική Δέσποινα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νεφέλη Σοφία".split(),
+    ("greek", "n"): "Άρτεμις Ίρις Λίνος Φοίβος".split(),
 }
-SYLLABLES = {"latin": "ba be bo da de do fa fe ga ge ha ho ka ke la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se so ta te ti to va ve vi wa za".split(), "cyrillic": "ба бо ва ве да до ка ко ла ле ма мо на но па по ра ро са со та то".split()}
+SYLLABLES = {"latin": "ba be bo da de do fa fe ga ge ha ho ka ke la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se so ta te ti to va ve vi wa za".split(), "cyrillic": "ба бо ва ве да до ка ко ла ле ма мо на но па по ра ро са со та то".split(), "greek": "βα βο γα γο δα δο κα κο λα λο μα μο να νο πα πο ρα ρο τα το".split()}
 
 #: More given names that tell a person where a family name follows, with their gender; a user may pass others.
 KNOWN_GIVEN = {
@@ -50,8 +55,25 @@ KNOWN_GIVEN = {
     **dict.fromkeys("Alice Ana Barbara Carla Carmen Caroline Catherine Charlotte Christine Claire Dorothy Elisabeth Elizabeth Emily Emma Francesca Giulia Heidi Helen Ingrid Isabella Jane Jennifer Juliette Linda Lucia Margaret Maria Marie Martha Mary Monica Nancy Patricia Paula Rachel Ruth Sarah Silvia Sophie Susan Teresa Victoria".split(), "f"),
 }
 
-_NAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+)?"
-_TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
+def _letters(*categories: str) -> str:
+    """The Latin, Greek, Cyrillic and Armenian letters of some categories, for a class of characters."""
+    return "".join(c for c in map(chr, (*range(0x41, 0x590), *range(0x1E00, 0x1F00))) if unicodedata.category(c) in categories)
+
+
+_UPPER, _LOWER = _letters("Lu"), _letters("Ll", "Mn")
+_PART = rf"(?:[{_UPPER}]['’])?(?:[{_UPPER}][{_LOWER}]+)+"
+_CAPITALS = rf"[{_UPPER}]{{2,}}(?:['’-][{_UPPER}]{{2,}})*|[{_UPPER}]['’][{_UPPER}]{{2,}}"
+_NAME = rf"{_PART}(?:-{_PART})*"
+#: Particles of family names; they are not replaced.
+_PARTICLES = r"(?:(?:van|von|zu|der|den|ten|ter|de|del|della|di|da|dos|du|la|le|el|al|bin|ibn)\s){0,3}"
+#: Words that follow a given name where no person is meant.
+_NO_FAMILY = r"(?!(?:North|South|East|West|Station|Street|Road|Avenue|Square|Park|Bridge|Airport|Hotel|Hospital|University|Church|City|County|Island|Falls|Lake|River|Day)\b)"
+#: Forms of address that are also written small, and those that in capitals are nothing else.
+_SMALL = [t.lower() for t in TITLES if len(t) > 5 and t.isalpha() and t.lower() != t and t != "Madam"]
+_LOUD = [t.upper() for t in ("Mr", "Mrs", "Mister", "Herr", "Herrn", "Monsieur", "Señor", "Signor", "Miss", "Madam", "Frau", "Madame", "Señora", "Signora", "Dr", "Prof")]
+_BY_TITLE = {form: gender for t, gender in TITLES.items() for form in (t, t.lower(), t.upper())}
+_TITLE = "|".join(sorted([*TITLES, *_SMALL], key=len, reverse=True))
+_LOUD_TITLE = "|".join(sorted(_LOUD, key=len, reverse=True))
 _KNOWN = "|".join(sorted(KNOWN_GIVEN, key=len, reverse=True))
 #: Words that make a run of digits a card number even where the check digit does not.
 CARD_WORDS = re.compile(r"(?i)\b(?:card|carta|carte|karte|tarjeta|visa|mastercard|amex)\b\W{0,3}(?:(?:number|num|nr|no)\b\W{0,3})?$")
@@ -67,8 +89,9 @@ PATTERN = re.compile(
             r"(?P<card>(?<![\d.-])\d{4}(?P<sep>[ -]?)\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}(?![\d-]))",
             r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))",
             r"(?P<phone>(?<![\w.+-])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}(?![\w-])|(?<![\w.+(-])\(\d{2,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w-])|(?<![\w.+-])(?=(?:\D?\d){9})\d{2,4}(?:[ .-]\d{2,4}){2,4}(?![\w-]))",
-            rf"(?P<name>\b(?P<title>{_TITLE})\.?\s(?P<first>{_NAME})(?:\s(?P<last>{_NAME}))?)",
-            rf"(?P<person>\b(?P<given>{_KNOWN})\s(?P<family>{_NAME}))",
+            rf"(?P<name>\b(?P<title>{_TITLE})\.?\s{_PARTICLES}(?P<first>{_NAME})(?![\w'’])(?:\s{_PARTICLES}(?P<last>{_NAME})(?![\w'’]))?)",
+            rf"(?P<loud>\b(?P<loud_title>{_LOUD_TITLE})\.?\s(?P<loud_first>{_CAPITALS})(?!\w)(?:\s(?P<loud_last>{_CAPITALS})(?!\w))?)",
+            rf"(?P<person>\b(?P<given>{_KNOWN})\s{_PARTICLES}{_NO_FAMILY}(?P<family>{_NAME})(?![\w'’]))",
         )
     )
 )
@@ -81,9 +104,10 @@ def _re2_class(shorthand: str) -> str:
 
 
 _D, _S = _re2_class(r"\d"), _re2_class(r"\s")
+_RE2_PARTICLES = _PARTICLES.replace(r"\s", _S)
 #: A text without any of these holds no value: a cheap test before the pattern, true wherever PATTERN matches. RE2 syntax.
 #: Before a title stands no ASCII word character; what else is no word boundary is left to the pattern.
-HINT = rf"@|AKIA|ASIA|gh[pousr]_|sk-|password|passwd|pwd|secret|token|api[_-]?key|{_D}[ .()-]?{_D}[ .()-]?{_D}[ .()-]?{_D}|{_D}\.{_D}|[A-Z]{{2}}{_D}{_D}|(?:^|[^0-9A-Za-z_])(?:{_TITLE})\.?{_S}[A-ZÀ-ÖØ-ÞА-Я]|(?:^|[^0-9A-Za-z_])(?:{_KNOWN}){_S}[A-ZÀ-ÖØ-ÞА-Я]"
+HINT = rf"@|AKIA|ASIA|gh[pousr]_|sk-|password|passwd|pwd|secret|token|api[_-]?key|{_D}[ .()-]?{_D}[ .()-]?{_D}[ .()-]?{_D}|{_D}\.{_D}|[A-Z]{{2}}{_D}{_D}|(?:^|[^0-9A-Za-z_])(?:{_TITLE}|{_LOUD_TITLE})\.?{_S}{_RE2_PARTICLES}\p{{Lu}}|(?:^|[^0-9A-Za-z_])(?:{_KNOWN}){_S}{_RE2_PARTICLES}\p{{Lu}}"
 
 
 class Draw:
@@ -163,7 +187,12 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0, gender: str =
 
 
 def _script(name: str) -> str:
-    return "cyrillic" if "а" <= name[0].lower() <= "я" else "latin"
+    return "greek" if "Ͱ" <= name[0] <= "Ͽ" else "cyrillic" if "Ѐ" <= name[0] <= "ӿ" else "latin"
+
+
+def _quiet(name: str) -> str:
+    """A name in capitals as it is written otherwise, so that both are one value."""
+    return name.title() if len(name) > 1 and name.isupper() else name
 
 
 _PLAIN = ("email", "secret", "iban", "ssn", "card", "ip", "phone")
@@ -177,11 +206,11 @@ def units(match: re.Match) -> list[tuple[str, str, str, int, int]]:
     """
     if match["assigned"]:
         return [("secret", match["value"], "", *match.span("value"))]
-    if match["name"]:
-        gender, last = TITLES[match["title"]].replace("n", ""), match["last"]
-        family = "last" if last else "first"
-        out = [(f"family:{_script(match[family])}", match[family], "", *match.span(family))]
-        return [(f"given:{_script(match['first'])}", match["first"], gender, *match.span("first")), *out] if last else out
+    if match["name"] or match["loud"]:
+        title, first, last = ("title", "first", "last") if match["name"] else ("loud_title", "loud_first", "loud_last")
+        gender, family = _BY_TITLE[match[title]].replace("n", ""), last if match[last] else first
+        out = [(f"family:{_script(match[family])}", _quiet(match[family]), "", *match.span(family))]
+        return [(f"given:{_script(match[first])}", _quiet(match[first]), gender, *match.span(first)), *out] if match[last] else out
     if match["person"]:
         return [(f"{k}:{_script(match[k])}", match[k], "", *match.span(k)) for k in ("given", "family")]
     kind = next(k for k in _PLAIN if match[k])
@@ -205,10 +234,11 @@ def entities(text: str) -> list[tuple[str, str, str, int, int]]:
     names = {n: k for n, k in names.items() if not re.search(rf"(?<!\w){re.escape(n.lower())}(?!\w)", text)}
     if not names:
         return found
-    alone = re.compile(rf"(?<![\w@.-])(?:{'|'.join(map(re.escape, sorted(names, key=len, reverse=True)))})(?![\w@])")
+    forms = {form: n for n in sorted(names) for form in (n.upper(), n) if len(n) > 2 or form == n}
+    alone = re.compile(rf"(?<![\w@.-])(?:{'|'.join(map(re.escape, sorted(forms, key=len, reverse=True)))})(?![\w@])")
     spans, at = [*((s, e) for *_, s, e in found), (len(text), len(text))], 0
     for start, end in spans:
-        found += [(names[m[0]], m[0], "", *m.span()) for m in alone.finditer(text, at, start) if m.end() <= start]
+        found += [(names[forms[m[0]]], forms[m[0]], "", *m.span()) for m in alone.finditer(text, at, start) if m.end() <= start]
         at = max(at, end)
     return sorted(found, key=lambda u: u[3])
 
@@ -223,7 +253,7 @@ def in_format(kind: str, replacement: str, raw: str) -> str:
         chars = iter(replacement)
         out = [next(chars, "") if c.isalnum() or c == "+" else c for c in raw]
         return "".join(out) + "".join(chars)
-    if kind == "email" and raw.isupper():
+    if kind == "email" and raw.isupper() or kind.startswith(("given", "family")) and len(raw) > 1 and raw.isupper():
         return replacement.upper()
     return replacement
 

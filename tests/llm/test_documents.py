@@ -564,3 +564,28 @@ def test_hint_holds_for_each_alternative_alone(spark, make):
 @given(st.from_regex(pii.PATTERN))
 def test_hint_holds_wherever_the_pattern_does(text):
     assert not pii.PATTERN.search(text) or len(pii._hinted(pa.array([text])))
+
+
+def test_names_of_any_shape_are_replaced_whole():
+    """Apostrophes, capitals inside, letters beyond Latin-1, Greek, particles and capitals: no half of a name stays."""
+    for text, gone in (
+        ("Mr. Ronald McDonald came. McDonald left.", "Ronald McDonald"),
+        ("Mrs. Anne O'Brien met Mr Łukasz Nowak", "Anne O'Brien Łukasz Nowak"),
+        ("MR. JOHN SMITH and John Smith; SMITH again", "JOHN SMITH John Smith"),
+        ("Mark van der Berg wrote; Berg too", "Mark Berg"),
+        ("Maria de la Cruz", "Maria Cruz"),
+        ("il signor Rossi e la signora Bianchi", "Rossi Bianchi"),
+        ("κύριος Παπαδόπουλος και κυρία Ελένη Γεωργίου", "Παπαδόπουλος Ελένη Γεωργίου"),
+    ):
+        new, _ = pii.rewrite(text, b"key", {})
+        assert not set(re.findall(r"[\w'’]+", new)) & set(gone.split()), new
+        assert len(pii._hinted(pa.array([text])))
+    new, _ = pii.rewrite("MR. JOHN SMITH and John Smith", b"key", {})
+    loud, quiet = re.fullmatch(r"MR\. (.*) and (.*)", new).groups()
+    assert loud.isupper() and loud.title() == quiet
+    assert all("Ͱ" <= c <= "Ͽ" or c == " " for c in pii.rewrite("κύριος Νίκος Γεωργίου", b"key", {})[0])
+
+
+def test_places_and_other_words_in_capitals_are_no_names():
+    for text in ("Charlotte North Carolina", "Victoria Station", "MS OFFICE and MS Word", "a miss in Paris"):
+        assert pii.rewrite(text, b"key", {}) == (text, [])
