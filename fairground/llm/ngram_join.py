@@ -39,9 +39,9 @@ STAR = 64
 #: Open pairs a row of a bucket at most when its pairs are verified one by one; above, another round of heads comes first,
 #: as long as a round closes a tenth of the pairs of all such buckets.
 OPEN_PAIRS, CLOSES = 16, 0.9
-#: Heads of a crowded bucket in the first such round, where all are compared with them, and in later ones, where only those
-#: outside its largest component are.
-FIRST_HEADS, HEADS = 4, 64
+#: Heads of a crowded bucket in each such round; rounds beyond the last have as many as it. In the first all are compared
+#: with them, later only those outside the bucket's largest component.
+HEADS = (4, 64)
 
 
 def bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -139,6 +139,27 @@ def _may_link(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> C
     return length & (F.least(n1 - p1, n2 - p2) * (100 + percent) >= (n1 + n2) * percent)
 
 
+def _members_may_link(x: str, y: str, percent: int) -> Column:
+    """The filters of two members of a bucket.
+
+    What they have in common is at most the lesser of what each has in common with the bucket's head, where both were
+    compared with it, and the lesser of what each has besides.
+    """
+    n1, p1, c1, n2, p2, c2 = (F.col(f"{side}.{c}") for side in (x, y) for c in ("n", "pos", "common"))
+    most = F.least(c1, c2) + F.least(n1 - c1, n2 - c2)
+    unknown = c1.isNull() | c2.isNull()
+    return _may_link(n1, p1, n2, p2, percent) & (unknown | (most * (100 + percent) >= (n1 + n2) * percent))
+
+
+def _rank(set_id: str, pos: Column) -> Column:
+    """The order in which the members of a bucket become its heads: those with the fewest rarer shingles first.
+
+    What was changed in a copy is rarer than what its group has in common, so these are nearest to what the others are
+    copies of, and link with most. Ties go by a hash, so that buckets of the same documents agree.
+    """
+    return F.shiftleft(F.least(pos, F.lit((1 << 23) - 1)), 40) + F.xxhash64(set_id).bitwiseAND((1 << 40) - 1)
+
+
 def _suffix_filter(x: np.ndarray, y: np.ndarray, allowed: int, parts: int = 16) -> bool:
     """Whether the sets may differ in ``allowed`` elements at most, from their counts in equal hash ranges."""
     if len(x) < 4 * parts:
@@ -148,8 +169,9 @@ def _suffix_filter(x: np.ndarray, y: np.ndarray, allowed: int, parts: int = 16)
     return int(np.abs(np.diff(cx, prepend=0, append=len(x)) - np.diff(cy, prepend=0, append=len(y))).sum()) <= allowed
 
 
-def verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, k: int, percent: int) -> DataFrame:
-    """Of stored ``pairs(a, b)``, those that meet the threshold, with the sizes ``both`` and ``either``; a stored table.
+def verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, k: int, percent: int, links_only: bool = True) -> DataFrame:
+    """Of stored ``pairs(a, b)``, those that meet the threshold, with the sizes ``both`` and ``either``, the smaller id as
+    ``a``; a stored table. Without ``links_only`` all of them, and whether they are ``linked``.
 
     The partners of one ``a`` are dealt into groups of about ``STAR``; its text is sent once to each, and its set made
     once. Texts are picked out of the corpus by the ids that occur in pairs.
@@ -174,16 +196,19 @@ def verify(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str, k: in
                     continue
                 for x in first:
                     least = -(-percent * (len(x) + len(own)) // (100 + percent))
-                    if not _suffix_filter(x, own, len(x) + len(own) - 2 * least):
+                    if links_only and not _suffix_filter(x, own, len(x) + len(own) - 2 * least):
                         continue
                     both = len(np.intersect1d(x, own, assume_unique=True))
                     either = len(x) + len(own) - both
-                    if both and 100 * both >= percent * either:
-                        found.append((a, b, both, either))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (zip(*found) if found else ([], [], [], []))], ["a", "b", "both", "either"])
+                    linked = both > 0 and 100 * both >= percent * either
+                    if linked or not links_only:
+                        found.append((min(a, b), max(a, b), both, either, linked))
+            columns = list(zip(*found)) if found else [[]] * 5
+            yield pa.RecordBatch.from_arrays([*(pa.array(list(c), pa.int64()) for c in columns[:4]), pa.array(list(columns[4]), pa.bool_())], ["a", "b", "both", "either", "linked"])
 
     ordered = heads.unionByName(others).repartition("a", "group").sortWithinPartitions("a", "group", F.asc_nulls_first("b"))
-    out = scratch.table(name, ordered.mapInArrow(check, "a long, b long, both long, either long"))
+    checked = ordered.mapInArrow(check, "a long, b long, both long, either long, linked boolean")
+    out = scratch.table(name, checked.drop("linked") if links_only else checked)
     scratch.drop(f"{name}-ids", f"{name}-texts", f"{name}-groups", f"{name}-dealt")
     return out
 
@@ -210,46 +235,62 @@ def similar_documents(spark: SparkSession, docs: DataFrame, k: int = 5, percent:
 
     # The rows that meet on a shingle are kept narrow: size and position share a number.
     entries = prefixes.select("set_id", "n", F.posexplode("prefix").alias("pos", "shingle")).select("shingle", "set_id", (F.shiftleft("n", 32) + F.col("pos")).alias("at"))
-    heads = scratch.table("heads", entries.groupBy("shingle").agg(F.min("set_id").alias("head"), F.max("set_id").alias("top")).where("head < top").select("shingle", "head"))
-    shared = scratch.table("shared", entries.join(heads, "shingle").select("shingle", "set_id", "head", F.shiftright("at", 32).alias("n"), F.col("at").bitwiseAND((1 << 32) - 1).alias("pos")))
+    own = F.col("at").bitwiseAND((1 << 32) - 1)
+    heads = scratch.table("heads", entries.groupBy("shingle").agg(F.min(_rank("set_id", own)).alias("first"), F.count("*").alias("m")).where("m > 1").select("shingle", "first"))
+    shared = scratch.table("shared", entries.join(heads, "shingle").select("shingle", "set_id", F.shiftright("at", 32).alias("n"), own.alias("pos"), (_rank("set_id", own) == F.col("first")).alias("leads")))
     scratch.drop("prefixes", "heads")
 
-    leading = shared.where("set_id = head").select("shingle", F.col("n").alias("head_n"), F.col("pos").alias("head_pos"))
-    near_head = shared.where("set_id <> head").join(leading, "shingle").where(_may_link(F.col("n"), F.col("pos"), F.col("head_n"), F.col("head_pos"), percent))
-    stars = scratch.table("stars", near_head.select(F.col("head").alias("a"), F.col("set_id").alias("b")).distinct())
-    star_links = verify(stars, plain, scratch, "star-links", k, percent)
+    leading = shared.where("leads").select("shingle", F.col("set_id").alias("head"), F.col("n").alias("head_n"), F.col("pos").alias("head_pos"))
+    near_head = shared.join(leading, "shingle").where("set_id <> head").where(_may_link(F.col("n"), F.col("pos"), F.col("head_n"), F.col("head_pos"), percent))
+    # Where both lead some bucket, the pair comes once.
+    ends = near_head.groupBy(F.least("head", "set_id").alias("low"), F.greatest("head", "set_id").alias("high")).agg(F.max("head").alias("a"))
+    stars = scratch.table("stars", ends.select("a", (F.col("low") + F.col("high") - F.col("a")).alias("b")))
+    compared = verify(stars, plain, scratch, "compared", k, percent, links_only=False)
+    star_links = compared.where("linked").drop("linked")
+    # What a member has in common with its bucket's head bounds what two members have in common.
+    with_head = compared.select(F.col("a").alias("head"), F.col("b").alias("set_id"), "both").unionByName(compared.select(F.col("b").alias("head"), F.col("a").alias("set_id"), "both"))
+    led = scratch.table("led", shared.join(leading.select("shingle", "head"), "shingle"))
+    measured = scratch.table("measured", led.join(with_head, ["head", "set_id"], "left").select("shingle", "set_id", "n", "pos", F.when(F.col("set_id") == F.col("head"), F.col("n")).otherwise(F.col("both")).alias("common")))
+    scratch.drop("shared", "led")
     joined_by_stars = scratch.table("star-components", components(star_links, scratch, "star"))
 
     # What is left: pairs in a bucket whose ends are still in different components.
-    links, tested, joined, before, step = star_links, stars, joined_by_stars, None, 0
+    links, tested, joined, pairs, step = star_links, stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), joined_by_stars, None, 0
     while True:
-        step += 1
-        labelled = scratch.table(f"labelled-{step}", shared.select("shingle", "set_id", "n", "pos").join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id")))
+        labelled = scratch.table(f"labelled-{step}", measured.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id")))
         kinds = labelled.groupBy("shingle", "component").agg(F.count("*").alias("m"))
         by_label = kinds.groupBy("shingle").agg(F.max(F.struct("m", "component")).alias("most"), F.count("*").alias("kinds"), F.sum("m").alias("rows"), F.sum(F.col("m").cast("double") ** 2).alias("squares"))
         by_label = scratch.table(f"by-label-{step}", by_label.where("kinds > 1").select("shingle", F.col("most.component").alias("major"), "rows", ((F.col("rows").cast("double") ** 2 - F.col("squares")) / 2).alias("pairs")))
         crowded = by_label.where(F.col("pairs") > OPEN_PAIRS * F.col("rows"))
-        pairs = crowded.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
-        if not pairs or (before is not None and pairs > CLOSES * before):
+        before, pairs = pairs, crowded.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
+        if not pairs or (step >= len(HEADS) and pairs > CLOSES * before):
+            break
+        rows, found, last = scratch.table(f"crowded-{step}", labelled.join(crowded, "shingle")), None, step
+        # A round without a link changes no component, so the next one is of the same rows.
+        while found is None or (step < len(HEADS) and found.isEmpty()):
+            step += 1
+            # Documents are dealt by a hash of them alone, and the likeliest of each deal is a head.
+            deal, rank = F.pmod(F.xxhash64("set_id", F.lit(step)), F.lit(HEADS[min(step, len(HEADS)) - 1])), _rank("set_id", F.col("pos"))
+            first = scratch.table(f"first-{step}", rows.groupBy("shingle", deal.alias("deal")).agg(F.min(rank).alias("first")))
+            heads = rows.join(first, [rows["shingle"] == first["shingle"], deal == first["deal"], rank == first["first"]], "left_semi").alias("x")
+            others = (rows if step == 1 else rows.where("component <> major")).alias("y")
+            at = heads.join(others, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & _members_may_link("x", "y", percent))
+            ends = at.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
+            chosen = scratch.table(f"round-{step}-pairs", ends.join(tested, ["a", "b"], "left_anti"))
+            found = verify(chosen, plain, scratch, f"round-{step}", k, percent)
+            links, tested = links.unionByName(found), tested.unionByName(chosen)
+            scratch.drop(f"first-{step}")
+        scratch.drop(f"crowded-{last}")
+        if found.isEmpty():
+            step = last
             break
-        before = pairs
-        # Heads are drawn by a hash of the document alone, so that buckets with the same documents have the same heads.
-        rows = scratch.table(f"crowded-{step}", labelled.join(crowded, "shingle"))
-        lot = F.xxhash64("set_id", F.lit(step)).bitwiseAND((1 << 62) - 1).cast("double") * F.col("rows")
-        heads = rows.where(lot < float((FIRST_HEADS if step == 1 else HEADS) * (1 << 62))).alias("x")
-        others = (rows if step == 1 else rows.where("component <> major")).alias("y")
-        at = heads.join(others, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent))
-        ends = at.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
-        chosen = scratch.table(f"round-{step}-pairs", ends.join(tested, ["a", "b"], "left_anti"))
-        found = verify(chosen, plain, scratch, f"round-{step}", k, percent)
-        links, tested = links.unionByName(found), tested.unionByName(chosen)
         edges = joined.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(found.select("a", "b"))
         joined = scratch.table(f"joined-{step}", components(edges, scratch, f"round-{step}"))
-        scratch.drop(f"labelled-{step}", f"by-label-{step}", f"crowded-{step}")
+        scratch.drop(f"labelled-{last}", f"by-label-{last}")
     open_rows = scratch.table("open", labelled.join(by_label.select("shingle", "major"), "shingle"))
-    scratch.drop("shared", f"labelled-{step}", f"by-label-{step}")
+    scratch.drop("measured", f"labelled-{step}", f"by-label-{step}")
     minor, other = open_rows.where("component <> major").alias("x"), open_rows.alias("y")
-    met = minor.join(other, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.major")) | (F.col("x.set_id") < F.col("y.set_id"))) & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent))
+    met = minor.join(other, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.major")) | (F.col("x.set_id") < F.col("y.set_id"))) & _members_may_link("x", "y", percent))
     later = scratch.table("later", met.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"))
     scratch.drop("open", "stars")
     later_links = verify(later, plain, scratch, "later-links", k, percent)

@@ -405,6 +405,27 @@ def test_join(spark, make, k, percent, seed):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i, (_, c) in enumerate(brute(texts, k, percent)) if c == i]
 
 
+def test_copies_that_link_by_their_source_only(spark, make, monkeypatch):
+    """Copies with three changed words link with their source, not with each other; the source comes last. No pair of copies is compared."""
+    rng, seen, real = random.Random(5), [], ngram_join.verify
+    monkeypatch.setattr(ngram_join, "verify", lambda pairs, *a, **kw: seen.append(pairs.count()) or real(pairs, *a, **kw))
+    base = [f"w{i}" for i in range(150)]
+    copies = [" ".join(f"c{n}w{i}" if i in at else w for i, w in enumerate(base)) for n in range(120) for at in [rng.sample(range(5, 145, 10), 3)]]
+    members, _ = ngram_join.similar_documents(spark, make(*copies, " ".join(base)), 5, 80)
+    assert {r.component_id for r in members.collect()} == {0} and sum(seen) <= 3 * len(copies)
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_join_of_a_crowded_group(spark, make, seed):
+    """Many near copies of one text, some beyond the threshold: what the bound by the head leaves out is no link."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(80)]
+    texts = [" ".join(f"v{rng.randrange(40)}" if rng.random() < share else w for w in base) for share in (0.0, 0.01, 0.02, 0.03, 0.05, 0.08) for _ in range(20)]
+    rng.shuffle(texts)
+    members, _ = ngram_join.similar_documents(spark, make(*texts), 5, 80)
+    assert [(r.n_shingles, r.component_id) for r in members.orderBy("doc_id").collect()] == brute(texts, 5, 80)
+
+
 def test_join_edges(spark, make):
     docs = make("a b c d", "a b c d", None)
     twice = docs.union(docs)
