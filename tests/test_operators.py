@@ -301,3 +301,35 @@ def test_views_edge_cases(spark):
     assert [r.id for r in rows.collect()] == ["2"]
     assert publish.expired_backups(["a-2026-08-01", "a-2026-08-20", "b"], "2026-08-22") == ["a-2026-08-01"]
     assert spark.range(1).select(T.site_symbol(F.lit(""), F.lit(0)), T.site_symbol(F.lit("u"), F.lit(1))).first() == ("", "X")
+
+
+def _one(seq, title, place):
+    return (seq, "s", title, "fiera", place, None, "settimanale", ["SU"], None, None, None)
+
+
+def test_series_of_one_municipality_are_not_compared_all(spark):
+    """A word that all titles hold makes no pairs: every second sighting meets the series before it, by its number."""
+    import time
+
+    new = spark.createDataFrame([_one(i, f"Mercato {i // 2} {'grande' if i % 2 else ''}", "Asti") for i in range(12000)], RULE)
+    began = time.perf_counter()
+    got = {r.seq: (r.near_id, r.own_id) for r in series.assigned(spark.createDataFrame([], schemas.SERIES), new).select("seq", "near_id", "own_id").collect()}
+    assert time.perf_counter() - began < 60
+    assert all(got[i][0] == (got[i - 1][1] if i % 2 else None) for i in range(12000))
+
+
+def test_similar_series_as_pair_by_pair(spark):
+    """The first similar series of each sighting: among those stored, by id; else among those told before."""
+    import random
+
+    draw = random.Random(3)
+    title = lambda: " ".join(draw.choices("mercato antico fiori piazza libri notte serata".split(), k=draw.randint(0, 5)))
+    new = spark.createDataFrame([_one(i * 3, title(), draw.choice(["Asti", "Calosso"])) for i in range(120)], RULE)
+    stored = table(spark, schemas.SERIES, *({"serie_id": f"k{i}", "titolo": title(), "comune": "Asti", "stato": "sospesa" if i % 5 == 0 else "attiva"} for i in range(6)))
+    x = series.describe(new).alias("x")
+    y = stored.where("stato <> 'sospesa'").select("comune", F.col("serie_id").alias("_id"), T.title_key(F.col("titolo"), F.col("comune")).alias("titolo_normalizzato"), F.lit(-1).cast("long").alias("_at"))
+    y = y.unionByName(series.describe(new).select("comune", F.col("own_id").alias("_id"), "titolo_normalizzato", F.col("seq").alias("_at"))).alias("y")
+    pairs = x.join(y, [F.col("x.comune") == F.col("y.comune"), F.col("y._at") < F.col("x.seq"), T.series_titles_similar(F.col("x.titolo_normalizzato"), F.col("y.titolo_normalizzato"))])
+    want = {r.seq: r.m._id for r in pairs.groupBy("x.seq").agg(F.min(F.struct("y._at", "y._id")).alias("m")).collect()}
+    got = {r.seq: r.near_id for r in series.assigned(stored, new).select("seq", "near_id").collect() if r.near_id}
+    assert len(want) > 50 and got == want
