@@ -1,12 +1,14 @@
 """Graded matching and field-wise merging against slow versions."""
 
 import random
+import time
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fairground.operators import matching, merging
+from fairground.operators import matching, merging, tiles
 from fairground.streaming import jobs
 
 
@@ -141,3 +143,38 @@ def test_streams_merge_into_the_same_state(spark, tmp_path):
     merge(df.where("meta = 1"), 1)
     got = as_dict(merging.finish(merging.compact(spark, f"{tmp_path}/state", ["prova", "k"]), ["prova", "k"]))
     assert got == as_dict(merging.merged(df, ["prova", "k"], FIELDS))
+
+
+@pytest.mark.parametrize("chunk, dense, pairs", [(7, 0.0, 3), (20, 1.0, 50), (1000, 1 / 256, 5)])
+def test_scores_do_not_depend_on_tiles(spark, monkeypatch, chunk, dense, pairs):
+    """Chunks of any size, all pieces counted by matrices or none, pairs taken a few at a time."""
+    df = spark.createDataFrame(rows_of(5, 150), "id long, g string, titolo_normalizzato string, luogo string, organizzatore string")
+    want = sorted(matching.scored_pairs(df, ["g"], doubt=0.6).collect())
+    monkeypatch.setattr(matching, "CHUNK", chunk)
+    got = sorted(matching.scored_pairs(df, ["g"], doubt=0.6).collect())
+    assert len(want) > 100 and got == want
+    rows = [(r[2], r[3] or "", r[4] or "") for r in rows_of(5, 150) if r[2]]
+    plain = lambda x: " ".join(sorted(set(x.lower().split())))
+    batch = pa.RecordBatch.from_arrays([pa.array([plain(r[i]) for r in rows]) for i in range(3)], ["title", "place", "organiser"])
+    needed = [matching.least_title(n, 0.6) for n in range(3)]
+    monkeypatch.setattr(tiles, "DENSE", dense)
+    monkeypatch.setattr(tiles, "PAIRS", pairs)
+    half = len(rows) // 2
+    once = {(x, y): v for i, j, s in tiles.scores(batch, None, needed, (0.6, 0.2), 0.6) for x, y, v in zip(i.tolist(), j.tolist(), s.tolist(), strict=True)}
+    over = {(x, y + half): v for i, j, s in tiles.scores(batch.slice(0, half), batch.slice(half), needed, (0.6, 0.2), 0.6) for x, y, v in zip(i.tolist(), j.tolist(), s.tolist(), strict=True)}
+    assert {(min(k), max(k)): round(v, 6) for k, v in once.items() if round(v, 6) >= 0.6} == {(x, y): v for x in range(len(rows)) for y in range(x + 1, len(rows)) if (v := slow_score(rows[x], rows[y])) >= 0.6}
+    assert {k: round(v, 6) for k, v in over.items()} == {(x, y): round(v, 6) for k, v in once.items() for x, y in [sorted(k)] if x < half <= y}
+
+
+def test_titles_of_common_pieces(spark):
+    """Titles of one block of which nearly all share pieces are compared in time, and scored as one by one."""
+    rng = random.Random(9)
+    syllables = "an en in on un re de te le ti al ar".split()
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 4)))
+    rows = [(i, "x", " ".join(word() for _ in range(20)), f"{word()} {word()}", rng.choice(["s1", "s2", "s13"])) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, g string, titolo_normalizzato string, luogo string, organizzatore string")
+    began = time.perf_counter()
+    got = {(r.a, r.b): r.punteggio for r in matching.scored_pairs(df, ["g"], doubt=0.8).collect()}
+    assert time.perf_counter() - began < 90
+    drawn = [tuple(sorted(rng.sample(range(6000), 2))) for _ in range(3000)] + rng.sample(sorted(got), min(300, len(got)))
+    assert got and {p: s for p in drawn if (s := slow_score(rows[p[0]][2:], rows[p[1]][2:])) >= 0.8} == {p: got[p] for p in drawn if p in got}
