@@ -92,10 +92,11 @@ def overlap(a: Column, b: Column) -> Column:
 
 def titles_similar(key_a: Column, key_b: Column) -> Column:
     """Whether two title keys name one event: overlap of 0.8, three shared tokens; a single token only if it says something."""
-    return _titles_similar(tokens(key_a), tokens(key_b))
+    return tokens_similar(tokens(key_a), tokens(key_b))
 
 
-def _titles_similar(a: Column, b: Column) -> Column:
+def tokens_similar(a: Column, b: Column) -> Column:
+    """``titles_similar`` on the tokens of two keys."""
     least, shared = F.least(F.size(a), F.size(b)), F.size(F.array_intersect(a, b))
     only = F.when(F.size(a) == 1, F.element_at(a, 1)).otherwise(F.element_at(b, 1))
     return F.when((least == 0) | (overlap(a, b) < TITLE_OVERLAP), False).when(least == 1, ~only.isin(GENERIC_WORDS) & (shared == 1)).otherwise(shared >= SHARED_TOKENS)
@@ -108,7 +109,7 @@ def series_titles_similar(key_a: Column, key_b: Column) -> Column:
 
 def tokens_of_series_similar(a: Column, b: Column) -> Column:
     """``series_titles_similar`` on the tokens of two keys."""
-    return _titles_similar(a, b) | (overlap(a, b) >= 1.0)
+    return tokens_similar(a, b) | (overlap(a, b) >= 1.0)
 
 
 def _description(c: Column) -> Column:
@@ -124,7 +125,7 @@ def parts_duplicate(title_a: Column, title_b: Column, text_a: Column, text_b: Co
     """``events_duplicate`` on the parts of two events, the cheaper tests first."""
     full = overlap(title_a, title_b) >= 1.0
     close = ((text_a == "") & (text_b == "")) | (overlap(words_a, words_b) >= DESCRIPTION_OVERLAP)
-    return ((text_a != "") & (text_a == text_b)) | _titles_similar(title_a, title_b) | (F.arrays_overlap(sources_a, sources_b) & full & close)
+    return ((text_a != "") & (text_a == text_b)) | tokens_similar(title_a, title_b) | (F.arrays_overlap(sources_a, sources_b) & full & close)
 
 
 def events_duplicate(key_a: Column, key_b: Column, text_a: Column, text_b: Column, sources_a: Column, sources_b: Column) -> Column:

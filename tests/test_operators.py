@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from fairground import schemas
@@ -70,6 +71,36 @@ def test_duplicate_pairs(spark):
     assert {r.id: r.canonical for r in dedup.canonical(rows, pairs).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6}
 
 
+def _events(draw, n):
+    words = "mercato antico fiori piazza libri notte serata".split()
+    title = lambda: " ".join(sorted(set(draw.choices(words, k=draw.randint(0, 5)))))
+    told = lambda: draw.choice([None, "", " ", "a b c d", "A b c d ", "a b c e", "a b x y z", "b c d e f g h"])
+    return [(i, draw.choice(["b", "c", None]), title(), told(), draw.sample("xyz", draw.randint(1, 2))) for i in range(n)]
+
+
+@pytest.mark.parametrize("bound", [0, 100_000])
+def test_canonical_as_pair_by_pair(spark, monkeypatch, bound):
+    """The smallest id of the direct matches, of all pairs of a block; a row of a null block has its repeats only."""
+    import random
+
+    monkeypatch.setattr(dedup, "BROADCAST_IDS", bound)
+    rows = spark.createDataFrame(_events(random.Random(4), 260), "id long, k string, titolo_normalizzato string, descrizione string, fonti array<string>").coalesce(1)
+    x, y = rows.alias("x"), rows.alias("y")
+    same = T.events_duplicate(*(F.col(f"{t}.{c}") for c in ("titolo_normalizzato", "descrizione", "fonti") for t in "xy"))
+    want = {r.id: r.least for r in x.join(y, [F.col("x.k") == F.col("y.k"), F.col("x.id") < F.col("y.id"), same]).groupBy("y.id").agg(F.min("x.id").alias("least")).collect()}
+    got = {r.id: r.canonical for r in dedup.canonical(rows, dedup.duplicate_pairs(rows, ["k"])).collect()}
+    blocks = {r.id: r.k for r in rows.collect()}
+    assert len(want) > 50 and {i: c for i, c in got.items() if blocks[i] and c != i} == want and len(got) == 260
+
+
+def test_events_of_one_title_are_no_square(spark):
+    """Events of one title with descriptions of their own are paired with the first of them, not with each other."""
+    rows = spark.range(400).select("id", F.lit("b").alias("k"), F.lit("bianco del tartufo").alias("titolo_normalizzato"), F.concat(F.lit("d "), F.col("id").cast("string")).alias("descrizione"), F.array(F.lit("x")).alias("fonti"))
+    pairs = dedup.duplicate_pairs(rows, ["k"])
+    assert sorted((r.a, r.b) for r in pairs.select("a", "b").collect()) == [(0, i) for i in range(1, 400)]
+    assert {r.canonical for r in dedup.canonical(rows, pairs).collect()} == {0}
+
+
 def test_similar_images(spark):
     cache = spark.createDataFrame([("ffffffffffffffff", "2"), ("fffffffffffff00f", "1"), ("0000000000000000", "0")], "phash string, first_seen string")
     images = spark.createDataFrame([("i", "ffffffffffffff0f"), ("j", "0f0f0f0f0f0f0f0f")], "image string, phash string")
